@@ -529,3 +529,79 @@ def flagship(spark, sf) -> DataFrame:
     g = ordered.interpolate(g, ["temperature_f", "wind_dir_deg", "precipitation_in", "total_density_max"],
                             keys=["event_type"], limit=4)
     return timeops.time_group(g, "3 hours", keys=["event_type"])
+
+
+# ---------------------------------------------------------------- A9 A12–A14
+CORR_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+KENDALL_COLUMNS = ("l_quantity", "l_discount", "l_tax")
+
+
+def _matrix_sql(method: str, source: str, columns) -> str:
+    parts = []
+    for a in columns:
+        for b in columns:
+            parts.append(f"SELECT '{method}' AS method, '{a}' AS col_a, '{b}' AS col_b, "
+                         f"round(corr({a}, {b}), 6) AS corr, "
+                         f"CAST(count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS BIGINT) AS n "
+                         f"FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _round_corr(df: DataFrame) -> DataFrame:
+    return df.select("method", "col_a", "col_b", r6("corr").alias("corr"), "n")
+
+
+@register("column_stats", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS n, CAST(min({c}) AS DOUBLE) AS "min",
+       CAST(max({c}) AS DOUBLE) AS "max", round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std_pop,
+       round(stddev_samp({c}), 6) AS std_samp FROM lineitem""" for c in CORR_COLUMNS))
+def q_column_stats(spark, sf):
+    from ..operators import stats
+    out = stats.column_stats(table(spark, sf, "lineitem"), list(CORR_COLUMNS))
+    return out.select("column", "n", "min", "max", r6("mean").alias("mean"), r6("std_pop").alias("std_pop"),
+                      r6("std_samp").alias("std_samp"))
+
+
+@register("corr_pearson", _matrix_sql("pearson", "lineitem", CORR_COLUMNS))
+def q_pearson(spark, sf):
+    from ..operators import stats
+    return _round_corr(stats.corr_pearson(table(spark, sf, "lineitem"), list(CORR_COLUMNS)))
+
+
+_RANKS_SQL = "(SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in CORR_COLUMNS
+) + " FROM lineitem) ranked"
+
+
+@register("corr_spearman", _matrix_sql("spearman", _RANKS_SQL, CORR_COLUMNS))
+def q_spearman(spark, sf):
+    from ..operators import stats
+    return _round_corr(stats.corr_spearman(table(spark, sf, "lineitem"), list(CORR_COLUMNS)))
+
+
+def _kendall_sql(columns) -> str:
+    parts = []
+    for a in columns:
+        for b in columns:
+            if a == b:
+                parts.append(f"SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, "
+                             f"CASE WHEN min({a}) < max({a}) THEN 1.0 END AS corr, CAST(count({a}) AS BIGINT) AS n "
+                             f"FROM lineitem")
+                continue
+            parts.append(f"""SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, round(
+  (SELECT sum(x.w * y.w * sign(y.a - x.a) * sign(y.b - x.b)) FROM
+     (SELECT {a} AS a, {b} AS b, count(*) AS w FROM lineitem GROUP BY 1, 2) x,
+     (SELECT {a} AS a, {b} AS b, count(*) AS w FROM lineitem GROUP BY 1, 2) y
+   WHERE x.a < y.a)
+  / sqrt(((SELECT count(*) FROM lineitem) * ((SELECT count(*) FROM lineitem) - 1) / 2.0
+          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM lineitem GROUP BY {a})))
+       * ((SELECT count(*) FROM lineitem) * ((SELECT count(*) FROM lineitem) - 1) / 2.0
+          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM lineitem GROUP BY {b})))), 6) AS corr,
+  (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("corr_kendall", _kendall_sql(KENDALL_COLUMNS))
+def q_kendall(spark, sf):
+    from ..operators import stats
+    return _round_corr(stats.corr_kendall(table(spark, sf, "lineitem"), list(KENDALL_COLUMNS)))
