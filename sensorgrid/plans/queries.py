@@ -605,3 +605,161 @@ def _kendall_sql(columns) -> str:
 def q_kendall(spark, sf):
     from ..operators import stats
     return _round_corr(stats.corr_kendall(table(spark, sf, "lineitem"), list(KENDALL_COLUMNS)))
+
+
+# ---------------------------------------------------------------- T6 T7
+@register("split_80_20", """
+WITH h AS (SELECT o_orderkey,
+             ('0x' || substr(md5('1234|' || CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT AS h FROM orders)
+SELECT o_orderkey, row_number() OVER (ORDER BY h, o_orderkey) <= ceil(0.2 * count(*) OVER ()) AS is_test
+FROM h""")
+def q_split(spark, sf):
+    from ..operators.split import train_test_split
+    o = table(spark, sf, "orders").select("o_orderkey")
+    return train_test_split(o, ["o_orderkey"], 0.2, 1234)
+
+
+@register("column_subsets", """
+WITH names AS (SELECT event_type AS name, row_number() OVER (ORDER BY event_type) - 1 AS i
+               FROM (SELECT DISTINCT event_type FROM events)),
+ids AS (SELECT unnest(range(1, CAST(pow(2, (SELECT count(*) FROM names)) AS BIGINT))) AS subset_id)
+SELECT subset_id, CAST(bit_count(subset_id) AS INTEGER) AS size,
+       list(name ORDER BY i) FILTER (WHERE (subset_id >> i) & 1 = 1) AS input_columns
+FROM ids, names GROUP BY subset_id""")
+def q_subsets(spark, sf):
+    """T6 over the series present in the data (distinct event types, a
+    bounded list of names) — 2^n - 1 subsets generated on the executors."""
+    from ..operators.split import column_subsets
+    names = sorted(r[0] for r in feeds.events(spark, sf).select("event_type").distinct().collect())
+    return column_subsets(spark, names)
+
+
+# ---------------------------------------------------------------- M3 M4 M14 W10 T2 T5 A19
+EMB_DIMS = 64
+
+
+def embedding_split(spark, sf) -> DataFrame:
+    from ..operators.split import train_test_split
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"),
+                                              F.col("label").cast("double").alias("label"))
+    return train_test_split(e, ["id"], 0.2, 1234)
+
+
+def knn_runs(spark, sf, dims: int, ks=range(1, 21)) -> DataFrame:
+    """kNN sweep (M14) on the first ``dims`` embedding features: one result
+    row per k (metrics M4 on the test part)."""
+    from ..models.knn import knn_predict
+    from ..operators import stats
+    d = embedding_split(spark, sf).withColumn("features", F.slice("features", 1, dims))
+    train, test = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
+    pred = knn_predict(train, test, list(ks)).join(test.select("id", "label"), "id")
+    res = stats.evaluate(pred, dims, keys=["k"])
+    names = F.array(*[F.lit(f"e{i}") for i in range(dims)])
+    return res.withColumn("input_columns", names).withColumn("knn_neighbors", F.col("k").cast("int"))
+
+
+def _flat_results(df: DataFrame, extra=()) -> DataFrame:
+    return df.select(*extra, r6("r2_score").alias("r2_score"), r6("aicc").alias("aicc"),
+                     r6("ci95.lo").alias("ci95_lo"), r6("ci95.hi").alias("ci95_hi"),
+                     r6("ci95_span").alias("ci95_span"), "test_length")
+
+
+def _knn_sql(dims: int, tag: str = "") -> str:
+    return f"""
+e{tag} AS (SELECT vec_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {dims}) AS f, CAST(label AS DOUBLE) AS y,
+             ('0x' || substr(md5('1234|' || CAST(vec_id AS VARCHAR)), 1, 15))::BIGINT AS h FROM embeddings),
+s{tag} AS (SELECT *, row_number() OVER (ORDER BY h, vec_id) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM e{tag}),
+top{tag} AS (SELECT t.vec_id AS tid, r.y, list_distance(t.f, r.f) AS d,
+               row_number() OVER (PARTITION BY t.vec_id ORDER BY list_distance(t.f, r.f), r.vec_id) AS rank
+             FROM s{tag} t JOIN s{tag} r ON t.is_test AND NOT r.is_test),
+pred{tag} AS (SELECT tid, k,
+    CASE WHEN count(*) FILTER (WHERE d = 0) > 0 THEN avg(y) FILTER (WHERE d = 0)
+         ELSE sum(y / d) FILTER (WHERE d <> 0) / sum(1.0 / d) FILTER (WHERE d <> 0) END AS prediction
+  FROM top{tag} JOIN (SELECT unnest(range(1, 21)) AS k) ks ON top{tag}.rank <= ks.k GROUP BY tid, k),
+m{tag} AS (SELECT k, count(*) AS n, sum((y - prediction) * (y - prediction)) AS rss, avg(y - prediction) AS rm,
+             stddev_samp(y - prediction) AS rsd, var_pop(y) AS vy
+           FROM pred{tag} JOIN s{tag} ON pred{tag}.tid = s{tag}.vec_id GROUP BY k),
+r{tag} AS (SELECT k, {dims} AS dims, 1 - rss / (vy * n) AS r2_score,
+             n * ln(rss / n) + 2 * (2 * {dims} + 2.0) + 2 * (2 * {dims} + 2.0) * (2 * {dims} + 3.0) / (n - (2 * {dims} + 2.0) - 1) AS aicc,
+             rm - 1.959963984540054 * rsd / sqrt(n) AS lo, rm + 1.959963984540054 * rsd / sqrt(n) AS hi,
+             2 * 1.959963984540054 * rsd / sqrt(n) AS span, CAST(n AS BIGINT) AS test_length FROM m{tag})"""
+
+
+def _flat_sql(src: str, extra: str = "") -> str:
+    return (f"SELECT {extra}round(r2_score, 6) AS r2_score, round(aicc, 6) AS aicc, round(lo, 6) AS ci95_lo, "
+            f"round(hi, 6) AS ci95_hi, round(span, 6) AS ci95_span, test_length FROM {src}")
+
+
+@register("knn_regress", "WITH " + _knn_sql(EMB_DIMS) + """
+SELECT tid AS id, round(prediction, 6) AS prediction, round(y, 6) AS label
+FROM pred JOIN s ON pred.tid = s.vec_id WHERE k = 16""")
+def q_knn(spark, sf):
+    from ..models.knn import knn_predict
+    d = embedding_split(spark, sf)
+    train, test = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
+    pred = knn_predict(train, test, [16]).join(test.select("id", "label"), "id")
+    return pred.select("id", r6("prediction").alias("prediction"), r6("label").alias("label"))
+
+
+@register("metrics_r2_aicc_ci", "WITH " + _knn_sql(EMB_DIMS) + "\n" + _flat_sql("r", "") + " WHERE k = 16")
+def q_metrics(spark, sf):
+    return _flat_results(knn_runs(spark, sf, EMB_DIMS, [16]))
+
+
+@register("knn_sweep", "WITH " + _knn_sql(EMB_DIMS) + "\n" + _flat_sql("r", "CAST(k AS INTEGER) AS knn_neighbors, "))
+def q_knn_sweep(spark, sf):
+    return _flat_results(knn_runs(spark, sf, EMB_DIMS), ["knn_neighbors"])
+
+
+def _two_searches(spark, sf) -> DataFrame:
+    a = knn_runs(spark, sf, 32).withColumn("search", F.lit("first32"))
+    b = knn_runs(spark, sf, EMB_DIMS).withColumn("search", F.lit("all64"))
+    return a.unionByName(b)
+
+
+_TWO_SQL = "WITH " + _knn_sql(32, "a") + "," + _knn_sql(EMB_DIMS, "b") + """,
+allr AS (SELECT 'first32' AS search, * FROM ra UNION ALL SELECT 'all64' AS search, * FROM rb)"""
+
+
+@register("akaike_weights", _TWO_SQL + """,
+w AS (SELECT *, aicc - min(aicc) OVER (PARTITION BY search) AS delta FROM allr)
+SELECT search, CAST(k AS INTEGER) AS knn_neighbors, round(aicc, 6) AS aicc, round(delta, 6) AS delta,
+       round(exp(-delta / 2) / sum(exp(-delta / 2)) OVER (PARTITION BY search), 6) AS weight
+FROM w""")
+def q_akaike(spark, sf):
+    from ..operators import stats
+    w = stats.akaike_weights(_two_searches(spark, sf), partition=["search"])
+    return w.select("search", "knn_neighbors", r6("aicc").alias("aicc"), r6("delta").alias("delta"),
+                    r6("weight").alias("weight"))
+
+
+@register("best_model", _TWO_SQL + """
+SELECT search, CAST(k AS INTEGER) AS knn_neighbors, round(aicc, 6) AS aicc FROM allr
+QUALIFY row_number() OVER (PARTITION BY search ORDER BY aicc) = 1""")
+def q_best(spark, sf):
+    from ..operators import stats
+    b = stats.best_models(_two_searches(spark, sf), 1, partition=["search"])
+    return b.select("search", "knn_neighbors", r6("aicc").alias("aicc"))
+
+
+@register("merge_results", _TWO_SQL + """,
+mm AS (SELECT * FROM (SELECT * FROM allr WHERE search = 'first32' ORDER BY aicc LIMIT 1)
+       UNION ALL SELECT * FROM allr WHERE search = 'all64'),
+w AS (SELECT *, aicc - min(aicc) OVER () AS delta FROM mm)
+SELECT search, CAST(k AS INTEGER) AS knn_neighbors, round(aicc, 6) AS aicc, round(delta, 6) AS delta,
+       round(exp(-delta / 2) / sum(exp(-delta / 2)) OVER (), 6) AS weight FROM w""")
+def q_merge(spark, sf):
+    from ..operators import stats
+    both = _two_searches(spark, sf)
+    m = stats.merge_results(both.filter(F.col("search") == "first32"), both.filter(F.col("search") == "all64"))
+    return m.select("search", "knn_neighbors", r6("aicc").alias("aicc"), r6("delta").alias("delta"),
+                    r6("weight").alias("weight"))
+
+
+@register("column_presence", _TWO_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS n_models,
+       CAST(sum(CASE WHEN dims > 40 THEN 1 ELSE 0 END) AS BIGINT) AS n_using
+FROM (SELECT * FROM allr ORDER BY aicc LIMIT 10)""")
+def q_presence(spark, sf):
+    from .views import column_presence
+    return column_presence(_two_searches(spark, sf), ["e40"], top=10)
