@@ -763,3 +763,104 @@ FROM (SELECT * FROM allr ORDER BY aicc LIMIT 10)""")
 def q_presence(spark, sf):
     from .views import column_presence
     return column_presence(_two_searches(spark, sf), ["e40"], top=10)
+
+
+# ---------------------------------------------------------------- M1 M2 M5–M16 (rows-only)
+FEATURES = ["click", "view", "signup", "error"]
+TARGET = "purchase"
+
+
+def model_table(spark, sf) -> DataFrame:
+    """W12 prepare + T7 split of the wide 15-minute feed (target: purchase)."""
+    from .prepare import prepare, with_split
+    p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
+    return with_split(p, ["ts"])
+
+
+def _search(spark, sf, **kw):
+    from .search import ModelSearch
+    return ModelSearch(model_table(spark, sf), TARGET, **kw)
+
+
+def _results_view(df: DataFrame) -> DataFrame:
+    return df.select("search_id", "size", "r2_score", "aicc", "ci95", "ci95_span", "input_columns",
+                     "feature_importances", "data_periodicity_hrs", "train_length", "test_length",
+                     "n_estimators", "max_depth")
+
+
+@register("forest_regress")
+def q_forest(spark, sf):
+    from .search import ModelSearch
+    d = embedding_split(spark, sf)
+    cols = [f"e{i}" for i in range(EMB_DIMS)]
+    d = d.select("id", "label", "is_test", *[F.col("features")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    srch = ModelSearch(d, "label", id_cols=["id"])
+    return _results_view(srch.selected_model(cols, trees=100, depth=6, search_id="forest"))
+
+
+@register("pls_regress")
+def q_pls(spark, sf):
+    from .search import ModelSearch
+    d = embedding_split(spark, sf)
+    cols = [f"e{i}" for i in range(EMB_DIMS)]
+    d = d.select("id", "label", "is_test", *[F.col("features")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    srch = ModelSearch(d, "label", id_cols=["id"])
+    res = srch.pls_sweep(cols, 11)
+    return res.select("pls_components", "r2_score", "aicc", "ci95_span", "test_length")
+
+
+@register("grid_search_small")
+def q_grid(spark, sf):
+    return _results_view(_search(spark, sf).grid_search_columns(FEATURES + ["hour"]))
+
+
+@register("trend_additive")
+def q_trend_additive(spark, sf):
+    from .prepare import trend_table
+    from .search import ModelSearch
+    hours = (1, 2, 3, 6, 12, 24)
+    t = trend_table(model_table(spark, sf), ["view"], hours=hours)
+    names = [ordered.trend_name("view", f"{h} hours") for h in hours]
+    srch = ModelSearch(t, TARGET)
+    return _results_view(srch.trend_additive(["click", "hour"], {"view": names}))
+
+
+@register("trends_subsets")
+def q_trend_subsets(spark, sf):
+    from .prepare import trend_table
+    from .search import ModelSearch
+    hours = (1, 2, 3)
+    t = trend_table(model_table(spark, sf), ["view"], hours=hours)
+    names = [ordered.trend_name("view", f"{h} hours") for h in hours]
+    return _results_view(ModelSearch(t, TARGET).grid_search_trends(["click", "hour"], names))
+
+
+@register("hyper_small")
+def q_hyper(spark, sf):
+    return _results_view(_search(spark, sf).grid_search_hyper(FEATURES, [50, 100], [4, 8]))
+
+
+@register("time_grouping_curve")
+def q_grouping_curve(spark, sf):
+    from .prepare import prepare
+    from .search import time_grouping_tests
+    from .views import grouping_curve
+    p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
+    res = time_grouping_tests(spark, p, TARGET, FEATURES + ["hour"], [0.5, 1, 2, 3])
+    return grouping_curve(res)
+
+
+@register("rfe_small")
+def q_rfe(spark, sf):
+    return _search(spark, sf).rfe(FEATURES + ["month", "hour"], n_keep=3, trees=100, depth=6)
+
+
+@register("sfs_small")
+def q_sfs(spark, sf):
+    return _search(spark, sf).sfs(FEATURES + ["hour"], n_select=2, folds=5, trees=50, depth=4)
+
+
+@register("best_model_series")
+def q_best_series(spark, sf):
+    res, series, _ = _search(spark, sf).best_model_series(FEATURES + ["hour"], trees=100, depth=6)
+    return series
