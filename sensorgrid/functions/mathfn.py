@@ -32,25 +32,23 @@ def round_half_even(c, places: int | None) -> Column:
     ``bround`` rounds the shortest decimal text of a double (1.015 → 1.02)
     while the feeds' reference rounding looks at the exact binary value
     (1.01499999… → 1.01).  The scaled value ``x·10^places`` is formed
-    exactly as ``p + e`` (Dekker's product, plain double arithmetic in the
-    JVM), so the half-way test is exact.  16 places or None = as is."""
+    exactly as ``p + e`` (Dekker's split of x; 10^places has at most 27
+    significant bits for places <= 8, so both partial products are exact),
+    so the half-way test is exact.  16 places or None = as is."""
     if places is None or places >= 16:
         return col(c)
+    if places > 8:
+        return F.bround(col(c), places)
+    s = F.lit(float(10 ** places))
     x = col(c).cast("double")
-    s = float(10 ** places)
-    s_hi, s_lo = _split(s)
-    p = x * F.lit(s)
+    p = x * s
     cx = x * F.lit(_SPLIT)
     x_hi = cx - (cx - x)
-    x_lo = x - x_hi
-    e = ((x_hi * F.lit(s_hi) - p) + x_hi * F.lit(s_lo) + x_lo * F.lit(s_hi)) + x_lo * F.lit(s_lo)
+    e = (x_hi * s - p) + (x - x_hi) * s
     k = F.floor(p).cast("double")
     t = ((p - k) - F.lit(0.5)) + e
-    odd = F.pmod(k, F.lit(2.0)) == 1.0
-    up = (t > 0) | ((t == 0) & odd)
-    rounded = F.when(up, k + 1.0).otherwise(k) / F.lit(s)
-    big = F.abs(p) >= F.lit(2.0 ** 52)
-    return F.when(x.isNull() | F.isnan(x) | big, x).otherwise(rounded)
+    up = (t > 0) | ((t == 0) & (F.pmod(k, F.lit(2.0)) == 1.0))
+    return F.when(F.abs(p) >= F.lit(2.0 ** 52), x).otherwise(F.when(up, k + 1.0).otherwise(k) / s)
 
 
 def circular_mean(c) -> Column:

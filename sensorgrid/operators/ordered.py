@@ -137,14 +137,23 @@ def trends(df: DataFrame, specs, keys: Sequence[str] = (), ts: str = "ts",
     reach = max(s for _, s, _ in specs)
     d = _halo_by_time(df, ts, chunk, reach)
     base = Window.partitionBy(*keys, ch.CHUNK).orderBy("__t")
-    new_cols = []
-    for c, s_us, s in specs:
+    diffs, names = [], []
+    for i, (c, s_us, s) in enumerate(specs):
         w = base.rangeBetween(-s_us, -s_us)
         prev = F.first(F.col(c)).over(w)
         seen = F.count(F.lit(1)).over(w)
         then = F.when(seen == 0, F.col(c)).otherwise(prev)
-        new_cols.append(round_half_even(F.col(c) - then, places).alias(naming(c, s)))
-    d = d.select("*", *new_cols)  # one projection: all frames share one sort
+        diffs.append((F.col(c) - then).alias(f"__d{i}"))
+        names.append(naming(c, s))
+    # one projection for all frames (one sort), then the rounding reads the
+    # materialised differences (the rounding expression uses its input
+    # many times; it must not be inlined over the window expressions)
+    d = d.select("*", F.array(*diffs).alias("__diffs"))
+    # one higher-order call rounds all differences: the rounding expression
+    # is generated once instead of once per column
+    d = d.withColumn("__diffs", F.transform("__diffs", lambda v: round_half_even(v, places)))
+    d = d.select(*[x for x in d.columns if x != "__diffs"],
+                 *[F.col("__diffs")[i].alias(n) for i, n in enumerate(names)])
     return d.filter(F.col(ch.CHUNK) == F.col("__home")).drop(ch.CHUNK, "__home", "__t")
 
 
