@@ -45,15 +45,17 @@ def zscore_outliers(df: DataFrame, columns, keys: Sequence[str] = (),
 
 # --------------------------------------------------------------------- W2
 def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts",
-                limit: int | None = None, chunk="auto") -> DataFrame:
+                limit: int | None = None, chunk="auto", order: str | None = None) -> DataFrame:
     """Linear interpolation by row position (not by time).
 
-    Leading NULLs stay; trailing NULLs take the last valid value; with
-    ``limit=k`` only the first k NULLs after a valid value are filled
-    (with the line through the whole gap)."""
+    Positions follow ``order`` (default the stamp; a file-order column when
+    stamps repeat).  Leading NULLs stay; trailing NULLs take the last valid
+    value; with ``limit=k`` only the first k NULLs after a valid value are
+    filled (with the line through the whole gap)."""
     cols = _cols(columns)
-    d = ch.with_chunk(df, ts, chunk)
-    wl = ch.local_window(keys, [ts])
+    order = order or ts
+    d = ch.with_chunk(df, order, chunk)
+    wl = ch.local_window(keys, [order])
     d = d.withColumn("__lpos", F.row_number().over(wl) - 1)
     for i, c in enumerate(cols):
         pt = F.when(F.col(c).isNotNull(), F.struct(F.col("__lpos").alias("p"), F.col(c).cast("double").alias("v")))

@@ -40,16 +40,24 @@ def clean_weather(raw: DataFrame, keys: Sequence[str] = (), ts: str = "ts", orde
                   emr: Sequence[str] | None = None, step=timeops.QUARTER):
     """Round stamps → gap report → z-score outliers on the EMR
     columns (whole feed, before pairing) → linear interpolation without
-    limit.  Returns ``(cleaned, gap_report)``."""
+    limit, by position in file order.  Returns ``(cleaned, gap_report)``."""
     d = timeops.round_time(raw, step, ts)
     report = timeops.gap_report(d, keys, ts, order=order, step=step)
     cols = list(emr) if emr is not None else catalog.emr_columns(d.columns)
     if cols:
         d = ordered.zscore_outliers(d, cols, keys)
-        d = ordered.interpolate(d, cols, keys=keys, ts=ts)
+        d = ordered.interpolate(d, cols, keys=keys, ts=ts, order=order)
     return d, report
 
 
+def feature_engineering(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
+                        pressure: str = "pressure_mbar", precipitation: str = "precipitation_in") -> DataFrame:
+    """W11 preset: Month and Hour, the 2-hour pressure trend and the 1-hour
+    precipitation trend."""
+    d = timeops.add_month_hour(df, ts)
+    return ordered.trends(d, [(pressure, "2 hours"), (precipitation, "1 hour")], keys=keys, ts=ts)
+
+
 def with_split(prepared: DataFrame, id_cols: Sequence[str], test_size: float = 0.2, seed: int = 1234,
                keys: Sequence[str] = ()) -> DataFrame:
     """T7 before any night filter, so every variant shares the split."""

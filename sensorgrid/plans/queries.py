@@ -864,3 +864,151 @@ def q_sfs(spark, sf):
 def q_best_series(spark, sf):
     res, series, _ = _search(spark, sf).best_model_series(FEATURES + ["hour"], trees=100, depth=6)
     return series
+
+
+# ---------------------------------------------------------------- J6 W11 W12 W13 P15 S12
+@register("lag_by_time", feeds.SQL_GRIDDED + """
+SELECT event_type, ts, round(value, 6) AS value,
+       round(first_value(value) OVER (PARTITION BY event_type ORDER BY ts
+             RANGE BETWEEN INTERVAL 90 MINUTE PRECEDING AND INTERVAL 90 MINUTE PRECEDING), 6) AS value_lag
+FROM grid""")
+def q_lag(spark, sf):
+    g = feeds.gridded(spark, sf).select("event_type", "ts", "value")
+    out = ordered.lag_by_time(g, "value", "90 minutes", keys=["event_type"])
+    return out.select("event_type", "ts", r6("value").alias("value"), r6("value_lag").alias("value_lag"))
+
+
+@register("feature_engineering", feeds.SQL_GRIDDED + """
+SELECT event_type, ts, CAST(month(ts) AS INTEGER) AS month, CAST(hour(ts) AS INTEGER) AS hour,
+  round(round_even(value - CASE WHEN count(*) OVER w2 = 0 THEN value ELSE first_value(value) OVER w2 END, 2), 6)
+      AS "pressure_mbar 2:00:00 Trend",
+  round(round_even(k / 100.0 - CASE WHEN count(*) OVER w1 = 0 THEN k / 100.0 ELSE first_value(k / 100.0) OVER w1 END, 2), 6)
+      AS "precipitation_in 1:00:00 Trend"
+FROM grid
+WINDOW w2 AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND INTERVAL 2 HOUR PRECEDING),
+       w1 AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING)""")
+def q_feature_engineering(spark, sf):
+    from .prepare import feature_engineering
+    g = feeds.gridded(spark, sf).select("event_type", "ts", F.col("value").alias("pressure_mbar"),
+                                        (F.col("k") / 100.0).alias("precipitation_in"))
+    out = feature_engineering(g, keys=["event_type"])
+    t2, t1 = "pressure_mbar 2:00:00 Trend", "precipitation_in 1:00:00 Trend"
+    return out.select("event_type", "ts", "month", "hour", r6(t2).alias(t2), r6(t1).alias(t1))
+
+
+_CLEAN_SQL = f"""WITH
+r AS (SELECT event_type, event_id, {feeds.rounded_micros_sql()} AS ts, value AS ef_avg FROM events),
+z AS (SELECT event_type, event_id, ts,
+        CASE WHEN count(ef_avg) OVER w = count(*) OVER w AND stddev_pop(ef_avg) OVER w > 0
+                  AND abs(ef_avg - avg(ef_avg) OVER w) / stddev_pop(ef_avg) OVER w > 3 THEN NULL
+             ELSE ef_avg END AS ef_avg
+      FROM r WINDOW w AS (PARTITION BY event_type)),
+p AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS pos FROM z),
+q AS (SELECT *,
+  max(CASE WHEN ef_avg IS NOT NULL THEN pos END) OVER (PARTITION BY event_type ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p0,
+  last_value(ef_avg IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v0,
+  min(CASE WHEN ef_avg IS NOT NULL THEN pos END) OVER (PARTITION BY event_type ORDER BY pos
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p1,
+  first_value(ef_avg IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY pos
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v1
+  FROM p)
+SELECT event_type, event_id, ts,
+  round(CASE WHEN ef_avg IS NOT NULL THEN ef_avg WHEN p0 IS NULL THEN NULL WHEN p1 IS NULL THEN v0
+             ELSE v0 + (v1 - v0) * (pos - p0) / (p1 - p0) END, 6) AS ef_avg
+FROM q"""
+
+
+@register("clean_weather", _CLEAN_SQL)
+def q_clean_weather(spark, sf):
+    from .prepare import clean_weather
+    raw = feeds.events(spark, sf).select("event_type", "event_id", "ts", F.col("value").alias("ef_avg"))
+    cleaned, _ = clean_weather(raw, keys=["event_type"], order="event_id")
+    return cleaned.select("event_type", "event_id", "ts", r6("ef_avg").alias("ef_avg"))
+
+
+def _prepare_sql() -> str:
+    feats = [t for t in EVENT_TYPES if t != TARGET]
+    meas = list(EVENT_TYPES)
+    interp = []
+    for c in feats:
+        interp.append(f"""
+  CASE WHEN {c} IS NOT NULL THEN {c}
+       WHEN max(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wu IS NULL THEN NULL
+       WHEN pos - max(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wu > 4 THEN NULL
+       WHEN min(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wd IS NULL THEN last_value({c} IGNORE NULLS) OVER wu
+       ELSE last_value({c} IGNORE NULLS) OVER wu
+            + (first_value({c} IGNORE NULLS) OVER wd - last_value({c} IGNORE NULLS) OVER wu)
+              * (pos - max(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wu)
+              / (min(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wd - max(CASE WHEN {c} IS NOT NULL THEN pos END) OVER wu)
+  END AS {c}""")
+    present = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in meas)
+    scaled = ",\n  ".join(
+        f"round((coalesce({c}, 0.0) - min(coalesce({c}, 0.0)) OVER ()) / nullif(max(coalesce({c}, 0.0)) OVER () "
+        f"- min(coalesce({c}, 0.0)) OVER (), 0), 6) AS {c}" for c in meas)
+    return _WIDE_SQL + f""",
+f AS (SELECT ts, coalesce({TARGET}, 0.0) AS {TARGET}, {", ".join(feats)},
+             row_number() OVER (ORDER BY ts) AS pos FROM wide),
+i AS (SELECT ts, {TARGET}, {",".join(interp)}
+      FROM f WINDOW wu AS (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                    wd AS (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+k AS (SELECT * FROM i WHERE {present} >= 3)
+SELECT ts, {scaled},
+  CAST(month(ts) AS INTEGER) AS month, CAST(hour(ts) AS INTEGER) AS hour
+FROM k"""
+
+
+@register("prepare_model_table", _prepare_sql())
+def q_prepare(spark, sf):
+    from .prepare import prepare
+    p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
+    return p.select("ts", *[r6(c).alias(c) for c in EVENT_TYPES], "month", "hour")
+
+
+@register("view_spec", _WIDE_SQL + """
+SELECT ts, round(click, 6) AS click, round(view, 6) AS view FROM wide
+WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-06 00:00:00'""")
+def q_view(spark, sf):
+    v = scalar.view(wide_slots(spark, sf), "click,view--2024-01-03,2024-01-05")
+    return v.select("ts", r6("click").alias("click"), r6("view").alias("view"))
+
+
+# Batch list of pairings (the configuration of a batch run).
+PAIRINGS = (("click", "signup"), ("click", "purchase"), ("view", "signup"), ("view", "purchase"))
+
+
+def _pair_feed(spark, sf, kinds, key, val):
+    e = feeds.events(spark, sf).filter(F.col("event_type").isin(*kinds))
+    return e.select(F.col("event_type").alias(key), "event_id", feeds.quarter("ts").alias("ts"),
+                    F.col("value").alias(val))
+
+
+def _pair_all_sql() -> str:
+    pairs = ", ".join(f"('{a}', '{b}')" for a, b in PAIRINGS)
+    return f"""WITH
+raw AS (SELECT event_type, event_id, value, {feeds.rounded_micros_sql()} AS ts FROM events),
+kept AS (SELECT * FROM raw
+         QUALIFY max(ts) OVER (PARTITION BY event_type ORDER BY event_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NULL
+              OR ts > max(ts) OVER (PARTITION BY event_type ORDER BY event_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b AS (SELECT event_type, arg_min(ts, event_id) AS f, arg_max(ts, event_id) AS l FROM raw GROUP BY event_type),
+pairs AS (SELECT * FROM (VALUES {pairs}) v(station, monitor)),
+rng AS (SELECT station, monitor, greatest(bw.f, bc.f) AS s, least(bw.l, bc.l) AS e
+        FROM pairs JOIN b bw ON bw.event_type = station JOIN b bc ON bc.event_type = monitor),
+sp AS (SELECT station, monitor, s, unnest(generate_series(s, e, INTERVAL 15 MINUTE)) AS ts FROM rng)
+SELECT sp.station, sp.monitor, sp.ts,
+       CAST((epoch_us(sp.ts) - epoch_us(sp.s)) // 900000000 + 1 AS BIGINT) AS record_number,
+       kw.value AS w_value, kc.value AS c_value
+FROM sp LEFT JOIN kept kw ON kw.event_type = sp.station AND kw.ts = sp.ts
+        LEFT JOIN kept kc ON kc.event_type = sp.monitor AND kc.ts = sp.ts"""
+
+
+@register("pair_all", _pair_all_sql())
+def q_pair_all(spark, sf):
+    pairs = spark.createDataFrame(list(PAIRINGS), "station string, monitor string")
+    w = _pair_feed(spark, sf, ["click", "view"], "station", "w_value")
+    c = _pair_feed(spark, sf, ["signup", "purchase"], "monitor", "c_value")
+    out = align.pair_all(w, c, pairs, "station", "monitor", order_w="event_id", order_c="event_id")
+    return out.select("station", "monitor", "ts", "record_number", "w_value", "c_value")
