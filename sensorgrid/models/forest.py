@@ -24,7 +24,8 @@ def fit_forest(train: DataFrame, columns: Sequence[str], label: str, trees: int
                seed: int = 1234, max_bins: int = 64) -> RandomForestRegressionModel:
     va = VectorAssembler(inputCols=list(columns), outputCol="__features", handleInvalid="keep")
     rf = RandomForestRegressor(featuresCol="__features", labelCol=label, numTrees=trees, maxDepth=depth,
-                               featureSubsetStrategy="all", seed=seed, maxBins=max_bins, bootstrap=True)
+                               featureSubsetStrategy="all", seed=seed, maxBins=max_bins, bootstrap=True,
+                               maxMemoryInMB=1024, cacheNodeIds=depth > 8)
     return rf.fit(va.transform(train))
 
 

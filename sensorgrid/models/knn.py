@@ -6,12 +6,16 @@ any member of cluster j is at least ``|q - c_j| - r_j`` and the k-th
 neighbour is at most the smallest bound ``|q - c_j| + r_j`` that covers k
 members.  Only clusters whose lower bound does not exceed that upper bound
 are joined (an equi-join on the cluster id), so the result is exact while
-far clusters are never paired.  Top-k is taken per (test row, cluster)
-and then over the candidates' short lists.
+far clusters are never paired.  Per (cluster, sub-block) the candidate
+test rows and the member train rows are cogrouped; numpy computes the
+distance block and keeps each test row's k nearest, and a window over
+those short lists (at most k × candidate blocks rows per test row) gives
+the final k.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -32,7 +36,8 @@ def _as_doubles(c: str) -> F.Column:
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16,), features: str = "features",
-                label: str = "label", id_col: str = "id", clusters: int = 32, seed: int = 7) -> DataFrame:
+                label: str = "label", id_col: str = "id", clusters: int = 32, seed: int = 7,
+                block_rows: int = 20_000) -> DataFrame:
     """Distance-weighted k-NN predictions for every ``k`` in ``k_values``
     from one neighbour search: ``(id, k, prediction)``.  Weights are
     ``1/d``; when neighbours at distance 0 exist only they count."""
@@ -75,13 +80,40 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
     tid_type = te.schema["tid"].dataType
     cand_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("cluster", T.IntegerType())])
     cand = te.select("tid", "f").mapInPandas(candidates, cand_schema)
-    pairs = (cand.join(tr.select("rid", "f", "y", "cluster"), "cluster")
-             .join(te.withColumnRenamed("f", "tf"), "tid")
-             .select("tid", "cluster", "rid", "y", F.sqrt(_sqdist(F.col("tf"), F.col("f"))).alias("d")))
-    local = pairs.withColumn("__r", F.row_number().over(
-        Window.partitionBy("tid", "cluster").orderBy("d", "rid"))).filter(F.col("__r") <= kmax)
-    top = local.withColumn("rank", F.row_number().over(
-        Window.partitionBy("tid").orderBy("d", "rid"))).filter(F.col("rank") <= kmax).drop("__r")
+    # big clusters are cut into sub-blocks of at most `block_rows` train rows
+    # (test candidates are copied to each sub-block), so no group is unbounded
+    nsub = {int(j): max(1, int(math.ceil(c / block_rows))) for j, c in enumerate(counts)}
+    nsub_arr = F.array(*[F.lit(nsub.get(j, 1)) for j in range(len(cmat))]) if len(cmat) else F.array(F.lit(1))
+    tr_b = tr.withColumn("sub", F.pmod(F.xxhash64("rid"), F.element_at(nsub_arr, F.col("cluster") + 1)).cast("int"))
+    cand_b = cand.withColumn("sub", F.explode(F.sequence(F.lit(0), F.element_at(nsub_arr, F.col("cluster") + 1) - 1)))
+    cand_b = cand_b.join(te, "tid").select("cluster", "sub", "tid", F.col("f").alias("tf"))
+    out_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("rid", tr.schema["rid"].dataType),
+                               T.StructField("y", T.DoubleType()), T.StructField("d", T.DoubleType())])
+
+    def local_topk(tests: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
+        if tests.empty or trains.empty:
+            return pd.DataFrame({"tid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
+                                 "y": pd.Series([], dtype="float64"), "d": pd.Series([], dtype="float64")})
+        x = np.stack([np.asarray(v, dtype=float) for v in trains["f"]])
+        rid = trains["rid"].to_numpy()
+        y = trains["y"].to_numpy(dtype=float)
+        out = []
+        kk = min(kmax, len(x))
+        for tid, tf in zip(tests["tid"].to_numpy(), tests["tf"]):
+            d = np.sqrt(((x - np.asarray(tf, dtype=float)) ** 2).sum(1))    # one test row: m × dim
+            if len(d) > kk:
+                cut = np.partition(d, kk - 1)[kk - 1]
+                idx = np.flatnonzero(d <= cut)          # keeps every tie at the k-th distance
+            else:
+                idx = np.arange(len(d))
+            order = idx[np.lexsort((rid[idx], d[idx]))][:kk]
+            out.append(pd.DataFrame({"tid": tid, "rid": rid[order], "y": y[order], "d": d[order]}))
+        return pd.concat(out, ignore_index=True)
+    near = (cand_b.groupBy("cluster", "sub")
+            .cogroup(tr_b.select("cluster", "sub", "rid", "f", "y").groupBy("cluster", "sub"))
+            .applyInPandas(local_topk, out_schema))
+    top = near.withColumn("rank", F.row_number().over(
+        Window.partitionBy("tid").orderBy("d", "rid"))).filter(F.col("rank") <= kmax)
     ks = F.explode(F.array(*[F.lit(int(k)) for k in k_values])).alias("k")
     t = top.select("tid", "rank", "y", "d", ks).filter(F.col("rank") <= F.col("k"))
     zero = F.col("d") == 0

@@ -79,12 +79,18 @@ class ResultStore:
 
 
 class ModelSearch:
-    def __init__(self, prepared: DataFrame, label: str, flag: str = "is_test", parallelism: int = 4,
+    def __init__(self, prepared: DataFrame, label: str, flag: str = "is_test", parallelism: int = 8,
                  store: ResultStore | None = None, checkpoint: bool = True, test_size: float = 0.2,
-                 seed: int = 1234, id_cols: Sequence[str] = ("ts",)):
+                 seed: int = 1234, id_cols: Sequence[str] = ("ts",), rows_per_partition: int = 250_000):
         self.id_cols = list(id_cols)
         self.spark = prepared.sparkSession
+        # one partition per core at least (a fit's per-level aggregation runs
+        # in parallel), more when the table is large
+        n = prepared.count()
+        parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(n / rows_per_partition))
+        prepared = prepared.repartition(parts)
         self.data = cut_lineage(prepared) if checkpoint else prepared.persist()
+        self.rows = n
         self.label, self.flag = label, flag
         self.parallelism = parallelism
         self.store = store or ResultStore(self.spark, None)
