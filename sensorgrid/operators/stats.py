@@ -324,13 +324,24 @@ def akaike_weights(results: DataFrame, partition: Sequence[str] = (), aicc: str
     return d.drop("__min", "__sum")
 
 
-def best_models(results: DataFrame, k: int = 1, partition: Sequence[str] = (), aicc: str = "aicc") -> DataFrame:
-    """The ``k`` lowest-AICc rows (per result set)."""
+def best_models(results: DataFrame, k: int = 1, partition: Sequence[str] = (), aicc: str = "aicc",
+                buckets: int = 64) -> DataFrame:
+    """The ``k`` lowest-AICc rows (per result set; ties broken by the
+    other columns' hash so the choice is stable).
+
+    Two-phase top-k so a huge result set is never one window group: top-k
+    inside ``buckets`` hash buckets of each set, then top-k over the at most
+    ``k·buckets`` survivors."""
     if not partition:
         return results.orderBy(aicc).limit(k)
     from pyspark.sql import Window
-    w = Window.partitionBy(*partition).orderBy(aicc)
-    return results.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= k).drop("__rk")
+    tie = F.xxhash64(*[c for c in results.columns if c not in partition])
+    d = results.withColumn("__tie", tie).withColumn("__bk", F.pmod("__tie", F.lit(buckets)))
+    w1 = Window.partitionBy(*partition, "__bk").orderBy(aicc, "__tie")
+    d = d.withColumn("__rk", F.row_number().over(w1)).filter(F.col("__rk") <= k)
+    w2 = Window.partitionBy(*partition).orderBy(aicc, "__tie")
+    d = d.withColumn("__rk", F.row_number().over(w2)).filter(F.col("__rk") <= k)
+    return d.drop("__rk", "__bk", "__tie")
 
 
 def merge_results(base: DataFrame, extra: DataFrame, aicc: str = "aicc") -> DataFrame:

@@ -68,10 +68,9 @@ def column_presence(ranked: DataFrame, columns: Sequence[str], top: int = 50,
                     partition: Sequence[str] = ()) -> DataFrame:
     """Of the best ``top`` models (by AICc, per result set), how many
     use any of ``columns``."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*partition).orderBy("aicc")
+    from ..operators.stats import best_models
     cand = F.array(*[F.lit(c) for c in columns])
-    best = ranked.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= top)
+    best = best_models(ranked, top, partition)
     uses = F.exists("input_columns", lambda c: F.array_contains(cand, c))
     return best.groupBy(*partition).agg(F.count(F.lit(1)).alias("n_models"),
                                         F.sum(uses.cast("int")).cast("bigint").alias("n_using"))
