@@ -79,14 +79,18 @@ def positions(df: DataFrame, keys, order_cols, chunk, order=None) -> DataFrame:
 
 
 def attach(df: DataFrame, stats: DataFrame, keys, how: str = "inner") -> DataFrame:
-    """Join per-series statistics (one row per key) back to the rows.
+    """Attach per-series statistics (one row per key) to the rows.
 
-    With keys the join is an equi-join on them; whether the stats side is
+    With keys this is an equi-join on them; whether the stats side is
     broadcast is left to AQE's runtime size check.  Without keys the stats
-    are a single row (a global aggregate), so broadcasting is size-safe."""
+    are one row of a global aggregate, read as one scalar subquery (a
+    struct; the identical subquery is evaluated once and reused for every
+    field), so no join is planned at all."""
     if keys:
         return df.join(stats, list(keys), how)
-    one = "__one"
-    return df.withColumn(one, F.lit(1)).join(
-        F.broadcast(stats.withColumn(one, F.lit(1))), one, how
-    ).drop(one)
+    row = stats.select(F.struct(*stats.columns).alias("__s")).scalar()
+    # one subquery column; the fields are read from it in a second
+    # projection (Catalyst does not inline a non-cheap expression that is
+    # referenced more than once)
+    d = df.select("*", row.alias("__stats"))
+    return d.select(*df.columns, *[F.col("__stats").getField(c).alias(c) for c in stats.columns])
