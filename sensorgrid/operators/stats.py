@@ -259,23 +259,33 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32) -> DataFrame:
     s_b = (c.join(F.broadcast(span_b.filter("multi")), "bb")
            .select("bb", F.col("ba").cast("double").alias("p"), F.col("b").alias("q"), "w")
            .groupBy("bb").applyInPandas(within, schema).agg(F.sum("s").alias("s")))
-    parts = ch.attach(ch.attach(ch.attach(ch.attach(tot, ta, []), tb, []),
-                                s_a.select(F.coalesce("s", F.lit(0.0)).alias("sa")), []),
-                      s_b.select(F.coalesce("s", F.lit(0.0)).alias("sb")), [])
-    n0 = F.col("n") * (F.col("n") - 1) / 2
-    tau = (F.lit(cross) + F.col("sa") + F.col("sb")) / F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2")))
-    return parts.select(F.lit("kendall").alias("method"), F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        tau.alias("corr"), F.col("n").cast("bigint").alias("n"))
+    # five one-row aggregates → plain numbers, fetched in one job
+    parts = (tot.select(F.lit("n").alias("k"), F.col("n").alias("v"))
+             .unionByName(ta.select(F.lit("n1").alias("k"), F.col("n1").alias("v")))
+             .unionByName(tb.select(F.lit("n2").alias("k"), F.col("n2").alias("v")))
+             .unionByName(s_a.select(F.lit("sa").alias("k"), F.col("s").alias("v")))
+             .unionByName(s_b.select(F.lit("sb").alias("k"), F.col("s").alias("v"))))
+    got = {r["k"]: (r["v"] or 0.0) for r in parts.collect()}
+    n, n1, n2, sa, sb = (got.get(x, 0.0) for x in ("n", "n1", "n2", "sa", "sb"))
+    c.unpersist()
+    n0 = n * (n - 1) / 2
+    denom = (n0 - n1) * (n0 - n2)
+    tau = float((cross + sa + sb) / math.sqrt(denom)) if denom > 0 else None
+    spark = df.sparkSession
+    return spark.createDataFrame([("kendall", a, b, tau, int(n))],
+                                 "method string, col_a string, col_b string, corr double, n bigint")
 
 
 def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int = 32) -> DataFrame:
     """A14 for every column pair (diagonal: 1, or NULL for a constant)."""
+    from concurrent.futures import ThreadPoolExecutor
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(pairs)))) as pool:   # pairs are independent jobs
+        done = list(pool.map(lambda ab: kendall_tau_b(df, ab[0], ab[1], blocks), pairs))
     out = None
-    for i, a in enumerate(columns):
-        for b in columns[i + 1:]:
-            r = kendall_tau_b(df, a, b, blocks)
-            r2 = r.select("method", F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr", "n")
-            out = r.unionByName(r2) if out is None else out.unionByName(r).unionByName(r2)
+    for r in done:
+        r2 = r.select("method", F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr", "n")
+        out = r.unionByName(r2) if out is None else out.unionByName(r).unionByName(r2)
     diag = df.agg(*[x for c in columns for x in (
         F.count(c).alias(f"n_{c}"), (F.min(c) < F.max(c)).alias(f"v_{c}"))])
     cells = F.explode(F.array(*[F.struct(F.lit("kendall").alias("method"), F.lit(c).alias("col_a"),

@@ -655,7 +655,11 @@ def knn_runs(spark, sf, dims: int, ks=range(1, 21)) -> DataFrame:
     pred = knn_predict(train, test, list(ks)).join(test.select("id", "label"), "id")
     res = stats.evaluate(pred, dims, keys=["k"])
     names = F.array(*[F.lit(f"e{i}") for i in range(dims)])
-    return res.withColumn("input_columns", names).withColumn("knn_neighbors", F.col("k").cast("int"))
+    res = res.withColumn("input_columns", names).withColumn("knn_neighbors", F.col("k").cast("int"))
+    # a results table (one row per k) is read several times by the rankings:
+    # cut its lineage once so the neighbour search is not re-run per read
+    from ..session import cut_lineage
+    return cut_lineage(res)
 
 
 def _flat_results(df: DataFrame, extra=()) -> DataFrame:
