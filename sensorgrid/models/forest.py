@@ -42,6 +42,12 @@ def importances(model: RandomForestRegressionModel, columns: Sequence[str]) -> l
     return [{"importance": float(i), "column": c} for i, c in pairs]
 
 
+def importance_text(importances_col: str = "feature_importances"):
+    """The sorted importances as text lines ``"0.12345 - column"``."""
+    return F.transform(F.col(importances_col),
+                       lambda s: F.concat(F.format_number(s["importance"], 5), F.lit(" - "), s["column"]))
+
+
 def run_forest(prepared: DataFrame, columns: Sequence[str], label: str, trees: int = 100, depth: int = 6,
                flag: str = "is_test", error_term: float = 2.0, seed: int = 1234,
                model: RandomForestRegressionModel | None = None):

@@ -79,7 +79,7 @@ class ResultStore:
 
 
 class ModelSearch:
-    def __init__(self, prepared: DataFrame, label: str, flag: str = "is_test", parallelism: int = 8,
+    def __init__(self, prepared: DataFrame, label: str, flag: str = "is_test", parallelism: int = 4,
                  store: ResultStore | None = None, checkpoint: bool = True, test_size: float = 0.2,
                  seed: int = 1234, id_cols: Sequence[str] = ("ts",), rows_per_partition: int = 250_000):
         self.id_cols = list(id_cols)
@@ -133,8 +133,11 @@ class ModelSearch:
         batch per subset size); append each finished batch to the store."""
         out = []
         with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
-            for batch in batches:
-                rows = list(pool.map(lambda args: fn(*args), batch))
+            # every run is submitted at once (no barrier between batches);
+            # a batch is appended to the store as soon as all its runs are done
+            futures = [[pool.submit(fn, *args) for args in batch] for batch in batches]
+            for batch in futures:
+                rows = [f.result() for f in batch]
                 if rows:
                     self.store.append(self._to_df(rows))
                 out += rows
