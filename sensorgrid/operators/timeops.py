@@ -88,14 +88,22 @@ def add_month_hour(df: DataFrame, ts: str = "ts", month: str = "month", hour: st
 
 
 def spine(ranges: DataFrame, keys: Sequence[str] = (), start: str = "start", end: str = "end",
-          step=QUARTER, ts: str = "ts", record_number: str | None = "record_number") -> DataFrame:
+          step=QUARTER, ts: str = "ts", record_number: str | None = "record_number",
+          block: int = 10_000) -> DataFrame:
     """J2 + P13: every step from start to end (inclusive) per key, with the
     1-based record number computed from the step index (no window)."""
     s = timefn.to_micros(step)
     st = timefn.epoch_micros(F.col(start))
     n = F.floor((timefn.epoch_micros(F.col(end)) - st) / F.lit(s))
     d = ranges.select(*keys, st.alias("__st"), n.alias("__n")).filter(F.col("__n") >= 0)
-    d = d.select(*keys, "__st", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n"))).alias("__i"))
+    # two-level generation: one row per block of `block` steps, spread over
+    # the cluster, then the steps of each block; a long range never becomes
+    # one task's job (the partition count is explicit, so AQE keeps it)
+    d = d.select(*keys, "__st", "__n", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor(F.col("__n") / F.lit(block)))).alias("__b"))
+    d = d.repartition(d.sparkSession.sparkContext.defaultParallelism, *keys, "__b")
+    d = d.select(*keys, "__st", F.explode(F.sequence(
+        F.col("__b") * F.lit(block), F.least(F.col("__n"), (F.col("__b") + 1) * F.lit(block) - 1))).alias("__i"))
     cols = [*keys, timefn.from_epoch_micros(F.col("__st") + F.col("__i") * F.lit(s)).alias(ts)]
     if record_number:
         cols.append((F.col("__i") + 1).alias(record_number))

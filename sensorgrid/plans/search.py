@@ -89,7 +89,8 @@ class ModelSearch:
         n = prepared.count()
         parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(n / rows_per_partition))
         prepared = prepared.repartition(parts)
-        self.data = cut_lineage(prepared) if checkpoint else prepared.persist()
+        # checkpointed (reliable, lineage cut) and kept in memory for the many fits
+        self.data = (cut_lineage(prepared) if checkpoint else prepared).persist()
         self.rows = n
         self.label, self.flag = label, flag
         self.parallelism = parallelism

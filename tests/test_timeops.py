@@ -138,3 +138,12 @@ def test_spine_inclusive(spark):
     s = timeops.spine(r).orderBy("ts").collect()
     assert [x.record_number for x in s] == [1, 2, 3, 4, 5]
     assert s[-1].ts == dt.datetime(2024, 1, 1, 1)
+
+
+def test_spine_blocks_equal_single_block(spark):
+    r = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3)),
+                               ("b", dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5, 10))],
+                              "k string, start timestamp_ntz, end timestamp_ntz")
+    one = sorted(map(tuple, timeops.spine(r, ["k"]).collect()))
+    many = sorted(map(tuple, timeops.spine(r, ["k"], block=7).collect()))
+    assert one == many and len(one) == 27 * 4 + 1 + 1
