@@ -91,6 +91,29 @@ def average_ranks(values: DataFrame, column: str, buckets: int = 64) -> DataFram
     return f.select(column, rank.cast("double").alias("__rank"))
 
 
+def average_ranks_many(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
+    """``average_ranks`` for several columns in one set of stages: the
+    columns are unpivoted to ``(column, value)`` so one frequency table,
+    one quantile aggregate and one pair of windows serve all of them.
+    Returns ``(column, value, __rank)`` (values as double)."""
+    from pyspark.sql import Window
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("__p")
+    ).select("__p.column", "__p.value").filter(F.col("value").isNotNull())
+    freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("__cnt"))
+    fractions = [i / buckets for i in range(1, buckets)]
+    cuts = freq.groupBy("column").agg(F.percentile_approx("value", fractions, 10_000).alias("__cuts"))
+    f = freq.join(F.broadcast(cuts), "column")                       # one row per column
+    f = f.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
+    tot = f.groupBy("column", "__b").agg(F.sum("__cnt").alias("__bt"))
+    tot = tot.withColumn("__boff", F.coalesce(F.sum("__bt").over(
+        Window.partitionBy("column").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    f = f.join(F.broadcast(tot.select("column", "__b", "__boff")), ["column", "__b"])   # ≤ buckets per column
+    w = Window.partitionBy("column", "__b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("__boff") + F.coalesce(F.sum("__cnt").over(w), F.lit(0)) + (F.col("__cnt") + 1) / 2.0
+    return f.select("column", "value", rank.cast("double").alias("__rank"))
+
+
 def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
     """Pearson of average ranks.  Ranks are taken on the pair's
     complete rows; a column without NULLs is ranked once for all pairs."""
@@ -108,9 +131,14 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> D
     full = [c for c in columns if nulls[c] == 0]
     if full:
         base = df.select(*full)
+        # the rank maps (distinct values only) are read once per column:
+        # checkpoint them so they are computed once
+        from ..session import cut_lineage
+        ranks = cut_lineage(average_ranks_many(base, full, buckets))
         d = base
         for c in full:
-            d = ranked(d, c, base)
+            r = ranks.filter(F.col("column") == c).select(F.col("value").alias("__v"), F.col("__rank").alias(f"__r_{c}"))
+            d = d.join(r, F.col(c).cast("double") == F.col("__v"), "left").drop("__v")
         shared_df = d.select(*[F.col(f"__r_{c}").alias(c) for c in full])
         for c in full:
             shared[c] = shared_df
