@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chunks as ch
 
 HASH_BITS = 60          # hash = first 15 hex digits of md5
 BUCKET_BITS = 20        # histogram resolution of the cut search

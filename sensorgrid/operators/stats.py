@@ -240,11 +240,15 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32) -> DataFrame:
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
     combos = sub.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
     fr = [i / blocks for i in range(1, blocks)]
-    cuts = sub.agg(F.array_distinct(F.percentile_approx("a", fr, 10_000)).alias("ca"),
-                   F.array_distinct(F.percentile_approx("b", fr, 10_000)).alias("cb"))
-    c = ch.attach(combos, cuts, [])
-    c = c.select("a", "b", "w", _block_expr(F.col("a"), F.col("ca")).alias("ba"),
-                 _block_expr(F.col("b"), F.col("cb")).alias("bb")).persist()
+    # the cuts (at most 2·blocks numbers) are fetched once and written into
+    # the plan as literals: a recomputed partition after an executor loss
+    # then uses exactly the same blocks as every other partition
+    row = sub.agg(F.array_distinct(F.percentile_approx("a", fr, 10_000)).alias("ca"),
+                  F.array_distinct(F.percentile_approx("b", fr, 10_000)).alias("cb")).first()
+    ca = F.array(*[F.lit(float(v)) for v in (row["ca"] or [])]).cast("array<double>")
+    cb = F.array(*[F.lit(float(v)) for v in (row["cb"] or [])]).cast("array<double>")
+    c = combos.select("a", "b", "w", _block_expr(F.col("a"), ca).alias("ba"),
+                      _block_expr(F.col("b"), cb).alias("bb")).persist()
     # ties and totals (exact, from frequency tables)
     ta = c.groupBy("a").agg(F.sum("w").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
     tb = c.groupBy("b").agg(F.sum("w").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))

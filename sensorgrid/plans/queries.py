@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog
-from ..functions import timefn
 from ..operators import align, calibrate, ordered, scalar, timeops
 from ..operators import chunks as ch
 from ..sources.tables import table

@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from sensorgrid.functions.mathfn import round_half_even
 from sensorgrid.operators import timeops
