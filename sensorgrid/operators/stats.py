@@ -34,14 +34,15 @@ def column_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 
 
 # ------------------------------------------------------------------ A12 Pearson
-def _long_matrix(wide: DataFrame, method: str, columns: Sequence[str], value_of) -> DataFrame:
+def _long_matrix(wide: DataFrame, method: str, columns: Sequence[str], value_of,
+                 keys: Sequence[str] = ()) -> DataFrame:
     cells = []
     for a in columns:
         for b in columns:
             corr, n = value_of(a, b)
             cells.append(F.struct(F.lit(method).alias("method"), F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                   corr.alias("corr"), n.alias("n")))
-    out = wide.select(F.explode(F.array(*cells)).alias("__c")).select("__c.*")
+    out = wide.select(*keys, F.explode(F.array(*cells)).alias("__c")).select(*keys, "__c.*")
     return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
 
 
@@ -49,20 +50,21 @@ def _pairs(columns):
     return [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
 
-def corr_pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson on pairwise complete rows for every column pair, one
-    aggregate pass; long form ``(method, col_a, col_b, corr, n)``."""
+def corr_pearson(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Pearson on pairwise complete rows for every column pair (per
+    series when ``keys`` are given), one aggregate pass; long form
+    ``(keys…, method, col_a, col_b, corr, n)``."""
     aggs = []
     for i, (a, b) in enumerate(_pairs(columns)):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         aggs += [F.corr(a, b).alias(f"c{i}"), F.count(F.when(both, 1)).alias(f"n{i}")]
-    wide = df.agg(*aggs)
+    wide = df.groupBy(*keys).agg(*aggs)
     index = {p: i for i, p in enumerate(_pairs(columns))}
 
     def value_of(a, b):
         i = index.get((a, b), index.get((b, a)))
         return F.col(f"c{i}"), F.col(f"n{i}")
-    return _long_matrix(wide, "pearson", columns, value_of)
+    return _long_matrix(wide, "pearson", columns, value_of, keys)
 
 
 # ------------------------------------------------------------------ A13 Spearman

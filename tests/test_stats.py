@@ -151,3 +151,13 @@ def test_knn_exact_vs_bruteforce(spark):
             else:
                 want = (ytr[nn] / d[nn]).sum() / (1 / d[nn]).sum()
             assert abs(got[(1000 + i, k)] - want) < 1e-9
+
+
+def test_pearson_per_series(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, float(x), float(2 * x + rng.normal())) for k in ("a", "b") for x in rng.normal(size=50)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    got = {(r.k, r.col_a, r.col_b): r["corr"] for r in stats.corr_pearson(df, ["x", "y"], keys=["k"]).collect()}
+    for k in ("a", "b"):
+        sub = pd.DataFrame([r[1:] for r in rows if r[0] == k], columns=["x", "y"])
+        assert abs(got[(k, "x", "y")] - sub.corr().loc["x", "y"]) < 1e-12
