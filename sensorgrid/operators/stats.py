@@ -184,41 +184,48 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> D
 def signed_pair_sum(p: np.ndarray, q: np.ndarray, w: np.ndarray) -> float:
     """Σ over pairs with ``p_x < p_y`` of ``w_x·w_y·sign(q_y - q_x)``.
 
-    Items are visited in ``p`` order, a group of equal ``p`` at a time
-    (pairs inside a group tie on ``p`` and count 0); a Fenwick tree over the
-    ranks of ``q`` holds the weights seen so far."""
-    if len(p) < 2:
+    Vectorised merge counting: items sorted by ``(p, q)``; at each of the
+    log₂(n) merge levels every right-block item looks up, with one
+    ``searchsorted`` over all left blocks at once, the weight of the items
+    of its sibling block with smaller and with larger ``q``.  That counts
+    every pair once in sequence order; pairs with equal ``p`` (sorted by
+    ``q`` inside their group, so they only ever add) are then taken out from
+    group weight sums."""
+    n = len(p)
+    if n < 2:
         return 0.0
     order = np.lexsort((q, p))
-    p, q, w = p[order], q[order], w[order].astype(np.float64)
+    p, q, w = p[order], q[order], np.asarray(w, dtype=np.float64)[order]
     _, qr = np.unique(q, return_inverse=True)
-    m = int(qr.max()) + 2
-    tree = np.zeros(m + 1)
+    qr = qr.astype(np.int64)
+    m = int(qr.max()) + 1
+    idx = np.arange(n, dtype=np.int64)
     total = 0.0
-    s = 0.0
-    starts = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
-    ends = np.r_[starts[1:], len(p)]
-    for a, b in zip(starts, ends):
-        for t in range(a, b):
-            r = qr[t] + 1          # 1-based slot of this q
-            less = 0.0
-            i = r - 1
-            while i > 0:
-                less += tree[i]
-                i -= i & -i
-            upto = 0.0
-            i = r
-            while i > 0:
-                upto += tree[i]
-                i -= i & -i
-            s += w[t] * (less - (total - upto))
-        for t in range(a, b):
-            i = qr[t] + 1
-            while i <= m:
-                tree[i] += w[t]
-                i += i & -i
-            total += w[t]
-    return s
+    size = 1
+    while size < n:
+        blk = idx // size
+        pair = blk // 2
+        right = (blk % 2) == 1
+        left = ~right
+        lk = pair[left] * m + qr[left]
+        o = np.argsort(lk, kind="stable")
+        lk = lk[o]
+        cw = np.concatenate(([0.0], np.cumsum(w[left][o])))
+        rp = pair[right] * m
+        rk = rp + qr[right]
+        lo = np.searchsorted(lk, rp, "left")
+        hi = np.searchsorted(lk, rp + m, "left")
+        lt = np.searchsorted(lk, rk, "left")
+        le = np.searchsorted(lk, rk, "right")
+        total += float(np.dot(w[right], (cw[lt] - cw[lo]) - (cw[hi] - cw[le])))
+        size *= 2
+    _, pg = np.unique(p, return_inverse=True)
+    wp = np.bincount(pg, weights=w)
+    pq = pg.astype(np.int64) * m + qr
+    _, pqg = np.unique(pq, return_inverse=True)
+    wpq = np.bincount(pqg, weights=w)
+    within = (float(np.dot(wp, wp)) - float(np.dot(wpq, wpq))) / 2.0
+    return total - within
 
 
 def _block_expr(col, cuts_col):
