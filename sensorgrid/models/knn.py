@@ -72,10 +72,9 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
                 cum = np.cumsum(counts[order], axis=1)
                 pos = np.minimum((cum < kmax).sum(axis=1), len(cmat) - 1)
                 bound = upper[np.arange(len(q)), order[np.arange(len(q)), pos]]
-                for i, tid in enumerate(pdf["tid"].to_numpy()):
-                    for j in np.flatnonzero((lower[i] <= bound[i]) & (counts > 0)):
-                        out_t.append(tid)
-                        out_c.append(int(j))
+                rows, cols = np.nonzero((lower <= bound[:, None]) & (counts > 0)[None, :])
+                out_t = pdf["tid"].to_numpy()[rows]
+                out_c = cols
             yield pd.DataFrame({"tid": pd.Series(out_t, dtype="int64"), "cluster": pd.Series(out_c, dtype="int32")})
     tid_type = te.schema["tid"].dataType
     cand_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("cluster", T.IntegerType())])
@@ -97,17 +96,22 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
         x = np.stack([np.asarray(v, dtype=float) for v in trains["f"]])
         rid = trains["rid"].to_numpy()
         y = trains["y"].to_numpy(dtype=float)
-        out = []
+        tids = tests["tid"].to_numpy()
+        q_all = np.stack([np.asarray(v, dtype=float) for v in tests["tf"]])
         kk = min(kmax, len(x))
-        for tid, tf in zip(tests["tid"].to_numpy(), tests["tf"]):
-            d = np.sqrt(((x - np.asarray(tf, dtype=float)) ** 2).sum(1))    # one test row: m × dim
-            if len(d) > kk:
-                cut = np.partition(d, kk - 1)[kk - 1]
-                idx = np.flatnonzero(d <= cut)          # keeps every tie at the k-th distance
-            else:
-                idx = np.arange(len(d))
-            order = idx[np.lexsort((rid[idx], d[idx]))][:kk]
-            out.append(pd.DataFrame({"tid": tid, "rid": rid[order], "y": y[order], "d": d[order]}))
+        step = max(1, 4_000_000 // max(1, x.size))      # bound the distance block to ~32 MB
+        out = []
+        for lo in range(0, len(q_all), step):
+            q = q_all[lo:lo + step]
+            d = np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(-1))        # rows × train
+            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1] if x.shape[0] > kk else d.max(axis=1)
+            r, c = np.nonzero(d <= kth[:, None])          # every tie at the k-th distance kept
+            o = np.lexsort((rid[c], d[r, c], r))           # by row, then distance, then id
+            r, c = r[o], c[o]
+            first = np.searchsorted(r, r, "left")
+            keep = (np.arange(len(r)) - first) < kk
+            r, c = r[keep], c[keep]
+            out.append(pd.DataFrame({"tid": tids[lo + r], "rid": rid[c], "y": y[c], "d": d[r, c]}))
         return pd.concat(out, ignore_index=True)
     near = (cand_b.groupBy("cluster", "sub")
             .cogroup(tr_b.select("cluster", "sub", "rid", "f", "y").groupBy("cluster", "sub"))
