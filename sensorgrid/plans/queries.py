@@ -1015,3 +1015,17 @@ def q_pair_all(spark, sf):
     c = _pair_feed(spark, sf, ["signup", "purchase"], "monitor", "c_value")
     out = align.pair_all(w, c, pairs, "station", "monitor", order_w="event_id", order_c="event_id")
     return out.select("station", "monitor", "ts", "record_number", "w_value", "c_value")
+
+
+@register("explore_corr", _WIDE_SQL + """,
+v AS (SELECT * FROM wide
+      WHERE CAST(ts AS TIME) >= TIME '07:00:00' AND CAST(ts AS TIME) < TIME '21:30:00'
+        AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts < TIMESTAMP '2024-01-29 00:00:00')
+""" + _matrix_sql("pearson", "v", EVENT_TYPES))
+def q_explore(spark, sf):
+    """Exploration chain: nights removed → slice → Pearson matrix of the
+    wide feed (the table behind the heat map)."""
+    from .views import explore_correlations
+    out = explore_correlations(wide_slots(spark, sf), ["pearson"], nights=True,
+                               time_range="2024-01-02,2024-01-28", columns=list(EVENT_TYPES))
+    return _round_corr(out)

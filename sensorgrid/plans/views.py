@@ -43,6 +43,29 @@ def augment(df: DataFrame, selection: str, ts: str = "ts", target: str = catalog
     return df
 
 
+def explore_correlations(df: DataFrame, methods: Sequence[str] = ("pearson", "kendall", "spearman"),
+                         augmentation: str | None = None, nights: bool = False, time_range: str | None = None,
+                         ts: str = "ts", columns: Sequence[str] | None = None) -> DataFrame:
+    """The exploration chain behind the correlation heat maps: augmentation
+    first (in place, before anything else), night removal, slice, id
+    columns dropped, then one long-form matrix per method."""
+    from ..operators import stats
+    d = augment(df, augmentation, ts) if augmentation else df
+    if nights:
+        d = timeops.exclude_nights(d, catalog.NIGHT_START_EXPLORE, catalog.NIGHT_END, ts)
+    d = timeops.time_range(d, time_range, ts)
+    d = scalar.drop_columns(d, catalog.id_columns(d.columns))
+    cols = list(columns) if columns is not None else [
+        f.name for f in d.schema.fields if f.name != ts
+        and f.dataType.typeName() in ("double", "float", "long", "integer")]
+    fns = {"pearson": stats.corr_pearson, "spearman": stats.corr_spearman, "kendall": stats.corr_kendall}
+    out = None
+    for m in methods:
+        r = fns[m](d, cols)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def views(df: DataFrame, specs: Sequence[str], ts: str = "ts") -> list[DataFrame]:
     """Several specs over one (persisted) source."""
     return [scalar.view(df, s, ts) for s in specs]
