@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import timefn
 from ..functions.mathfn import round_half_even
 from . import chunks as ch
 from .timeops import QUARTER, spine
@@ -79,12 +80,12 @@ def lookup_hourly(df: DataFrame, aux: DataFrame, value: str, ts: str = "ts", aux
     """Per row the aux value of the same date and hour, rounded
     half-even to ``places``; NULL when the hour has none.  Two aux rows in
     one hour raise an error (checked inside the aggregate, no extra job)."""
-    hour = F.date_trunc("hour", F.col(aux_ts)).cast("timestamp_ntz")
+    hour = timefn.floor_to_step(aux_ts, "1 hour")
     per_hour = aux.groupBy(*keys, hour.alias("__hour")).agg(
         F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two auxiliary rows in one hour")))
         .otherwise(round_half_even(F.first(value), places)).alias(out or value)
     )
-    d = df.withColumn("__hour", F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz"))
+    d = df.withColumn("__hour", timefn.floor_to_step(ts, "1 hour"))
     return d.join(per_hour, [*keys, "__hour"], "left").drop("__hour")
 
 

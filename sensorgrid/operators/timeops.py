@@ -181,9 +181,10 @@ def time_group(df: DataFrame, span, keys: Sequence[str] = (), ts: str = "ts",
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("__start"), F.max(ts).alias("__lastts"))
     st_us = timefn.epoch_micros("__start")
     b0_us = st_us + F.lit(sp)
-    b0_ts = timefn.from_epoch_micros(b0_us)
-    cut = F.when(F.to_date(b0_ts) != F.to_date(F.col("__start")),
-                 timefn.epoch_micros(F.date_trunc("day", b0_ts).cast("timestamp_ntz"))).otherwise(b0_us)
+    day = 86_400_000_000
+    # zone-free: days are counted on the NTZ epoch
+    cut = F.when(F.floor(b0_us / F.lit(day)) != F.floor(st_us / F.lit(day)),
+                 F.floor(b0_us / F.lit(day)) * F.lit(day)).otherwise(b0_us)
     bounds = bounds.select(*keys, cut.alias("__b0"), timefn.epoch_micros("__lastts").alias("__last"))
     d = ch.attach(df.select(*keys, ts, *columns), bounds, keys)
     t_us = timefn.epoch_micros(ts)

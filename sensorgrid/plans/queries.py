@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog
+from ..functions import timefn
 from ..operators import align, calibrate, ordered, scalar, timeops
 from ..operators import chunks as ch
 from ..sources.tables import table
@@ -56,7 +57,7 @@ def q_shift(spark, sf):
 SELECT event_id, date_trunc('minute', ts) AS ts FROM events
 WHERE minute(date_trunc('minute', ts)) % 15 = 0""")
 def q_off_grid(spark, sf):
-    e = feeds.events(spark, sf).select("event_id", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts"))
+    e = feeds.events(spark, sf).select("event_id", timefn.floor_to_step("ts", "1 minute").alias("ts"))
     return timeops.drop_off_grid(e)
 
 
@@ -259,7 +260,7 @@ FROM a""")
 def q_circular(spark, sf):
     from ..functions.mathfn import circular_mean
     e = feeds.events(spark, sf)
-    e = e.select("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"),
+    e = e.select("event_type", timefn.floor_to_step("ts", "1 day").alias("day"),
                  F.pmod(F.col("value") * 7.0, F.lit(360.0)).alias("deg"))
     return e.groupBy("event_type", "day").agg(r6(circular_mean("deg")).alias("mean_direction"))
 
@@ -460,7 +461,7 @@ SELECT combined.ts, record_number, click_value, round(round_even(aux.v, 3), 6) A
 FROM combined LEFT JOIN aux ON date_trunc('hour', combined.ts) = aux.hr""")
 def q_hourly_lookup(spark, sf):
     aux = (feeds.events(spark, sf).filter(F.col("event_type") == "purchase")
-           .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
+           .groupBy(timefn.floor_to_step("ts", "1 hour").alias("ts"))
            .agg(F.sum("value").alias("solar_mjm2")))
     out = align.lookup_hourly(combined_feed(spark, sf).select("ts", "record_number", "click_value"),
                               aux, "solar_mjm2", places=3)
