@@ -93,90 +93,82 @@ def average_ranks(values: DataFrame, column: str, buckets: int = 64) -> DataFram
     return f.select(column, rank.cast("double").alias("__rank"))
 
 
-def average_ranks_many(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
-    """``average_ranks`` for several columns in one set of stages: the
-    columns are unpivoted to ``(column, value)`` so one frequency table,
-    one quantile aggregate and one pair of windows serve all of them.
-    Returns ``(column, value, __rank)`` (values as double)."""
+def average_ranks_many(df: DataFrame, columns: Sequence[str], buckets: int = 64,
+                       keys: Sequence[str] = ()) -> DataFrame:
+    """``average_ranks`` for several columns (per series when ``keys`` are
+    given) in one set of stages: the columns are unpivoted to
+    ``(keys…, column, value)`` so one frequency table, one quantile
+    aggregate and one pair of windows serve all of them.
+    Returns ``(keys…, column, value, __rank)`` (values as double)."""
     from pyspark.sql import Window
-    long = df.select(F.explode(F.array(*[
+    long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("__p")
-    ).select("__p.column", "__p.value").filter(F.col("value").isNotNull())
-    freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("__cnt"))
+    ).select(*keys, "__p.column", "__p.value").filter(F.col("value").isNotNull())
+    grp = [*keys, "column"]
+    freq = long.groupBy(*grp, "value").agg(F.count(F.lit(1)).alias("__cnt"))
     fractions = [i / buckets for i in range(1, buckets)]
-    cuts = freq.groupBy("column").agg(F.percentile_approx("value", fractions, 10_000).alias("__cuts"))
-    f = freq.join(F.broadcast(cuts), "column")                       # one row per column
+    cuts = freq.groupBy(*grp).agg(F.percentile_approx("value", fractions, 10_000).alias("__cuts"))
+    f = freq.join(cuts, grp)                                     # one row per (series, column)
     f = f.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
-    tot = f.groupBy("column", "__b").agg(F.sum("__cnt").alias("__bt"))
+    tot = f.groupBy(*grp, "__b").agg(F.sum("__cnt").alias("__bt"))
     tot = tot.withColumn("__boff", F.coalesce(F.sum("__bt").over(
-        Window.partitionBy("column").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    f = f.join(F.broadcast(tot.select("column", "__b", "__boff")), ["column", "__b"])   # ≤ buckets per column
-    w = Window.partitionBy("column", "__b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    f = f.join(tot.select(*grp, "__b", "__boff"), [*grp, "__b"])  # ≤ buckets rows per (series, column)
+    w = Window.partitionBy(*grp, "__b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col("__boff") + F.coalesce(F.sum("__cnt").over(w), F.lit(0)) + (F.col("__cnt") + 1) / 2.0
-    return f.select("column", "value", rank.cast("double").alias("__rank"))
+    return f.select(*grp, "value", rank.cast("double").alias("__rank"))
 
 
-def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
-    """Pearson of average ranks.  Ranks are taken on the pair's
-    complete rows; a column without NULLs is ranked once for all pairs."""
+def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64, keys: Sequence[str] = ()) -> DataFrame:
+    """Pearson of average ranks (per series when ``keys`` are given).
+    Ranks are taken on the pair's complete rows; columns without NULLs are
+    ranked once, together, and shared by all their pairs."""
+    from ..session import cut_lineage
     nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns]).first().asDict()
-    pieces = []
-    shared: dict[str, DataFrame] = {}
 
-    def ranked(frame, c, source=None):
-        # the rank map is built from ``source`` (the rows being ranked), never
-        # from the already-joined frame, so plans stay linear in the columns
-        src = (source if source is not None else frame).select(c)
-        r = average_ranks(src, c, buckets).withColumnRenamed("__rank", f"__r_{c}")
-        return frame.join(r, c, "left")
+    def with_ranks(frame, cols, ranks):
+        d = frame
+        for c in cols:
+            r = ranks.filter(F.col("column") == c).select(
+                *[F.col(k).alias(f"__k_{k}") for k in keys],
+                F.col("value").alias(f"__v_{c}"), F.col("__rank").alias(f"__r_{c}"))
+            cond = [F.col(k) == F.col(f"__k_{k}") for k in keys] + [F.col(c).cast("double") == F.col(f"__v_{c}")]
+            d = d.join(r, cond, "left").drop(*[f"__k_{k}" for k in keys], f"__v_{c}")
+        return d
 
+    pieces = []
     full = [c for c in columns if nulls[c] == 0]
     if full:
-        base = df.select(*full)
-        # the rank maps (distinct values only) are read once per column:
-        # checkpoint them so they are computed once
-        from ..session import cut_lineage
-        ranks = cut_lineage(average_ranks_many(base, full, buckets))
-        d = base
-        for c in full:
-            r = ranks.filter(F.col("column") == c).select(F.col("value").alias("__v"), F.col("__rank").alias(f"__r_{c}"))
-            d = d.join(r, F.col(c).cast("double") == F.col("__v"), "left").drop("__v")
-        shared_df = d.select(*[F.col(f"__r_{c}").alias(c) for c in full])
-        for c in full:
-            shared[c] = shared_df
-    results = {}
-    aggs = []
-    for i, (a, b) in enumerate(_pairs(columns)):
-        if a in shared and b in shared:
-            aggs.append((i, a, b))
-            continue
-        sub = df.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        if a == b:
-            sub = df.select(a).filter(F.col(a).isNotNull())
-            rk = ranked(sub, a).select(F.col(f"__r_{a}").alias("x"))
-            results[(a, b)] = rk.agg(F.corr("x", "x").alias("corr"), F.count(F.lit(1)).alias("n"))
-        else:
-            rk = ranked(ranked(sub, a), b, sub).select(F.col(f"__r_{a}").alias("x"), F.col(f"__r_{b}").alias("y"))
-            results[(a, b)] = rk.agg(F.corr("x", "y").alias("corr"), F.count(F.lit(1)).alias("n"))
-    if aggs:
-        # one aggregate over the shared ranks, exploded into long form
-        sd = shared[aggs[0][1]]
-        wide = sd.agg(*[x for i, a, b in aggs for x in (F.corr(a, b).alias(f"c{i}"), F.count(F.lit(1)).alias(f"n{i}"))])
+        base = df.select(*keys, *full)
+        # rank maps hold distinct values only; checkpointed because every
+        # column's join reads them
+        ranks = cut_lineage(average_ranks_many(base, full, buckets, keys))
+        shared = with_ranks(base, full, ranks)
+        todo = [(i, a, b) for i, (a, b) in enumerate(_pairs(columns)) if a in full and b in full]
+        wide = shared.groupBy(*keys).agg(*[x for i, a, b in todo for x in (
+            F.corr(f"__r_{a}", f"__r_{b}").alias(f"c{i}"), F.count(F.lit(1)).alias(f"n{i}"))])
         cells = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                              F.col(f"c{i}").alias("corr"), F.col(f"n{i}").alias("n"))
-                                    for i, a, b in aggs]))
-        pieces.append(wide.select(cells.alias("__c")).select("__c.*"))
-    for (a, b), r in results.items():
-        pieces.append(r.select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "corr", "n"))
+                                    for i, a, b in todo]))
+        pieces.append(wide.select(*keys, cells.alias("__c")).select(*keys, "__c.*"))
+    for a, b in _pairs(columns):
+        if a in full and b in full:
+            continue
+        sub = df.select(*keys, *dict.fromkeys([a, b])).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+        cols = list(dict.fromkeys([a, b]))
+        rk = with_ranks(sub, cols, average_ranks_many(sub, cols, buckets, keys))
+        pieces.append(rk.groupBy(*keys).agg(F.corr(f"__r_{a}", f"__r_{b}").alias("corr"),
+                                            F.count(F.lit(1)).alias("n"))
+                      .select(*keys, F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "corr", "n"))
     upper = pieces[0]
     for p in pieces[1:]:
         upper = upper.unionByName(p)
     mirrored = F.explode(F.array(
         F.struct(F.col("col_a"), F.col("col_b")),
         F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"))))
-    out = (upper.select(mirrored.alias("__k"), "corr", "n")
-           .select("__k.col_a", "__k.col_b", "corr", "n").dropDuplicates(["col_a", "col_b"]))
-    return out.select(F.lit("spearman").alias("method"), "col_a", "col_b",
+    out = (upper.select(*keys, mirrored.alias("__k"), "corr", "n")
+           .select(*keys, "__k.col_a", "__k.col_b", "corr", "n").dropDuplicates([*keys, "col_a", "col_b"]))
+    return out.select(*keys, F.lit("spearman").alias("method"), "col_a", "col_b",
                       F.when(~F.isnan("corr"), F.col("corr")).alias("corr"), "n")
 
 

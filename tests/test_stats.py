@@ -161,3 +161,22 @@ def test_pearson_per_series(spark):
     for k in ("a", "b"):
         sub = pd.DataFrame([r[1:] for r in rows if r[0] == k], columns=["x", "y"])
         assert abs(got[(k, "x", "y")] - sub.corr().loc["x", "y"]) < 1e-12
+
+
+def test_spearman_per_series(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in ("a", "b"):
+        x = rng.integers(0, 10, 80).astype(float)
+        y = x + rng.integers(-3, 3, 80)
+        z = rng.normal(size=80)
+        z[::9] = np.nan
+        rows += [(k, float(a), float(b), None if math.isnan(c) else float(c)) for a, b, c in zip(x, y, z)]
+    df = spark.createDataFrame(rows, "k string, x double, y double, z double")
+    got = {(r.k, r.col_a, r.col_b): r["corr"] for r in stats.corr_spearman(df, ["x", "y", "z"], keys=["k"]).collect()}
+    for k in ("a", "b"):
+        sub = pd.DataFrame([r[1:] for r in rows if r[0] == k], columns=["x", "y", "z"], dtype="float64")
+        want = sub.corr(method="spearman")
+        for a in "xyz":
+            for b in "xyz":
+                assert abs(got[(k, a, b)] - want.loc[a, b]) < 1e-9, (k, a, b)
