@@ -228,104 +228,108 @@ def _block_expr(col, cuts_col):
     return below * 2 + on_cut
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32) -> DataFrame:
-    """Kendall's tau-b of one column pair without an n² join.
-
-    Rows collapse to ``(a, b, weight)``.  Values are cut into ordered blocks
-    on both axes (approximate quantiles; repeated values get own blocks).
-    Pairs in different blocks on both axes are counted from the bounded
-    block×block weight table; pairs sharing an a-block, or sharing a b-block
-    across a-blocks, are counted exactly per block (grouped pandas, Fenwick
-    tree).  Blocks holding a single value are skipped: their pairs tie."""
-    sub = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
+def _cross_block_sum(pdf: pd.DataFrame) -> float:
+    """Pairs in different blocks on both axes, from one series' block ×
+    block weight table (at most (2·blocks+1)² cells)."""
+    k = int(max(pdf["ba"].max(), pdf["bb"].max())) + 1
+    m = np.zeros((k, k))
+    np.add.at(m, (pdf["ba"].to_numpy(int), pdf["bb"].to_numpy(int)), pdf["w"].to_numpy(float))
+    # suf[i, j] = Σ m[i:, j:]; pairs (x in cell (i,j), y in a cell with both
+    # blocks larger) are concordant, (i' > i, j' < j) discordant
+    suf = m[::-1, ::-1].cumsum(0).cumsum(1)[::-1, ::-1]
+    below = np.zeros((k + 1, k + 1))
+    below[:k, :k] = suf
+    concord = below[1:k + 1, 1:k + 1]                      # Σ m[i+1:, j+1:]
+    rows_after = np.vstack([m[1:], np.zeros((1, k))])      # m[i+1, :] shifted
+    after_rows = rows_after[::-1].cumsum(0)[::-1]          # Σ m[i+1:, :] per column
+    left = np.hstack([np.zeros((k, 1)), after_rows.cumsum(1)[:, :-1]])   # Σ m[i+1:, :j]
+    return float((m * (concord - left)).sum())
+
+
+def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequence[str] = ()) -> DataFrame:
+    """Kendall's tau-b of one column pair (per series when ``keys`` are
+    given) without an n² join.
+
+    Rows collapse to ``(keys, a, b, weight)``.  Values are cut into ordered
+    blocks on both axes (approximate quantiles per series; repeated values
+    get blocks of their own).  Pairs in different blocks on both axes are
+    counted from the bounded block×block weight table of each series;
+    pairs sharing an a-block, or sharing a b-block across a-blocks, are
+    counted exactly per block (grouped pandas, vectorised merge counting).
+    Blocks holding a single value are skipped: their pairs tie."""
+    from ..session import cut_lineage
+    grp = list(keys) if keys else ["__all"]
+    sub = df.select(*keys, F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    combos = sub.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    if not keys:
+        sub = sub.withColumn("__all", F.lit(0))
+    combos = sub.groupBy(*grp, "a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
     fr = [i / blocks for i in range(1, blocks)]
-    # the cuts (at most 2·blocks numbers) are fetched once and written into
-    # the plan as literals: a recomputed partition after an executor loss
-    # then uses exactly the same blocks as every other partition
-    row = sub.agg(F.array_distinct(F.percentile_approx("a", fr, 10_000)).alias("ca"),
-                  F.array_distinct(F.percentile_approx("b", fr, 10_000)).alias("cb")).first()
-    ca = F.array(*[F.lit(float(v)) for v in (row["ca"] or [])]).cast("array<double>")
-    cb = F.array(*[F.lit(float(v)) for v in (row["cb"] or [])]).cast("array<double>")
-    c = combos.select("a", "b", "w", _block_expr(F.col("a"), ca).alias("ba"),
-                      _block_expr(F.col("b"), cb).alias("bb")).persist()
-    # ties and totals (exact, from frequency tables)
-    ta = c.groupBy("a").agg(F.sum("w").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
-    tb = c.groupBy("b").agg(F.sum("w").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))
-    tot = c.agg(F.sum("w").alias("n"))
-    # block × block table: bounded by (2·blocks+1)² cells
-    cells = c.groupBy("ba", "bb").agg(F.sum("w").alias("w")).toPandas()
-    k = int(max(cells["ba"].max(), cells["bb"].max())) + 1 if len(cells) else 1
-    m = np.zeros((k, k))
-    m[cells["ba"].to_numpy(int), cells["bb"].to_numpy(int)] = cells["w"].to_numpy()
-    cum = m.cumsum(0).cumsum(1)               # cum[i,j] = Σ m[:i+1, :j+1]
-
-    def rect(i0, i1, j0, j1):                 # Σ m[i0:i1, j0:j1]
-        if i0 >= i1 or j0 >= j1:
-            return 0.0
-        s = cum[i1 - 1, j1 - 1]
-        if i0 > 0:
-            s -= cum[i0 - 1, j1 - 1]
-        if j0 > 0:
-            s -= cum[i1 - 1, j0 - 1]
-        if i0 > 0 and j0 > 0:
-            s += cum[i0 - 1, j0 - 1]
-        return s
-    cross = 0.0
-    for i in range(k):
-        for j in range(k):
-            if m[i, j]:
-                cross += m[i, j] * (rect(i + 1, k, j + 1, k) - rect(i + 1, k, 0, j))
+    # cut arrays (≤ 2·blocks numbers per series) checkpointed: a recomputed
+    # partition after an executor loss then sees exactly the same blocks
+    cuts = cut_lineage(sub.groupBy(*grp).agg(
+        F.array_distinct(F.percentile_approx("a", fr, 10_000)).alias("ca"),
+        F.array_distinct(F.percentile_approx("b", fr, 10_000)).alias("cb")))
+    c = combos.join(cuts, grp).select(*grp, "a", "b", "w", _block_expr(F.col("a"), F.col("ca")).alias("ba"),
+                                      _block_expr(F.col("b"), F.col("cb")).alias("bb"))
+    c = cut_lineage(c)
     schema = "s double"
+    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields if f.name in grp)
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"s": [signed_pair_sum(pdf["p"].to_numpy(), pdf["q"].to_numpy(),
                                                    pdf["w"].to_numpy())]})
+
+    def cross(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf[grp].iloc[:1].copy()
+        out["s"] = _cross_block_sum(pdf)
+        return out
+    s_x = (c.groupBy(*grp, "ba", "bb").agg(F.sum("w").alias("w"))
+           .groupBy(*grp).applyInPandas(cross, f"{key_schema}, s double"))
     # same a-block: exact by a, then b
-    span_a = c.groupBy("ba").agg((F.min("a") < F.max("a")).alias("multi"))
-    s_a = (c.join(F.broadcast(span_a.filter("multi")), "ba")
-           .select("ba", F.col("a").alias("p"), F.col("b").alias("q"), "w")
-           .groupBy("ba").applyInPandas(within, schema).agg(F.sum("s").alias("s")))
-    # same b-block, different a-blocks: a-order known from the block
-    span_b = c.groupBy("bb").agg((F.min("b") < F.max("b")).alias("multi"))
-    s_b = (c.join(F.broadcast(span_b.filter("multi")), "bb")
-           .select("bb", F.col("ba").cast("double").alias("p"), F.col("b").alias("q"), "w")
-           .groupBy("bb").applyInPandas(within, schema).agg(F.sum("s").alias("s")))
-    # five one-row aggregates → plain numbers, fetched in one job
-    parts = (tot.select(F.lit("n").alias("k"), F.col("n").alias("v"))
-             .unionByName(ta.select(F.lit("n1").alias("k"), F.col("n1").alias("v")))
-             .unionByName(tb.select(F.lit("n2").alias("k"), F.col("n2").alias("v")))
-             .unionByName(s_a.select(F.lit("sa").alias("k"), F.col("s").alias("v")))
-             .unionByName(s_b.select(F.lit("sb").alias("k"), F.col("s").alias("v"))))
-    got = {r["k"]: (r["v"] or 0.0) for r in parts.collect()}
-    n, n1, n2, sa, sb = (got.get(x, 0.0) for x in ("n", "n1", "n2", "sa", "sb"))
-    c.unpersist()
-    n0 = n * (n - 1) / 2
-    denom = (n0 - n1) * (n0 - n2)
-    tau = float((cross + sa + sb) / math.sqrt(denom)) if denom > 0 else None
-    spark = df.sparkSession
-    return spark.createDataFrame([("kendall", a, b, tau, int(n))],
-                                 "method string, col_a string, col_b string, corr double, n bigint")
-
-
-def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int = 32) -> DataFrame:
+    span_a = c.groupBy(*grp, "ba").agg((F.min("a") < F.max("a")).alias("multi")).filter("multi").drop("multi")
+    s_a = (c.join(span_a, [*grp, "ba"]).select(*grp, "ba", F.col("a").alias("p"), F.col("b").alias("q"), "w")
+           .groupBy(*grp, "ba").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
+                                              f"{key_schema}, s double"))
+    # same b-block, different a-blocks: the a-order is known from the block
+    span_b = c.groupBy(*grp, "bb").agg((F.min("b") < F.max("b")).alias("multi")).filter("multi").drop("multi")
+    s_b = (c.join(span_b, [*grp, "bb"]).select(*grp, "bb", F.col("ba").cast("double").alias("p"),
+                                               F.col("b").alias("q"), "w")
+           .groupBy(*grp, "bb").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
+                                              f"{key_schema}, s double"))
+    del schema
+    signed = (s_x.unionByName(s_a).unionByName(s_b).groupBy(*grp).agg(F.sum("s").alias("S")))
+    ties_a = c.groupBy(*grp, "a").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
+        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
+    ties_b = c.groupBy(*grp, "b").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
+        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))
+    tot = c.groupBy(*grp).agg(F.sum("w").alias("n"))
+    r = tot.join(ties_a, grp).join(ties_b, grp).join(signed, grp, "left")
+    n0 = F.col("n") * (F.col("n") - 1) / 2
+    denom = (n0 - F.col("n1")) * (n0 - F.col("n2"))
+    tau = F.when(denom > 0, F.coalesce(F.col("S"), F.lit(0.0)) / F.sqrt(denom))
+    return r.select(*keys, F.lit("kendall").alias("method"), F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                    tau.alias("corr"), F.col("n").cast("bigint").alias("n"))
+
+
+def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int = 32, keys: Sequence[str] = ()) -> DataFrame:
     """A14 for every column pair (diagonal: 1, or NULL for a constant)."""
     from concurrent.futures import ThreadPoolExecutor
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(pairs)))) as pool:   # pairs are independent jobs
-        done = list(pool.map(lambda ab: kendall_tau_b(df, ab[0], ab[1], blocks), pairs))
+    # each pair checkpoints its collapsed table first: do those jobs concurrently
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(pairs)))) as pool:
+        done = list(pool.map(lambda ab: kendall_tau_b(df, ab[0], ab[1], blocks, keys), pairs))
     out = None
     for r in done:
-        r2 = r.select("method", F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr", "n")
+        r2 = r.select(*keys, "method", F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr", "n")
         out = r.unionByName(r2) if out is None else out.unionByName(r).unionByName(r2)
-    diag = df.agg(*[x for c in columns for x in (
+    diag = df.groupBy(*keys).agg(*[x for c in columns for x in (
         F.count(c).alias(f"n_{c}"), (F.min(c) < F.max(c)).alias(f"v_{c}"))])
     cells = F.explode(F.array(*[F.struct(F.lit("kendall").alias("method"), F.lit(c).alias("col_a"),
                                          F.lit(c).alias("col_b"),
                                          F.when(F.col(f"v_{c}"), F.lit(1.0)).alias("corr"),
                                          F.col(f"n_{c}").alias("n")) for c in columns]))
-    d = diag.select(cells.alias("__c")).select("__c.*")
+    d = diag.select(*keys, cells.alias("__c")).select(*keys, "__c.*")
     return d if out is None else out.unionByName(d)
 
 

@@ -180,3 +180,18 @@ def test_spearman_per_series(spark):
         for a in "xyz":
             for b in "xyz":
                 assert abs(got[(k, a, b)] - want.loc[a, b]) < 1e-9, (k, a, b)
+
+
+def test_kendall_per_series(spark):
+    random.seed(7)
+    rows = []
+    for k in ("a", "b", "c"):
+        for _ in range(120):
+            x = random.randint(0, 12)
+            rows.append((k, float(x), float(x + random.randint(-4, 4) if k != "c" else random.randint(0, 9))))
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    got = {r.k: r["corr"] for r in stats.kendall_tau_b(df, "x", "y", blocks=3, keys=["k"]).collect()}
+    for k in ("a", "b", "c"):
+        xs = [r[1] for r in rows if r[0] == k]
+        ys = [r[2] for r in rows if r[0] == k]
+        assert abs(got[k] - _tau_b_bruteforce(xs, ys)) < 1e-12
