@@ -798,8 +798,8 @@ def q_forest(spark, sf):
     d = embedding_split(spark, sf)
     cols = [f"e{i}" for i in range(EMB_DIMS)]
     d = d.select("id", "label", "is_test", *[F.col("features")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    srch = ModelSearch(d, "label", id_cols=["id"])
-    return _results_view(srch.selected_model(cols, trees=100, depth=6, search_id="forest"))
+    with ModelSearch(d, "label", id_cols=["id"]) as srch:
+        return _results_view(srch.selected_model(cols, trees=100, depth=6, search_id="forest"))
 
 
 @register("pls_regress")
@@ -815,7 +815,8 @@ def q_pls(spark, sf):
 
 @register("grid_search_small")
 def q_grid(spark, sf):
-    return _results_view(_search(spark, sf).grid_search_columns(FEATURES + ["hour"]))
+    with _search(spark, sf) as srch:
+        return _results_view(srch.grid_search_columns(FEATURES + ["hour"]))
 
 
 @register("trend_additive")
@@ -825,8 +826,8 @@ def q_trend_additive(spark, sf):
     hours = (1, 2, 3, 6, 12, 24)
     t = trend_table(model_table(spark, sf), ["view"], hours=hours)
     names = [ordered.trend_name("view", f"{h} hours") for h in hours]
-    srch = ModelSearch(t, TARGET)
-    return _results_view(srch.trend_additive(["click", "hour"], {"view": names}))
+    with ModelSearch(t, TARGET) as srch:
+        return _results_view(srch.trend_additive(["click", "hour"], {"view": names}))
 
 
 @register("trends_subsets")
@@ -836,12 +837,14 @@ def q_trend_subsets(spark, sf):
     hours = (1, 2, 3)
     t = trend_table(model_table(spark, sf), ["view"], hours=hours)
     names = [ordered.trend_name("view", f"{h} hours") for h in hours]
-    return _results_view(ModelSearch(t, TARGET).grid_search_trends(["click", "hour"], names))
+    with ModelSearch(t, TARGET) as srch:
+        return _results_view(srch.grid_search_trends(["click", "hour"], names))
 
 
 @register("hyper_small")
 def q_hyper(spark, sf):
-    return _results_view(_search(spark, sf).grid_search_hyper(FEATURES, [50, 100], [4, 8]))
+    with _search(spark, sf) as srch:
+        return _results_view(srch.grid_search_hyper(FEATURES, [50, 100], [4, 8]))
 
 
 @register("time_grouping_curve")
@@ -856,12 +859,14 @@ def q_grouping_curve(spark, sf):
 
 @register("rfe_small")
 def q_rfe(spark, sf):
-    return _search(spark, sf).rfe(FEATURES + ["month", "hour"], n_keep=3, trees=100, depth=6)
+    with _search(spark, sf) as srch:
+        return srch.rfe(FEATURES + ["month", "hour"], n_keep=3, trees=100, depth=6)
 
 
 @register("sfs_small")
 def q_sfs(spark, sf):
-    return _search(spark, sf).sfs(FEATURES + ["hour"], n_select=2, folds=5, trees=50, depth=4)
+    with _search(spark, sf) as srch:
+        return srch.sfs(FEATURES + ["hour"], n_select=2, folds=5, trees=50, depth=4)
 
 
 @register("best_model_series")

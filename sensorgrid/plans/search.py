@@ -99,6 +99,17 @@ class ModelSearch:
         self.test_size, self.seed = test_size, seed
         self._train_len = None
 
+    def close(self) -> None:
+        """Release the cached model table (results already returned are
+        plain rows and stay valid)."""
+        self.data.unpersist()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self.close()
+
     def train_length(self) -> int:
         if self._train_len is None:
             self._train_len = self.data.filter(~F.col(self.flag)).count()
