@@ -151,3 +151,14 @@ def test_minmax_constant(spark):
     df = _series(spark, [2.0, 2.0, 2.0])
     assert _vals(ordered.minmax_scale(df, ["x"])) == [N, N, N]
     assert _vals(ordered.minmax_scale(df, ["x"], constant="zero")) == [0.0, 0.0, 0.0]
+
+
+def test_augment_dispatch(spark):
+    from sensorgrid.plans.views import augment
+    rows = [(T0 + dt.timedelta(minutes=15 * i), float(i), float(i % 5)) for i in range(8)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, motion_total double, wind_speed_mph double")
+    a1 = augment(df, "1").orderBy("ts").collect()
+    assert [r.motion_total_sum for r in a1] == [0, 1, 3, 6, 10, 15, 21, 28]
+    a2 = augment(df, "2").orderBy("ts").collect()
+    assert [r.wind_speed_mph for r in a2] == [0, 0, 0, 0, 4, 0, 0, 0]
+    assert augment(df, "9") is df
