@@ -1035,3 +1035,19 @@ def q_explore(spark, sf):
     out = explore_correlations(wide_slots(spark, sf), ["pearson"], nights=True,
                                time_range="2024-01-02,2024-01-28", columns=list(EVENT_TYPES))
     return _round_corr(out)
+
+
+@register("gap_report_users", """
+WITH r AS (
+  SELECT user_id, event_id,
+         make_timestamp(((epoch_us(ts) + 450000000) // 900000000) * 900000000) AS ts FROM events),
+d AS (
+  SELECT user_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY event_id)) AS dt FROM r)
+SELECT user_id, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CASE WHEN dt <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS duplicates,
+       CAST(sum(CASE WHEN dt > 900000000 THEN 1 ELSE 0 END) AS BIGINT) AS gaps
+FROM d GROUP BY user_id""")
+def q_gap_report_users(spark, sf):
+    """A8 over many short series (one per user) in file order."""
+    e = timeops.round_time(feeds.events(spark, sf).select("user_id", "event_id", "ts"))
+    return timeops.gap_report(e, ["user_id"], order="event_id")
