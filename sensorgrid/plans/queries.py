@@ -1051,3 +1051,15 @@ def q_gap_report_users(spark, sf):
     """A8 over many short series (one per user) in file order."""
     e = timeops.round_time(feeds.events(spark, sf).select("user_id", "event_id", "ts"))
     return timeops.gap_report(e, ["user_id"], order="event_id")
+
+
+@register("zscore_users", """
+SELECT event_id, user_id,
+       CASE WHEN abs(value - avg(value) OVER w) / stddev_pop(value) OVER w > 3
+                 AND stddev_pop(value) OVER w > 0 AND count(value) OVER w = count(*) OVER w
+            THEN NULL ELSE value END AS value
+FROM events WINDOW w AS (PARTITION BY user_id)""")
+def q_zscore_users(spark, sf):
+    """W1 over many short series (one per user)."""
+    e = feeds.events(spark, sf).select("event_id", "user_id", "value")
+    return ordered.zscore_outliers(e, ["value"], keys=["user_id"])
