@@ -162,3 +162,13 @@ def test_augment_dispatch(spark):
     a2 = augment(df, "2").orderBy("ts").collect()
     assert [r.wind_speed_mph for r in a2] == [0, 0, 0, 0, 4, 0, 0, 0]
     assert augment(df, "9") is df
+
+
+def test_trends_paired_columns(spark):
+    rows = [("a", T0 + dt.timedelta(minutes=15 * i), float(i), float(i * i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, x double, y double")
+    out = ordered.trends(df, [("x", "1 hour"), ("y", "30 minutes")], keys=["k"]).orderBy("ts").collect()
+    nx, ny = ordered.trend_name("x", "1 hour"), ordered.trend_name("y", "30 minutes")
+    assert nx == "x 1:00:00 Trend" and ny == "y 0:30:00 Trend"
+    assert [r[nx] for r in out][:6] == [0, 0, 0, 0, 4, 4]
+    assert [r[ny] for r in out][:4] == [0, 0, 4 - 0, 9 - 1]
