@@ -25,7 +25,7 @@ from .text import Table64, add_columns, column
 INF = np.int64(2 ** 62)
 SHORT = 64            # bytes; longer matches use a tree of their own
 POS_BITS = 16
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 _coders: dict[int, "Coder"] = {}
 
@@ -220,7 +220,7 @@ class Coder:
         return np.concatenate(flat) if flat else np.zeros(0, np.int32), counts
 
 
-def _portions(find, texts: list[str], most: int = 1 << 22):
+def _portions(find, texts: list[str], most: int = 1 << 20):
     """``(first text, matches of the next texts)``, a bounded number of
     characters at a time; a very long text comes in several portions."""
     held, at, size = [], 0, 0
@@ -259,11 +259,13 @@ def coder(data: bytes) -> Coder:
     return _coders[key]
 
 
-def bpe_encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def bpe_encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with ``ids array<int>``: the byte-level BPE tokens of each whole
-    text, no special tokens.  NULL and empty texts have no tokens; repeated
-    rows stay; an input column named like ``ids`` is replaced; an empty table
-    gives an empty table."""
+    text, no special tokens; with ``decoded``, also the bytes that these ids
+    decode to, made in the same task.
+
+    NULL and empty texts have no tokens; repeated rows stay; input columns
+    named like the outputs are replaced; an empty table gives an empty one."""
     shipped = df.sparkSession.sparkContext.broadcast(ranks)      # one vocabulary file, of fixed size
 
     def make():
@@ -274,11 +276,31 @@ def bpe_encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", id
         def f(batch):
             flat, counts = c.encode(find, column(batch, text).to_pylist())
             offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))]
+            lists = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))
+            return [lists, decode_lists(c, lists)] if decoded else [lists]
 
         return f
 
-    return add_columns(df, [T.StructField(ids, T.ArrayType(T.IntegerType(), False))], make, text, 8_000_000)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + [T.StructField(decoded, T.BinaryType())] * bool(decoded)
+    return add_columns(df, fields, make, text, 4_000_000)
+
+
+def decode_lists(c: Coder, lists: pa.ListArray, most: int = 1_000_000) -> pa.Array:
+    """Bytes of each list of ids, a bounded number of ids at a time."""
+    n = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(c.tokens)):
+        raise ValueError("token id outside the vocabulary")
+    ends = np.concatenate([[0], np.cumsum(n)])
+    made, at = [], 0
+    while at < len(n):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        part = flat[ends[at]:ends[stop]]
+        data = ragged(c.blob, c.offs[part], c.lens[part]).tobytes()
+        cuts = np.concatenate([[0], np.cumsum(c.lens[part])])[ends[at:stop + 1] - ends[at]]
+        made += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        at = stop
+    return pa.array(made, type=pa.binary())
 
 
 def bpe_decode(df: DataFrame, ranks: bytes, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -292,21 +314,7 @@ def bpe_decode(df: DataFrame, ranks: bytes, ids: str = "ids", out: str = "decode
         c = coder(shipped.value)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            n = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(c.tokens)):
-                raise ValueError("token id outside the vocabulary")
-            ends = np.concatenate([[0], np.cumsum(n)])
-            made, at = [], 0
-            while at < len(n):                           # a bounded number of ids at a time
-                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + 2_000_000, side="right")) - 1)
-                part = flat[ends[at]:ends[stop]]
-                data = ragged(c.blob, c.offs[part], c.lens[part]).tobytes()
-                cuts = np.concatenate([[0], np.cumsum(c.lens[part])])[ends[at:stop + 1] - ends[at]]
-                made += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-                at = stop
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, type=pa.binary())],
-                                             names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decode_lists(c, lists)], names=[*batch.schema.names, out])
 
     return base.mapInArrow(run, schema)
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_blocks, imatch, lattice_lm, license_scan, toxicity
+from . import bpe, html_blocks, imatch, lattice_lm, license_scan, line_join, minhash, mixing, topk, toxicity
 
 # Vocabulary files of public tokenizers (paths are parameters).
 RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,11 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces, ranks = lattice_lm.read_pieces(PIECES_FILE)
     return lattice_lm.score(table(spark, sf_dir, "documents"), pieces, ranks)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.report(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
@@ -30,6 +38,33 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every document whose id is divisible by 100, as a whole."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = topk.search(docs, docs.filter(F.col("doc_id") % 100 == 0), k=10)
+    return found.withColumn("score", F.round("score", 6))
+
+
+OP5_SQL = f"""
+    WITH words AS (
+        SELECT doc_id, unnest(list_filter(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')) AS word
+        FROM documents),
+    tf AS (SELECT doc_id, word, count(*) AS tf FROM words GROUP BY ALL),
+    size AS (SELECT d.doc_id, coalesce(s.n, 0) AS n FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM words GROUP BY 1) s USING (doc_id)),
+    stat AS (SELECT count(*) AS docs, avg(n) AS mean FROM size),
+    df AS (SELECT word, count(*) AS df FROM tf GROUP BY 1),
+    part AS (
+        SELECT t.doc_id, t.word, ln(1 + (s.docs - df.df + 0.5) / (df.df + 0.5)) * t.tf * ({topk.K1} + 1)
+               / (t.tf + {topk.K1} * (1 - {topk.B} + {topk.B} * z.n / s.mean)) AS part
+        FROM tf t JOIN df USING (word) JOIN size z USING (doc_id) CROSS JOIN stat s),
+    scored AS (
+        SELECT q.doc_id AS query_id, p.doc_id, round(sum(p.part), {topk.DIGITS}) AS score
+        FROM (SELECT doc_id, word FROM tf WHERE doc_id % 100 = 0) q JOIN part p USING (word) GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+    SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"""
+
+
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return imatch.compare_with_next(docs, imatch.lexicon(docs))
@@ -65,22 +100,42 @@ def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.summary(html_blocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
 
 
+# Target shares of the labelled domains (a parameter).
+MIX_WEIGHTS = {"good": 0.88, "junk": 0.10, "toxic": 0.02}
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """The labelled table's domains: toxic rows, and the others by quality."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+                         .when(F.col("quality") == 0, "junk").alias("domain"))
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rates = mixing.mix_documents(docs, domain_labels(table(spark, sf_dir, "labels")), MIX_WEIGHTS)
+    return rates.drop("key").withColumnRenamed("id", "doc_id").withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(RANKS_FILE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe.digests(bpe.bpe_decode(encoded, ranks))
+    return bpe.digests(bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded"))
 
 
 QUERIES = {
+    "op1_bagminhash": op1_bagminhash,
     "op2_lattice_lm": op2_lattice_lm,
+    "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_bm25_topk": op5_bm25_topk,
     "op6_imatch": op6_imatch,
     "op7_license_scan": op7_license_scan,
     "op8_html_main_text": op8_html_main_text,
+    "op9_mix_sources": op9_mix_sources,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE = {
+    "op5_bm25_topk": OP5_SQL,
     "op7_license_scan": _op7_sql(),
 }
