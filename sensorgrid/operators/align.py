@@ -41,14 +41,15 @@ def keep_forward(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", order:
     backward jumps and their repeats are skipped; the first of equal stamps
     wins).  Prefix maximum computed chunk-wise along ``order``."""
     order = order or ts
-    d = ch.with_chunk(df, order, chunk)
+    d = ch.with_chunk(ch.with_key(df, keys), order, chunk)
+    keys = ch.key_cols(keys)
     wl = ch.local_window(keys, [order])
     d = d.withColumn("__pm", F.max(ts).over(ch.before(wl)))
     summ = d.groupBy(*keys, ch.CHUNK).agg(F.max(ts).alias("__cm"))
     summ = summ.withColumn("__carry", F.max("__cm").over(ch.before(ch.chunk_window(keys))))
     d = d.join(summ.select(*keys, ch.CHUNK, "__carry"), [*keys, ch.CHUNK], "left")
     bar = F.greatest(F.col("__pm"), F.col("__carry"))
-    return d.filter(bar.isNull() | (F.col(ts) > bar)).drop("__pm", "__carry", ch.CHUNK)
+    return d.filter(bar.isNull() | (F.col(ts) > bar)).drop("__pm", "__carry", ch.CHUNK, ch.KEY)
 
 
 def pair_on_spine(base: DataFrame, side: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
@@ -58,7 +59,7 @@ def pair_on_spine(base: DataFrame, side: DataFrame, keys: Sequence[str] = (), ts
     kept = keep_forward(side, keys, ts, order, chunk)
     if order and order != ts:
         kept = kept.drop(order)
-    return base.join(kept, [*keys, ts], "left")
+    return ch.join_on_keys(base, kept, keys, [ts])
 
 
 def combine(a: DataFrame, b: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
@@ -86,7 +87,7 @@ def lookup_hourly(df: DataFrame, aux: DataFrame, value: str, ts: str = "ts", aux
         .otherwise(round_half_even(F.first(value), places)).alias(out or value)
     )
     d = df.withColumn("__hour", timefn.floor_to_step(ts, "1 hour"))
-    return d.join(per_hour, [*keys, "__hour"], "left").drop("__hour")
+    return ch.join_on_keys(d, per_hour, keys, ["__hour"]).drop("__hour")
 
 
 def pair_all(weather: DataFrame, counts: DataFrame, pairs: DataFrame, weather_key: str,

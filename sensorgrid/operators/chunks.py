@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions import timefn
 
 CHUNK = "__chunk"
+KEY = "__key"
 DEFAULT_TIME_CHUNK = "1 day"
 DEFAULT_INT_CHUNK = 100_000
 
@@ -35,6 +36,25 @@ def chunk_expr(df: DataFrame, order: str, chunk) -> Column:
     return F.floor(F.col(order) / F.lit(width)).cast("bigint")
 
 
+def with_key(df: DataFrame, keys) -> DataFrame:
+    """Add the series keys as one struct.  A struct is never NULL itself and
+    structs with equal or equally missing fields are equal, so joins, windows
+    and groups on it keep the series whose key is NULL."""
+    return df.withColumn(KEY, F.struct(*keys)) if keys else df
+
+
+def key_cols(keys) -> list[str]:
+    return [KEY] if keys else []
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys, on=(), how: str = "left") -> DataFrame:
+    """Join on the series keys (NULL keys match) and further columns."""
+    if not keys:
+        return left.join(right, list(on), how)
+    return with_key(left, keys).join(with_key(right, keys).drop(*keys), [KEY, *on], how).select(
+        *left.columns, *[c for c in right.columns if c not in set(keys) | set(on)])
+
+
 def with_chunk(df: DataFrame, order: str, chunk) -> DataFrame:
     return df.withColumn(CHUNK, chunk_expr(df, order, chunk))
 
@@ -68,26 +88,28 @@ def positions(df: DataFrame, keys, order_cols, chunk, order=None) -> DataFrame:
     ``order_cols``, computed chunk-wise (local row_number + offset of all
     earlier chunks)."""
     order = order or order_cols[0]
-    d = with_chunk(df, order, chunk)
+    d = with_chunk(with_key(df, keys), order, chunk)
+    keys = key_cols(keys)
     d = d.withColumn("__lpos", F.row_number().over(local_window(keys, order_cols)) - 1)
     sizes = d.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.withColumn(
         "__off", F.coalesce(F.sum("__n").over(before(chunk_window(keys))), F.lit(0)).cast("bigint")
     ).drop("__n")
     d = d.join(sizes, [*keys, CHUNK], "left")
-    return d.withColumn("__pos", F.col("__off") + F.col("__lpos")).drop("__off")
+    return d.withColumn("__pos", F.col("__off") + F.col("__lpos")).drop("__off", KEY)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Attach per-series statistics (one row per key) to the rows.
 
-    With keys this is an equi-join on them; whether the stats side is
-    broadcast is left to AQE's runtime size check.  Without keys the stats
+    With keys this is an equi-join on them that keeps the series whose key is
+    NULL; whether the stats side is broadcast is left to AQE's runtime size
+    check.  Without keys the stats
     are one row of a global aggregate, read as one scalar subquery (a
     struct; the identical subquery is evaluated once and reused for every
     field), so no join is planned at all."""
     if keys:
-        return df.join(stats, list(keys), how)
+        return join_on_keys(df, stats, keys, how=how)
     row = stats.select(F.struct(*stats.columns).alias("__s")).scalar()
     # one subquery column; the fields are read from it in a second
     # projection (Catalyst does not inline a non-cheap expression that is

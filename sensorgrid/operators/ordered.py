@@ -54,7 +54,8 @@ def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts"
     filled (with the line through the whole gap)."""
     cols = _cols(columns)
     order = order or ts
-    d = ch.with_chunk(df, order, chunk)
+    d = ch.with_chunk(ch.with_key(df, keys), order, chunk)
+    keys = ch.key_cols(keys)
     wl = ch.local_window(keys, [order])
     d = d.withColumn("__lpos", F.row_number().over(wl) - 1)
     for i, c in enumerate(cols):
@@ -91,7 +92,7 @@ def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts"
         if limit is not None:
             filled = F.when(pos - prev.p <= limit, filled)
         d = d.withColumn(c, F.when(F.col(c).isNotNull(), F.col(c).cast("double")).otherwise(filled))
-    drop = ["__lpos", "__off", ch.CHUNK]
+    drop = ["__lpos", "__off", ch.CHUNK, ch.KEY]
     for i in range(len(cols)):
         drop += [f"__pv{i}", f"__nx{i}", f"__cin{i}", f"__cout{i}"]
     return d.drop(*drop)
@@ -188,24 +189,24 @@ def running_day_sum(df: DataFrame, column: str, keys: Sequence[str] = (), ts: st
     out = out or f"{column}_day_sum"
     x = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
     reset = ((F.hour(ts) == 0) & (F.minute(ts) == 0)).cast("int")
-    d = ch.with_chunk(df, ts, chunk).withColumn("__r", reset)
+    d = ch.with_chunk(ch.with_key(df, keys), ts, chunk)
+    keys = ch.key_cols(keys)
     wl = ch.local_window(keys, [ts])
-    d = d.withColumn("__lseg", F.sum("__r").over(ch.upto(wl)))
+    d = d.withColumn("__lseg", F.sum(reset).over(ch.upto(wl)))
     d = d.withColumn("__lsum", F.sum(x).over(
         Window.partitionBy(*keys, ch.CHUNK, "__lseg").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
-    # number of restarts in earlier chunks → global segment id
-    nres = d.groupBy(*keys, ch.CHUNK).agg(F.sum("__r").alias("__nr"))
-    nres = nres.withColumn("__rb", F.coalesce(F.sum("__nr").over(ch.before(ch.chunk_window(keys))), F.lit(0)))
-    d = d.join(nres.select(*keys, ch.CHUNK, "__rb"), [*keys, ch.CHUNK], "left")
-    d = d.withColumn("__seg", F.col("__rb") + F.col("__lseg"))
-    # per (segment, chunk) partial sums, carried along the segment
-    part = d.groupBy(*keys, "__seg", ch.CHUNK).agg(F.sum(x).alias("__ps"))
-    part = part.withColumn("__carry", F.coalesce(F.sum("__ps").over(
-        Window.partitionBy(*keys, "__seg").orderBy(ch.CHUNK).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0.0)))
-    d = d.join(part.select(*keys, "__seg", ch.CHUNK, "__carry"), [*keys, "__seg", ch.CHUNK], "left")
-    d = d.withColumn(out, F.col("__carry") + F.col("__lsum"))
-    return d.drop("__r", "__lseg", "__lsum", "__rb", "__seg", "__carry", ch.CHUNK)
+    # one summary row per chunk: whether it restarts, and the sum after its
+    # last restart (of the whole chunk if there is none); a chunk starts with
+    # what the chunks since the last restart have gathered
+    part = d.groupBy(*keys, ch.CHUNK, "__lseg").agg(F.sum(x).alias("__ps"))
+    summ = part.groupBy(*keys, ch.CHUNK).agg(F.max("__lseg").alias("__nr"), F.max_by("__ps", "__lseg").alias("__tail"))
+    wc = ch.chunk_window(keys)
+    summ = summ.withColumn("__run", F.sum(F.when(F.col("__nr") > 0, 1).otherwise(0)).over(ch.upto(wc)))
+    summ = summ.withColumn("__open", F.sum("__tail").over(ch.upto(Window.partitionBy(*keys, "__run").orderBy(ch.CHUNK))))
+    summ = summ.withColumn("__carry", F.coalesce(F.lag("__open").over(wc), F.lit(0.0)))
+    d = d.join(summ.select(*keys, ch.CHUNK, "__carry"), [*keys, ch.CHUNK], "left")
+    d = d.withColumn(out, F.when(F.col("__lseg") == 0, F.col("__carry") + F.col("__lsum")).otherwise(F.col("__lsum")))
+    return d.drop("__lseg", "__lsum", "__carry", ch.CHUNK, ch.KEY)
 
 
 # --------------------------------------------------------------------- W6

@@ -3,12 +3,13 @@ lattice of the searches (T6)."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import chunks as ch
+
 
 HASH_BITS = 60          # hash = first 15 hex digits of md5
 BUCKET_BITS = 20        # histogram resolution of the cut search
@@ -27,28 +28,29 @@ def row_hash(seed: int, id_cols: Sequence[str]) -> F.Column:
 def train_test_split(df: DataFrame, id_cols: Sequence[str], test_size: float = 0.2, seed: int = 1234,
                      keys: Sequence[str] = (), flag: str = "is_test") -> DataFrame:
     """Exactly ``ceil(test_size·n)`` rows per series get ``is_test``:
-    those with the smallest hash (ties by the id columns).
-
-    No global sort: a histogram of the hash's top bits per series finds the
-    border bucket (one small aggregate); only rows of that bucket are ranked,
-    in a window over ``(keys, bucket)``."""
-    h = row_hash(seed, id_cols)
-    d = df.withColumn("__h", h).withColumn("__bk", F.shiftright("__h", HASH_BITS - BUCKET_BITS))
-    hist = d.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__c"))
-    wk = Window.partitionBy(*keys)
-    hist = (hist.withColumn("__n", F.sum("__c").over(wk))
-                .withColumn("__before", F.coalesce(F.sum("__c").over(
-                    wk.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .withColumn("__target", F.ceil(F.col("__n") * F.lit(float(test_size))))
-                .withColumn("__need", F.col("__target") - F.col("__before")))
-    d = d.join(hist.select(*keys, "__bk", "__c", "__need"), [*keys, "__bk"], "left")
-    border = (F.col("__need") > 0) & (F.col("__need") < F.col("__c"))
-    # whole buckets are decided by the histogram; only the border bucket of
-    # each series is ranked
-    whole = d.filter(~border).withColumn(flag, F.col("__need") >= F.col("__c"))
-    rank = F.row_number().over(Window.partitionBy(*keys, "__bk").orderBy("__h", *id_cols))
-    part = d.filter(border).withColumn(flag, rank <= F.col("__need"))
-    return whole.unionByName(part).drop("__h", "__bk", "__c", "__need")
+    those with the smallest hash (ties by the id columns, which tell the rows
+    of a series apart).
+
+    No global sort and no shuffle of the rows: a histogram of the hash's top
+    bits per series finds the bucket that holds the last test row, only that
+    bucket's rows are ranked, and the row it ends with is the cut that every
+    row is compared with.  A series whose key is NULL is a series."""
+    d = df.withColumn("__h", row_hash(seed, id_cols)).withColumn("__bk", F.shiftright("__h", HASH_BITS - BUCKET_BITS))
+    d = ch.with_key(d, keys)
+    kc = ch.key_cols(keys)
+    hist = d.groupBy(*kc, "__bk").agg(F.count(F.lit(1)).alias("__c"))
+    wk = Window.partitionBy(*kc)
+    hist = (hist.withColumn("__target", F.ceil(F.sum("__c").over(wk) * F.lit(float(test_size))))
+                .withColumn("__upto", F.sum("__c").over(wk.orderBy("__bk").rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("__need", F.col("__target") - F.col("__upto") + F.col("__c")))
+    last = hist.filter((F.col("__need") > 0) & (F.col("__need") <= F.col("__c"))).select(*kc, "__bk", "__need")
+    rank = F.row_number().over(Window.partitionBy(*kc, "__bk").orderBy("__h", *id_cols))
+    inside = d.select(*kc, "__bk", "__h", *[c for c in id_cols]).join(last, [*kc, "__bk"]).withColumn("__rank", rank)
+    cut = inside.filter(F.col("__rank") <= F.col("__need"))
+    place = F.struct("__h", *id_cols)
+    cut = cut.groupBy(*kc).agg(F.max(place).alias("__cut"))
+    d = d.join(cut, kc, "left") if kc else ch.attach(d, cut, ())
+    return d.withColumn(flag, F.coalesce(place <= F.col("__cut"), F.lit(False))).drop("__h", "__bk", "__cut", ch.KEY)
 
 
 def column_subsets(spark: SparkSession, columns: Sequence[str], max_size: int | None = None,
@@ -72,7 +74,3 @@ def column_subsets(spark: SparkSession, columns: Sequence[str], max_size: int |
 
 def subset_count(n: int) -> int:
     return 2 ** n - 1
-
-
-def exact_test_size(n: int, test_size: float) -> int:
-    return math.ceil(test_size * n)
