@@ -17,8 +17,6 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stats import evaluate
-
 
 def fit_forest(train: DataFrame, columns: Sequence[str], label: str, trees: int = 300, depth: int = 12,
                seed: int = 1234, max_bins: int = 64) -> RandomForestRegressionModel:
@@ -46,29 +44,3 @@ def importance_text(importances_col: str = "feature_importances"):
     """The sorted importances as text lines ``"0.12345 - column"``."""
     return F.transform(F.col(importances_col),
                        lambda s: F.concat(F.format_number(s["importance"], 5), F.lit(" - "), s["column"]))
-
-
-def run_forest(prepared: DataFrame, columns: Sequence[str], label: str, trees: int = 100, depth: int = 6,
-               flag: str = "is_test", error_term: float = 2.0, seed: int = 1234,
-               model: RandomForestRegressionModel | None = None):
-    """One model: fit on the train rows (unless a loaded ``model`` is given:
-    S10 — then only the test rows are scored) and evaluate on the test rows.
-    Returns ``(result_row_df, model)``."""
-    train = prepared.filter(~F.col(flag))
-    test = prepared.filter(F.col(flag))
-    if model is None:
-        model = fit_forest(train, columns, label, trees, depth, seed)
-    pred = predict(model, test, columns)
-    res = evaluate(pred, len(columns), label=label, error_term=error_term)
-    imp = importances(model, columns)
-    imp_col = F.array(*[F.struct(F.lit(d["importance"]).alias("importance"), F.lit(d["column"]).alias("column"))
-                        for d in imp])
-    train_len = train.count() if model is not None else None
-    res = res.select(
-        "r2_score", "aicc", "ci95", "ci95_span",
-        F.array(*[F.lit(c) for c in columns]).alias("input_columns"),
-        imp_col.alias("feature_importances"),
-        F.lit(float(trees)).alias("__t"), "test_length",
-    ).withColumn("train_length", F.lit(train_len).cast("bigint")) \
-     .withColumn("n_estimators", F.lit(trees)).withColumn("max_depth", F.lit(depth)).drop("__t")
-    return res, model

@@ -36,12 +36,14 @@ def _as_doubles(c: str) -> F.Column:
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16,), features: str = "features",
-                label: str = "label", id_col: str = "id", clusters: int = 32, seed: int = 7,
+                label: str = "label", id_col: str = "id", clusters: int | None = None, seed: int = 7,
                 block_rows: int = 20_000) -> DataFrame:
     """Distance-weighted k-NN predictions for every ``k`` in ``k_values``
     from one neighbour search: ``(id, k, prediction)``.  Weights are
     ``1/d``; when neighbours at distance 0 exist only they count."""
     kmax = max(k_values)
+    if clusters is None:                                 # a bounded list that grows with the train rows
+        clusters = int(min(512, max(32, math.sqrt(train.count()) / 8)))
     tr = train.select(F.col(id_col).alias("rid"), _as_doubles(features).alias("f"),
                       F.col(label).cast("double").alias("y"))
     te = test.select(F.col(id_col).alias("tid"), _as_doubles(features).alias("f"))
@@ -75,23 +77,27 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
                 rows, cols = np.nonzero((lower <= bound[:, None]) & (counts > 0)[None, :])
                 out_t = pdf["tid"].to_numpy()[rows]
                 out_c = cols
-            yield pd.DataFrame({"tid": pd.Series(out_t, dtype="int64"), "cluster": pd.Series(out_c, dtype="int32")})
+            yield pd.DataFrame({"tid": pd.Series(out_t, dtype=pdf["tid"].dtype), "cluster": pd.Series(out_c, dtype="int32")})
     tid_type = te.schema["tid"].dataType
     cand_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("cluster", T.IntegerType())])
     cand = te.select("tid", "f").mapInPandas(candidates, cand_schema)
     # big clusters are cut into sub-blocks of at most `block_rows` train rows
-    # (test candidates are copied to each sub-block), so no group is unbounded
+    # (test candidates are copied to each sub-block) and test rows into parts
+    # of about as many (train rows are copied to each), so no group is unbounded
+    parts = max(1, math.ceil(te.count() / block_rows))
     nsub = {int(j): max(1, int(math.ceil(c / block_rows))) for j, c in enumerate(counts)}
     nsub_arr = F.array(*[F.lit(nsub.get(j, 1)) for j in range(len(cmat))]) if len(cmat) else F.array(F.lit(1))
     tr_b = tr.withColumn("sub", F.pmod(F.xxhash64("rid"), F.element_at(nsub_arr, F.col("cluster") + 1)).cast("int"))
     cand_b = cand.withColumn("sub", F.explode(F.sequence(F.lit(0), F.element_at(nsub_arr, F.col("cluster") + 1) - 1)))
-    cand_b = cand_b.join(te, "tid").select("cluster", "sub", "tid", F.col("f").alias("tf"))
+    cand_b = cand_b.join(te, "tid").select(
+        "cluster", "sub", F.pmod(F.xxhash64("tid"), F.lit(parts)).cast("int").alias("part"), "tid", F.col("f").alias("tf"))
+    tr_b = tr_b.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     out_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("rid", tr.schema["rid"].dataType),
                                T.StructField("y", T.DoubleType()), T.StructField("d", T.DoubleType())])
 
     def local_topk(tests: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
         if tests.empty or trains.empty:
-            return pd.DataFrame({"tid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
+            return pd.DataFrame({"tid": tests["tid"].iloc[:0], "rid": trains["rid"].iloc[:0],
                                  "y": pd.Series([], dtype="float64"), "d": pd.Series([], dtype="float64")})
         x = np.stack([np.asarray(v, dtype=float) for v in trains["f"]])
         rid = trains["rid"].to_numpy()
@@ -113,8 +119,8 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
             r, c = r[keep], c[keep]
             out.append(pd.DataFrame({"tid": tids[lo + r], "rid": rid[c], "y": y[c], "d": d[r, c]}))
         return pd.concat(out, ignore_index=True)
-    near = (cand_b.groupBy("cluster", "sub")
-            .cogroup(tr_b.select("cluster", "sub", "rid", "f", "y").groupBy("cluster", "sub"))
+    near = (cand_b.groupBy("cluster", "sub", "part")
+            .cogroup(tr_b.select("cluster", "sub", "part", "rid", "f", "y").groupBy("cluster", "sub", "part"))
             .applyInPandas(local_topk, out_schema))
     top = near.withColumn("rank", F.row_number().over(
         Window.partitionBy("tid").orderBy("d", "rid"))).filter(F.col("rank") <= kmax)

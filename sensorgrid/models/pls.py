@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,15 +31,17 @@ class PLSModel:
     y_std: float
     coefs: dict[int, np.ndarray]      # component count → coefficients on raw X
 
-    def predict(self, df: DataFrame, features: str = "features", n_components: int | None = None,
-                out: str = "prediction") -> DataFrame:
-        n = n_components or max(self.coefs)
-        beta = self.coefs[n]
+    def prediction(self, features: str, n_components: int) -> Column:
+        beta = self.coefs[n_components]
         intercept = self.y_mean - float(np.dot(self.x_mean, beta))
         b = F.array(*[F.lit(float(v)) for v in beta])
         dot = F.aggregate(F.zip_with(F.col(features), b, lambda x, w: x.cast("double") * w),
                           F.lit(0.0), lambda acc, v: acc + v)
-        return df.withColumn(out, dot + F.lit(intercept))
+        return dot + F.lit(intercept)
+
+    def predict(self, df: DataFrame, features: str = "features", n_components: int | None = None,
+                out: str = "prediction") -> DataFrame:
+        return df.withColumn(out, self.prediction(features, n_components or max(self.coefs)))
 
 
 def _moments(df: DataFrame, features: str, label: str):

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import catalog
@@ -68,107 +68,96 @@ def corr_pearson(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 
 
 # ------------------------------------------------------------------ A13 Spearman
-def average_ranks(values: DataFrame, column: str, buckets: int = 64) -> DataFrame:
+def _buckets(rows: int) -> int:
+    """Ordered buckets of values, so that one holds a bounded number."""
+    return int(min(4096, max(64, math.ceil(rows / 500_000))))
+
+
+def average_ranks(long: DataFrame, grp: Sequence[str], buckets: int) -> DataFrame:
     """Average rank (1-based, ties share the mean rank) of every distinct
-    value: ``(column, __rank)``.
-
-    Works on the value-frequency table, so repeated values cost nothing.
-    The global prefix count is split in two levels: approximate quantile
-    cuts put distinct values into ``buckets`` ordered buckets; bucket totals
-    (bounded by ``buckets`` rows) give each bucket's offset, and a window
-    inside each bucket adds the local prefix."""
-    freq = values.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__cnt"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = freq.agg(F.percentile_approx(column, fractions, 10_000).alias("__cuts"))
-    f = ch.attach(freq, cuts, [])
-    f = f.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col(column)))).drop("__cuts")
-    tot = f.groupBy("__b").agg(F.sum("__cnt").alias("__bt"))
-    from pyspark.sql import Window
-    tot = tot.withColumn("__boff", F.coalesce(
-        F.sum("__bt").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    f = f.join(F.broadcast(tot.select("__b", "__boff")), "__b")  # at most `buckets` rows
-    w = Window.partitionBy("__b").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("__cnt").over(w), F.lit(0))
-    rank = F.col("__boff") + before + (F.col("__cnt") + 1) / 2.0
-    return f.select(column, rank.cast("double").alias("__rank"))
-
-
-def average_ranks_many(df: DataFrame, columns: Sequence[str], buckets: int = 64,
-                       keys: Sequence[str] = ()) -> DataFrame:
-    """``average_ranks`` for several columns (per series when ``keys`` are
-    given) in one set of stages: the columns are unpivoted to
-    ``(keys…, column, value)`` so one frequency table, one quantile
-    aggregate and one pair of windows serve all of them.
-    Returns ``(keys…, column, value, __rank)`` (values as double)."""
-    from pyspark.sql import Window
-    long = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("__p")
-    ).select(*keys, "__p.column", "__p.value").filter(F.col("value").isNotNull())
-    grp = [*keys, "column"]
+    value of each group: ``(grp…, value, __rank)`` from ``(grp…, value)``.
+
+    Works on the value-frequency table, so repeated values cost nothing.  The
+    prefix count is split in two levels: approximate quantile cuts put
+    distinct values into ordered buckets; bucket totals (at most ``buckets``
+    rows a group) give each bucket's offset, and a window inside each bucket
+    adds the local prefix."""
+    long = long.select(*grp, "value").filter(F.col("value").isNotNull())
     freq = long.groupBy(*grp, "value").agg(F.count(F.lit(1)).alias("__cnt"))
     fractions = [i / buckets for i in range(1, buckets)]
-    cuts = freq.groupBy(*grp).agg(F.percentile_approx("value", fractions, 10_000).alias("__cuts"))
-    f = freq.join(cuts, grp)                                     # one row per (series, column)
+    cuts = freq.groupBy(*grp).agg(F.percentile_approx("value", fractions, max(10_000, 20 * buckets)).alias("__cuts"))
+    f = freq.join(cuts, list(grp))
     f = f.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
     tot = f.groupBy(*grp, "__b").agg(F.sum("__cnt").alias("__bt"))
     tot = tot.withColumn("__boff", F.coalesce(F.sum("__bt").over(
         Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    f = f.join(tot.select(*grp, "__b", "__boff"), [*grp, "__b"])  # ≤ buckets rows per (series, column)
+    f = f.join(tot.select(*grp, "__b", "__boff"), [*grp, "__b"])
     w = Window.partitionBy(*grp, "__b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col("__boff") + F.coalesce(F.sum("__cnt").over(w), F.lit(0)) + (F.col("__cnt") + 1) / 2.0
     return f.select(*grp, "value", rank.cast("double").alias("__rank"))
 
 
-def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int = 64, keys: Sequence[str] = ()) -> DataFrame:
+def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks (per series when ``keys`` are given).
     Ranks are taken on the pair's complete rows; columns without NULLs are
-    ranked once, together, and shared by all their pairs."""
+    ranked once, together, and shared by all their pairs; the pairs with a
+    column that has NULLs are ranked together, in one long table keyed by the
+    pair."""
     from ..session import cut_lineage
-    nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns]).first().asDict()
-
-    def with_ranks(frame, cols, ranks):
-        d = frame
-        for c in cols:
-            r = ranks.filter(F.col("column") == c).select(
-                *[F.col(k).alias(f"__k_{k}") for k in keys],
-                F.col("value").alias(f"__v_{c}"), F.col("__rank").alias(f"__r_{c}"))
-            cond = [F.col(k) == F.col(f"__k_{k}") for k in keys] + [F.col(c).cast("double") == F.col(f"__v_{c}")]
-            d = d.join(r, cond, "left").drop(*[f"__k_{k}" for k in keys], f"__v_{c}")
-        return d
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    buckets = buckets or _buckets(row["n"])
+    full = [c for i, c in enumerate(columns) if row[f"c{i}"] == row["n"]]
+    df = ch.with_key(df, keys)
+    kc = ch.key_cols(keys)
+    value = lambda c: F.col(c).cast("double")
 
     pieces = []
-    full = [c for c in columns if nulls[c] == 0]
     if full:
-        base = df.select(*keys, *full)
+        base = df.select(*kc, *[value(c).alias(c) for c in full])
+        long = base.select(*kc, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in full])).alias("__p"))
         # rank maps hold distinct values only; checkpointed because every
         # column's join reads them
-        ranks = cut_lineage(average_ranks_many(base, full, buckets, keys))
-        shared = with_ranks(base, full, ranks)
+        ranks = cut_lineage(average_ranks(long.select(*kc, "__p.column", "__p.value"), [*kc, "column"], buckets))
+        shared = base
+        for c in full:
+            own = ranks.filter(F.col("column") == c).select(*kc, F.col("value").alias(c), F.col("__rank").alias(f"__r_{c}"))
+            shared = shared.join(own, [*kc, c], "left")
         todo = [(i, a, b) for i, (a, b) in enumerate(_pairs(columns)) if a in full and b in full]
-        wide = shared.groupBy(*keys).agg(*[x for i, a, b in todo for x in (
+        wide = shared.groupBy(*kc).agg(*[x for i, a, b in todo for x in (
             F.corr(f"__r_{a}", f"__r_{b}").alias(f"c{i}"), F.count(F.lit(1)).alias(f"n{i}"))])
         cells = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                              F.col(f"c{i}").alias("corr"), F.col(f"n{i}").alias("n"))
                                     for i, a, b in todo]))
-        pieces.append(wide.select(*keys, cells.alias("__c")).select(*keys, "__c.*"))
-    for a, b in _pairs(columns):
-        if a in full and b in full:
-            continue
-        sub = df.select(*keys, *dict.fromkeys([a, b])).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        cols = list(dict.fromkeys([a, b]))
-        rk = with_ranks(sub, cols, average_ranks_many(sub, cols, buckets, keys))
-        pieces.append(rk.groupBy(*keys).agg(F.corr(f"__r_{a}", f"__r_{b}").alias("corr"),
-                                            F.count(F.lit(1)).alias("n"))
-                      .select(*keys, F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "corr", "n"))
+        pieces.append(wide.select(*kc, cells.alias("__c")).select(*kc, "__c.*"))
+    other = [(a, b) for a, b in _pairs(columns) if a not in full or b not in full]
+    if other:
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("pair"), value(a).alias("va"), value(b).alias("vb"))
+                                    for i, (a, b) in enumerate(other)]))
+        rows = df.select(*kc, cells.alias("__c")).select(*kc, "__c.*").filter(F.col("va").isNotNull() & F.col("vb").isNotNull())
+        sides = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("va").alias("value")),
+                                  F.struct(F.lit("b").alias("side"), F.col("vb").alias("value"))))
+        long = rows.select(*kc, "pair", sides.alias("__s")).select(*kc, "pair", "__s.*")
+        ranks = cut_lineage(average_ranks(long, [*kc, "pair", "side"], buckets))
+        for side in ("a", "b"):
+            own = ranks.filter(F.col("side") == side).select(*kc, "pair", F.col("value").alias("v" + side), F.col("__rank").alias("r" + side))
+            rows = rows.join(own, [*kc, "pair", "v" + side])
+        names = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b")) for a, b in other])
+        each = rows.groupBy(*kc, "pair").agg(F.corr("ra", "rb").alias("corr"), F.count(F.lit(1)).alias("n"))
+        # a pair without any complete row has no correlation and n = 0
+        every = (df.select(*kc).distinct() if kc else df.sparkSession.range(1).select()).select(
+            *kc, F.explode(F.sequence(F.lit(0), F.lit(len(other) - 1))).alias("pair"))
+        each = every.join(each, [*kc, "pair"], "left")
+        pieces.append(each.select(*kc, F.element_at(names, F.col("pair") + 1).alias("__c"), "corr", F.coalesce("n", F.lit(0)).alias("n"))
+                      .select(*kc, "__c.*", "corr", "n"))
     upper = pieces[0]
     for p in pieces[1:]:
         upper = upper.unionByName(p)
     mirrored = F.explode(F.array(
         F.struct(F.col("col_a"), F.col("col_b")),
         F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"))))
-    out = (upper.select(*keys, mirrored.alias("__k"), "corr", "n")
-           .select(*keys, "__k.col_a", "__k.col_b", "corr", "n").dropDuplicates([*keys, "col_a", "col_b"]))
-    return out.select(*keys, F.lit("spearman").alias("method"), "col_a", "col_b",
+    out = (upper.select(*kc, mirrored.alias("__k"), "corr", "n")
+           .select(*kc, "__k.col_a", "__k.col_b", "corr", "n").dropDuplicates([*kc, "col_a", "col_b"]))
+    return out.select(*([f"{ch.KEY}.*"] if keys else []), F.lit("spearman").alias("method"), "col_a", "col_b",
                       F.when(~F.isnan("corr"), F.col("corr")).alias("corr"), "n")
 
 
@@ -246,7 +235,7 @@ def _cross_block_sum(pdf: pd.DataFrame) -> float:
     return float((m * (concord - left)).sum())
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequence[str] = ()) -> DataFrame:
+def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Kendall's tau-b of one column pair (per series when ``keys`` are
     given) without an n² join.
 
@@ -256,8 +245,10 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequenc
     counted from the bounded block×block weight table of each series;
     pairs sharing an a-block, or sharing a b-block across a-blocks, are
     counted exactly per block (grouped pandas, vectorised merge counting).
-    Blocks holding a single value are skipped: their pairs tie."""
+    Blocks holding a single value are skipped: their pairs tie.  The number
+    of blocks grows with the rows, so that a block holds a bounded number."""
     from ..session import cut_lineage
+    blocks = blocks or kendall_blocks(df.count())
     grp = list(keys) if keys else ["__all"]
     sub = df.select(*keys, F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
@@ -268,12 +259,11 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequenc
     # cut arrays (≤ 2·blocks numbers per series) checkpointed: a recomputed
     # partition after an executor loss then sees exactly the same blocks
     cuts = cut_lineage(sub.groupBy(*grp).agg(
-        F.array_distinct(F.percentile_approx("a", fr, 10_000)).alias("ca"),
-        F.array_distinct(F.percentile_approx("b", fr, 10_000)).alias("cb")))
-    c = combos.join(cuts, grp).select(*grp, "a", "b", "w", _block_expr(F.col("a"), F.col("ca")).alias("ba"),
+        F.array_distinct(F.percentile_approx("a", fr, max(10_000, 20 * blocks))).alias("ca"),
+        F.array_distinct(F.percentile_approx("b", fr, max(10_000, 20 * blocks))).alias("cb")))
+    c = ch.join_on_keys(combos, cuts, grp, how="inner").select(*grp, "a", "b", "w", _block_expr(F.col("a"), F.col("ca")).alias("ba"),
                                       _block_expr(F.col("b"), F.col("cb")).alias("bb"))
     c = cut_lineage(c)
-    schema = "s double"
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields if f.name in grp)
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -288,23 +278,22 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequenc
            .groupBy(*grp).applyInPandas(cross, f"{key_schema}, s double"))
     # same a-block: exact by a, then b
     span_a = c.groupBy(*grp, "ba").agg((F.min("a") < F.max("a")).alias("multi")).filter("multi").drop("multi")
-    s_a = (c.join(span_a, [*grp, "ba"]).select(*grp, "ba", F.col("a").alias("p"), F.col("b").alias("q"), "w")
+    s_a = (ch.join_on_keys(c, span_a, grp, ["ba"], "inner").select(*grp, "ba", F.col("a").alias("p"), F.col("b").alias("q"), "w")
            .groupBy(*grp, "ba").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
                                               f"{key_schema}, s double"))
     # same b-block, different a-blocks: the a-order is known from the block
     span_b = c.groupBy(*grp, "bb").agg((F.min("b") < F.max("b")).alias("multi")).filter("multi").drop("multi")
-    s_b = (c.join(span_b, [*grp, "bb"]).select(*grp, "bb", F.col("ba").cast("double").alias("p"),
+    s_b = (ch.join_on_keys(c, span_b, grp, ["bb"], "inner").select(*grp, "bb", F.col("ba").cast("double").alias("p"),
                                                F.col("b").alias("q"), "w")
            .groupBy(*grp, "bb").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
                                               f"{key_schema}, s double"))
-    del schema
     signed = (s_x.unionByName(s_a).unionByName(s_b).groupBy(*grp).agg(F.sum("s").alias("S")))
     ties_a = c.groupBy(*grp, "a").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
         F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
     ties_b = c.groupBy(*grp, "b").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
         F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))
     tot = c.groupBy(*grp).agg(F.sum("w").alias("n"))
-    r = tot.join(ties_a, grp).join(ties_b, grp).join(signed, grp, "left")
+    r = ch.join_on_keys(ch.join_on_keys(ch.join_on_keys(tot, ties_a, grp), ties_b, grp), signed, grp)
     n0 = F.col("n") * (F.col("n") - 1) / 2
     denom = (n0 - F.col("n1")) * (n0 - F.col("n2"))
     tau = F.when(denom > 0, F.coalesce(F.col("S"), F.lit(0.0)) / F.sqrt(denom))
@@ -312,9 +301,16 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int = 32, keys: Sequenc
                     tau.alias("corr"), F.col("n").cast("bigint").alias("n"))
 
 
-def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int = 32, keys: Sequence[str] = ()) -> DataFrame:
+def kendall_blocks(rows: int) -> int:
+    """Blocks for a number of rows: about 100,000 of them in each, and no
+    more blocks than their table of weights has room for."""
+    return int(min(2000, max(32, math.ceil(rows / 100_000))))
+
+
+def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """A14 for every column pair (diagonal: 1, or NULL for a constant)."""
     from concurrent.futures import ThreadPoolExecutor
+    blocks = blocks or kendall_blocks(df.count())
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     # each pair checkpoints its collapsed table first: do those jobs concurrently
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(pairs)))) as pool:
@@ -362,13 +358,13 @@ def evaluate(pred: DataFrame, n_columns: int, label: str = "label", prediction:
 # ------------------------------------------------------------------ W10 T2 T5
 def akaike_weights(results: DataFrame, partition: Sequence[str] = (), aicc: str = "aicc") -> DataFrame:
     """``delta = aicc - min(aicc)``; ``weight = exp(-delta/2) / Σ``
-    per result set; sorted by AICc.  Two small aggregates joined back (no
-    window over a whole result set)."""
+    per result set, in ascending order of AICc.  Two small
+    aggregates joined back (no window over a whole result set)."""
     mins = results.groupBy(*partition).agg(F.min(aicc).alias("__min"))
     d = ch.attach(results, mins, partition).withColumn("delta", F.col(aicc) - F.col("__min"))
     sums = d.groupBy(*partition).agg(F.sum(F.exp(-F.col("delta") / 2)).alias("__sum"))
     d = ch.attach(d, sums, partition).withColumn("weight", F.exp(-F.col("delta") / 2) / F.col("__sum"))
-    return d.drop("__min", "__sum")
+    return d.drop("__min", "__sum").orderBy(*partition, aicc)
 
 
 def best_models(results: DataFrame, k: int = 1, partition: Sequence[str] = (), aicc: str = "aicc",
