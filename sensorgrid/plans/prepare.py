@@ -24,7 +24,8 @@ def prepare(df: DataFrame, target: str = catalog.TARGET, keys: Sequence[str] = (
     """W12, in the reference's order: time range → drop model-excluded
     columns → target NULL→0 → interpolate (≤ 4 per gap) → drop rows with
     fewer than ``min_valid`` values → remaining NULL→0 → min/max scaling
-    over the whole table → Month and Hour (unscaled)."""
+    over the whole series (each key is prepared by itself) → Month and Hour
+    (unscaled)."""
     d = timeops.time_range(df, time_range, ts)
     d = scalar.drop_columns(d, list(drop) if drop is not None else catalog.model_drop_list(d.columns))
     measures = measure_columns(d, keys, ts)
@@ -32,7 +33,7 @@ def prepare(df: DataFrame, target: str = catalog.TARGET, keys: Sequence[str] = (
     d = ordered.interpolate(d, [c for c in measures if c != target], keys=keys, ts=ts, limit=interpolate_limit)
     d = scalar.drop_sparse_rows(d, min_valid, subset=measures)
     d = scalar.fill_value(d, 0.0, measures)
-    d = ordered.minmax_scale(d, measures, keys=())
+    d = ordered.minmax_scale(d, measures, keys=keys)
     return timeops.add_month_hour(d, ts)
 
 
@@ -65,18 +66,7 @@ def with_split(prepared: DataFrame, id_cols: Sequence[str], test_size: float = 0
     return train_test_split(prepared, id_cols, test_size, seed, keys)
 
 
-def night_variant(split_df: DataFrame, ts: str = "ts") -> DataFrame:
-    return timeops.exclude_nights(split_df, catalog.NIGHT_START_MODEL, catalog.NIGHT_END, ts)
-
-
 def trend_table(prepared: DataFrame, columns: Sequence[str], hours=catalog.TREND_SWEEP_HOURS,
                 keys: Sequence[str] = (), ts: str = "ts") -> DataFrame:
     """Trends after scaling (their 2-place rounding acts on 0..1 values)."""
     return ordered.trend_sweep(prepared, columns, hours=hours, keys=keys, ts=ts)
-
-
-def drop_constant(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns whose scaled values are all NULL (constant input) are
-    left out of the features (one aggregate)."""
-    row = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c] > 0]

@@ -13,9 +13,13 @@ runs already stored (left-anti join on the run key).
 from __future__ import annotations
 
 import math
+import threading
+import warnings
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import combinations, islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +27,7 @@ from pyspark.sql import types as T
 from ..models import forest as rf
 from ..models.pls import fit_pls
 from ..operators import stats, timeops
-from ..operators.split import column_subsets, row_hash
+from ..operators.split import row_hash
 from ..session import cut_lineage
 
 RESULT_SCHEMA = T.StructType([
@@ -54,28 +58,35 @@ def run_key(columns: Sequence[str], **params) -> str:
     return "|".join(columns) + "#" + p
 
 
+def _missing(exc: AnalysisException) -> bool:
+    return (exc.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 class ResultStore:
-    """Results appended as Parquet partitioned by search id; resume =
-    left-anti join of the planned runs with what is stored."""
+    """Results appended as Parquet partitioned by search id; a resumed
+    search makes the planned runs that are not stored and returns all."""
 
     def __init__(self, spark: SparkSession, path: str | None):
         self.spark, self.path = spark, path
+        self._one = threading.Lock()                  # appends to one folder must not overlap
 
-    def done(self, search_id: str) -> DataFrame | None:
+    def stored(self, search_id: str) -> DataFrame | None:
+        """Rows of a search (None: nothing stored; any other failure to read
+        is raised)."""
         if not self.path:
             return None
         try:
-            return self.spark.read.parquet(self.path).filter(F.col("search_id") == search_id).select("run_key")
-        except Exception:  # noqa: BLE001 - nothing stored yet
-            return None
+            rows = self.spark.read.schema(RESULT_SCHEMA).parquet(self.path)
+        except AnalysisException as exc:
+            if _missing(exc):
+                return None
+            raise
+        return rows.filter(F.col("search_id") == search_id)
 
     def append(self, rows: DataFrame) -> None:
         if self.path:
-            rows.write.mode("append").partitionBy("search_id").parquet(self.path)
-
-    def pending(self, search_id: str, runs: DataFrame) -> DataFrame:
-        done = self.done(search_id)
-        return runs if done is None else runs.join(done, "run_key", "left_anti")
+            with self._one:
+                rows.write.mode("append").partitionBy("search_id").parquet(self.path)
 
 
 class ModelSearch:
@@ -87,11 +98,16 @@ class ModelSearch:
         # one partition per core at least (a fit's per-level aggregation runs
         # in parallel), more when the table is large; half the cores' worth of
         # fits run concurrently (measured best on 8 cores)
-        n = prepared.count()
+        if checkpoint:
+            prepared = cut_lineage(prepared)          # once: the count and the table read it
+        names = [f.name for f in prepared.schema.fields if f.name != flag]
+        row = prepared.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(names)]).first()
+        n = row["n"]
+        self._empty = {c for i, c in enumerate(names) if not row[f"c{i}"]}
         parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(n / rows_per_partition))
         prepared = prepared.repartition(parts)
-        # checkpointed (reliable, lineage cut) and kept in memory for the many fits
-        self.data = (cut_lineage(prepared) if checkpoint else prepared).persist()
+        # kept in memory for the many fits
+        self.data = prepared.persist()
         self.rows = n
         self.label, self.flag = label, flag
         self.parallelism = parallelism or max(2, self.spark.sparkContext.defaultParallelism // 2)
@@ -116,8 +132,17 @@ class ModelSearch:
         return self._train_len
 
     # -- one forest run → one result row (plain python dict)
+    def usable(self, columns: Sequence[str]) -> list[str]:
+        """The columns that hold a value in any row: one that was constant is
+        all NULL once scaled and cannot enter a model (a warning names it)."""
+        gone = [c for c in columns if c in self._empty]
+        if gone:
+            warnings.warn(f"columns without any value are left out of the model: {', '.join(gone)}", stacklevel=2)
+        return [c for c in columns if c not in gone]
+
     def _forest_row(self, search_id, columns, trees, depth, error_term=2.0, hours=None, data=None,
                     train_len=None):
+        key_columns, columns = columns, self.usable(columns)
         data = data if data is not None else self.data
         train = data.filter(~F.col(self.flag))
         test = data.filter(F.col(self.flag))
@@ -125,7 +150,7 @@ class ModelSearch:
         pred = rf.predict(model, test, columns)
         m = stats.evaluate(pred, len(columns), label=self.label, error_term=error_term).first()
         return {
-            "search_id": search_id, "run_key": run_key(columns, trees=trees, depth=depth, hours=hours),
+            "search_id": search_id, "run_key": run_key(key_columns, trees=trees, depth=depth, hours=hours),
             "size": len(columns), "r2_score": m["r2_score"], "aicc": m["aicc"],
             "ci95": (m["ci95"]["lo"], m["ci95"]["hi"]), "ci95_span": m["ci95_span"],
             "input_columns": list(columns),
@@ -141,54 +166,82 @@ class ModelSearch:
         tuples = [tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows]
         return self.spark.createDataFrame(tuples, RESULT_SCHEMA)
 
-    def run_batches(self, search_id: str, batches: Iterable[list[tuple]], fn) -> DataFrame:
-        """Run ``fn(*args)`` for every planned run, batch by batch (e.g. one
-        batch per subset size); append each finished batch to the store."""
-        out = []
+    def run_batches(self, search_id: str, batches: Iterable[list[tuple]], fn, key=None) -> DataFrame:
+        """Run ``fn(search id, *args)`` for every planned run, batch by batch
+        (e.g. one batch per subset size), and append each finished batch to
+        the store.  Runs whose ``key(*args)`` is stored are not made again;
+        the result holds the stored and the new rows of the planned runs.
+
+        ``batches`` is read as the runs go (at most some batches ahead), so a
+        long list of runs is never held whole."""
+        before = self.store.stored(search_id)
+        old = {r["run_key"]: r.asDict() for r in before.collect()} if before is not None else {}
+        out, waiting = [], []
+
+        def finish(batch):
+            rows = [f.result() for f in batch]
+            if rows:
+                self.store.append(self._to_df(rows))
+            out.extend(rows)
+
         with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
-            # every run is submitted at once (no barrier between batches);
-            # a batch is appended to the store as soon as all its runs are done
-            futures = [[pool.submit(fn, *args) for args in batch] for batch in batches]
-            for batch in futures:
-                rows = [f.result() for f in batch]
-                if rows:
-                    self.store.append(self._to_df(rows))
-                out += rows
+            for batch in batches:
+                todo = []
+                for args in batch:
+                    k = key(*args) if key else None
+                    if k in old:
+                        out.append({n: old[k][n] for n in RESULT_SCHEMA.fieldNames()})
+                    else:
+                        todo.append(pool.submit(fn, search_id, *args))
+                waiting.append(todo)
+                while sum(len(b) for b in waiting) > 8 * self.parallelism:
+                    finish(waiting.pop(0))
+            for batch in waiting:
+                finish(batch)
         return self._to_df(out) if out else self.spark.createDataFrame([], RESULT_SCHEMA)
 
+    def _forest_runs(self, search_id, batches, data=None, train_len=None):
+        """Forest runs ``(columns, trees, depth)``, without those stored."""
+        return self.run_batches(
+            search_id, batches, lambda sid, cols, trees, depth: self._forest_row(sid, cols, trees, depth, data=data, train_len=train_len),
+            key=lambda cols, trees, depth: run_key(cols, trees=trees, depth=depth, hours=None))
+
+    def _without_nights(self):
+        """The table without night rows (the split stays) and its train length."""
+        data = timeops.exclude_nights(self.data, ts=self.id_cols[0])
+        return data, data.filter(~F.col(self.flag)).count()
+
     # -- M5
     def grid_search_columns(self, columns: Sequence[str], trees: int = 100, depth: int = 6,
-                            max_size: int | None = None, search_id: str = "columns") -> DataFrame:
-        runs = column_subsets(self.spark, columns, max_size=max_size)
-        runs = runs.withColumn("run_key", F.concat(F.concat_ws("|", "input_columns"),
-                                                   F.lit(f"#depth={depth},trees={trees}")))
-        todo = self.store.pending(search_id, runs).orderBy("size", "subset_id").collect()
-        by_size: dict[int, list[tuple]] = {}
-        for r in todo:
-            by_size.setdefault(r["size"], []).append((search_id, list(r["input_columns"]), trees, depth))
-        return self.run_batches(search_id, [by_size[s] for s in sorted(by_size)], self._forest_row)
+                            max_size: int | None = None, search_id: str = "columns", nights: bool = True) -> DataFrame:
+        """Every subset of ``columns``, by size; ``nights=False`` fits and tests
+        without night rows, on the same split, under a search id of its own."""
+        data, train_len = (None, None) if nights else self._without_nights()
+        sizes = range(1, (max_size or len(columns)) + 1)
+        batches = ([(list(c), trees, depth) for c in part] for n in sizes for part in _pieces(combinations(columns, n), 64))
+        return self._forest_runs(search_id if nights else f"{search_id}:no_nights", batches, data, train_len)
 
     # -- M6
-    def trend_additive(self, base: Sequence[str], trends_by_column: dict[str, list[str]], trees=100, depth=6,
+    def trend_additive(self, base: Sequence[str], trends_by_column: dict[str, list[str]], trees=300, depth=12,
                        search_id: str = "trend_additive") -> DataFrame:
-        batches = [[(f"{search_id}:{col}", list(base) + [t], trees, depth) for t in tl]
-                   for col, tl in trends_by_column.items()]
-        return self.run_batches(search_id, batches, self._forest_row)
+        """For every column, the base with one of its trends at a time; the
+        runs of a column are a search of their own."""
+        out = None
+        for col, names in trends_by_column.items():
+            r = self._forest_runs(f"{search_id}:{col}", [[(list(base) + [t], trees, depth) for t in names]])
+            out = r if out is None else out.unionByName(r)
+        return out if out is not None else self.spark.createDataFrame([], RESULT_SCHEMA)
 
     # -- M7
-    def grid_search_trends(self, base: Sequence[str], trends: Sequence[str], trees=100, depth=6,
+    def grid_search_trends(self, base: Sequence[str], trends: Sequence[str], trees=300, depth=12,
                            search_id: str = "trends") -> DataFrame:
-        subs = column_subsets(self.spark, trends).orderBy("size", "subset_id").collect()
-        by_size: dict[int, list[tuple]] = {}
-        for r in subs:
-            by_size.setdefault(r["size"], []).append((search_id, list(base) + list(r["input_columns"]), trees, depth))
-        return self.run_batches(search_id, [by_size[s] for s in sorted(by_size)], self._forest_row)
+        batches = ([(list(base) + list(c), trees, depth) for c in combinations(trends, n)] for n in range(1, len(trends) + 1))
+        return self._forest_runs(search_id, batches)
 
     # -- M8
     def grid_search_hyper(self, columns: Sequence[str], trees_list: Sequence[int], depth_list: Sequence[int],
                           search_id: str = "hyper") -> DataFrame:
-        batches = [[(search_id, list(columns), t, d) for d in depth_list] for t in trees_list]
-        return self.run_batches(search_id, batches, self._forest_row)
+        return self._forest_runs(search_id, [[(list(columns), t, d) for d in depth_list] for t in trees_list])
 
     # -- M10
     def rfe(self, columns: Sequence[str], n_keep: int = 11, step: float = 0.05, trees: int = 300,
@@ -214,8 +267,8 @@ class ModelSearch:
         return self.spark.createDataFrame(rows, "column string, ranking int")
 
     # -- M11
-    def sfs(self, columns: Sequence[str], n_select: int = 11, folds: int = 5, trees: int = 100,
-            depth: int = 6) -> DataFrame:
+    def sfs(self, columns: Sequence[str], n_select: int = 11, folds: int = 5, trees: int = 300,
+            depth: int = 12) -> DataFrame:
         """Greedy forward selection by the mean R² over ``folds`` folds of
         the train part (fold = split hash mod folds); candidates of a round
         are fitted concurrently.  Returns ``(round, column, mean_r2)``."""
@@ -267,30 +320,45 @@ class ModelSearch:
     def pls_sweep(self, columns: Sequence[str], max_components: int = 11, search_id: str = "pls") -> DataFrame:
         """One moments pass → models with 1..max_components components, each
         evaluated on the test part in one aggregate."""
+        columns = self.usable(columns)
         feats = self.data.withColumn("__f", F.array(*[F.col(c).cast("double") for c in columns]))
         train, test = feats.filter(~F.col(self.flag)), feats.filter(F.col(self.flag))
         model = fit_pls(train, max_components, features="__f", label=self.label)
-        preds = None
-        for k in sorted(model.coefs):
-            p = model.predict(test, "__f", k).select(F.lit(k).alias("pls_components"), self.label, "prediction")
-            preds = p if preds is None else preds.unionByName(p)
+        # one pass over the test part: the predictions of all component counts
+        each = F.array(*[F.struct(F.lit(k).alias("k"), model.prediction("__f", k).alias("p")) for k in sorted(model.coefs)])
+        preds = test.select(self.label, F.explode(each).alias("__p")).select(
+            F.col("__p.k").alias("pls_components"), self.label, F.col("__p.p").alias("prediction"))
         res = stats.evaluate(preds, len(columns), label=self.label, keys=["pls_components"])
         return res.withColumn("input_columns", F.array(*[F.lit(c) for c in columns]))
 
 
+def _pieces(items, size: int):
+    """Lists of at most ``size`` items, read as they are asked for."""
+    items = iter(items)
+    while part := list(islice(items, size)):
+        yield part
+
+
 def time_grouping_tests(spark: SparkSession, gridded: DataFrame, label: str, columns: Sequence[str],
                         spans_hours: Sequence[float], id_cols=("ts",), keys: Sequence[str] = (),
-                        trees: int = 100, depth: int = 6, parallelism: int = 4) -> DataFrame:
+                        trees: int = 300, depth: int = 12, parallelism: int = 4, store: ResultStore | None = None,
+                        search_id: str = "time_grouping") -> DataFrame:
     """M9: for every span, A2 grouping → split → forest → metrics with
-    error term 2.1; result rows carry the span in ``data_periodicity_hrs``."""
+    error term 2.1; result rows carry the span in ``data_periodicity_hrs``.
+    Spans that the store holds are not run again."""
     from .prepare import with_split
+    store = store or ResultStore(spark, None)
+    before = store.stored(search_id)
+    old = {r["run_key"]: r.asDict() for r in before.collect()} if before is not None else {}
 
     def one(h):
+        k = run_key(list(columns), trees=trees, depth=depth, hours=float(h))
+        if k in old:
+            return old[k]
         g = timeops.time_group(gridded, f"{h} hours", keys=keys)
-        s = with_split(g, list(id_cols), keys=keys)
-        srch = ModelSearch(s, label, checkpoint=False)
-        row = srch._forest_row("time_grouping", list(columns), trees, depth, error_term=2.1, hours=float(h))
-        s.unpersist()
+        with ModelSearch(with_split(g, list(id_cols), keys=keys), label, checkpoint=False) as srch:
+            row = srch._forest_row(search_id, list(columns), trees, depth, error_term=2.1, hours=float(h))
+            store.append(srch._to_df([row]))
         return row
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(one, spans_hours))

@@ -48,14 +48,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by the cluster.
 
-    Only when the session names none (local tests) a scratch folder is set.
-    On a cluster ``spark.checkpoint.dir`` must point at shared storage.
+    Only a local session that names none gets a scratch folder; on a cluster
+    ``spark.checkpoint.dir`` must point at shared storage, and it is an error
+    if it is missing.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="sensorgrid-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path

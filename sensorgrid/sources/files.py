@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,12 +138,15 @@ def list_columns(df: DataFrame) -> DataFrame:
 
 def cached_features(spark: SparkSession, path: str, compute) -> DataFrame:
     """Load the wide feature table if it was written before, else
-    compute, write (shared storage) and load it."""
+    compute, write (shared storage) and load it.  Only a table that is not
+    there is computed; any other failure to read is raised."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not there yet
-        compute().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+    compute().write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 # Fixed value: list columns of a results file are written as Python list text.
