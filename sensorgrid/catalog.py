@@ -8,6 +8,8 @@ matching names in code.  Unknown columns fall back to name rules
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass
 
 
@@ -86,20 +88,15 @@ def alias_of(name: str) -> str:
     return info.alias if info else name
 
 
-def source_of(alias: str) -> str:
-    info = BY_ALIAS.get(alias)
-    return info.source_name if info else alias
-
-
 def info_for(name: str) -> ColumnInfo:
-    """Catalog entry for an alias or source name; unknown names get the
-    name rules (trend columns inherit max/mean from their base name)."""
+    """Catalog entry for an alias or source name; unknown names (trend columns)
+    are averaged unless the name holds ``Max`` (or, as an alias, the word
+    ``max``)."""
     if name in BY_ALIAS:
         return BY_ALIAS[name]
     if name in BY_SOURCE:
         return BY_SOURCE[name]
-    lowered = name.lower()
-    agg = "max" if ("max" in lowered or "gust" in lowered) else "mean"
+    agg = "max" if "Max" in name or re.search(r"(^|_)max($|[_ ])", name) else "mean"
     return ColumnInfo(name, name, agg, 1)
 
 

@@ -66,7 +66,3 @@ def circular_mean(c) -> Column:
         .when(ang >= 360.0, F.lit(0.0))
         .otherwise(ang)
     )
-
-
-def safe_div(a, b) -> Column:
-    return F.try_divide(col(a), col(b))

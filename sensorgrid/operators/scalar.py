@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import catalog
 from . import chunks as ch
 from .timeops import time_range
 
@@ -65,7 +66,8 @@ def parse_view_spec(spec: str) -> tuple[list[str], str | None]:
 
 
 def view(df: DataFrame, spec: str, ts: str = "ts") -> DataFrame:
-    """A named view = select the listed columns (with the stamp) and
-    slice to the optional range."""
+    """A named view = select the listed columns (with the stamp; source
+    names stand for their aliases) and slice to the optional range."""
     cols, rng = parse_view_spec(spec)
+    cols = [c if c in df.columns else catalog.alias_of(c) for c in cols]
     return time_range(df, rng, ts).select(ts, *[c for c in cols if c != ts])

@@ -3,6 +3,7 @@ anchored time grouping."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -54,24 +55,40 @@ def drop_off_grid(df: DataFrame, step_minutes: int = 15, ts: str = "ts",
     return df.filter(on_grid)
 
 
-def _to_ntz(text: str) -> F.Column:
-    return F.lit(text).cast("timestamp_ntz")
+# Resolutions of a partial stamp: pattern, what completes it, its length.
+PARTIAL_STAMPS = (
+    (r"\d{4}", "-01-01 00:00:00", "1 year"),
+    (r"\d{4}-\d{2}", "-01 00:00:00", "1 month"),
+    (r"\d{4}-\d{2}-\d{2}", " 00:00:00", "1 day"),
+    (r"\d{4}-\d{2}-\d{2}[ T]\d{2}", ":00:00", "1 hour"),
+    (r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}", ":00", "1 minute"),
+    (r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}", "", "1 second"),
+)
+
+
+def _stamp_span(text: str) -> tuple[F.Column, F.Column | None]:
+    """First instant of a (partial) stamp and the first instant after it
+    (None for a stamp with fractions, which is an instant)."""
+    for pattern, rest, length in PARTIAL_STAMPS:
+        if re.fullmatch(pattern, text):
+            first = F.lit(text + rest).cast("timestamp_ntz")
+            return first, first + F.expr(f"interval {length}")
+    return F.lit(text).cast("timestamp_ntz"), None
 
 
 def time_range(df: DataFrame, spec: str | None, ts: str = "ts") -> DataFrame:
-    """``"start,end"`` slice, both ends inclusive.  An end given as a date
-    alone covers that whole day (label-slice semantics)."""
+    """``"start,end"`` slice, both ends inclusive.  A partial end (year,
+    month, day, hour, minute, second) covers all of it, a partial start begins
+    with its first instant (label-slice semantics)."""
     if not spec:
         return df
     start, _, end = (p.strip() for p in spec.partition(","))
     cond = F.lit(True)
     if start:
-        cond = cond & (F.col(ts) >= _to_ntz(start))
+        cond = cond & (F.col(ts) >= _stamp_span(start)[0])
     if end:
-        if len(end) <= 10:  # a date: include the whole day
-            cond = cond & (F.col(ts) < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
-        else:
-            cond = cond & (F.col(ts) <= _to_ntz(end))
+        last, after = _stamp_span(end)
+        cond = cond & (F.col(ts) <= last if after is None else F.col(ts) < after)
     return df.filter(cond)
 
 

@@ -15,25 +15,27 @@ from ..operators import align, timeops
 from ..sources.tables import table
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+def events(spark: SparkSession, sf_dir: str, blank: str | None = None) -> DataFrame:
+    """The feed; ``blank`` names a series whose key is taken away (NULL)."""
+    e = table(spark, sf_dir, "events")
+    return e if blank is None else e.withColumn("event_type", F.nullif("event_type", F.lit(blank)))
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, key: str = "event_type") -> DataFrame:
+def raw_feed(spark: SparkSession, sf_dir: str, key: str = "event_type", blank: str | None = None) -> DataFrame:
     """Readings with their stamp rounded to the quarter hour, in file order
     (``event_id``): value, a second measure ``k`` from ``props``, user id."""
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir, blank)
     k = F.regexp_extract("props", K_PATTERN, 1)
     return e.select(key, "event_id", quarter("ts").alias("ts"), "value",
                     F.when(k != "", k.cast("double")).alias("k"), "user_id")
 
 
-def gridded(spark: SparkSession, sf_dir: str, key: str = "event_type") -> DataFrame:
+def gridded(spark: SparkSession, sf_dir: str, key: str = "event_type", blank: str | None = None) -> DataFrame:
     """Regular 15-minute feed per series, as the reference builds it: a
     spine from the first to the last reading (file order) with record
     numbers, each step paired with the first reading rounded onto it by the
     forward cursor; NULL where none."""
-    raw = raw_feed(spark, sf_dir, key)
+    raw = raw_feed(spark, sf_dir, key, blank)
     bounds = align.feed_bounds(raw, [key], order="event_id", first="start", last="end")
     sp = timeops.spine(bounds, [key])
     return align.pair_on_spine(sp, raw, [key], order="event_id")

@@ -166,15 +166,26 @@ wide AS (
     max(CASE WHEN event_type = 'error' THEN value END) AS error
   FROM grid GROUP BY ts)"""
 
+# The event types of the driver tables, as the oracle SQL names them.
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 
 
+def event_types(spark, sf) -> list[str]:
+    """The series present in the data (a short list of column names)."""
+    found = feeds.events(spark, sf).select("event_type").filter(F.col("event_type").isNotNull()).distinct().collect()
+    return sorted(r[0] for r in found)
+
+
 def wide_slots(spark, sf) -> DataFrame:
     """One row per quarter hour of any series' spine, one column per
     event type (at most one reading per type and step after gridding)."""
     g = feeds.gridded(spark, sf)
     return g.groupBy("ts").agg(*[F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(t)
-                                 for t in EVENT_TYPES])
+                                 for t in event_types(spark, sf)])
+
+
+def series_of(wide: DataFrame) -> list[str]:
+    return [c for c in wide.columns if c not in ("ts", "month", "hour", "is_test")]
 
 
 @register("sparse_rows", _WIDE_SQL + """
@@ -185,8 +196,10 @@ WHERE (CAST(click IS NOT NULL AS INTEGER) + CAST(view IS NOT NULL AS INTEGER)
        + CAST(purchase IS NOT NULL AS INTEGER) + CAST(signup IS NOT NULL AS INTEGER)
        + CAST(error IS NOT NULL AS INTEGER)) >= 3""")
 def q_sparse_rows(spark, sf):
-    w = scalar.drop_sparse_rows(wide_slots(spark, sf), 3, subset=list(EVENT_TYPES))
-    return w.select("ts", *[r6(t).alias(t) for t in EVENT_TYPES])
+    w = wide_slots(spark, sf)
+    types = series_of(w)
+    w = scalar.drop_sparse_rows(w, 3, subset=types)
+    return w.select("ts", *[r6(t).alias(t) for t in types])
 
 
 # ---------------------------------------------------------------- A2–A7
@@ -342,28 +355,32 @@ SELECT ts, """ + ",\n  ".join(
     for t in EVENT_TYPES) + """
 FROM wide""")
 def q_minmax(spark, sf):
-    out = ordered.minmax_scale(wide_slots(spark, sf), list(EVENT_TYPES))
-    return out.select("ts", *[r6(t).alias(t) for t in EVENT_TYPES])
+    w = wide_slots(spark, sf)
+    out = ordered.minmax_scale(w, series_of(w))
+    return out.select("ts", *[r6(t).alias(t) for t in series_of(w)])
 
 
-@register("plot_ready", _WIDE_SQL + """,
-v AS (SELECT ts, purchase, click, view FROM wide
+def _plot_sql() -> str:
+    scaled = ",\n".join(f"""  CASE WHEN max({c}) OVER () = min({c}) OVER () THEN (CASE WHEN {c} IS NOT NULL THEN 0.0 END)
+       ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END AS {c}""" for c in EVENT_TYPES)
+    parts = "\nUNION ALL\n".join(
+        f"SELECT ts, '{c}' AS series, round({c}, 6) AS scaled, round(purchase, 6) AS target_scaled FROM sc"
+        for c in EVENT_TYPES if c != "purchase")
+    return _WIDE_SQL + f""",
+v AS (SELECT * FROM wide
       WHERE CAST(ts AS TIME) >= TIME '07:00:00' AND CAST(ts AS TIME) < TIME '21:30:00'
         AND ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'),
 sc AS (SELECT ts,
-  CASE WHEN max(purchase) OVER () = min(purchase) OVER () THEN (CASE WHEN purchase IS NOT NULL THEN 0.0 END)
-       ELSE (purchase - min(purchase) OVER ()) / (max(purchase) OVER () - min(purchase) OVER ()) END AS purchase,
-  CASE WHEN max(click) OVER () = min(click) OVER () THEN (CASE WHEN click IS NOT NULL THEN 0.0 END)
-       ELSE (click - min(click) OVER ()) / (max(click) OVER () - min(click) OVER ()) END AS click,
-  CASE WHEN max(view) OVER () = min(view) OVER () THEN (CASE WHEN view IS NOT NULL THEN 0.0 END)
-       ELSE (view - min(view) OVER ()) / (max(view) OVER () - min(view) OVER ()) END AS view
+{scaled}
   FROM v)
-SELECT ts, 'click' AS series, round(click, 6) AS scaled, round(purchase, 6) AS target_scaled FROM sc
-UNION ALL
-SELECT ts, 'view' AS series, round(view, 6) AS scaled, round(purchase, 6) AS target_scaled FROM sc""")
+{parts}"""
+
+
+@register("plot_ready", _plot_sql())
 def q_plot_ready(spark, sf):
+    """Every column of the feed against the target (all-columns mode)."""
     from .views import plot_ready
-    out = plot_ready(wide_slots(spark, sf), target="purchase", columns=["click", "view"],
+    out = plot_ready(wide_slots(spark, sf), target="purchase",
                      time_range="2024-01-03,2024-01-19", night_start=catalog.NIGHT_START_EXPLORE)
     return out.select("ts", "series", r6("scaled").alias("scaled"), r6("target_scaled").alias("target_scaled"))
 
@@ -533,7 +550,6 @@ def flagship(spark, sf) -> DataFrame:
 
 # ---------------------------------------------------------------- A9 A12–A14
 CORR_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-KENDALL_COLUMNS = ("l_quantity", "l_discount", "l_tax")
 
 
 def _matrix_sql(method: str, source: str, columns) -> str:
@@ -579,32 +595,73 @@ def q_spearman(spark, sf):
     return _round_corr(stats.corr_spearman(table(spark, sf, "lineitem"), list(CORR_COLUMNS)))
 
 
-def _kendall_sql(columns) -> str:
+def _kendall_sql(columns, source: str = "lineitem", few=("l_quantity", "l_discount", "l_tax")) -> str:
+    """Tau-b of every pair; ``few`` are columns of few values: for each of
+    them the rows of lower ``a`` are counted in one window."""
     parts = []
-    for a in columns:
-        for b in columns:
-            if a == b:
-                parts.append(f"SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, "
-                             f"CASE WHEN min({a}) < max({a}) THEN 1.0 END AS corr, CAST(count({a}) AS BIGINT) AS n "
-                             f"FROM lineitem")
+    for i, x in enumerate(columns):
+        for y in columns[i:]:
+            if x == y:
+                parts.append(f"SELECT 'kendall' AS method, '{x}' AS col_a, '{x}' AS col_b, "
+                             f"CASE WHEN min({x}) < max({x}) THEN 1.0 END AS corr, CAST(count({x}) AS BIGINT) AS n "
+                             f"FROM {source}")
                 continue
-            parts.append(f"""SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, round(
-  (SELECT sum(x.w * y.w * sign(y.a - x.a) * sign(y.b - x.b)) FROM
-     (SELECT {a} AS a, {b} AS b, count(*) AS w FROM lineitem GROUP BY 1, 2) x,
-     (SELECT {a} AS a, {b} AS b, count(*) AS w FROM lineitem GROUP BY 1, 2) y
-   WHERE x.a < y.a)
-  / sqrt(((SELECT count(*) FROM lineitem) * ((SELECT count(*) FROM lineitem) - 1) / 2.0
-          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM lineitem GROUP BY {a})))
-       * ((SELECT count(*) FROM lineitem) * ((SELECT count(*) FROM lineitem) - 1) / 2.0
-          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM lineitem GROUP BY {b})))), 6) AS corr,
-  (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n""")
+            a, b = (x, y) if y in few else (y, x)
+            src = f"(SELECT {a} AS a, {b} AS b FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            cell = f"""SELECT round(
+  (SELECT sum(w.n * sign(w.b - l.d) * l.below) FROM (SELECT a, b, count(*) AS n FROM {src} GROUP BY ALL) w
+   JOIN (SELECT a, d, sum(n) OVER (PARTITION BY d ORDER BY a) - n AS below
+         FROM (SELECT k.a, v.d, count(r.a) AS n FROM (SELECT DISTINCT a FROM {src}) k CROSS JOIN (SELECT DISTINCT b AS d FROM {src}) v
+               LEFT JOIN {src} r ON r.a = k.a AND r.b = v.d GROUP BY ALL)) l ON l.a = w.a)
+  / sqrt((count(*) * (count(*) - 1) / 2.0 - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM {src} GROUP BY a)))
+       * (count(*) * (count(*) - 1) / 2.0 - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM {src} GROUP BY b)))), 6) AS corr,
+  CAST(count(*) AS BIGINT) AS n FROM {src}"""
+            for p, q in ((x, y), (y, x)):
+                parts.append(f"SELECT 'kendall' AS method, '{p}' AS col_a, '{q}' AS col_b, corr, n FROM ({cell})")
     return "\nUNION ALL\n".join(parts)
 
 
-@register("corr_kendall", _kendall_sql(KENDALL_COLUMNS))
+@register("corr_kendall", _kendall_sql(CORR_COLUMNS))
 def q_kendall(spark, sf):
     from ..operators import stats
-    return _round_corr(stats.corr_kendall(table(spark, sf, "lineitem"), list(KENDALL_COLUMNS)))
+    return _round_corr(stats.corr_kendall(table(spark, sf, "lineitem"), list(CORR_COLUMNS)))
+
+
+# columns with missing values: discounts and taxes of 0, quantities of 1
+_HOLES_SQL = ("(SELECT nullif(l_quantity, 1) AS l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, "
+              "nullif(l_tax, 0) AS l_tax FROM lineitem)")
+
+
+def _with_holes(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(F.nullif("l_quantity", F.lit(1.0)).alias("l_quantity"), "l_extendedprice",
+                     F.nullif("l_discount", F.lit(0.0)).alias("l_discount"), F.nullif("l_tax", F.lit(0.0)).alias("l_tax"))
+
+
+def _spearman_pairs_sql(columns, source) -> str:
+    parts = []
+    for a in columns:
+        for b in columns:
+            src = f"(SELECT {a} AS a, {b} AS b FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            parts.append(f"SELECT 'spearman' AS method, '{a}' AS col_a, '{b}' AS col_b, round(corr(a, b), 6) AS corr, "
+                         f"CAST(count(*) AS BIGINT) AS n FROM "
+                         f"(SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS a, "
+                         f"rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS b FROM {src})")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("corr_spearman_nulls", _spearman_pairs_sql(CORR_COLUMNS, _HOLES_SQL))
+def q_spearman_nulls(spark, sf):
+    """A13 where most columns have missing values."""
+    from ..operators import stats
+    return _round_corr(stats.corr_spearman(_with_holes(spark, sf), list(CORR_COLUMNS)))
+
+
+@register("corr_kendall_nulls", _kendall_sql(CORR_COLUMNS, _HOLES_SQL))
+def q_kendall_nulls(spark, sf):
+    """A14 where most columns have missing values."""
+    from ..operators import stats
+    return _round_corr(stats.corr_kendall(_with_holes(spark, sf), list(CORR_COLUMNS)))
 
 
 # ---------------------------------------------------------------- T6 T7
@@ -635,9 +692,6 @@ def q_subsets(spark, sf):
 
 
 # ---------------------------------------------------------------- M3 M4 M14 W10 T2 T5 A19
-EMB_DIMS = 64
-
-
 def embedding_split(spark, sf) -> DataFrame:
     from ..operators.split import train_test_split
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"),
@@ -645,17 +699,26 @@ def embedding_split(spark, sf) -> DataFrame:
     return train_test_split(e, ["id"], 0.2, 1234)
 
 
-def knn_runs(spark, sf, dims: int, ks=range(1, 21)) -> DataFrame:
-    """kNN sweep (M14) on the first ``dims`` embedding features: one result
-    row per k (metrics M4 on the test part)."""
+def embedding_width(spark, sf) -> int:
+    return table(spark, sf, "embeddings").agg(F.max(F.size("embedding"))).first()[0] or 0
+
+
+LEFT_OUT = 40      # the feature that the second search does without
+
+
+def knn_runs(spark, sf, without: int | None = None, ks=range(1, 21)) -> DataFrame:
+    """kNN sweep (M14) on all embedding features, or on all but one: one
+    result row per k (metrics M4 on the test part)."""
     from ..models.knn import knn_predict
     from ..operators import stats
-    d = embedding_split(spark, sf).withColumn("features", F.slice("features", 1, dims))
+    names = [f"e{i}" for i in range(embedding_width(spark, sf)) if i != without]
+    d = embedding_split(spark, sf)
+    if without is not None:
+        d = d.withColumn("features", F.filter("features", lambda x, i: i != without))
     train, test = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
     pred = knn_predict(train, test, list(ks)).join(test.select("id", "label"), "id")
-    res = stats.evaluate(pred, dims, keys=["k"])
-    names = F.array(*[F.lit(f"e{i}") for i in range(dims)])
-    res = res.withColumn("input_columns", names).withColumn("knn_neighbors", F.col("k").cast("int"))
+    res = stats.evaluate(pred, len(names), keys=["k"])
+    res = res.withColumn("input_columns", F.array(*[F.lit(n) for n in names])).withColumn("knn_neighbors", F.col("k").cast("int"))
     # a results table (one row per k) is read several times by the rankings:
     # cut its lineage once so the neighbour search is not re-run per read
     from ..session import cut_lineage
@@ -668,9 +731,12 @@ def _flat_results(df: DataFrame, extra=()) -> DataFrame:
                      r6("ci95_span").alias("ci95_span"), "test_length")
 
 
-def _knn_sql(dims: int, tag: str = "") -> str:
+def _knn_sql(tag: str = "", without: int | None = None) -> str:
+    vec = "CAST(embedding AS DOUBLE[])"
+    if without is not None:
+        vec = f"list_concat({vec}[:{without}], {vec}[{without + 2}:])"
     return f"""
-e{tag} AS (SELECT vec_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {dims}) AS f, CAST(label AS DOUBLE) AS y,
+e{tag} AS (SELECT vec_id, {vec} AS f, CAST(label AS DOUBLE) AS y,
              ('0x' || substr(md5('1234|' || CAST(vec_id AS VARCHAR)), 1, 15))::BIGINT AS h FROM embeddings),
 s{tag} AS (SELECT *, row_number() OVER (ORDER BY h, vec_id) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM e{tag}),
 top{tag} AS (SELECT t.vec_id AS tid, r.y, list_distance(t.f, r.f) AS d,
@@ -681,10 +747,10 @@ pred{tag} AS (SELECT tid, k,
          ELSE sum(y / d) FILTER (WHERE d <> 0) / sum(1.0 / d) FILTER (WHERE d <> 0) END AS prediction
   FROM top{tag} JOIN (SELECT unnest(range(1, 21)) AS k) ks ON top{tag}.rank <= ks.k GROUP BY tid, k),
 m{tag} AS (SELECT k, count(*) AS n, sum((y - prediction) * (y - prediction)) AS rss, avg(y - prediction) AS rm,
-             stddev_samp(y - prediction) AS rsd, var_pop(y) AS vy
+             stddev_samp(y - prediction) AS rsd, var_pop(y) AS vy, (SELECT max(len(f)) FROM e{tag}) AS dims
            FROM pred{tag} JOIN s{tag} ON pred{tag}.tid = s{tag}.vec_id GROUP BY k),
-r{tag} AS (SELECT k, {dims} AS dims, 1 - rss / (vy * n) AS r2_score,
-             n * ln(rss / n) + 2 * (2 * {dims} + 2.0) + 2 * (2 * {dims} + 2.0) * (2 * {dims} + 3.0) / (n - (2 * {dims} + 2.0) - 1) AS aicc,
+r{tag} AS (SELECT k, dims, 1 - rss / (vy * n) AS r2_score,
+             n * ln(rss / n) + 2 * (2 * dims + 2.0) + 2 * (2 * dims + 2.0) * (2 * dims + 3.0) / (n - (2 * dims + 2.0) - 1) AS aicc,
              rm - 1.959963984540054 * rsd / sqrt(n) AS lo, rm + 1.959963984540054 * rsd / sqrt(n) AS hi,
              2 * 1.959963984540054 * rsd / sqrt(n) AS span, CAST(n AS BIGINT) AS test_length FROM m{tag})"""
 
@@ -694,7 +760,7 @@ def _flat_sql(src: str, extra: str = "") -> str:
             f"round(hi, 6) AS ci95_hi, round(span, 6) AS ci95_span, test_length FROM {src}")
 
 
-@register("knn_regress", "WITH " + _knn_sql(EMB_DIMS) + """
+@register("knn_regress", "WITH " + _knn_sql() + """
 SELECT tid AS id, round(prediction, 6) AS prediction, round(y, 6) AS label
 FROM pred JOIN s ON pred.tid = s.vec_id WHERE k = 16""")
 def q_knn(spark, sf):
@@ -705,24 +771,25 @@ def q_knn(spark, sf):
     return pred.select("id", r6("prediction").alias("prediction"), r6("label").alias("label"))
 
 
-@register("metrics_r2_aicc_ci", "WITH " + _knn_sql(EMB_DIMS) + "\n" + _flat_sql("r", "") + " WHERE k = 16")
+@register("metrics_r2_aicc_ci", "WITH " + _knn_sql() + "\n" + _flat_sql("r", "") + " WHERE k = 16")
 def q_metrics(spark, sf):
-    return _flat_results(knn_runs(spark, sf, EMB_DIMS, [16]))
+    return _flat_results(knn_runs(spark, sf, ks=[16]))
 
 
-@register("knn_sweep", "WITH " + _knn_sql(EMB_DIMS) + "\n" + _flat_sql("r", "CAST(k AS INTEGER) AS knn_neighbors, "))
+@register("knn_sweep", "WITH " + _knn_sql() + "\n" + _flat_sql("r", "CAST(k AS INTEGER) AS knn_neighbors, "))
 def q_knn_sweep(spark, sf):
-    return _flat_results(knn_runs(spark, sf, EMB_DIMS), ["knn_neighbors"])
+    return _flat_results(knn_runs(spark, sf), ["knn_neighbors"])
 
 
 def _two_searches(spark, sf) -> DataFrame:
-    a = knn_runs(spark, sf, 32).withColumn("search", F.lit("first32"))
-    b = knn_runs(spark, sf, EMB_DIMS).withColumn("search", F.lit("all64"))
+    """Two searches of 20 models: without one feature, and with all."""
+    a = knn_runs(spark, sf, without=LEFT_OUT).withColumn("search", F.lit("without"))
+    b = knn_runs(spark, sf).withColumn("search", F.lit("all"))
     return a.unionByName(b)
 
 
-_TWO_SQL = "WITH " + _knn_sql(32, "a") + "," + _knn_sql(EMB_DIMS, "b") + """,
-allr AS (SELECT 'first32' AS search, * FROM ra UNION ALL SELECT 'all64' AS search, * FROM rb)"""
+_TWO_SQL = "WITH " + _knn_sql("a", LEFT_OUT) + "," + _knn_sql("b") + """,
+allr AS (SELECT 'without' AS search, * FROM ra UNION ALL SELECT 'all' AS search, * FROM rb)"""
 
 
 @register("akaike_weights", _TWO_SQL + """,
@@ -747,33 +814,37 @@ def q_best(spark, sf):
 
 
 @register("merge_results", _TWO_SQL + """,
-mm AS (SELECT * FROM (SELECT * FROM allr WHERE search = 'first32' ORDER BY aicc LIMIT 1)
-       UNION ALL SELECT * FROM allr WHERE search = 'all64'),
+mm AS (SELECT * FROM (SELECT * FROM allr WHERE search = 'without' ORDER BY aicc LIMIT 1)
+       UNION ALL SELECT * FROM allr WHERE search = 'all'),
 w AS (SELECT *, aicc - min(aicc) OVER () AS delta FROM mm)
 SELECT search, CAST(k AS INTEGER) AS knn_neighbors, round(aicc, 6) AS aicc, round(delta, 6) AS delta,
        round(exp(-delta / 2) / sum(exp(-delta / 2)) OVER (), 6) AS weight FROM w""")
 def q_merge(spark, sf):
     from ..operators import stats
     both = _two_searches(spark, sf)
-    m = stats.merge_results(both.filter(F.col("search") == "first32"), both.filter(F.col("search") == "all64"))
+    m = stats.merge_results(both.filter(F.col("search") == "without"), both.filter(F.col("search") == "all"))
     return m.select("search", "knn_neighbors", r6("aicc").alias("aicc"), r6("delta").alias("delta"),
                     r6("weight").alias("weight"))
 
 
 @register("column_presence", _TWO_SQL + """
 SELECT CAST(count(*) AS BIGINT) AS n_models,
-       CAST(sum(CASE WHEN dims > 40 THEN 1 ELSE 0 END) AS BIGINT) AS n_using
+       CAST(sum(CASE WHEN search = 'all' THEN 1 ELSE 0 END) AS BIGINT) AS n_using
 FROM (SELECT * FROM allr ORDER BY aicc LIMIT 10)""")
 def q_presence(spark, sf):
     from .views import column_presence
-    return column_presence(_two_searches(spark, sf), ["e40"], top=10)
+    return column_presence(_two_searches(spark, sf), [f"e{LEFT_OUT}"], top=10)
 
 
 # ---------------------------------------------------------------- M1 M2 M5–M16 (rows-only)
-FEATURES = ["click", "view", "signup", "error"]
 TARGET = "purchase"
 
 
+def features(table_: DataFrame) -> list[str]:
+    """The feed's measures but for the target (from the data)."""
+    return [c for c in series_of(table_) if c != TARGET and "Trend" not in c]
+
+
 def model_table(spark, sf) -> DataFrame:
     """W12 prepare + T7 split of the wide 15-minute feed (target: purchase)."""
     from .prepare import prepare, with_split
@@ -796,7 +867,7 @@ def _results_view(df: DataFrame) -> DataFrame:
 def q_forest(spark, sf):
     from .search import ModelSearch
     d = embedding_split(spark, sf)
-    cols = [f"e{i}" for i in range(EMB_DIMS)]
+    cols = [f"e{i}" for i in range(embedding_width(spark, sf))]
     d = d.select("id", "label", "is_test", *[F.col("features")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     with ModelSearch(d, "label", id_cols=["id"]) as srch:
         return _results_view(srch.selected_model(cols, trees=100, depth=6, search_id="forest"))
@@ -806,45 +877,53 @@ def q_forest(spark, sf):
 def q_pls(spark, sf):
     from .search import ModelSearch
     d = embedding_split(spark, sf)
-    cols = [f"e{i}" for i in range(EMB_DIMS)]
+    cols = [f"e{i}" for i in range(embedding_width(spark, sf))]
     d = d.select("id", "label", "is_test", *[F.col("features")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    srch = ModelSearch(d, "label", id_cols=["id"])
-    res = srch.pls_sweep(cols, 11)
-    return res.select("pls_components", "r2_score", "aicc", "ci95_span", "test_length")
+    from ..session import cut_lineage
+    with ModelSearch(d, "label", id_cols=["id"]) as srch:
+        res = srch.pls_sweep(cols, 11).select("pls_components", "r2_score", "aicc", "ci95_span", "test_length")
+        return cut_lineage(res)
 
 
 @register("grid_search_small")
 def q_grid(spark, sf):
     with _search(spark, sf) as srch:
-        return _results_view(srch.grid_search_columns(FEATURES + ["hour"]))
+        return _results_view(srch.grid_search_columns(features(srch.data) + ["hour"]))
 
 
 @register("trend_additive")
 def q_trend_additive(spark, sf):
+    """Every feature's trends over 1 and 24 hours (the run list; the spans are
+    a parameter), one at a time beside the features' hour and first column."""
     from .prepare import trend_table
     from .search import ModelSearch
-    hours = (1, 2, 3, 6, 12, 24)
-    t = trend_table(model_table(spark, sf), ["view"], hours=hours)
-    names = [ordered.trend_name("view", f"{h} hours") for h in hours]
+    hours = (1, 24)
+    m = model_table(spark, sf)
+    own = features(m)
+    t = trend_table(m, own, hours=hours)
     with ModelSearch(t, TARGET) as srch:
-        return _results_view(srch.trend_additive(["click", "hour"], {"view": names}))
+        return _results_view(srch.trend_additive(
+            [own[0], "hour"], {c: [ordered.trend_name(c, f"{h} hours") for h in hours] for c in own}))
 
 
 @register("trends_subsets")
 def q_trend_subsets(spark, sf):
+    """Every subset of the 1, 2 and 3 hour trends of one feature."""
     from .prepare import trend_table
     from .search import ModelSearch
     hours = (1, 2, 3)
-    t = trend_table(model_table(spark, sf), ["view"], hours=hours)
-    names = [ordered.trend_name("view", f"{h} hours") for h in hours]
+    m = model_table(spark, sf)
+    own = features(m)
+    t = trend_table(m, own[-1:], hours=hours)
+    names = [ordered.trend_name(own[-1], f"{h} hours") for h in hours]
     with ModelSearch(t, TARGET) as srch:
-        return _results_view(srch.grid_search_trends(["click", "hour"], names))
+        return _results_view(srch.grid_search_trends([own[0], "hour"], names))
 
 
 @register("hyper_small")
 def q_hyper(spark, sf):
     with _search(spark, sf) as srch:
-        return _results_view(srch.grid_search_hyper(FEATURES, [50, 100], [4, 8]))
+        return _results_view(srch.grid_search_hyper(features(srch.data), [50, 100], [4, 8]))
 
 
 @register("time_grouping_curve")
@@ -853,26 +932,28 @@ def q_grouping_curve(spark, sf):
     from .search import time_grouping_tests
     from .views import grouping_curve
     p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
-    res = time_grouping_tests(spark, p, TARGET, FEATURES + ["hour"], [0.5, 1, 2, 3])
+    res = time_grouping_tests(spark, p, TARGET, features(p) + ["hour"], [0.5, 1, 2, 3])
     return grouping_curve(res)
 
 
 @register("rfe_small")
 def q_rfe(spark, sf):
     with _search(spark, sf) as srch:
-        return srch.rfe(FEATURES + ["month", "hour"], n_keep=3, trees=100, depth=6)
+        return srch.rfe(features(srch.data) + ["month", "hour"], n_keep=3)
 
 
 @register("sfs_small")
 def q_sfs(spark, sf):
     with _search(spark, sf) as srch:
-        return srch.sfs(FEATURES + ["hour"], n_select=2, folds=5, trees=50, depth=4)
+        return srch.sfs(features(srch.data) + ["hour"], n_select=2, trees=100, depth=6)
 
 
 @register("best_model_series")
 def q_best_series(spark, sf):
-    res, series, _ = _search(spark, sf).best_model_series(FEATURES + ["hour"], trees=100, depth=6)
-    return series
+    from ..session import cut_lineage
+    with _search(spark, sf) as srch:
+        _, series, _ = srch.best_model_series(features(srch.data) + ["hour"])
+        return cut_lineage(series)
 
 
 # ---------------------------------------------------------------- J6 W11 W12 W13 P15 S12
@@ -972,7 +1053,7 @@ FROM k"""
 def q_prepare(spark, sf):
     from .prepare import prepare
     p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
-    return p.select("ts", *[r6(c).alias(c) for c in EVENT_TYPES], "month", "hour")
+    return p.select("ts", *[r6(c).alias(c) for c in series_of(p)], "month", "hour")
 
 
 @register("view_spec", _WIDE_SQL + """
@@ -983,18 +1064,13 @@ def q_view(spark, sf):
     return v.select("ts", r6("click").alias("click"), r6("view").alias("view"))
 
 
-# Batch list of pairings (the configuration of a batch run).
-PAIRINGS = (("click", "signup"), ("click", "purchase"), ("view", "signup"), ("view", "purchase"))
-
-
-def _pair_feed(spark, sf, kinds, key, val):
-    e = feeds.events(spark, sf).filter(F.col("event_type").isin(*kinds))
+def _pair_feed(spark, sf, key, val):
+    e = feeds.events(spark, sf)
     return e.select(F.col("event_type").alias(key), "event_id", feeds.quarter("ts").alias("ts"),
                     F.col("value").alias(val))
 
 
 def _pair_all_sql() -> str:
-    pairs = ", ".join(f"('{a}', '{b}')" for a, b in PAIRINGS)
     return f"""WITH
 raw AS (SELECT event_type, event_id, value, {feeds.rounded_micros_sql()} AS ts FROM events),
 kept AS (SELECT * FROM raw
@@ -1003,7 +1079,7 @@ kept AS (SELECT * FROM raw
               OR ts > max(ts) OVER (PARTITION BY event_type ORDER BY event_id
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 b AS (SELECT event_type, arg_min(ts, event_id) AS f, arg_max(ts, event_id) AS l FROM raw GROUP BY event_type),
-pairs AS (SELECT * FROM (VALUES {pairs}) v(station, monitor)),
+pairs AS (SELECT x.event_type AS station, y.event_type AS monitor FROM b x JOIN b y ON x.event_type <> y.event_type),
 rng AS (SELECT station, monitor, greatest(bw.f, bc.f) AS s, least(bw.l, bc.l) AS e
         FROM pairs JOIN b bw ON bw.event_type = station JOIN b bc ON bc.event_type = monitor),
 sp AS (SELECT station, monitor, s, unnest(generate_series(s, e, INTERVAL 15 MINUTE)) AS ts FROM rng)
@@ -1016,24 +1092,48 @@ FROM sp LEFT JOIN kept kw ON kw.event_type = sp.station AND kw.ts = sp.ts
 
 @register("pair_all", _pair_all_sql())
 def q_pair_all(spark, sf):
-    pairs = spark.createDataFrame(list(PAIRINGS), "station string, monitor string")
-    w = _pair_feed(spark, sf, ["click", "view"], "station", "w_value")
-    c = _pair_feed(spark, sf, ["signup", "purchase"], "monitor", "c_value")
+    """Every feed paired with every other (the batch list, from the data)."""
+    types = event_types(spark, sf)
+    pairs = spark.createDataFrame([(a, b) for a in types for b in types if a != b], "station string, monitor string")
+    w = _pair_feed(spark, sf, "station", "w_value")
+    c = _pair_feed(spark, sf, "monitor", "c_value")
     out = align.pair_all(w, c, pairs, "station", "monitor", order_w="event_id", order_c="event_id")
     return out.select("station", "monitor", "ts", "record_number", "w_value", "c_value")
 
 
-@register("explore_corr", _WIDE_SQL + """,
+def _explore_sql() -> str:
+    """The three matrices of the night-free slice, NULLs pairwise left out."""
+    parts = [_matrix_sql("pearson", "v", EVENT_TYPES)]
+    for a in EVENT_TYPES:
+        for b in EVENT_TYPES:
+            src = f"(SELECT {a} AS a, {b} AS b FROM v WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            ranks = (f"(SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS a, "
+                     f"rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS b FROM {src})")
+            parts.append(f"SELECT 'spearman' AS method, '{a}' AS col_a, '{b}' AS col_b, round(corr(a, b), 6) AS corr, "
+                         f"CAST(count(*) AS BIGINT) AS n FROM {ranks}")
+            if a == b:
+                parts.append(f"SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, "
+                             f"CASE WHEN min({a}) < max({a}) THEN 1.0 END AS corr, CAST(count({a}) AS BIGINT) AS n FROM v")
+            else:
+                parts.append(f"""SELECT 'kendall' AS method, '{a}' AS col_a, '{b}' AS col_b, round(
+  (SELECT sum(sign(y.b - x.b)) FROM {src} x, {src} y WHERE x.a < y.a)
+  / sqrt((count(*) * (count(*) - 1) / 2.0 - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM {src} GROUP BY a)))
+       * (count(*) * (count(*) - 1) / 2.0 - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT count(*) AS t FROM {src} GROUP BY b)))), 6) AS corr,
+  CAST(count(*) AS BIGINT) AS n FROM {src}""")
+    return _WIDE_SQL + """,
 v AS (SELECT * FROM wide
       WHERE CAST(ts AS TIME) >= TIME '07:00:00' AND CAST(ts AS TIME) < TIME '21:30:00'
         AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts < TIMESTAMP '2024-01-29 00:00:00')
-""" + _matrix_sql("pearson", "v", EVENT_TYPES))
+""" + "\nUNION ALL\n".join(parts)
+
+
+@register("explore_corr", _explore_sql())
 def q_explore(spark, sf):
-    """Exploration chain: nights removed → slice → Pearson matrix of the
-    wide feed (the table behind the heat map)."""
+    """Exploration chain: nights removed → slice → the three matrices of the
+    wide feed (the tables behind the heat maps)."""
     from .views import explore_correlations
-    out = explore_correlations(wide_slots(spark, sf), ["pearson"], nights=True,
-                               time_range="2024-01-02,2024-01-28", columns=list(EVENT_TYPES))
+    w = wide_slots(spark, sf)
+    out = explore_correlations(w, nights=True, time_range="2024-01-02,2024-01-28", columns=series_of(w))
     return _round_corr(out)
 
 
@@ -1063,3 +1163,6 @@ def q_zscore_users(spark, sf):
     """W1 over many short series (one per user)."""
     e = feeds.events(spark, sf).select("event_id", "user_id", "value")
     return ordered.zscore_outliers(e, ["value"], keys=["user_id"])
+
+
+from . import queries_more  # noqa: E402,F401  (registers the further queries)

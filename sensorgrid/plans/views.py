@@ -11,17 +11,48 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..operators import ordered, scalar, timeops
 
-# The stored view sets of the exploration step ("1".."5"),
-# each a list of ``"columns--range"`` specs over the combined feed.
-NAMED_VIEW_SETS: dict[str, tuple[str, ...]] = {}
-
-
-def plot_ready(df: DataFrame, target: str, columns: Sequence[str], time_range: str | None = None,
+# The stored view sets of the exploration step, each a list of
+# ``"columns--range"`` specs over the combined feed.
+NAMED_VIEW_SETS: dict[str, tuple[str, ...]] = {
+    "1": (
+        "Temperature (F),Pressure (mbar),TotalMotion--2020-07-10 07:00:00,2020-07-10 22:00:00",
+        "Temperature (F),Pressure (mbar),TotalMotion--2020-07-10 07:00:00,2020-07-11 22:00:00",
+        "Temperature (F),Pressure (mbar),TotalMotion--2020-07-10 07:00:00,2020-07-12 22:00:00",
+        "Temperature (F),Pressure (mbar),TotalMotion--2020-07-10 07:00:00,2020-07-16 22:00:00",
+        "Temperature (F),Pressure (mbar),TotalMotion--2020-07-10 07:00:00,2020-08-10 22:00:00",
+    ),
+    "2": (
+        "Temperature (F),Avg. RF Watts (W),TotalMotion--2020-06-10 07:00:00,2020-06-10 22:00:00",
+        "Temperature (F),Avg. RF Watts (W),TotalMotion--2020-06-10 07:00:00,2020-06-12 22:00:00",
+    ),
+    "3": (
+        "Temperature (F),Wind Speed (MPH),TotalMotion--2020-09-10 07:00:00,2020-09-10 22:00:00",
+        "Temperature (F),Wind Speed (MPH),TotalMotion--2020-09-10 07:00:00,2020-09-12 22:00:00",
+    ),
+    "4": (
+        "Wind Speed (MPH),Pressure (mbar)--2020-09-10 07:00:00,2020-09-10 22:00:00",
+        "Wind Speed (MPH),Pressure (mbar)--2020-09-10 07:00:00,2020-09-12 22:00:00",
+        "Wind Speed (MPH),Pressure (mbar)--2020-09-10 07:00:00,2020-09-16 22:00:00",
+    ),
+    "5": (
+        "Precipitation (Inches),Pressure (mbar)--2020-09-10 07:00:00,2020-09-10 22:00:00",
+        "Precipitation (Inches),Pressure (mbar)--2020-09-10 07:00:00,2020-09-16 22:00:00",
+        "Precipitation (Inches),Pressure (mbar),TotalMotion--2020-08-10 07:00:00,2020-09-10 22:00:00",
+    ),
+}
+
+
+def plot_ready(df: DataFrame, target: str, columns: Sequence[str] | None = None, time_range: str | None = None,
                night_start: str | None = catalog.NIGHT_START_EXPLORE, night_end: str = catalog.NIGHT_END,
                ts: str = "ts") -> DataFrame:
     """Nights removed → slice → select → min/max scaling with
     constant → 0 (W8), long form ``(ts, series, scaled, target_scaled)``:
-    the target paired with each remaining column."""
+    the target paired with each of ``columns`` (None: with every other
+    numeric column that is no id)."""
+    if columns is None:
+        ids = set(catalog.id_columns(df.columns)) | {ts, target}
+        columns = [f.name for f in df.schema.fields if f.name not in ids
+                   and f.dataType.typeName() in ("double", "float", "long", "integer", "short")]
     d = df
     if night_start:
         d = timeops.exclude_nights(d, night_start, night_end, ts)
@@ -66,9 +97,10 @@ def explore_correlations(df: DataFrame, methods: Sequence[str] = ("pearson", "ke
     return out
 
 
-def views(df: DataFrame, specs: Sequence[str], ts: str = "ts") -> list[DataFrame]:
-    """Several specs over one (persisted) source."""
-    return [scalar.view(df, s, ts) for s in specs]
+def views(df: DataFrame, specs: Sequence[str] | str, ts: str = "ts") -> list[DataFrame]:
+    """Several specs, or a named set of them, over one (persisted)
+    source."""
+    return [scalar.view(df, s, ts) for s in (NAMED_VIEW_SETS[specs] if isinstance(specs, str) else specs)]
 
 
 def grouping_curve(results: DataFrame) -> DataFrame:
