@@ -18,12 +18,58 @@ def test_grid_search_resume_and_ranking(spark):
     assert abs(sum(d.importance for d in r.feature_importances) - 1) < 1e-9 or r.size == 0
     assert r.train_length + r.test_length > 0
     again = s.grid_search_columns(["click", "view", "hour"], trees=10, depth=3)
-    assert again.count() == 0                                   # everything stored: nothing re-run
+    assert again.count() == 7                                   # the stored runs, none made again
+    assert sorted(r.run_key for r in again.collect()) == sorted(r.run_key for r in first.collect())
     assert spark.read.parquet(store.path).count() == 7
+    more = s.grid_search_columns(["click", "view", "hour", "error"], trees=10, depth=3)
+    assert more.count() == 15 and spark.read.parquet(store.path).count() == 15
+    dark = s.grid_search_columns(["click", "hour"], trees=10, depth=3, nights=False)
+    row = dark.first()
+    assert dark.count() == 3 and row.train_length < r.train_length and row.search_id == "columns:no_nights"
     txt = first.select(importance_text().alias("t")).first().t
     assert all(" - " in line for line in txt)
 
 
+def test_the_other_searches_resume(spark):
+    from sensorgrid.operators.ordered import trend_name
+    from sensorgrid.plans.prepare import trend_table
+    from sensorgrid.plans.search import time_grouping_tests
+
+    store = ResultStore(spark, tempfile.mkdtemp(prefix="results-", dir="/tmp") + "/store")
+    t = trend_table(Q.model_table(spark, SF_SMALL), ["view"], hours=(1, 2))
+    names = [trend_name("view", f"{h} hours") for h in (1, 2)]
+    with ModelSearch(t, Q.TARGET, store=store) as s:
+        for run in (lambda: s.trend_additive(["click"], {"view": names}, trees=5, depth=2),
+                    lambda: s.grid_search_trends(["click"], names, trees=5, depth=2),
+                    lambda: s.grid_search_hyper(["click", "view"], [5, 10], [2, 3])):
+            first, n = run().collect(), spark.read.parquet(store.path).count()
+            assert sorted(r.run_key for r in run().collect()) == sorted(r.run_key for r in first)
+            assert spark.read.parquet(store.path).count() == n
+    wide = Q.wide_slots(spark, SF_SMALL)
+    group = lambda: time_grouping_tests(spark, wide.fillna(0.0), Q.TARGET, ["click", "view"], [1, 2], trees=5, depth=2, store=store)
+    assert group().count() == 2
+    n = spark.read.parquet(store.path).count()
+    assert group().count() == 2 and spark.read.parquet(store.path).count() == n
+
+
+def test_a_broken_store_is_an_error(spark):
+    import pytest
+    path = tempfile.mkdtemp(prefix="results-", dir="/tmp") + "/store"
+    spark.range(3).write.parquet(path)
+    with open(next(__import__("pathlib").Path(path).glob("part-*")), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        ResultStore(spark, path).stored("columns").collect()
+
+
+def test_constant_columns_are_left_out(spark):
+    import pytest
+    t = Q.model_table(spark, SF_SMALL).withColumn("flat", F.lit(None).cast("double"))
+    with ModelSearch(t, Q.TARGET, checkpoint=False) as s, pytest.warns(UserWarning, match="flat"):
+        assert s.selected_model(["click", "flat"], trees=5, depth=2).first().input_columns == ["click"]
+        assert s.pls_sweep(["click", "flat", "view"], 2).count() == 2
+
+
 def test_model_store_roundtrip(spark):
     s = ModelSearch(Q.model_table(spark, SF_SMALL), Q.TARGET, checkpoint=False)
     res, series, model = s.best_model_series(["click", "view"], trees=5, depth=3)
@@ -36,8 +82,8 @@ def test_model_store_roundtrip(spark):
 
 def test_prepare_order_and_scale(spark):
     p = Q.model_table(spark, SF_SMALL)
-    stats = p.agg(*[F.min(c).alias(f"lo_{c}") for c in Q.EVENT_TYPES],
-                  *[F.max(c).alias(f"hi_{c}") for c in Q.EVENT_TYPES]).first()
-    for c in Q.EVENT_TYPES:
+    stats = p.agg(*[F.min(c).alias(f"lo_{c}") for c in Q.series_of(p)],
+                  *[F.max(c).alias(f"hi_{c}") for c in Q.series_of(p)]).first()
+    for c in Q.series_of(p):
         assert stats[f"lo_{c}"] in (0.0, None) and stats[f"hi_{c}"] in (1.0, None)
     assert p.filter(F.col("hour") > 1).count() > 0               # month / hour not scaled
