@@ -7,6 +7,8 @@ known licence texts; all of it is Spark SQL.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,10 @@ SPELLINGS = [
     ("practise", "practice"),
     ("programme", "program"),
     ("recognise", "recognize"),
+    ("sub-licence", "sublicense"),
     ("sub-license", "sublicense"),
+    ("sublicence", "sublicense"),
+    ("sublicenced", "sublicensed"),
     ("utilisation", "utilization"),
     ("while", "whilst"),
     ("wilful", "willful"),
@@ -52,22 +57,31 @@ COPYRIGHT_LINE = (r"(^|\n)[ \t#*/;-]*(copyright[ \t]+(\(c\)|©|[0-9])|\(c\)[ \t]
 RESERVED_LINE = r"(^|\n)[ \t#*/;-]*all rights reserved[.]?[ \t]*"
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a licence text: lower case; lines that state a
-    copyright (``copyright``, ``(c)`` or the sign, then a year or a name
-    line) and ``all rights reserved`` lines removed; spellings unified;
-    every run of other characters than a-z, 0-9 one blank; trimmed."""
-    t = F.lower(F.coalesce(text, F.lit("")))
+def with_digest(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the SHA-256 of the canonical form of a licence text: lower
+    case; lines that state a copyright (``copyright``, ``(c)`` or the sign,
+    then a year or a name) and ``all rights reserved`` removed; spellings
+    unified; every run of other characters than a-z, 0-9 one blank; trimmed.
+
+    The steps are columns of their own, so that each is computed once, and the
+    costly ones only on texts that hold what they look for."""
+    a, b, c = "__lower", "__stated", "__spelt"
+    t = F.col(a)
     stated = F.regexp_replace(F.regexp_replace(t, r"\r", "\n"), COPYRIGHT_LINE, "\n")
     stated = F.regexp_replace(stated, RESERVED_LINE, "\n")
-    # each pass runs only on texts that hold what it looks for
-    t = F.when(t.contains("copyright") | t.contains("(c)") | t.contains("©") | t.contains("all rights reserved"),
-               stated).otherwise(t)
-    spelt = F.regexp_replace(t, r"[ \t\n\r]+", " ")
-    for a, b in SPELLINGS:
-        spelt = F.regexp_replace(spelt, rf"\b{a}\b", b)
-    t = F.when(t.rlike("|".join(a.replace(" ", r"[ \t\n\r]+") for a, _ in SPELLINGS)), spelt).otherwise(t)
-    return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))
+    claims = t.contains("copyright") | t.contains("(c)") | t.contains("©") | t.contains("all rights reserved")
+    df = df.withColumn(a, F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn(b, F.when(claims, stated).otherwise(t))
+    t = F.col(b)
+    # one rule after the other, as data: thirty nested calls make too large a method
+    rules = F.array(*[F.struct(F.lit(rf"\b{x}\b").alias("x"), F.lit(y).alias("y")) for x, y in SPELLINGS])
+    spelt = F.aggregate(rules, F.regexp_replace(t, r"[ \t\n\r]+", " "), lambda acc, r: F.regexp_replace(acc, r["x"], r["y"]))
+    # a spelling of several words may be parted by a line end: its longest word tells
+    held = None
+    for word in sorted({max(x.replace("-", " ").split(), key=len) for x, _ in SPELLINGS}):
+        held = t.contains(word) if held is None else held | t.contains(word)
+    df = df.withColumn(c, F.when(held, spelt).otherwise(t))
+    canon = F.trim(F.regexp_replace(F.col(c), r"[^a-z0-9]+", " "))
+    return df.withColumn(out, F.sha2(canon.cast("binary"), 256)).drop(a, b, c)
 
 
 def canonical_sql(text: str) -> str:
@@ -81,14 +95,21 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({t}, '[^a-z0-9]+', ' ', 'g'))"
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text).cast("binary"), 256)
-
-
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """``license, digest`` of the known licence texts (a short fixed list)."""
     rows = spark.createDataFrame(texts if texts is not None else KNOWN, "license string, body string")
-    return rows.groupBy(digest(F.col("body")).alias("digest")).agg(F.min("license").alias("license"))
+    return with_digest(rows, "body", "digest").groupBy("digest").agg(F.min("license").alias("license"))
+
+
+def anchors(texts: list[tuple[str, str]] | None = None) -> list[str]:
+    """For each known text its longest word that no spelling rule makes: a
+    text whose lower-case form holds none of these cannot be any of them."""
+    made = {w for _, y in SPELLINGS for w in y.split()} | {w for x, _ in SPELLINGS for w in x.replace("-", " ").split()}
+    found = set()
+    for _, body in texts if texts is not None else KNOWN:
+        words = [w for w in re.findall(r"[a-z0-9]+", body.lower()) if w not in made]
+        found.add(max(words, key=lambda w: (len(w), w)) if words else "")
+    return sorted(found)
 
 
 def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
@@ -98,17 +119,25 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     NULL reads as empty; a text that is empty once normalised (only
     punctuation or copyright lines) is no licence; repeated rows stay;
     input columns named like the outputs are replaced."""
-    d = docs.drop("canonical_digest", "license").withColumn("canonical_digest", digest(F.col(text)))
+    d = with_digest(docs.drop("canonical_digest", "license"), text, "canonical_digest")
     return d.join(F.broadcast(_look(known)), F.col("canonical_digest") == F.col("__digest"), "left").drop("__digest")
 
 
-def scan_lines(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_lines(docs: DataFrame, known: DataFrame, words: list[str], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, line_no, license`` of every line (from 1) that by itself is a
-    known licence notice; other lines give no row."""
-    lines = docs.select(F.col(id_col), F.posexplode(F.split(F.col(text), "\n")).alias("__p", "__line"))
-    lines = lines.select(id_col, (F.col("__p") + 1).alias("line_no"), digest(F.col("__line")).alias("__d"))
+    known licence notice; other lines give no row.  Only texts and lines that
+    hold one of the ``words`` (see :func:`anchors`) are normalised."""
+
+    def may(x: Column) -> Column:
+        low, any_of = F.lower(x), F.lit(False)
+        for w in words:
+            any_of = any_of | low.contains(w)
+        return any_of
+
+    lines = docs.filter(may(F.col(text))).select(F.col(id_col), F.posexplode(F.split(F.col(text), "\n")).alias("__p", "__line"))
+    lines = with_digest(lines.filter(may(F.col("__line"))), "__line", "__d")
     return (lines.join(F.broadcast(_look(known)), F.col("__d") == F.col("__digest"))
-            .select(id_col, "line_no", "license"))
+            .select(id_col, (F.col("__p") + 1).alias("line_no"), "license"))
 
 
 def _look(known: DataFrame) -> DataFrame:

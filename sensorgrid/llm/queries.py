@@ -47,9 +47,9 @@ def op5_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = f"""
     WITH words AS (
-        SELECT doc_id, unnest(list_filter(regexp_split_to_array(
-            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')) AS word
-        FROM documents),
+        SELECT * FROM (SELECT doc_id, unnest(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+')) AS word
+        FROM documents) WHERE word <> ''),
     tf AS (SELECT doc_id, word, count(*) AS tf FROM words GROUP BY ALL),
     size AS (SELECT d.doc_id, coalesce(s.n, 0) AS n FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM words GROUP BY 1) s USING (doc_id)),
     stat AS (SELECT count(*) AS docs, avg(n) AS mean FROM size),
@@ -74,7 +74,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = license_scan.known_licenses(spark)
     whole = license_scan.scan(docs, known)
-    lines = license_scan.scan_lines(docs, known).groupBy(F.col("doc_id").alias("__id")).agg(
+    lines = license_scan.scan_lines(docs, known, license_scan.anchors()).groupBy(F.col("doc_id").alias("__id")).agg(
         F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("license")), " ").alias("names"))
     return (whole.join(lines, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
             .select("doc_id", "canonical_digest", "license", F.coalesce("n", F.lit(0)).alias("license_lines"),
