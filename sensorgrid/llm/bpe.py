@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import Table64, add_columns, column
+from .text import Table64, add_columns, column, ragged
 
 INF = np.int64(2 ** 62)
 SHORT = 64            # bytes; longer matches use a tree of their own
@@ -244,13 +244,6 @@ def _portions(find, texts: list[str], most: int = 1 << 20):
         yield at, held
 
 
-def ragged(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Concatenation of the slices ``flat[at:at + n]``."""
-    total = int(n.sum())
-    ends = np.cumsum(n)
-    return flat[np.repeat(at - (ends - n), n) + np.arange(total)]
-
-
 def coder(data: bytes) -> Coder:
     key = hash(data)
     if key not in _coders:
@@ -281,7 +274,9 @@ def bpe_encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", id
 
         return f
 
-    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + [T.StructField(decoded, T.BinaryType())] * bool(decoded)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decoded:
+        fields.append(T.StructField(decoded, T.BinaryType()))
     return add_columns(df, fields, make, text, 4_000_000)
 
 

@@ -53,6 +53,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES_P = frozenset((
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr main menu nav ol p pre section table ul").split())
+# Elements that part a page.
+BOXES = frozenset("article blockquote body center div dl figure main ol section table td th ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 
@@ -91,13 +93,14 @@ def _is_furniture(name: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
-    """``(text, linked characters, in furniture, in article)`` of each block
-    in page order; a block is the text between two block-level tags."""
+def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """``(text, linked characters, in furniture, in article, box)`` of each
+    block in page order; a block is the text between two block-level tags, and
+    its box the number of the innermost part of the page that holds it."""
     out: list = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []    # name, furniture, article, link
+    stack: list[tuple[str, bool, bool, bool, int]] = []    # name; furniture, article, link outside it; number
     furniture = article = link = False
     raw, at, n = "", 0, len(page)
 
@@ -105,7 +108,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, len(SPACE.sub("", html.unescape("".join(linked)))), furniture, article))
+                box = next((x[4] for x in reversed(stack) if x[0] in BOXES), 0)
+                out.append((text, len(SPACE.sub("", html.unescape("".join(linked)))), furniture, article, box))
             parts.clear()
             linked.clear()
 
@@ -117,7 +121,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
 
     def pop(to: int) -> None:
         nonlocal furniture, article, link
-        name, furniture, article, link = stack[to]
+        _, furniture, article, link, _ = stack[to]
         del stack[to:]
 
     while at < n:
@@ -170,7 +174,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             put(" ")
         if name in VOID or attrs.rstrip().endswith("/"):
             continue
-        stack.append((name, furniture, article, link))
+        stack.append((name, furniture, article, link, at))
         furniture = furniture or _is_furniture(name, attrs, article)
         article = article or name in ("article", "main")
         link = link or name == "a"
@@ -178,9 +182,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def first_pass(block: tuple[str, int, bool, bool]) -> int:
+def first_pass(block: tuple[str, int, bool, bool, int]) -> int:
     """Decide a block by container, link density, length and stop words."""
-    text, linked, furniture, _ = block
+    text, linked, furniture = block[:3]
     if furniture:
         return BAD
     if linked > LINKED * max(1, len(text) - text.count(" ")):
@@ -195,31 +199,35 @@ def first_pass(block: tuple[str, int, bool, bool]) -> int:
 
 
 def second_pass(found: list, labels: list[int]) -> list[bool]:
-    """Undecided blocks take the label of the nearest decided ones, those of
-    the same container (article or not) before others; a tie, or none decided,
-    follows the container: kept in an article, else dropped unless no page
-    block was decided good at all and the page has no article."""
+    """Undecided blocks take the label of the nearest decided ones: of their
+    own box, else of the article or the rest of the page, whichever they stand
+    in.  A tie, or none decided, follows the place: kept in an article, else
+    dropped, unless the page has neither an article nor any block decided
+    good."""
     has_article = any(b[3] and not b[2] for b in found)
-    marks: list[tuple[int, int]] = [(i, v) for i, v in enumerate(labels) if v != OPEN]
-    keep = []
-    for same in (True, False):
-        inside = [(i, v) for i, v in marks if found[i][3] == same and not (same and found[i][2])]
-        near = _nearest(len(labels), inside)
-        for i, v in enumerate(labels):
-            if found[i][3] != same or v != OPEN:
-                continue
-            left, right = near[i]
-            votes = [x for x in (left, right) if x is not None]
-            if not votes:
-                v = GOOD if same or not (has_article or any(x == GOOD for _, x in marks)) else BAD
-            else:
-                best = min(d for d, _ in votes)
-                near_labels = {x for d, x in votes if d == best}
-                v = near_labels.pop() if len(near_labels) == 1 else (GOOD if same else BAD)
-            keep.append((i, v))
-    for i, v in keep:
-        labels[i] = v
-    return [v == GOOD and (b[3] or not has_article) for v, b in zip(labels, found)]
+    any_good = GOOD in labels
+    marks = [(i, v) for i, v in enumerate(labels) if v != OPEN]
+    by_place = {p: _nearest(len(labels), [(i, v) for i, v in marks if found[i][3] == p and not (p and found[i][2])]) for p in (True, False)}
+    by_box: dict[int, list] = {}
+    out = []
+    for i, v in enumerate(labels):
+        if v == OPEN:
+            place, box = found[i][3], found[i][4]
+            if box not in by_box:
+                by_box[box] = _nearest(len(labels), [(j, x) for j, x in marks if found[j][4] == box and found[j][3] == place and not found[j][2]])
+            v = _vote(by_box[box][i]) or _vote(by_place[place][i])
+            if v == OPEN:
+                v = GOOD if place or not (has_article or any_good) else BAD
+        out.append(v == GOOD and (found[i][3] or not has_article))
+    return out
+
+
+def _vote(near: list) -> int:
+    """Label of the nearer neighbour; none for a tie or without neighbours."""
+    votes = [x for x in near if x is not None]
+    least = min((d for d, _ in votes), default=0)
+    labels = {x for d, x in votes if d == least}
+    return labels.pop() if len(labels) == 1 else OPEN
 
 
 def _nearest(n: int, decided: list[tuple[int, int]]) -> list:

@@ -12,13 +12,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import U64, Words, column, hash_strings, keep, mix, sized
+from .text import U64, Words, column, distinct, hash_strings, mix, sized
 
 # Subsets: (share of the lexicon as a power of 1/2, number of subsets).  Small
 # shares serve long texts, large shares short ones.
@@ -27,19 +27,19 @@ LOW, HIGH = 0.002, 0.30         # band: least and greatest share of documents th
 
 
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``term, df``: documents that hold each term, counted per piece of the
-    table before the shuffle."""
+    """``h, df``: documents that hold each term (by its hash), counted per
+    piece of the table before the shuffle."""
 
     def run(batches):
-        for batch in sized(batches, text):
+        for batch in sized(batches, text, 40_000_000):
             w = Words(column(batch, text))
             if not len(w.words):
                 continue
-            pair = np.unique(w.doc_of() * len(w.words) + w.codes)
+            pair = distinct(w.doc_of() * len(w.words) + w.codes)
             df = np.bincount(pair % len(w.words), minlength=len(w.words))
-            yield pa.RecordBatch.from_arrays([w.words.cast(pa.string()), pa.array(df.astype(np.int64))], names=["term", "df"])
+            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(w.words).view(np.int64)), pa.array(df.astype(np.int64))], names=["h", "df"])
 
-    return docs.select(text).mapInArrow(run, "term string, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    return docs.select(text).mapInArrow(run, "h bigint, df bigint").groupBy("h").agg(F.sum("df").alias("df"))
 
 
 def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float = HIGH) -> np.ndarray:
@@ -48,7 +48,7 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
     document over ``low``, whatever the number of documents."""
     n = docs.count()
     band = term_counts(docs, text).filter((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= high * n))
-    return np.sort(hash_strings(pa.array(band.select("term").toPandas()["term"].tolist(), type=pa.large_string())))
+    return np.sort(band.select("h").toPandas()["h"].to_numpy(dtype=np.int64).view(U64))
 
 
 def subset_hashes(words: pa.Array, codes: np.ndarray, sizes: np.ndarray, lex: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +64,7 @@ def subset_hashes(words: pa.Array, codes: np.ndarray, sizes: np.ndarray, lex: np
         known = lex[np.minimum(np.searchsorted(lex, h), len(lex) - 1)] == h
     doc = np.repeat(np.arange(m), sizes)
     inside = known[codes]
-    pair = np.unique(doc[inside] * len(h) + codes[inside])
+    pair = distinct(doc[inside] * len(h) + codes[inside])
     doc, h = pair // len(h), h[pair % len(h)]
     order = np.lexsort((h, doc))                       # each text's distinct terms, sorted
     doc, h = doc[order], h[order]
@@ -133,76 +133,67 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+RANGES_A_PARTITION, MOST_RANGES = 4, 20_000
+
+
 def compare_with_next(docs: DataFrame, lex: np.ndarray) -> DataFrame:
     """Fingerprint of every text and of its edited form, made with the next
     document in descending ``doc_id`` (after the last: the first), and their
     likenesses.
 
     Rows are dealt to ranges of ``doc_id`` once and sorted there, so the next
-    document is the next row; a range's last row waits for the first row of
-    the range after it, and those few rows (two a range) are completed in a
-    second, small step.  Rows of equal id follow each other in the order of
-    their texts; NULL ids come last."""
+    document is the next row; each range also gets the first row of the range
+    after it, to follow its last.  Rows of equal id follow each other in the
+    order of their texts; NULL ids come last."""
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(lex)                  # bounded, see lexicon()
-    ranged = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-              .repartitionByRange(F.col("doc_id").desc_nulls_last(), F.col("text").asc())
-              .sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.col("text").asc())
-              .withColumn("__part", F.spark_partition_id()))
-    full = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    edge = ", part int, place string, text string"
-
-    def done(ids, texts, following, lex):
-        """Result columns of texts whose following texts are known; the last
-        of ``following`` may be a text that is not among ``texts``."""
-        prints = fingerprints(pa.array(texts + following[-1:], type=pa.large_string()), lex)
-        index = {t: p for t, p in zip(texts + following[-1:], prints)}
-        new = [edited(t, f) for t, f in zip(texts, following)]
-        changed = fingerprints(pa.array(new, type=pa.large_string()), lex)
-        own = prints[:len(texts)]
-        return [pa.array(ids, type=pa.int64()), pa.array([len(t) for t in texts], type=pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in new]), pa.array(own), pa.array(changed),
-                pa.array([likeness(a, b) for a, b in zip(own, changed)], type=pa.float64()),
-                pa.array([likeness(a, index[f]) for a, f in zip(own, following)], type=pa.float64())]
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = min(MOST_RANGES, RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("c")).first()["c"] if n > 1 else None
+    cuts = np.array(sorted(set(found or [])), dtype=np.int64)   # a few numbers a partition
+
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series) -> pd.Series:
+        """0 for the greatest ids, the last range for NULL."""
+        known = ids.notna()
+        at = len(cuts) - np.searchsorted(cuts, ids[known].to_numpy(dtype=np.int64))
+        return pd.Series(np.full(len(ids), len(cuts) + 1), index=ids.index).where(~known, pd.Series(at, index=ids.index[known]))
+
+    docs = docs.withColumn("part", range_of("doc_id"))
+    # the first row of each range, and which range it follows: one row a range
+    first = docs.groupBy("part").agg(F.max("doc_id").alias("id"))
+    order = Window.orderBy("part")
+    first = first.withColumn("before", F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy())))
+    heads = (docs.join(F.broadcast(first.withColumnRenamed("part", "p")), (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("id")))
+             .groupBy("before").agg(F.min("text").alias("text")).select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("before").alias("part")))
+    rows = docs.withColumn("head", F.lit(0)).unionByName(heads.withColumn("head", F.lit(1)))
+    rows = rows.repartition("part").sortWithinPartitions("part", "head", F.col("doc_id").desc_nulls_last(), "text")
+    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def done(ids, texts):
+        """Result columns of all texts but the last, which follows them."""
+        prints = fingerprints(pa.array(texts, type=pa.large_string()), shipped.value)
+        new = [edited(t, f) for t, f in zip(texts, texts[1:])]
+        changed = fingerprints(pa.array(new, type=pa.large_string()), shipped.value)
+        return pa.RecordBatch.from_arrays([
+            pa.array(ids[:-1], type=pa.int64()), pa.array([len(t) for t in texts[:-1]], type=pa.int64()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in new]), pa.array(prints[:-1]), pa.array(changed),
+            pa.array([likeness(a, b) for a, b in zip(prints, changed)], type=pa.float64()),
+            pa.array([likeness(a, b) for a, b in zip(prints, prints[1:])], type=pa.float64())], names=names)
 
     def run(batches):
-        names = [f.split()[0] for f in (full + edge).split(", ")]
-        held, first, part = None, None, 0
-        for batch in sized(batches, "text", 16_000_000):
-            ids, texts = batch.column(0).to_pylist(), column(batch, "text").to_pylist()
-            part = batch.column(2)[0].as_py()
-            if first is None:
-                first = (ids[0], texts[0])
-            if held is not None:
-                ids, texts = [held[0], *ids], [held[1], *texts]
-            held = (ids.pop(), texts.pop())
-            if ids:
-                cols = done(ids, texts, [*texts[1:], held[1]], shipped.value)
-                blank = pa.nulls(len(ids), pa.string())
-                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(ids), pa.int32()), blank, blank], names=names)
-        if held is not None:
-            ends = [("first", *first), ("last", *held)]
-            nulls = [pa.nulls(2, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([e[1] for e in ends], type=pa.int64()), *nulls, pa.array([part, part], type=pa.int32()),
-                 pa.array([e[0] for e in ends]), pa.array([e[2] for e in ends])], names=names)
-
-    made = keep(ranged.mapInArrow(run, full + edge))
-    ends = made.filter("place is not null")
-    # which range follows which: one narrow row a range
-    order = Window.orderBy("part")
-    follows = (ends.filter("place = 'first'").select("part")
-               .withColumn("after", F.lead("part").over(order))
-               .withColumn("after", F.coalesce("after", F.min("part").over(Window.partitionBy()))))
-    pairs = (ends.filter("place = 'last'").select("doc_id", "part", "text").join(follows, "part")
-             .join(ends.filter("place = 'first'").select(F.col("part").alias("after"), F.col("text").alias("following")), "after"))
-
-    def finish(batches):
-        names = [f.split()[0] for f in full.split(", ")]
-        for batch in batches:
-            rows = batch.to_pydict()
-            for i, t, f in zip(rows["doc_id"], rows["text"], rows["following"]):
-                yield pa.RecordBatch.from_arrays(done([i], [t], [f], shipped.value), names=names)
-
-    rest = pairs.select("doc_id", "text", "following").mapInArrow(finish, full)
-    return made.filter("place is null").drop("part", "place", "text").unionByName(rest)
+        ids, texts = [], []
+        for batch in sized(batches, "text", 8_000_000):
+            ends = batch.column(3).to_numpy(zero_copy_only=False)
+            at = 0
+            for stop in [*(np.flatnonzero(ends) + 1).tolist(), batch.num_rows]:
+                ids += batch.column(0).slice(at, stop - at).to_pylist()
+                texts += batch.column(1).slice(at, stop - at).to_pylist()
+                if len(texts) > 1:
+                    yield done(ids, texts)
+                closed = stop > at and ends[stop - 1] == 1       # the range's last row, which another range holds
+                ids, texts = ([], []) if closed else (ids[-1:], texts[-1:])
+                at = stop
+
+    return rows.select("doc_id", "text", "part", "head").mapInArrow(run, schema)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import U64, Table64, Words, column, keep, sized
+from .text import U64, Table64, Words, column, counted, keep, sized
 
 PRIME = U64(0x100000001B3)
 HEAVY = 1 << 20       # words with at least 1/HEAVY of all training tokens are broadcast: at most HEAVY words
@@ -162,7 +162,7 @@ def word_counts(docs: DataFrame, classes: int, text: str = "text", klass: str =
             if not len(w.words):
                 continue
             of = batch.column(batch.schema.get_field_index(klass)).to_numpy(zero_copy_only=False).astype(np.int64)
-            pair, n = np.unique(w.codes * classes + of[w.doc_of()], return_counts=True)
+            pair, n = counted(w.codes * classes + of[w.doc_of()])
             yield pa.RecordBatch.from_arrays([w.words.take(pa.array(pair // classes)).cast(pa.string()),
                                               pa.array((pair % classes).astype(np.int32)), pa.array(n)], names=["word", "k", "n"])
 
@@ -248,7 +248,9 @@ class Model:
 
     def __init__(self, logp, n, distinct, ends):
         self.lps = [_lp(x) for x in logp]
-        self.n = np.array(n, dtype=float) + np.array(ends, dtype=float)      # tokens, with ends
+        # tokens, with ends; a word not seen and an end count once more, so that
+        # nothing is impossible
+        self.n = np.array(n, dtype=float) + np.array(ends, dtype=float) + 2
         self.distinct, self.ends = np.array(distinct, dtype=float), np.array(ends, dtype=float)
 
     def word_logs(self, lat: Lattice, words: list[bytes], c: np.ndarray) -> np.ndarray:
@@ -257,9 +259,8 @@ class Model:
             edges = lat.edges(w)
             for k, lp in enumerate(self.lps):
                 sub = np.exp(lat.forward(edges, lp, w.shape[1])[:, -1])
-                whole = np.maximum(c[some, k] - DISCOUNT, 0) / max(self.n[k], 1)
-                # a class without training words leaves all mass to the pieces
-                spare = DISCOUNT * self.distinct[k] / self.n[k] if self.n[k] else 0.5
+                whole = np.maximum(c[some, k] - DISCOUNT, 0) / self.n[k]
+                spare = (DISCOUNT * self.distinct[k] + 1) / self.n[k]
                 with np.errstate(divide="ignore"):
                     both = np.log10(whole + spare * sub)
                 low = np.flatnonzero(~np.isfinite(both))                     # below the least double
@@ -269,7 +270,7 @@ class Model:
         return out
 
     def end_logs(self) -> np.ndarray:
-        return np.log10(np.where(self.n > 0, self.ends / np.maximum(self.n, 1), 0.5))
+        return np.log10((self.ends + 1) / self.n)
 
     def class_logs(self) -> np.ndarray:
         total = self.ends.sum()
@@ -339,7 +340,7 @@ def score(docs: DataFrame, pieces: list[bytes], ranks: np.ndarray, class_col: st
             here = place >= 0
             m, doc = batch.num_rows, w.doc_of()
             sums = lambda x: np.bincount(doc[here], weights=x[place[here]], minlength=m)
-            pair, times = np.unique(doc[~here] * size + w.codes[~here], return_counts=True)
+            pair, times = counted(doc[~here] * size + w.codes[~here])
             offs = pa.array(np.searchsorted(pair // size, np.arange(m + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row, row + m)), batch.column(0), batch.column(2), pa.array(w.sizes + 1),

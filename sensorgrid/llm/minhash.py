@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import GOLDEN, U64, Words, column, hash_strings, keep, mix, sized, unit
+from .text import GOLDEN, U64, Words, column, counted, hash_strings, keep, mix, sized, unit
 
 SHINGLE = 5                      # words
 SIMILAR = 0.8
 BANDS, ROWS = 32, 5              # a pair at 0.8 shares no band with probability 3e-6
 SIZE = BANDS * ROWS
 DOUBT = 0.66                     # estimates of a pair at 0.8 lie below with probability 1e-5
+BYTES = 5_000_000                # text handled at a time
 BLOCK = 512                      # texts of a bucket compared in one task, squared
 
 
@@ -56,7 +57,7 @@ def shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
         for k in range(n):
             more = k < used[at]
             s = np.where(more, mix(s * U64(0x100000001B3) + h[np.minimum(at + k, len(h) - 1)]), s)
-    key, count = np.unique((doc[at].astype(U64) << U64(48)) | (s >> U64(16)), return_counts=True)
+    key, count = counted((doc[at].astype(U64) << U64(48)) | (s >> U64(16)))
     return (key >> U64(48)).astype(np.int64), key & U64((1 << 48) - 1), count
 
 
@@ -83,7 +84,7 @@ def bag_minhash(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, docs: int, s
     while len(d):
         whole = hi <= w
         np.minimum.at(sig, d[whole] * size + spot[whole], x[whole])
-        some = np.unique(d)
+        some = np.flatnonzero(np.bincount(d, minlength=docs))
         limit[some] = sig.reshape(docs, size)[some].max(1)
         live = np.flatnonzero(x <= limit[d])
         d, el, w, lo, hi, seed, x, spot, path, turn = (a[live] for a in (d, el, w, lo, hi, seed, x, spot, path, turn))
@@ -130,8 +131,8 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of two multisets given as sorted hashes, repeated by multiplicity."""
-    x, n = np.unique(a, return_counts=True)
-    y, m = np.unique(b, return_counts=True)
+    x, n = counted(a)
+    y, m = counted(b)
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     both = int(np.minimum(n[i], m[j]).sum())
     return both / max(len(a) + len(b) - both, 1)
@@ -145,7 +146,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
     def run(batches):
         row = TaskContext.get().partitionId() << 33
-        for batch in sized(batches, text, 16_000_000):
+        for batch in sized(batches, text, BYTES):
             texts = column(batch, text)
             for at in range(0, batch.num_rows, 1 << 15):
                 part = texts.slice(at, 1 << 15)
@@ -173,7 +174,7 @@ def _bags(docs: DataFrame, text: str) -> DataFrame:
     multiplicity (``docs`` has ``v`` and the text)."""
 
     def run(batches):
-        for batch in sized(batches, text, 16_000_000):
+        for batch in sized(batches, text, BYTES):
             for at in range(0, batch.num_rows, 1 << 15):
                 part = column(batch.slice(at, 1 << 15), text)
                 doc, h, count = shingles(part)

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import U64, Words, column, hash_strings, keep, mix, sized
+from .text import U64, Words, column, counted, hash_strings, keep, mix, sized
 
 BITS = 16                 # buckets of words and of word endings
 SCALE = 20.0              # logits are this times the mean weight of a text's words
@@ -49,7 +49,7 @@ class Classifier:
         self.b = np.log(share / share.sum()).astype(F32)
         w = Words(pa.array(texts, type=pa.large_string()))
         feats, size = _features(w.words), max(len(w.words), 1)
-        pair, n = np.unique(w.doc_of() * size + w.codes, return_counts=True)
+        pair, n = counted(w.doc_of() * size + w.codes)
         doc, word = pair // size, pair % size
         value = (SCALE * n / w.sizes[doc]).astype(F32)
         ends = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -126,37 +126,49 @@ def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text
         run, f"key bigint, id {kind}, n_tokens bigint" + "".join(f", {n} double" for n in names))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = 40, tolerance: float = 1e-6) -> DataFrame:
+# Lengths tried of a step scaled by the curvature, and of a plain gradient step.
+LENGTHS = ((1.0, 0.5, 0.2, 0.05), (1.0, 4.0, 16.0))
+
+
+def fit_rates(members: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-6) -> DataFrame:
     """``members`` with ``rate``: non-negative rates, from 1 on, whose expected
     domain tokens are nearest the ``targets`` in least squares.
 
-    A step moves every rate against the gradient, scaled by the curvature over
-    the documents that still have a rate, and projects it back to 0 or more;
-    it ends when no domain is off by more than ``tolerance`` of all target
-    tokens or nothing changes.  A domain that no document belongs to cannot
-    be served."""
+    A step moves every rate against the gradient and projects it back to 0 or
+    more; one pass over the table tries several steps, scaled by the curvature
+    over the documents that have a rate or not at all, and the one that comes
+    nearest is taken.  It ends when no domain is off by more than
+    ``tolerance`` of all target tokens, or no step comes nearer.  A domain
+    that no document belongs to cannot be served."""
     k = len(targets)
-    names = [f"p{i}" for i in range(k)]
-    goal = np.array(targets, dtype=float)
-    state, since, best = members.withColumn("rate", F.lit(1.0)), 0, None
+    names, n = [f"p{i}" for i in range(k)], F.col("n_tokens").cast("double")
+    goal, corner = np.array(targets, dtype=float), np.triu_indices(k)
+    state, tries, best, since = members.withColumn("rate", F.lit(1.0)), [np.zeros(k)], None, 0
     for _ in range(steps):
-        n = F.col("n_tokens").cast("double")
-        sums = [F.sum(F.col("rate") * n * F.col(c)) for c in names]
-        curve = [F.sum(F.when(F.col("rate") > 0, n * F.col(names[i]) * F.col(names[j])).otherwise(0.0)) for i in range(k) for j in range(i, k)]
-        row = [x or 0.0 for x in state.agg(*[x.alias(f"x{i}") for i, x in enumerate(sums + curve)]).first()]
-        off = np.array(row[:k]) - goal
-        error = float(np.abs(off).max())
-        if error <= tolerance * goal.sum() or (best is not None and abs(best - error) <= 1e-12 * goal.sum()):
+        moved = [F.greatest(F.lit(0.0), F.col("rate") - sum(F.col(c) * float(s) for c, s in zip(names, step))) for step in tries]
+        sums = []
+        for rate in moved:
+            sums += [F.sum(rate * n * F.col(c)) for c in names]
+            sums += [F.sum(F.when(rate > 0, n * F.col(names[i]) * F.col(names[j])).otherwise(0.0)) for i, j in zip(*corner)]
+        row = [x or 0.0 for x in state.agg(*[x.alias(f"x{i}") for i, x in enumerate(sums)]).first()]
+        rows = np.array(row).reshape(len(tries), -1)
+        error = np.linalg.norm(rows[:, :k] - goal, axis=1)
+        pick = int(np.argmin(error))
+        if best is not None and error[pick] >= best * (1 - 1e-6):
             break
-        best = error
+        best, off = float(error[pick]), rows[pick, :k] - goal
         h = np.zeros((k, k))
-        h[np.triu_indices(k)] = row[k:]
+        h[corner] = rows[pick, k:]
         h = h + np.triu(h, 1).T
-        step = np.linalg.pinv(h, rcond=1e-9, hermitian=True) @ off
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - sum(F.col(c) * float(s) for c, s in zip(names, step))))
+        state = state.withColumn("rate", moved[pick])
         since += 1
-        if since == 8:                                # keeps the expression short
+        if since == 4:                                # keeps the expression short
             state, since = keep(state), 0
+        longest = float(np.linalg.eigvalsh(h)[-1]) if k else 0.0
+        if np.abs(off).max() <= tolerance * goal.sum() or not longest:
+            break
+        scaled = np.linalg.pinv(h, rcond=1e-9, hermitian=True) @ off
+        tries = [scaled * t for t in LENGTHS[0]] + [off / longest * t for t in LENGTHS[1]]
     return state
 
 

@@ -39,6 +39,37 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct integers, by sorting (numpy's hash table is far slower
+    on millions of values)."""
+    x = np.sort(x)
+    return x[_first(x)]
+
+
+def counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct integers and how often each occurs."""
+    x = np.sort(x)
+    at = np.flatnonzero(_first(x))
+    return x[at], np.diff(np.append(at, len(x)))
+
+
+def _first(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a value for the first time."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def slices(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices ``at, at + 1, ... at + n - 1`` of each slice, one after the other."""
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def ragged(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Concatenation of the slices ``flat[at:at + n]``."""
+    return flat[slices(at, n)]
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Uniform double in (0, 1) from 64 random bits."""
     return ((x >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53

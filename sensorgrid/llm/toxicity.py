@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import U64, Words, add_columns, column, hash_strings, mix
+from .text import U64, Words, add_columns, column, distinct, hash_strings, mix
 
 WINDOW, STRIDE = 32, 16          # words
 HIDDEN, DIM, ATT = 8, 8, 8
@@ -30,23 +30,25 @@ def word_inputs(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each word, buckets of its n-grams (flat) and their starts."""
     own = (hash_strings(words) >> U64(64 - WORD_BITS)).astype(np.int64)
     raw = [b"\x02" + w.encode() + b"\x03" for w in words.to_pylist()]
-    lens = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-    data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
-    ends = np.repeat(np.cumsum(lens), lens)
-    of = np.repeat(np.arange(len(raw)), lens)
-    grams, owners = [], []
+    lens = np.fromiter(map(len, raw), dtype=np.int32, count=len(raw))
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    begin = np.cumsum(lens, dtype=np.int64) - lens
+    of = np.repeat(np.arange(len(raw), dtype=np.int32), lens)
+    left = np.repeat((begin + lens).astype(np.int32), lens) - np.arange(len(data), dtype=np.int32)     # bytes to the word's end
+    each = [np.maximum(lens - n + 1, 0) for n in GRAMS]
+    total = sum(each)
+    starts = np.cumsum(total, dtype=np.int64) - total
+    flat, put = np.empty(int(total.sum()), dtype=np.int32), starts.copy()
     with np.errstate(over="ignore"):
         h = np.zeros(len(data), dtype=U64)
         for n in range(1, max(GRAMS) + 1):
-            h = h[:len(data) - n + 1] * U64(0x100000001B3) + data[n - 1:] + U64(1)
+            h = h[:max(len(data) - n + 1, 0)] * U64(0x100000001B3) + data[n - 1:] + U64(1)
             if n in GRAMS:
-                ok = np.flatnonzero(np.arange(len(h)) + n <= ends[:len(h)])
-                grams.append((mix(h[ok] + U64(n)) >> U64(64 - GRAM_BITS)).astype(np.int32))
-                owners.append(of[ok])
-    flat, owner = np.concatenate(grams), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    flat, owner = flat[order], owner[order]
-    return own, flat, np.searchsorted(owner, np.arange(len(raw)))
+                ok = np.flatnonzero(left[:len(h)] >= n)
+                owner = of[ok]
+                flat[put[owner] + ok - begin[owner]] = mix(h[ok] + U64(n)) >> U64(64 - GRAM_BITS)
+                put += each[GRAMS.index(n)]
+    return own, flat, starts
 
 
 def windows(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,16 +207,14 @@ class Optimiser:
         table[at] -= self.row_rate * total / np.sqrt(self.sq[name][at])
 
 
-def _log_odds(bucket: np.ndarray, doc: np.ndarray, y: np.ndarray, size: int, prior: float = 5.0) -> np.ndarray:
-    """Smoothed log ratio of toxic to other texts that hold a bucket."""
-    pair = np.unique(doc.astype(np.int64) * size + bucket)
-    b, lab = pair % size, y[pair // size]
-    pos, neg = np.bincount(b, weights=lab, minlength=size), np.bincount(b, weights=1 - lab, minlength=size)
-    rate = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
-    return (np.log((pos + prior * rate) / (neg + prior * (1 - rate))) - np.log(rate / (1 - rate))).astype(F32)
+def _log_odds(bucket: np.ndarray, pos: np.ndarray, neg: np.ndarray, size: int, rate: float, prior: float = 5.0) -> np.ndarray:
+    """Smoothed log ratio of uses in toxic texts to uses in others, summed
+    over the words of each bucket (a text uses a word once)."""
+    p, n = np.bincount(bucket, weights=pos, minlength=size), np.bincount(bucket, weights=neg, minlength=size)
+    return (np.log((p + prior * rate) / (n + prior * (1 - rate))) - np.log(rate / (1 - rate))).astype(F32)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7, batch: int = 256) -> Net:
+def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7) -> Net:
     """Fit the net: a text's loss is that of its strongest window (chosen
     anew in the second and every other later epoch); the first component of every embedding starts at the
     log odds of its bucket in the sample."""
@@ -226,16 +226,16 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7, batch
         return net
     w = Words(pa.array(texts, type=pa.large_string()))
     vocab = own, flat, starts = word_inputs(w.words)
-    doc = w.doc_of()
-    net.words[:, 0] = _log_odds(own[w.codes], doc, y, 1 << WORD_BITS)
-    pair = np.unique(doc * len(own) + w.codes)
+    pair = distinct(w.doc_of() * len(own) + w.codes)
+    toxic = y[pair // len(own)].astype(float)
+    pos = np.bincount(pair % len(own), weights=toxic, minlength=len(own))
+    neg = np.bincount(pair % len(own), weights=1 - toxic, minlength=len(own))
+    rate = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
+    net.words[:, 0] = _log_odds(own, pos, neg, 1 << WORD_BITS, rate)
     n_grams = np.append(starts[1:], len(flat)) - starts
-    word, reps = pair % len(own), n_grams[pair % len(own)]
-    cut = np.cumsum(reps) - reps
-    net.grams[:, 0] = _log_odds(flat[np.repeat(starts[word] - cut, reps) + np.arange(reps.sum())],
-                                np.repeat(pair // len(own), reps), y, 1 << GRAM_BITS)
+    net.grams[:, 0] = _log_odds(flat, np.repeat(pos, n_grams), np.repeat(neg, n_grams), 1 << GRAM_BITS, rate)
     first, count, of = windows(w.starts, w.sizes)
-    opt, t = Optimiser(net), np.arange(WINDOW)
+    opt, t, batch = Optimiser(net), np.arange(WINDOW), min(256, max(16, len(y) // 50))
     begin = np.searchsorted(of, np.arange(len(y)))
     for epoch in range(epochs):
         if epoch % 2:
