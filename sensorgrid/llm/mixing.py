@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ def _features(words: pa.Array) -> np.ndarray:
     """Buckets of each word: itself, its last characters, its kind of end."""
     texts = words.to_pylist()
     own = hash_strings(words)
-    out = np.empty((len(texts), 3), dtype=np.int64)
-    for k, h in enumerate((own, hash_strings(pa.array([t[-3:] for t in texts], type=pa.large_string())),
-                           hash_strings(pa.array(["".join("a" if c.isalpha() else c for c in t[-2:]) for t in texts], type=pa.large_string())))):
-        out[:, k] = (mix(h + U64(k + 1)) >> U64(64 - BITS)).astype(np.int64) + (k << BITS)
+    out = np.empty((len(texts), 3), dtype=np.int32)
+    for k, kind in enumerate((None, lambda t: t[-3:], lambda t: "".join("a" if c.isalpha() else c for c in t[-2:]))):
+        h = own if kind is None else hash_strings(pa.array([kind(t) for t in texts], type=pa.large_string()))
+        out[:, k] = (mix(h + U64(k + 1)) >> U64(64 - BITS)).astype(np.int32) + (k << BITS)
     return out
 
 
@@ -42,16 +43,17 @@ class Classifier:
         self.w = np.zeros((3 << BITS, len(domains)), dtype=F32)
         self.b = np.zeros(len(domains), dtype=F32)
 
-    def fit(self, texts: list[str], y: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.3, seed: int = 3) -> "Classifier":
+    def fit(self, texts: pa.Array, y: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.3, seed: int = 3) -> "Classifier":
         if not len(texts):
             return self
         share = np.bincount(y, minlength=len(self.domains)) + 0.5
         self.b = np.log(share / share.sum()).astype(F32)
-        w = Words(pa.array(texts, type=pa.large_string()))
+        w = Words(texts.cast(pa.large_string()))
         feats, size = _features(w.words), max(len(w.words), 1)
         pair, n = counted(w.doc_of() * size + w.codes)
-        doc, word = pair // size, pair % size
+        doc, word = (pair // size).astype(np.int32), (pair % size).astype(np.int32)
         value = (SCALE * n / w.sizes[doc]).astype(F32)
+        del pair, n
         ends = np.searchsorted(doc, np.arange(len(texts) + 1))
         sq, sqb, rng = np.full_like(self.w, 1e-4), np.full_like(self.b, 1e-4), np.random.default_rng(seed)
         for _ in range(epochs):
@@ -92,7 +94,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], most: int = 8000,
+def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], most: int = 4000,
                    id_col: str = "doc_id", text: str = "text") -> Classifier:
     """Fit on about ``most`` rows at most (documented bound, chosen by a hash
     of the id) of ``labelled (id, domain)``; rows of other domains and NULLs
@@ -102,8 +104,9 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], mos
     if n > most:
         own = own.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_003)) < int(1_000_003 * most / n))
     rows = (docs.select(id_col, F.col(text).alias("__text")).join(F.broadcast(own), id_col)
-            .groupBy(id_col).agg(F.min("__text").alias("t"), F.min("__y").alias("y")).toPandas().sort_values(id_col))
-    return Classifier(domains).fit(rows["t"].fillna("").tolist(), np.array([domains.index(d) for d in rows["y"]], dtype=np.int64))
+            .groupBy(id_col).agg(F.min(F.coalesce("__text", F.lit(""))).alias("t"), F.min("__y").alias("y"))).toArrow()
+    rows = rows.take(pc.sort_indices(rows[id_col]))
+    return Classifier(domains).fit(rows["t"].combine_chunks(), np.array([domains.index(d) for d in rows["y"].to_pylist()], dtype=np.int64))
 
 
 def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,7 +183,7 @@ def copies(rate: Column, *ids: Column) -> Column:
 
 
 def mix_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total: float | str = "corpus",
-                  sample: int = 8000, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+                  sample: int = 4000, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, id, n_tokens, <p per domain>, rate`` of every row; ``weights``
     are the target shares of the domains, in names of ``labelled.domain``.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,7 +80,7 @@ class Net:
         """Input vector of each distinct word."""
         out = np.empty((len(own), 2 * DIM), dtype=F32)
         out[:, :DIM] = self.words[own]
-        step = 1 << 16
+        step = 1 << 13
         for a in range(0, len(own), step):
             b = min(a + step, len(own))
             end = starts[b] if b < len(starts) else len(flat)
@@ -122,7 +123,7 @@ class Net:
         out = ctx @ self.p["o"] + self.p["ob"][0]
         return (out, s, a, w, ctx) if traces is not None else out
 
-    def score_windows(self, proj, codes_flat, first, count, most=8192) -> np.ndarray:
+    def score_windows(self, proj, codes_flat, first, count, most=4096) -> np.ndarray:
         """Logit of each window, a bounded number at a time."""
         out = np.empty(len(first), dtype=F32)
         t = np.arange(WINDOW)
@@ -214,7 +215,7 @@ def _log_odds(bucket: np.ndarray, pos: np.ndarray, neg: np.ndarray, size: int, r
     return (np.log((p + prior * rate) / (n + prior * (1 - rate))) - np.log(rate / (1 - rate))).astype(F32)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7) -> Net:
+def train(texts: pa.Array, y: np.ndarray, epochs: int = 5, seed: int = 7) -> Net:
     """Fit the net: a text's loss is that of its strongest window (chosen
     anew in the second and every other later epoch); the first component of every embedding starts at the
     log odds of its bucket in the sample."""
@@ -224,16 +225,18 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7) -> Ne
         net.p["o"][:] = 0
         net.p["ob"][:] = 0 if not len(texts) else (20 if y[0] else -20)
         return net
-    w = Words(pa.array(texts, type=pa.large_string()))
+    w = Words(texts.cast(pa.large_string()))
     vocab = own, flat, starts = word_inputs(w.words)
+    w.codes = w.codes.astype(np.int32)
     pair = distinct(w.doc_of() * len(own) + w.codes)
-    toxic = y[pair // len(own)].astype(float)
-    pos = np.bincount(pair % len(own), weights=toxic, minlength=len(own))
-    neg = np.bincount(pair % len(own), weights=1 - toxic, minlength=len(own))
+    toxic = y[pair // len(own)]
+    pair %= len(own)
+    pos, neg = np.bincount(pair, weights=toxic, minlength=len(own)), np.bincount(pair, weights=1 - toxic, minlength=len(own))
+    del pair, toxic
     rate = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     net.words[:, 0] = _log_odds(own, pos, neg, 1 << WORD_BITS, rate)
     n_grams = np.append(starts[1:], len(flat)) - starts
-    net.grams[:, 0] = _log_odds(flat, np.repeat(pos, n_grams), np.repeat(neg, n_grams), 1 << GRAM_BITS, rate)
+    net.grams[:, 0] = _log_odds(flat, np.repeat(pos.astype(F32), n_grams), np.repeat(neg.astype(F32), n_grams), 1 << GRAM_BITS, rate)
     first, count, of = windows(w.starts, w.sizes)
     opt, t, batch = Optimiser(net), np.arange(WINDOW), min(256, max(16, len(y) // 50))
     begin = np.searchsorted(of, np.arange(len(y)))
@@ -269,7 +272,7 @@ def score_texts(net: Net, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-best.astype(np.float64)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str = "toxic") -> tuple[list[str], np.ndarray]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str = "toxic") -> tuple[pa.Array, np.ndarray]:
     """Texts and labels of about ``most`` training rows at most (documented
     bound), chosen by a hash of the id; rows with crc32(id) mod 5 = 0 are
     never used.  Repeated ids count once, with their greatest label."""
@@ -280,12 +283,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str =
     if n > most:
         own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * most / n))
     rows = (docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(own), "doc_id")
-            .groupBy("doc_id").agg(F.min("__text").alias("t"), F.max("__y").alias("y"))
-            .toPandas().sort_values("doc_id"))
-    return rows["t"].fillna("").tolist(), rows["y"].to_numpy(dtype=F32)
+            .groupBy("doc_id").agg(F.min(F.coalesce("__text", F.lit(""))).alias("t"), F.max("__y").alias("y"))).toArrow()
+    rows = rows.take(pc.sort_indices(rows["doc_id"]))
+    return rows["t"].combine_chunks(), rows["y"].to_numpy().astype(F32)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 8_000, epochs: int = 5,
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5_000, epochs: int = 5,
              text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with ``out double`` in 0..1 (higher: likelier toxic).
 
