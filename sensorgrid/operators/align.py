@@ -99,6 +99,6 @@ def pair_all(weather: DataFrame, counts: DataFrame, pairs: DataFrame, weather_ke
     tagged with the pairings it takes part in by an equi-join on its own id,
     then one ``combine`` keyed by both ids builds every pairing at once."""
     keys = [weather_key, count_key]
-    w = weather.join(pairs, weather_key, "inner")
-    c = counts.join(pairs, count_key, "inner")
+    w = ch.join_on_keys(weather, pairs, [weather_key], how="inner")
+    c = ch.join_on_keys(counts, pairs, [count_key], how="inner")
     return combine(w, c, keys, ts, order_w, order_c, step)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,16 +35,35 @@ def _csv(spark: SparkSession, schema: T.StructType, time_format: str):
 
 
 def read_series_csv(spark: SparkSession, path, schema: T.StructType, time_format: str = CLEAN_TIME_FORMAT,
-                    rename: bool = True, source_col: str | None = None) -> DataFrame:
+                    rename: bool = True, source_col: str | None = None, order_col: str | None = None) -> DataFrame:
     """Header CSV(s) with a ``Time`` column; names become catalog
     aliases; NaN/``nan``/blank doubles are NULL.  ``source_col`` keeps the
-    file path (the series id of a multi-file read)."""
+    file path (the series id of a multi-file read), ``order_col`` numbers the
+    rows by file path and place in the file."""
     df = _csv(spark, schema, time_format).csv(path)
+    extra = [c for c in (source_col, order_col) if c]
+    if extra:
+        df = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
     if source_col:
-        df = df.withColumn(source_col, F.col("_metadata.file_path"))
+        df = df.withColumn(source_col, F.col("__file"))
+    if order_col:
+        df = _numbered(df, order_col)
     if rename:
-        df = df.select(*[F.col(f"`{c}`").alias(catalog.alias_of(c)) for c in df.columns])
-    return clean_doubles(df)
+        names = [c for c in df.columns if c not in ("__file", "__block")]
+        df = df.select(*[F.col(f"`{c}`").alias(c if c in extra else catalog.alias_of(c)) for c in names])
+    return clean_doubles(df.drop("__file", "__block"))
+
+
+def _numbered(df: DataFrame, out: str) -> DataFrame:
+    """Row numbers by file path and place in the file: a row's place in its
+    split of the file, plus the rows of all splits before it (one summary row
+    per split).  A split is read by one task, so the running id orders it."""
+    d = df.withColumn("__m", F.monotonically_increasing_id())
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (d.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__first"))
+              .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+    d = d.join(splits.drop("__n"), ["__file", "__block"])
+    return d.withColumn(out, (F.col("__off") + F.col("__m") - F.col("__first")).cast("bigint")).drop("__m", "__first", "__off")
 
 
 def series_schema(columns: Sequence[str], time_col: str = "Time") -> T.StructType:

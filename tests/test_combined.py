@@ -40,3 +40,32 @@ def test_raw_feeds_to_combined_table(spark):
     assert rows[dt.datetime(2020, 5, 16, 17, 45)].solar_mjm2 == 2.0
     g = report.first()
     assert (g.n_rows, g.duplicates, g.gaps) == (5, 0, 1)
+
+
+def test_stations_monitors_and_file_order(spark):
+    """Two weather files of one station (the logger restarts its numbers, a
+    stamp jumps back), a second station, two monitors."""
+    root = tempfile.mkdtemp(prefix="combined-", dir="/tmp")
+    cols = ["Record Number", "Time", "Temperature (F)", "Station ID"]
+
+    def weather(name, rows):
+        _write(f"{root}/weather/{name}.csv", "\n".join([", ".join(cols)] + [f"{n}, 2020-05-16 {t}:00.000000,{x}, {s}" for n, t, x, s in rows]) + "\n")
+
+    weather("a", [(1, "16:45", 1, 1), (2, "17:00", 2, 1), (3, "16:45", 99, 1)])
+    weather("b", [(1, "17:15", 3, 1), (2, "17:30", 4, 1), (1, "16:45", 50, 2), (2, "17:00", 51, 2)])
+    for monitor, base in (("4_5", 100), ("4_10", 999)):
+        for k, t in enumerate(("16-45-00", "17-00-00", "17-15-00", "17-30-00")):
+            _write(f"{root}/counts/{monitor}/192_168_{monitor}-2020-05-16_{t}_counts.csv", HEADER + f"1,1,1,1,{base + k},0.5,1\n")
+    out, report = combined_table(spark, [f"{root}/weather/a.csv", f"{root}/weather/b.csv"], cols, f"{root}/counts")
+    got = {(r.station_id, r.monitor_id, r.ts.strftime("%H:%M")): (r.record_number, r.temperature_f, r.motion_total) for r in out.collect()}
+    want = {}
+    for monitor, base in (("4.5", 100), ("4.10", 999)):
+        for k, t in enumerate(("16:45", "17:00", "17:15", "17:30")):
+            want[(1, monitor, t)] = (k + 1, float(k + 1), base + k)         # not 99: the file went back there
+        want[(2, monitor, "16:45")] = (1, 50.0, base)
+        want[(2, monitor, "17:00")] = (2, 51.0, base + 1)
+    assert got == want
+    assert {r.station_id: (r.n_rows, r.duplicates) for r in report.collect()} == {1: (5, 1), 2: (2, 0)}
+    some = spark.createDataFrame([(2, "4.10")], "station_id int, monitor_id string")
+    out, _ = combined_table(spark, [f"{root}/weather/a.csv", f"{root}/weather/b.csv"], cols, f"{root}/counts", pairs=some)
+    assert {(r.station_id, r.monitor_id) for r in out.collect()} == {(2, "4.10")}
