@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -44,3 +45,18 @@ def importance_text(importances_col: str = "feature_importances"):
     """The sorted importances as text lines ``"0.12345 - column"``."""
     return F.transform(F.col(importances_col),
                        lambda s: F.concat(F.format_number(s["importance"], 5), F.lit(" - "), s["column"]))
+
+
+def first_trees(model: RandomForestRegressionModel, n: int) -> RandomForestRegressionModel:
+    """The forest of a model's first ``n`` trees."""
+    java = model._java_obj
+    if n >= len(list(java.trees())):
+        return model
+    jvm = model._java_obj._gateway_client and SparkContext._active_spark_context._jvm
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = SparkContext._gateway.new_array(kind, n)
+    for i, t in enumerate(list(java.trees())[:n]):
+        trees[i] = t
+    small = jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(f"{java.uid()}_{n}", trees, java.numFeatures())
+    small.set(small.numTrees(), n)
+    return RandomForestRegressionModel(small).setFeaturesCol(model.getFeaturesCol())

@@ -134,3 +134,25 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
         F.sum(F.when(~zero, 1.0 / F.col("d"))).alias("__den"))
     prediction = F.when(F.col("__z") > 0, F.col("__zy")).otherwise(F.col("__num") / F.col("__den"))
     return pred.select(F.col("tid").alias(id_col), "k", prediction.alias("prediction"))
+
+
+class KnnModel:
+    """A neighbour model is its train rows ``(id, features, label)`` and
+    the number of neighbours; it is stored as a table."""
+
+    def __init__(self, train: DataFrame, k: int, features: str = "features", label: str = "label", id_col: str = "id"):
+        self.k = k
+        self.train = train.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(label).alias("label"))
+
+    def predict(self, test: DataFrame, features: str = "features", id_col: str = "id") -> DataFrame:
+        rows = test.select(F.col(id_col).alias("id"), F.col(features).alias("features"))
+        return knn_predict(self.train, rows, [self.k]).select(F.col("id").alias(id_col), "prediction")
+
+    def save(self, path: str) -> None:
+        self.train.withColumn("k", F.lit(self.k)).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "KnnModel":
+        rows = spark.read.parquet(path)
+        first = rows.select("k").first()
+        return KnnModel(rows.drop("k"), first["k"] if first else 1)

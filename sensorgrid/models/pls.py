@@ -19,10 +19,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+PLS_SCHEMA = "x_mean array<double>, x_std array<double>, y_mean double, y_std double, coefs map<int, array<double>>"
+
+
 @dataclass
 class PLSModel:
     x_mean: np.ndarray
@@ -31,6 +34,17 @@ class PLSModel:
     y_std: float
     coefs: dict[int, np.ndarray]      # component count → coefficients on raw X
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row, as Parquet."""
+        row = (self.x_mean.tolist(), self.x_std.tolist(), float(self.y_mean), float(self.y_std),
+               {int(k): v.tolist() for k, v in self.coefs.items()})
+        spark.createDataFrame([row], PLS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "PLSModel":
+        r = spark.read.parquet(path).first()
+        return PLSModel(np.array(r.x_mean), np.array(r.x_std), r.y_mean, r.y_std, {k: np.array(v) for k, v in sorted(r.coefs.items())})
+
     def prediction(self, features: str, n_components: int) -> Column:
         beta = self.coefs[n_components]
         intercept = self.y_mean - float(np.dot(self.x_mean, beta))

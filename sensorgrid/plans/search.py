@@ -16,7 +16,7 @@ import math
 import threading
 import warnings
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from itertools import combinations, islice
 
 from pyspark.errors import AnalysisException
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..models import forest as rf
+from ..models.knn import knn_predict
 from ..models.pls import fit_pls
 from ..operators import stats, timeops
 from ..operators.split import row_hash
@@ -141,12 +142,13 @@ class ModelSearch:
         return [c for c in columns if c not in gone]
 
     def _forest_row(self, search_id, columns, trees, depth, error_term=2.0, hours=None, data=None,
-                    train_len=None):
+                    train_len=None, model=None):
         key_columns, columns = columns, self.usable(columns)
         data = data if data is not None else self.data
         train = data.filter(~F.col(self.flag))
         test = data.filter(F.col(self.flag))
-        model = rf.fit_forest(train, columns, self.label, trees, depth, self.seed)
+        if model is None:
+            model = rf.fit_forest(train, columns, self.label, trees, depth, self.seed)
         pred = rf.predict(model, test, columns)
         m = stats.evaluate(pred, len(columns), label=self.label, error_term=error_term).first()
         return {
@@ -241,7 +243,35 @@ class ModelSearch:
     # -- M8
     def grid_search_hyper(self, columns: Sequence[str], trees_list: Sequence[int], depth_list: Sequence[int],
                           search_id: str = "hyper") -> DataFrame:
-        return self._forest_runs(search_id, [[(list(columns), t, d) for d in depth_list] for t in trees_list])
+        """Every pair of a number of trees and a depth.  A forest of each depth
+        is fitted once, with the most trees; smaller forests are its first
+        trees."""
+        fitted: dict[int, Future] = {}
+        lock = threading.Lock()
+
+        def forest(depth, cols):
+            with lock:
+                own = fitted.get(depth)
+                if own is None:
+                    own = fitted[depth] = Future()
+                    mine = True
+                else:
+                    mine = False
+            if mine:
+                try:
+                    train = self.data.filter(~F.col(self.flag))
+                    own.set_result(rf.fit_forest(train, cols, self.label, max(trees_list), depth, self.seed))
+                except BaseException as exc:
+                    own.set_exception(exc)
+                    raise
+            return own.result()
+
+        def one(sid, cols, trees, depth):
+            use = self.usable(cols)
+            return self._forest_row(sid, cols, trees, depth, model=rf.first_trees(forest(depth, use), trees))
+        batches = [[(list(columns), t, d) for t in sorted(trees_list, reverse=True)] for d in depth_list]
+        return self.run_batches(search_id, batches, one,
+                                key=lambda cols, trees, depth: run_key(cols, trees=trees, depth=depth, hours=None))
 
     # -- M10
     def rfe(self, columns: Sequence[str], n_keep: int = 11, step: float = 0.05, trees: int = 300,
@@ -331,6 +361,20 @@ class ModelSearch:
         res = stats.evaluate(preds, len(columns), label=self.label, keys=["pls_components"])
         return res.withColumn("input_columns", F.array(*[F.lit(c) for c in columns]))
 
+    # -- M14 (neighbours)
+    def knn_sweep(self, columns: Sequence[str], ks: Iterable[int] = range(1, 21)) -> DataFrame:
+        """One neighbour search for every ``k``: metrics on the test part.  Rows
+        without a value in some column take no part."""
+        columns, ks = self.usable(columns), list(ks)
+        rows = self.data.dropna(subset=[*columns, self.label]).select(
+            F.concat_ws("|", *[F.col(c).cast("string") for c in self.id_cols]).alias("__id"), self.label, self.flag,
+            F.array(*[F.col(c).cast("double") for c in columns]).alias("__f"))
+        train, test = rows.filter(~F.col(self.flag)), rows.filter(F.col(self.flag))
+        pred = knn_predict(train, test, ks, features="__f", label=self.label, id_col="__id")
+        pred = pred.join(test.select("__id", self.label), "__id")
+        res = stats.evaluate(pred, len(columns), label=self.label, keys=["k"])
+        return res.withColumnRenamed("k", "knn_neighbors").withColumn("input_columns", F.array(*[F.lit(c) for c in columns]))
+
 
 def _pieces(items, size: int):
     """Lists of at most ``size`` items, read as they are asked for."""

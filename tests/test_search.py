@@ -87,3 +87,39 @@ def test_prepare_order_and_scale(spark):
     for c in Q.series_of(p):
         assert stats[f"lo_{c}"] in (0.0, None) and stats[f"hi_{c}"] in (1.0, None)
     assert p.filter(F.col("hour") > 1).count() > 0               # month / hour not scaled
+
+
+def test_forests_of_first_trees(spark):
+    from sensorgrid.models import forest as rf
+    t = Q.model_table(spark, SF_SMALL).fillna(0.0)
+    cols = ["click", "view"]
+    model = rf.fit_forest(t, cols, Q.TARGET, trees=6, depth=3)
+    one, all_ = rf.first_trees(model, 1), rf.first_trees(model, 6)
+    assert all_ is model and len(one.trees) == 1
+    tree = model.trees[0]
+    rows = rf.predict(one, t, cols).select("click", "view", "prediction").limit(20).collect()
+    from pyspark.ml.linalg import Vectors
+    for r in rows:
+        assert abs(tree.predict(Vectors.dense([r.click, r.view])) - r.prediction) < 1e-12
+    with ModelSearch(t, Q.TARGET, checkpoint=False) as s:
+        res = s.grid_search_hyper(cols, [2, 4], [2, 3])
+        assert sorted((r.n_estimators, r.max_depth) for r in res.collect()) == [(2, 2), (2, 3), (4, 2), (4, 3)]
+
+
+def test_stored_models_and_neighbour_sweep(spark):
+    from sensorgrid.models.knn import KnnModel
+    from sensorgrid.models.pls import PLSModel, fit_pls
+    root = tempfile.mkdtemp(prefix="model-", dir="/tmp")
+    d = Q.embedding_split(spark, SF_SMALL)
+    train, test = d.filter("not is_test"), d.filter("is_test")
+    model = fit_pls(train, 3)
+    model.save(spark, f"{root}/pls")
+    again = PLSModel.load(spark, f"{root}/pls")
+    pick = lambda df: [(r.id, r.prediction) for r in df.select("id", "prediction").orderBy("id").collect()]
+    assert pick(model.predict(test, n_components=2)) == pick(again.predict(test, n_components=2))
+    near = KnnModel(train, 5)
+    near.save(f"{root}/knn")
+    assert pick(near.predict(test)) == pick(KnnModel.load(spark, f"{root}/knn").predict(test))
+    with ModelSearch(Q.model_table(spark, SF_SMALL).fillna(0.0), Q.TARGET, checkpoint=False) as s:
+        sweep = s.knn_sweep(["click", "view", "hour"], [1, 5]).collect()
+    assert sorted(r.knn_neighbors for r in sweep) == [1, 5] and all(r.test_length > 0 for r in sweep)
