@@ -24,7 +24,7 @@ def test_raw_feeds_to_combined_table(spark):
         lines.append(f"{i + 1}, {s},{60 + i}.5, {ef}")
     _write(f"{root}/weather.csv", "\n".join(lines) + "\n")
     for t, tot in (("16-45-00", 5), ("17-00-00", 6), ("17-15-00", 7), ("17-30-00", 8), ("18-00-00", 9)):
-        _write(f"{root}/counts/192_168_4_5-2020-05-16_{t}_x_bee_motion_counts.csv", HEADER + f"1,1,1,1,{tot},0.5,1\n")
+        _write(f"{root}/counts/192_168_4_5-2020-05-16_{t}_counts.csv", HEADER + f"1,1,1,1,{tot},0.5,1\n")
     solar = spark.createDataFrame([(dt.datetime(2020, 5, 16, 16, 0), 1.23456), (dt.datetime(2020, 5, 16, 17, 59), 2.0)],
                                   "ts timestamp_ntz, solar_mjm2 double")
     out, report = combined_table(spark, f"{root}/weather.csv", cols, f"{root}/counts", solar)

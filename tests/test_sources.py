@@ -18,11 +18,11 @@ HEADER = "FRAME,UPWARD,DOWNWARD,LATERAL,TOTAL,TOTAL_THRESHOLD,TOTAL_ARRAY_COUNT\
 
 def test_count_files(spark):
     root = tempfile.mkdtemp(prefix="counts-", dir="/tmp")
-    _write(f"{root}/192_168_4_5-2020-04-30_10-45-00_p_bee_motion_counts.csv",
+    _write(f"{root}/192_168_4_5-2020-04-30_10-45-00_counts.csv",
            HEADER + "1,2,3,4,9,0.5,1\n2,1,1,1,3,0.5,1\n")
-    _write(f"{root}/192_168_4_5-2020-04-30_10-52-00_p_bee_motion_counts.csv", HEADER + "1,5,5,5,15,0.5,1\n")
-    _write(f"{root}/192_168_4_10-2020-04-30_11-00-00_p_bee_motion_counts.csv", HEADER)
-    _write(f"{root}/sub/dir/192_168_4_5-2020-04-30_11-15-00_p_bee_motion_counts.csv",
+    _write(f"{root}/192_168_4_5-2020-04-30_10-52-00_counts.csv", HEADER + "1,5,5,5,15,0.5,1\n")
+    _write(f"{root}/192_168_4_10-2020-04-30_11-00-00_counts.csv", HEADER)
+    _write(f"{root}/sub/dir/192_168_4_5-2020-04-30_11-15-00_counts.csv",
            HEADER + '"1","7","0","1","8","0.5","1"\n')
     obs = Observation("counts")
     rows = {(r.monitor_id, r.ts): r for r in files.read_count_files(spark, root, observation=obs).collect()}

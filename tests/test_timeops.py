@@ -50,8 +50,8 @@ def test_time_range_partial_end(spark):
 
 
 def test_parse_file_key_and_off_grid(spark):
-    names = ["192_168_4_5-2020-04-30_10-45-00_x_bee_motion_counts.csv",
-             "192_168_4_10-2020-04-30_10-52-00_x_bee_motion_counts.csv",
+    names = ["192_168_4_5-2020-04-30_10-45-00_counts.csv",
+             "192_168_4_10-2020-04-30_10-52-00_counts.csv",
              "nested/dir/192_168_4_5-2020-04-30_11-00-59_y.csv"]
     df = spark.createDataFrame([(n,) for n in names], "file_name string")
     d = timeops.parse_file_key(df)
