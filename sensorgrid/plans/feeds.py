@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from ..operators import align, timeops
+from ..session import cut_lineage
 from ..sources.tables import table
 
 
@@ -34,11 +35,14 @@ def gridded(spark: SparkSession, sf_dir: str, key: str = "event_type", blank: st
     """Regular 15-minute feed per series, as the reference builds it: a
     spine from the first to the last reading (file order) with record
     numbers, each step paired with the first reading rounded onto it by the
-    forward cursor; NULL where none."""
+    forward cursor; NULL where none.
+
+    The table is written once to the shared checkpoint folder: operators that
+    take both summaries and rows from it do not read the raw feed again."""
     raw = raw_feed(spark, sf_dir, key, blank)
     bounds = align.feed_bounds(raw, [key], order="event_id", first="start", last="end")
     sp = timeops.spine(bounds, [key])
-    return align.pair_on_spine(sp, raw, [key], order="event_id")
+    return cut_lineage(align.pair_on_spine(sp, raw, [key], order="event_id"))
 
 
 # Fixed value: the numeric ``k`` field inside ``props``.

@@ -26,3 +26,11 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,value:double>" in plan
     plan = _plan(entry.queries()["binary_discretize"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_discount:double>" in plan
+
+
+def test_the_raw_feed_is_read_once(spark):
+    """Operators that need summaries and rows of the gridded feed take both
+    from its written form, not from the raw feed again."""
+    q = entry.queries()
+    for name in ("running_day_sum", "interpolate_full", "interpolate_limit4", "calibrate_station", "prepare_model_table"):
+        assert _plan(q[name](spark, SF_SMALL)).count("events.parquet") <= 4, name
