@@ -32,9 +32,9 @@ from .text import GOLDEN, U64, Words, column, counted, hash_strings, keep, mix,
 
 SHINGLE = 5                      # words
 SIMILAR = 0.8
-BANDS, ROWS = 32, 5              # a pair at 0.8 shares no band with probability 3e-6
+BANDS, ROWS = 40, 5              # a pair at 0.8 shares no band with probability 1e-7
 SIZE = BANDS * ROWS
-DOUBT = 0.66                     # estimates of a pair at 0.8 lie below with probability 1e-5
+DOUBT = 0.68                     # estimates of a pair at 0.8 lie below with probability 1e-5
 BYTES = 5_000_000                # text handled at a time
 BLOCK = 512                      # texts of a bucket compared in one task, squared
 
@@ -205,24 +205,27 @@ def _verified(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
 
 def _likely_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of texts of one bucket and different classes whose sketches
-    agree in a share of ``DOUBT`` or more.  A bucket is cut into blocks of
-    texts; a task compares two blocks."""
+    agree in a share of ``DOUBT`` or more, each pair in the first bucket that
+    it shares.  A bucket is cut into blocks of texts; a task compares two
+    blocks."""
     size = rows.groupBy("bk").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = rows.join(size, "bk").withColumn("p", F.pmod(F.xxhash64("v"), blocks).cast("int"))
     cut = cut.withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cut = cut.select("bk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "v", "c", "sketch")
+    cut = cut.select("bk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "band", "v", "c", "sketch")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         v, c, p = group["v"].to_numpy(), group["c"].to_numpy(), group["p"].to_numpy()
         s = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        i, j, band = group["i"].iloc[0], group["j"].iloc[0], group["band"].iloc[0]
         right = np.flatnonzero(p == j)
         out = []
         for a in np.flatnonzero(p == i):
             b = right[(c[right] != c[a]) & ((v[right] > v[a]) if i == j else True)]
             if len(b):
-                b = b[(s[b] == s[a]).mean(1) >= DOUBT]
+                same = s[b] == s[a]
+                likely = np.flatnonzero(same.mean(1) >= DOUBT)
+                b = b[likely[same[likely].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]]
                 out.append(np.stack([np.full(len(b), v[a]), v[b]], axis=1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame({"a": pairs.min(1, initial=2 ** 62), "b": pairs.max(1, initial=-1)})
@@ -230,7 +233,7 @@ def _likely_pairs(rows: DataFrame) -> DataFrame:
     return cut.groupBy("bk", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: float = SIMILAR, star_rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: float = SIMILAR, star_rounds: int = 5) -> DataFrame:
     """``id, class_id, class_size`` of every row: texts linked by a chain of
     pairs with weighted Jaccard similarity of at least ``similar`` share the
     least id among them as their class.
@@ -239,11 +242,29 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     texts; a text of fewer words than a shingle is one shingle; repeated rows
     stay, in one class; a NULL id is the least only where a class has no
     other."""
+    named = _classed(docs, id_col, text, similar, star_rounds)
+    sizes = named.groupBy("c").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    return named.join(sizes, "c").select(F.col("id").alias(id_col), "class_id", "class_size")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """``docs`` with one row of each class: that of the least id (of several,
+    of the least text digest; of equal rows, one; NULL ids come last)."""
+    named = _classed(docs, id_col, text, similar)
+    first = named.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "t")).alias("f")).select(
+        F.col("f.id").alias("__id"), F.col("f.t").alias("__t"))
+    d = docs.withColumn("__d", F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    kept = d.join(first, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__t")), "left_semi")
+    return kept.dropDuplicates([id_col, "__d"]).select(*docs.columns)
+
+
+def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_rounds: int = 5) -> DataFrame:
+    """``id, t, c`` of every row: its text's digest and its class."""
     docs = docs.select(id_col, F.coalesce(text, F.lit("")).alias(text))
     sigs = keep(signatures(docs, id_col, text))
     # copies: one vertex for each distinct text, its least row number
     texts = sigs.groupBy("t").agg(F.min("key").alias("v"))
-    rows = sigs.join(texts.select(F.col("v").alias("key")), "key").select(F.col("key").alias("v"), F.explode("bands").alias("bk"))
+    rows = sigs.join(texts.select(F.col("v").alias("key")), "key").select(F.col("key").alias("v"), F.posexplode("bands").alias("band", "bk"))
     shared = rows.groupBy("bk").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo < hi").select("bk")
     hits = keep(rows.join(shared, "bk"))
     near = hits.select("v").distinct()
@@ -251,26 +272,33 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     bags = keep(_bags(docs.withColumn("t", F.unhex(F.md5(F.col(text).cast("binary")))).join(t_of.select("t", "v"), "t")
                       .groupBy("v").agg(F.first(text).alias(text)), text))
     label = near.select("v", F.col("v").alias("c"))
-    links = None
-    tested = None
-    for turn in range(star_rounds + 1):
-        now = hits.join(label, "v")
-        split = now.groupBy("bk").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
-                                      F.min(F.struct(F.xxhash64("v", "bk", F.lit(turn)).alias("h"), "v", "c")).alias("head")).filter("lo < hi")
-        now = now.join(split.select("bk", "head"), "bk")
-        if turn < star_rounds:
-            pairs = (now.filter(F.col("c") != F.col("head.c"))
-                     .select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b")).distinct())
-        else:
-            pairs = _likely_pairs(now.select("bk", "v", "c").join(t_of.select("v", "sketch"), "v"))
+    links = tested = None
+
+    def add(pairs: DataFrame) -> bool:
+        """Verify pairs not tested before; whether any is a link."""
+        nonlocal links, tested, label
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = keep(pairs)
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = keep(_verified(pairs, bags, similar))
+        if not new.limit(1).count():
+            return False
         links = new if links is None else links.unionByName(new)
-        roots = components(links)
-        label = near.join(roots, "v", "left").select("v", F.coalesce("root", "v").alias("c"))
-    named = sigs.select("id", "t").join(texts, "t").join(label, "v", "left").select("id", F.coalesce("c", "v").alias("c"))
-    sizes = named.groupBy("c").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return named.join(sizes, "c").select(F.col("id").alias(id_col), "class_id", "class_size")
+        label = keep(near.join(components(links), "v", "left").select("v", F.coalesce("root", "v").alias("c")))
+        return True
+
+    def split(turn: int) -> DataFrame:
+        """Texts of the buckets that hold several classes, each with one text
+        of its bucket, chosen by a hash."""
+        now = hits.join(label, "v")
+        heads = now.groupBy("bk").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                      F.min(F.struct(F.xxhash64("v", "bk", F.lit(turn)).alias("h"), "v", "c")).alias("head"))
+        return now.join(heads.filter("lo < hi").select("bk", "head"), "bk")
+
+    for turn in range(star_rounds):
+        pairs = split(turn).filter(F.col("c") != F.col("head.c"))
+        if not add(pairs.select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b")).distinct()):
+            break
+    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch"), "v")))
+    return keep(sigs.select("id", "t").join(texts, "t").join(label, "v", "left").select("id", "t", F.coalesce("c", "v").alias("c")))

@@ -101,3 +101,15 @@ def test_edge_rows(spark):
     got = sorted((r["doc_id"] if r["doc_id"] is not None else 99, r["class_id"], r["class_size"]) for r in minhash.classes(df).collect())
     assert got == [(5, 5, 2), (6, 5, 2), (7, 7, 1), (8, 8, 2), (9, 8, 2), (10, 10, 3), (10, 10, 3), (99, 10, 3)]
     assert minhash.classes(df.limit(0)).count() == 0
+
+
+def test_one_of_each(spark):
+    rows = [(5, None, "a"), (6, "", "b"), (8, "one two", "c"), (9, "One two", "d"), (10, "z", "e"), (10, "z", "f"), (None, "z", "g"),
+            (7, "first text", "h"), (7, "other text", "i"), (None, "lost id", "j"), (None, "another lost id", "k")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = minhash.one_of_each(df)
+    assert out.columns == df.columns
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in out.collect())
+    assert got == [(False, 5, ""), (False, 7, "first text"), (False, 7, "other text"), (False, 8, "one two"), (False, 10, "z"),
+                   (True, 0, "another lost id"), (True, 0, "lost id")]
+    assert minhash.one_of_each(df.limit(0)).count() == 0
