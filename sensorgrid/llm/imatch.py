@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     piece of the table before the shuffle."""
 
     def run(batches):
-        for batch in sized(batches, text, 40_000_000):
+        for batch in sized(batches, text, 16_000_000):
             w = Words(column(batch, text))
             if not len(w.words):
                 continue
@@ -150,16 +149,12 @@ def compare_with_next(docs: DataFrame, lex: np.ndarray) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = min(MOST_RANGES, RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("c")).first()["c"] if n > 1 else None
-    cuts = np.array(sorted(set(found or [])), dtype=np.int64)   # a few numbers a partition
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        """0 for the greatest ids, the last range for NULL."""
-        known = ids.notna()
-        at = len(cuts) - np.searchsorted(cuts, ids[known].to_numpy(dtype=np.int64))
-        return pd.Series(np.full(len(ids), len(cuts) + 1), index=ids.index).where(~known, pd.Series(at, index=ids.index[known]))
-
-    docs = docs.withColumn("part", range_of("doc_id"))
+    cuts = sorted(set(found or []))                              # a few numbers a partition
+    # how many cuts are below the id, by halving: range 0 has the greatest ids, the last one the NULLs
+    halves = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    below = F.lit(0) if not cuts else F.aggregate(F.lit(halves), F.lit(0), lambda at, step: F.when(
+        (at + step <= len(cuts)) & (F.element_at(F.lit(cuts), F.least(at + step, F.lit(len(cuts)))) < F.col("doc_id")), at + step).otherwise(at))
+    docs = docs.withColumn("part", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - below).cast("int"))
     # the first row of each range, and which range it follows: one row a range
     first = docs.groupBy("part").agg(F.max("doc_id").alias("id"))
     order = Window.orderBy("part")
@@ -184,7 +179,7 @@ def compare_with_next(docs: DataFrame, lex: np.ndarray) -> DataFrame:
 
     def run(batches):
         ids, texts = [], []
-        for batch in sized(batches, "text", 8_000_000):
+        for batch in sized(batches, "text", 5_000_000):
             ends = batch.column(3).to_numpy(zero_copy_only=False)
             at = 0
             for stop in [*(np.flatnonzero(ends) + 1).tolist(), batch.num_rows]:
