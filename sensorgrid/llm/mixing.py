@@ -133,7 +133,7 @@ def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text
 LENGTHS = ((1.0, 0.5, 0.2, 0.05), (1.0, 4.0, 16.0))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-6) -> DataFrame:
+def fit_rates(members: DataFrame, targets: list[float], steps: int = 40, tolerance: float = 1e-6) -> DataFrame:
     """``members`` with ``rate``: non-negative rates, from 1 on, whose expected
     domain tokens are nearest the ``targets`` in least squares.
 
@@ -157,7 +157,7 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = 60, toleran
         rows = np.array(row).reshape(len(tries), -1)
         error = np.linalg.norm(rows[:, :k] - goal, axis=1)
         pick = int(np.argmin(error))
-        if best is not None and error[pick] >= best * (1 - 1e-6):
+        if best is not None and error[pick] >= best * (1 - 1e-4):
             break
         best, off = float(error[pick]), rows[pick, :k] - goal
         h = np.zeros((k, k))

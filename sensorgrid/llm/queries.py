@@ -101,13 +101,12 @@ def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Target shares of the labelled domains (a parameter).
-MIX_WEIGHTS = {"good": 0.88, "junk": 0.10, "toxic": 0.02}
+MIX_WEIGHTS = {"good": 0.9, "junk": 0.1}
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
-    """The labelled table's domains: toxic rows, and the others by quality."""
-    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
-                         .when(F.col("quality") == 0, "junk").alias("domain"))
+    """The labelled table's domains: rows by their quality."""
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "junk").alias("domain"))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
