@@ -30,17 +30,31 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     piece of the table before the shuffle."""
 
     def run(batches):
+        held, size = [], 0
         for batch in sized(batches, text, 16_000_000):
             w = Words(column(batch, text))
             if not len(w.words):
                 continue
             pair = distinct(w.doc_of() * len(w.words) + w.codes)
-            df = np.bincount(pair % len(w.words), minlength=len(w.words))
-            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(w.words).view(np.int64)), pa.array(df.astype(np.int64))], names=["h", "df"])
+            held.append((hash_strings(w.words), np.bincount(pair % len(w.words), minlength=len(w.words))))
+            size += len(w.words)
+            if size >= 1_500_000:                    # a task sends a bounded number of terms at a time
+                yield _merged(held)
+                held, size = [], 0
+        if held:
+            yield _merged(held)
 
     return docs.select(text).mapInArrow(run, "h bigint, df bigint").groupBy("h").agg(F.sum("df").alias("df"))
 
 
+def _merged(held: list) -> pa.RecordBatch:
+    h, df = (np.concatenate([x[i] for x in held]) for i in range(2))
+    order = np.argsort(h)
+    h, df = h[order], df[order]
+    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return pa.RecordBatch.from_arrays([pa.array(h[start].view(np.int64)), pa.array(np.add.reduceat(df, start).astype(np.int64))], names=["h", "df"])
+
+
 def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float = HIGH) -> np.ndarray:
     """Sorted hashes of the terms in the band ``low*N <= df <= high*N`` (and
     df >= 2).  Its size is bounded by the mean number of distinct terms of a
