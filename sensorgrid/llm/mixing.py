@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import U64, Words, column, counted, hash_strings, keep, mix, sized
+from .text import U64, Words, column, counted, give_back, hash_strings, keep, mix, sized
 
 BITS = 16                 # buckets of words and of word endings
 SCALE = 20.0              # logits are this times the mean weight of a text's words
@@ -194,6 +194,7 @@ def mix_documents(docs: DataFrame, labelled: DataFrame, weights: dict[str, float
     has the even posterior."""
     domains = sorted(weights)
     model = fit_classifier(docs, labelled, domains, sample, id_col, text)
+    give_back()
     members = keep(memberships(docs, model, id_col, text))
     share = np.array([weights[d] for d in domains], dtype=float)
     share /= share.sum()

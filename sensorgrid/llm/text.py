@@ -3,6 +3,9 @@ hashes, tables kept in the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -30,6 +33,15 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that is free again to the system (a driver that has
+    trained a model goes on for long)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (splitmix): a stable hash of 64-bit integers."""
     with np.errstate(over="ignore"):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import U64, Words, add_columns, column, distinct, hash_strings, mix
+from .text import U64, Words, add_columns, column, distinct, give_back, hash_strings, mix
 
 WINDOW, STRIDE = 32, 16          # words
 HIDDEN, DIM, ATT = 8, 8, 8
@@ -288,7 +288,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str =
     return rows["t"].combine_chunks(), rows["y"].to_numpy().astype(F32)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5_000, epochs: int = 5,
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 3_000, epochs: int = 6,
              text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with ``out double`` in 0..1 (higher: likelier toxic).
 
@@ -297,6 +297,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5_000, epochs: in
     net's score of it; without labelled rows every score is 0.5; repeated
     rows stay; other columns pass through."""
     net = train(*labelled_sample(docs, labels, sample), epochs=epochs)
+    give_back()
     shipped = docs.sparkSession.sparkContext.broadcast(net)        # of fixed size
 
     def make():
