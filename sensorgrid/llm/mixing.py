@@ -118,7 +118,7 @@ def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text
 
     def run(batches):
         row = TaskContext.get().partitionId() << 33
-        for batch in sized(batches, text, 16_000_000):
+        for batch in sized(batches, text, 6_000_000):
             p, n = shipped.value.posteriors(column(batch, text))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(n))), batch.column(0), pa.array(n), *[pa.array(p[:, k]) for k in range(len(names))]],

@@ -232,5 +232,6 @@ def add_columns(df: DataFrame, fields: list, make, text: str, most_bytes: int =
             cols = [c for n, c in zip(batch.schema.names, batch.columns) if not (replaced and n == text)]
             arrays = [*cols, *f(batch)]
             yield pa.RecordBatch.from_arrays([a if a.type == t.type else a.cast(t.type) for a, t in zip(arrays, arrow)], schema=arrow)
+        give_back()                                   # the worker may wait for its next task for long
 
     return base.mapInArrow(run, schema)

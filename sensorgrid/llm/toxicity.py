@@ -303,7 +303,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 3_000, epochs: in
     def make():
         return lambda batch: [pa.array(score_texts(shipped.value, column(batch, text)))]
 
-    return add_columns(docs, [T.StructField(out, T.DoubleType())], make, text, 16_000_000)
+    return add_columns(docs, [T.StructField(out, T.DoubleType())], make, text, 6_000_000)
 
 
 def held_out(doc_id: Column) -> Column:
