@@ -133,7 +133,7 @@ def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text
 LENGTHS = ((1.0, 0.5, 0.2, 0.05), (1.0, 4.0, 16.0))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = 40, tolerance: float = 1e-6) -> DataFrame:
+def fit_rates(members: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-6) -> DataFrame:
     """``members`` with ``rate``: non-negative rates, from 1 on, whose expected
     domain tokens are nearest the ``targets`` in least squares.
 
@@ -144,35 +144,70 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = 40, toleran
     ``tolerance`` of all target tokens, or no step comes nearer.  A domain
     that no document belongs to cannot be served."""
     k = len(targets)
-    names, n = [f"p{i}" for i in range(k)], F.col("n_tokens").cast("double")
+    names = [f"p{i}" for i in range(k)]
     goal, corner = np.array(targets, dtype=float), np.triu_indices(k)
-    state, tries, best, since = members.withColumn("rate", F.lit(1.0)), [np.zeros(k)], None, 0
+    taken, tries, best = [], [np.zeros(k)], None
     for _ in range(steps):
-        moved = [F.greatest(F.lit(0.0), F.col("rate") - sum(F.col(c) * float(s) for c, s in zip(names, step))) for step in tries]
-        sums = []
-        for rate in moved:
-            sums += [F.sum(rate * n * F.col(c)) for c in names]
-            sums += [F.sum(F.when(rate > 0, n * F.col(names[i]) * F.col(names[j])).otherwise(0.0)) for i, j in zip(*corner)]
-        row = [x or 0.0 for x in state.agg(*[x.alias(f"x{i}") for i, x in enumerate(sums)]).first()]
-        rows = np.array(row).reshape(len(tries), -1)
+        rows = _sums(members, names, taken, tries)
         error = np.linalg.norm(rows[:, :k] - goal, axis=1)
         pick = int(np.argmin(error))
-        if best is not None and error[pick] >= best * (1 - 1e-4):
+        if best is not None and error[pick] >= best * (1 - 1e-6):
             break
         best, off = float(error[pick]), rows[pick, :k] - goal
         h = np.zeros((k, k))
         h[corner] = rows[pick, k:]
         h = h + np.triu(h, 1).T
-        state = state.withColumn("rate", moved[pick])
-        since += 1
-        if since == 4:                                # keeps the expression short
-            state, since = keep(state), 0
+        taken.append(tries[pick])
         longest = float(np.linalg.eigvalsh(h)[-1]) if k else 0.0
         if np.abs(off).max() <= tolerance * goal.sum() or not longest:
             break
         scaled = np.linalg.pinv(h, rcond=1e-9, hermitian=True) @ off
         tries = [scaled * t for t in LENGTHS[0]] + [off / longest * t for t in LENGTHS[1]]
-    return state
+
+    def rated(batches):
+        for batch in batches:
+            rate = pa.array(_rates(_columns(batch, names), taken))
+            yield pa.RecordBatch.from_arrays([*batch.columns, rate], names=[*batch.schema.names, "rate"])
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema.fields]
+    return members.mapInArrow(rated, ", ".join([*kinds, "rate double"]))
+
+
+def _columns(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in names], axis=1)
+
+
+def _rates(p: np.ndarray, taken: list[np.ndarray]) -> np.ndarray:
+    """Rates of documents after the steps taken, from 1 on."""
+    rate = np.ones(len(p))
+    for step in taken:
+        rate = np.maximum(0.0, rate - p @ step)
+    return rate
+
+
+def _sums(members: DataFrame, names: list[str], taken: list[np.ndarray], tries: list[np.ndarray]) -> np.ndarray:
+    """Of each step tried after those ``taken``: the expected tokens of each
+    domain and, over the documents with a rate, the tokens of each pair.  The
+    steps go to the tasks as numbers, so that the plan is the same in every
+    pass and nothing is compiled anew."""
+    corner = np.triu_indices(len(names))
+    width = len(names) + len(corner[0])
+
+    def run(batches):
+        total = np.zeros((len(tries), width))
+        for batch in batches:
+            p, n = _columns(batch, names), _columns(batch, ["n_tokens"])[:, 0].astype(float)
+            rate = _rates(p, taken)
+            for t, step in enumerate(tries):
+                moved = np.maximum(0.0, rate - p @ step)
+                held = p * (n * (moved > 0))[:, None]
+                total[t] += np.concatenate([(moved * n) @ p, (held.T @ p)[corner]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "x"])
+
+    out = np.zeros(len(tries) * width)
+    for at, x in members.mapInArrow(run, "at bigint, x double").groupBy("at").agg(F.sum("x")).collect():
+        out[at] = x
+    return out.reshape(len(tries), width)
 
 
 def copies(rate: Column, *ids: Column) -> Column:

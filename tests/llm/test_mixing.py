@@ -69,3 +69,25 @@ def test_edge_tables(spark):
     rates = mixing.mix_documents(docs, lab, w, "keep:good:1.0")
     kept = mixing.mixed(docs, rates)
     assert kept.columns == docs.columns and 0 < kept.count() <= 22
+
+
+def test_slow_targets_are_followed(spark):
+    """Steps that come little nearer each are still taken (error 0.102 of the
+    tokens after 40 steps that end at 1e-4)."""
+    rng = np.random.default_rng(10)
+    p = rng.dirichlet(rng.choice([0.05, 0.2, 0.5, 2.0], 3), 60)
+    n = rng.integers(1, 100, 60)
+    target = rng.dirichlet([0.3, 0.3, 0.3]) * n.sum() * rng.choice([0.3, 1, 3])
+    df = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(60)], "key bigint, n_tokens bigint, p0 double, p1 double, p2 double")
+    out = mixing.fit_rates(df, list(target)).orderBy("key").toPandas()
+    got = (out["rate"].to_numpy() * n) @ p
+    assert np.linalg.norm(got - target) < 0.09 * target.sum()
+
+
+def test_toxic_rows_are_a_domain(spark):
+    from sensorgrid.llm import queries
+    rows = [(1, 1, 1), (2, 1, 0), (3, 0, 0), (4, 0, 1), (5, None, None)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r.domain for r in queries.domain_labels(labels).collect()}
+    assert got == {1: "toxic", 2: "good", 3: "junk", 4: "toxic", 5: None}
+    assert set(queries.MIX_WEIGHTS) == {"good", "junk", "toxic"}
