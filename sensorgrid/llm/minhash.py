@@ -206,26 +206,27 @@ def _verified(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
 def _likely_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of texts of one bucket and different classes whose sketches
     agree in a share of ``DOUBT`` or more, each pair in the first bucket that
-    it shares.  A bucket is cut into blocks of texts; a task compares two
+    it shares by the band keys themselves (bytes of a sketch also agree by
+    chance).  A bucket is cut into blocks of texts; a task compares two
     blocks."""
     size = rows.groupBy("bk").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = rows.join(size, "bk").withColumn("p", F.pmod(F.xxhash64("v"), blocks).cast("int"))
     cut = cut.withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cut = cut.select("bk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "band", "v", "c", "sketch")
+    cut = cut.select("bk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "band", "v", "c", "sketch", "bands")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         v, c, p = group["v"].to_numpy(), group["c"].to_numpy(), group["p"].to_numpy()
         s = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
+        keys = np.stack(group["bands"].to_list())
         i, j, band = group["i"].iloc[0], group["j"].iloc[0], group["band"].iloc[0]
         right = np.flatnonzero(p == j)
         out = []
         for a in np.flatnonzero(p == i):
             b = right[(c[right] != c[a]) & ((v[right] > v[a]) if i == j else True)]
             if len(b):
-                same = s[b] == s[a]
-                likely = np.flatnonzero(same.mean(1) >= DOUBT)
-                b = b[likely[same[likely].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]]
+                b = b[(s[b] == s[a]).mean(1) >= DOUBT]
+                b = b[(keys[b] == keys[a]).argmax(1) == band]
                 out.append(np.stack([np.full(len(b), v[a]), v[b]], axis=1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame({"a": pairs.min(1, initial=2 ** 62), "b": pairs.max(1, initial=-1)})
@@ -268,7 +269,7 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
     shared = rows.groupBy("bk").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo < hi").select("bk")
     hits = keep(rows.join(shared, "bk"))
     near = hits.select("v").distinct()
-    t_of = keep(sigs.select(F.col("key").alias("v"), "t", "sketch").join(near, "v"))
+    t_of = keep(sigs.select(F.col("key").alias("v"), "t", "sketch", "bands").join(near, "v"))
     bags = keep(_bags(docs.withColumn("t", F.unhex(F.md5(F.col(text).cast("binary")))).join(t_of.select("t", "v"), "t")
                       .groupBy("v").agg(F.first(text).alias(text)), text))
     label = near.select("v", F.col("v").alias("c"))
@@ -300,5 +301,5 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
         pairs = split(turn).filter(F.col("c") != F.col("head.c"))
         if not add(pairs.select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b")).distinct()):
             break
-    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch"), "v")))
+    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch", "bands"), "v")))
     return keep(sigs.select("id", "t").join(texts, "t").join(label, "v", "left").select("id", "t", F.coalesce("c", "v").alias("c")))

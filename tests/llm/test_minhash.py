@@ -113,3 +113,21 @@ def test_one_of_each(spark):
     assert got == [(False, 5, ""), (False, 7, "first text"), (False, 7, "other text"), (False, 8, "one two"), (False, 10, "z"),
                    (True, 0, "another lost id"), (True, 0, "lost id")]
     assert minhash.one_of_each(df.limit(0)).count() == 0
+
+
+def likely(spark, sketches, keys, band):
+    rows = [(5, band, v, v, bytearray(s.tobytes()), [int(k) for k in key]) for v, (s, key) in enumerate(zip(sketches, keys))]
+    df = spark.createDataFrame(rows, "bk bigint, band int, v bigint, c bigint, sketch binary, bands array<bigint>")
+    return [tuple(r) for r in minhash._likely_pairs(df).collect()]
+
+
+def test_a_chance_match_of_sketches_loses_no_pair(spark):
+    """Bytes of band 3 agree though its keys differ: the pair is in the bucket of band 7."""
+    a = np.zeros(minhash.SIZE, dtype=np.uint8)
+    b = a.copy()
+    b[:3 * minhash.ROWS:minhash.ROWS] = 1
+    keys = np.stack([np.arange(minhash.BANDS), np.arange(minhash.BANDS) + 1000])
+    keys[1, 7] = keys[0, 7]
+    assert likely(spark, [a, b], keys, 7) == [(0, 1)]
+    keys[1, 2] = keys[0, 2]                          # listed in the first bucket it shares, only
+    assert likely(spark, [a, b], keys, 7) == [] and likely(spark, [a, b], keys, 2) == [(0, 1)]
