@@ -34,7 +34,7 @@ SHINGLE = 5                      # words
 SIMILAR = 0.8
 BANDS, ROWS = 40, 5              # a pair at 0.8 shares no band with probability 1e-7
 SIZE = BANDS * ROWS
-DOUBT = 0.70                     # estimates of a pair at 0.8 lie below with probability 2e-4, at 0.82 with 1e-5
+DOUBT = 0.66                     # estimates of a pair at 0.8 lie below with probability 1e-6, at 0.82 with 2e-8
 BYTES = 5_000_000                # text handled at a time
 BLOCK = 512                      # texts of a bucket compared in one task, squared
 

@@ -131,3 +131,12 @@ def test_a_chance_match_of_sketches_loses_no_pair(spark):
     assert likely(spark, [a, b], keys, 7) == [(0, 1)]
     keys[1, 2] = keys[0, 2]                          # listed in the first bucket it shares, only
     assert likely(spark, [a, b], keys, 7) == [] and likely(spark, [a, b], keys, 2) == [(0, 1)]
+
+
+def test_doubtful_pairs_are_listed(spark):
+    """An estimate of 0.67 is verified: a pair at 0.8 can have it."""
+    a = np.zeros(minhash.SIZE, dtype=np.uint8)
+    b = a.copy()
+    b[:int(0.33 * minhash.SIZE)] = 1
+    keys = np.zeros((2, minhash.BANDS), dtype=np.int64)
+    assert likely(spark, [a, b], keys, 0) == [(0, 1)]
