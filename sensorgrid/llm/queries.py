@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_blocks, imatch, lattice_lm, license_scan, line_join, minhash, mixing, topk, toxicity
+from . import bpe, html_blocks, imatch, lattice_lm, license_scan, line_join, minhash, mixing, string_kernel, topk, toxicity
 
 # Vocabulary files of public tokenizers (paths are parameters).
 RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -122,6 +122,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded"))
 
 
+def op13_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_kernel.predict_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bagminhash": op1_bagminhash,
     "op2_lattice_lm": op2_lattice_lm,
@@ -133,6 +137,7 @@ QUERIES = {
     "op8_html_main_text": op8_html_main_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_string_kernel": op13_string_kernel,
 }
 
 ORACLE = {
