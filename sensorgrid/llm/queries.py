@@ -7,11 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_blocks, imatch, lattice_lm, license_scan, line_join, minhash, mixing, string_kernel, topk, toxicity
+from . import bpe, html_blocks, imatch, lattice_lm, license_scan, line_join, minhash, mixing, string_kernel, token_align, topk, toxicity
 
 # Vocabulary files of public tokenizers (paths are parameters).
 RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES_FILE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_JSON_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +123,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.link_report(table(spark, sf_dir, "documents"), bpe.read_ranks(BYTE_JSON_FILE), bpe.read_ranks(PIECES_FILE))
+
+
 def op13_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_kernel.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -137,6 +142,7 @@ QUERIES = {
     "op8_html_main_text": op8_html_main_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_token_align": op11_token_align,
     "op13_string_kernel": op13_string_kernel,
 }
 
