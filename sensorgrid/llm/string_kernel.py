@@ -130,7 +130,7 @@ def ridge(own: np.ndarray, k: np.ndarray, y: np.ndarray, penalty: float) -> tupl
 
 
 def fit(docs: DataFrame, landmarks: int = 128, sample: int = 2_400, penalty: float = 1e-4,
-        doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
+        doc_id: str = "doc_id", text: str = "text", language: str = "lang") -> Model:
     """Model of all languages of ``docs`` (rows to learn from).
 
     ``sample`` bounds the learning rows and ``landmarks`` the landmarks among
@@ -139,14 +139,18 @@ def fit(docs: DataFrame, landmarks: int = 128, sample: int = 2_400, penalty: flo
     letter are never learnt from; a repeated id counts once.  The texts stay
     in Spark: the driver gets the landmarks' n-gram codes and one kernel row
     for each sampled text."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter(
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(language).cast("string").alias("lang"), F.col(text).alias("text")).filter(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = sorted(r[0] for r in rows.select("lang").distinct().collect())          # a small set of labels
+    count = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}            # a small set of labels
+    langs = sorted(count)
     if not langs:
         return Model([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
     per, marks = max(8, sample // len(langs)), max(2, landmarks // len(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per)
+    rank = F.shiftrightunsigned(F.xxhash64("id"), 1) / 2.0 ** 63
+    share = F.element_at(F.create_map(*(F.lit(x) for lang in langs for x in (lang, 4.0 * per / count[lang]))), F.col("lang"))
+    order = Window.partitionBy("lang").orderBy("rank", "id")              # over about four times as many rows as are taken
+    chosen = (rows.select("id", "lang", rank.alias("rank")).filter(F.col("rank") < share).distinct()
+              .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per).drop("rank"))
     taken = keep(rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang", "nth").agg(F.min("text").alias("text")))
 
     def sets(batches):
