@@ -33,9 +33,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .text import add_columns, column, give_back, keep, ragged, sized, slices
 
-LANE = 512                     # tokens of the first side
+LANE = 256                     # tokens of the first side
 FEW = 8                        # lanes that are left are finished one by one
-PIECE_BYTES = 2_000_000        # of text
+PIECE_BYTES = 1_000_000        # of text
 
 _sides: dict[int, "Side"] = {}
 
