@@ -893,25 +893,24 @@ def q_grid(spark, sf):
 
 @register("trend_additive")
 def q_trend_additive(spark, sf):
-    """Every feature's trends over 1 and 24 hours (the run list; the spans are
-    a parameter), one at a time beside the features' hour and first column."""
+    """Every feature's trends over 1 to 24 hours, one at a time beside the
+    features' hour and first column."""
     from .prepare import trend_table
-    from .search import ModelSearch
-    hours = (1, 24)
+    from .search import TREND_HOURS, ModelSearch
     m = model_table(spark, sf)
     own = features(m)
-    t = trend_table(m, own, hours=hours)
+    t = trend_table(m, own, hours=TREND_HOURS)
     with ModelSearch(t, TARGET) as srch:
         return _results_view(srch.trend_additive(
-            [own[0], "hour"], {c: [ordered.trend_name(c, f"{h} hours") for h in hours] for c in own}))
+            [own[0], "hour"], {c: [ordered.trend_name(c, f"{h} hours") for h in TREND_HOURS] for c in own}))
 
 
 @register("trends_subsets")
 def q_trend_subsets(spark, sf):
-    """Every subset of the 1, 2 and 3 hour trends of one feature."""
+    """Every subset of five trends of one feature (31 runs)."""
     from .prepare import trend_table
     from .search import ModelSearch
-    hours = (1, 2, 3)
+    hours = (1, 2, 3, 6, 12)
     m = model_table(spark, sf)
     own = features(m)
     t = trend_table(m, own[-1:], hours=hours)
@@ -923,7 +922,7 @@ def q_trend_subsets(spark, sf):
 @register("hyper_small")
 def q_hyper(spark, sf):
     with _search(spark, sf) as srch:
-        return _results_view(srch.grid_search_hyper(features(srch.data), [50, 100], [4, 8]))
+        return _results_view(srch.grid_search_hyper(features(srch.data)))
 
 
 @register("time_grouping_curve")
@@ -932,7 +931,7 @@ def q_grouping_curve(spark, sf):
     from .search import time_grouping_tests
     from .views import grouping_curve
     p = prepare(wide_slots(spark, sf), target=TARGET, min_valid=3, drop=[])
-    res = time_grouping_tests(spark, p, TARGET, features(p) + ["hour"], [0.5, 1, 2, 3])
+    res = time_grouping_tests(spark, p, TARGET, features(p) + ["hour"])
     return grouping_curve(res)
 
 
@@ -945,7 +944,7 @@ def q_rfe(spark, sf):
 @register("sfs_small")
 def q_sfs(spark, sf):
     with _search(spark, sf) as srch:
-        return srch.sfs(features(srch.data) + ["hour"], n_select=2, trees=100, depth=6)
+        return srch.sfs(features(srch.data) + ["month", "hour"])
 
 
 @register("best_model_series")

@@ -1,13 +1,12 @@
 """Distributed model searches (M5–M14) and the results store.
 
-A search is a table of runs (column subset × model settings).  Each run is
-one distributed Spark ML fit plus one aggregate for its metrics; runs are
-submitted from a small thread pool so several fits share the cluster
-(as ``CrossValidator(parallelism=…)`` does).  The prepared table carries
-the train/test flag (T7) and is checkpointed once, so every run reads the
-same rows without re-deriving the lineage.  After every batch the finished
-result rows are appended to the results store; a restarted search skips the
-runs already stored (left-anti join on the run key).
+A search is a table of runs (column subset × model settings).  The columns
+are binned once; the forests of a piece of runs are grown together and tested
+in one pass (``models/forests.py``).  The prepared table carries the
+train/test flag (T7) and is checkpointed once, so every run reads the same
+rows without re-deriving the lineage.  After every piece the finished result
+rows are appended to the results store; a restarted search skips the runs
+already stored.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ import math
 import threading
 import warnings
 from collections.abc import Iterable, Sequence
-from concurrent.futures import Future, ThreadPoolExecutor
 from itertools import combinations, islice
 
 from pyspark.errors import AnalysisException
@@ -25,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..models import forest as rf
+from ..models import forests
 from ..models.knn import knn_predict
 from ..models.pls import fit_pls
 from ..operators import stats, timeops
@@ -54,6 +53,15 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
+# Run lists of the reference's searches (fixed values).
+TREND_HOURS = tuple(range(1, 25))
+HYPER_TREES = tuple(range(100, 501, 25))
+HYPER_DEPTHS = tuple(range(2, 21))
+GROUPING_HOURS = tuple(0.25 * k for k in range(1, 97))
+
+MOST_FOLDS = 60                     # folds are made of so many slices of the rows
+
+
 def run_key(columns: Sequence[str], **params) -> str:
     p = ",".join(f"{k}={params[k]}" for k in sorted(params) if params[k] is not None)
     return "|".join(columns) + "#" + p
@@ -84,6 +92,17 @@ class ResultStore:
             raise
         return rows.filter(F.col("search_id") == search_id)
 
+    def keys(self, search_id: str) -> set[str]:
+        """Keys of the stored runs of a search."""
+        rows = self.stored(search_id)
+        return {r["run_key"] for r in rows.select("run_key").collect()} if rows is not None else set()
+
+    def known(self, search_id: str) -> dict[str, dict]:
+        """Stored rows of a search by their key (of searches by rounds, that
+        have few)."""
+        rows = self.stored(search_id)
+        return {r["run_key"]: r.asDict() for r in rows.collect()} if rows is not None else {}
+
     def append(self, rows: DataFrame) -> None:
         if self.path:
             with self._one:
@@ -115,6 +134,7 @@ class ModelSearch:
         self.store = store or ResultStore(self.spark, None)
         self.test_size, self.seed = test_size, seed
         self._train_len = None
+        self._tables: dict[tuple, forests.BinnedTable] = {}
 
     def close(self) -> None:
         """Release the cached model table (results already returned are
@@ -132,7 +152,6 @@ class ModelSearch:
             self._train_len = self.data.filter(~F.col(self.flag)).count()
         return self._train_len
 
-    # -- one forest run → one result row (plain python dict)
     def usable(self, columns: Sequence[str]) -> list[str]:
         """The columns that hold a value in any row: one that was constant is
         all NULL once scaled and cannot enter a model (a warning names it)."""
@@ -141,87 +160,79 @@ class ModelSearch:
             warnings.warn(f"columns without any value are left out of the model: {', '.join(gone)}", stacklevel=2)
         return [c for c in columns if c not in gone]
 
-    def _forest_row(self, search_id, columns, trees, depth, error_term=2.0, hours=None, data=None,
-                    train_len=None, model=None):
-        key_columns, columns = columns, self.usable(columns)
-        data = data if data is not None else self.data
-        train = data.filter(~F.col(self.flag))
-        test = data.filter(F.col(self.flag))
-        if model is None:
-            model = rf.fit_forest(train, columns, self.label, trees, depth, self.seed)
-        pred = rf.predict(model, test, columns)
-        m = stats.evaluate(pred, len(columns), label=self.label, error_term=error_term).first()
-        return {
-            "search_id": search_id, "run_key": run_key(key_columns, trees=trees, depth=depth, hours=hours),
-            "size": len(columns), "r2_score": m["r2_score"], "aicc": m["aicc"],
-            "ci95": (m["ci95"]["lo"], m["ci95"]["hi"]), "ci95_span": m["ci95_span"],
-            "input_columns": list(columns),
-            "feature_importances": [(d["importance"], d["column"]) for d in rf.importances(model, columns)],
-            "data_periodicity_hrs": [float(hours if hours is not None else 0.25)],
-            "test_size": self.test_size, "random_state": self.seed,
-            "train_length": train_len if train_len is not None else self.train_length(),
-            "test_length": m["test_length"], "n_estimators": trees, "max_depth": depth,
-            "knn_neighbors": None, "pls_components": None,
-        }
+    def _table(self, columns: Sequence[str], nights: bool = True) -> forests.BinnedTable:
+        """The binned table of a search (made once for its columns)."""
+        key = (tuple(columns), nights)
+        if key not in self._tables:
+            data = self.data if nights else timeops.exclude_nights(self.data, ts=self.id_cols[0])
+            fold = F.pmod(row_hash(self.seed + 1, self.id_cols), F.lit(MOST_FOLDS))
+            self._tables[key] = forests.BinnedTable(data.withColumn("__fold", fold), columns, self.label, [self.flag, "__fold"], self.id_cols, self.seed)
+        return self._tables[key]
+
+    def _run(self, columns: Sequence[str], trees: int, depth: int) -> forests.Run:
+        return forests.Run(tuple(columns), trees, depth, ((self.flag, (0,)),), ((self.flag, (1,)),))
+
+    def _rows(self, search_id, table, found, key_columns, upto=None, error_term=2.0, train_len=None) -> list[dict]:
+        """Result rows of forests (one for each number of first trees asked for)."""
+        upto = upto or [[f.run.trees] for f in found]
+        scores = stats.evaluate(forests.predictions(table, found, upto), "size", error_term=error_term, keys=["run", "trees", "size"]).collect()
+        scores = {(r["run"], r["trees"]): r for r in scores}
+        none = {"r2_score": None, "aicc": None, "ci95": {"lo": None, "hi": None}, "ci95_span": None, "test_length": 0}
+        train_len = train_len if train_len is not None else self.train_length()
+        out = []
+        for k, f in enumerate(found):
+            for n in upto[k]:
+                m = scores.get((k, n), none)
+                out.append({
+                    "search_id": search_id, "run_key": run_key(key_columns[k], trees=n, depth=f.run.depth, hours=None),
+                    "size": len(f.run.columns), "r2_score": m["r2_score"], "aicc": m["aicc"],
+                    "ci95": (m["ci95"]["lo"], m["ci95"]["hi"]), "ci95_span": m["ci95_span"],
+                    "input_columns": list(f.run.columns),
+                    "feature_importances": [(d["importance"], d["column"]) for d in f.importances(n)],
+                    "data_periodicity_hrs": [0.25],
+                    "test_size": self.test_size, "random_state": self.seed, "train_length": train_len, "test_length": m["test_length"],
+                    "n_estimators": n, "max_depth": f.run.depth, "knn_neighbors": None, "pls_components": None,
+                })
+        return out
 
     def _to_df(self, rows: list[dict]) -> DataFrame:
         tuples = [tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows]
         return self.spark.createDataFrame(tuples, RESULT_SCHEMA)
 
-    def run_batches(self, search_id: str, batches: Iterable[list[tuple]], fn, key=None) -> DataFrame:
-        """Run ``fn(search id, *args)`` for every planned run, batch by batch
-        (e.g. one batch per subset size), and append each finished batch to
-        the store.  Runs whose ``key(*args)`` is stored are not made again;
-        the result holds the stored and the new rows of the planned runs.
-
-        ``batches`` is read as the runs go (at most some batches ahead), so a
-        long list of runs is never held whole."""
-        before = self.store.stored(search_id)
-        old = {r["run_key"]: r.asDict() for r in before.collect()} if before is not None else {}
-        out, waiting = [], []
-
-        def finish(batch):
-            rows = [f.result() for f in batch]
-            if rows:
+    def _forest_runs(self, search_id: str, columns: Sequence[str], runs: Iterable[tuple], nights: bool = True, piece: int = 64) -> DataFrame:
+        """Forests ``(columns, trees, depth)`` of all planned runs, ``piece``
+        at a time: each piece is grown and tested together and appended to the
+        store.  Runs that the store holds are not made again.  ``runs`` is
+        read as it goes; with a store, finished rows are not held here."""
+        known, out, planned = self.store.keys(search_id), [], set()
+        table = self._table(self.usable(columns), nights)
+        train_len = None if nights else table.blocks_train_length(self.flag)
+        for part in _pieces(runs, piece):
+            keys = [run_key(c, trees=t, depth=d, hours=None) for c, t, d in part]
+            planned.update(keys)
+            todo = [(list(c), t, d) for k, (c, t, d) in zip(keys, part) if k not in known]
+            if todo:
+                found = forests.fit_forests(table, [self._run([x for x in c if x not in self._empty], t, d) for c, t, d in todo])
+                rows = self._rows(search_id, table, found, [c for c, _, _ in todo], train_len=train_len)
                 self.store.append(self._to_df(rows))
-            out.extend(rows)
-
-        with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
-            for batch in batches:
-                todo = []
-                for args in batch:
-                    k = key(*args) if key else None
-                    if k in old:
-                        out.append({n: old[k][n] for n in RESULT_SCHEMA.fieldNames()})
-                    else:
-                        todo.append(pool.submit(fn, search_id, *args))
-                waiting.append(todo)
-                while sum(len(b) for b in waiting) > 8 * self.parallelism:
-                    finish(waiting.pop(0))
-            for batch in waiting:
-                finish(batch)
-        return self._to_df(out) if out else self.spark.createDataFrame([], RESULT_SCHEMA)
-
-    def _forest_runs(self, search_id, batches, data=None, train_len=None):
-        """Forest runs ``(columns, trees, depth)``, without those stored."""
-        return self.run_batches(
-            search_id, batches, lambda sid, cols, trees, depth: self._forest_row(sid, cols, trees, depth, data=data, train_len=train_len),
-            key=lambda cols, trees, depth: run_key(cols, trees=trees, depth=depth, hours=None))
-
-    def _without_nights(self):
-        """The table without night rows (the split stays) and its train length."""
-        data = timeops.exclude_nights(self.data, ts=self.id_cols[0])
-        return data, data.filter(~F.col(self.flag)).count()
+                out += [] if self.store.path else rows
+        return self._result(search_id, out, planned)
+
+    def _result(self, search_id: str, rows: list[dict], planned: set[str]) -> DataFrame:
+        """The rows of the planned runs: from the store if there is one."""
+        if not self.store.path:
+            return self._to_df(rows) if rows else self.spark.createDataFrame([], RESULT_SCHEMA)
+        keys = self.spark.createDataFrame([(k,) for k in sorted(planned)], "run_key string")
+        return self.store.stored(search_id).join(keys, "run_key", "left_semi").select(*RESULT_SCHEMA.fieldNames())
 
     # -- M5
     def grid_search_columns(self, columns: Sequence[str], trees: int = 100, depth: int = 6,
                             max_size: int | None = None, search_id: str = "columns", nights: bool = True) -> DataFrame:
         """Every subset of ``columns``, by size; ``nights=False`` fits and tests
         without night rows, on the same split, under a search id of its own."""
-        data, train_len = (None, None) if nights else self._without_nights()
         sizes = range(1, (max_size or len(columns)) + 1)
-        batches = ([(list(c), trees, depth) for c in part] for n in sizes for part in _pieces(combinations(columns, n), 64))
-        return self._forest_runs(search_id if nights else f"{search_id}:no_nights", batches, data, train_len)
+        runs = ((list(c), trees, depth) for n in sizes for c in combinations(columns, n))
+        return self._forest_runs(search_id if nights else f"{search_id}:no_nights", columns, runs, nights)
 
     # -- M6
     def trend_additive(self, base: Sequence[str], trends_by_column: dict[str, list[str]], trees=300, depth=12,
@@ -229,65 +240,59 @@ class ModelSearch:
         """For every column, the base with one of its trends at a time; the
         runs of a column are a search of their own."""
         out = None
+        columns = [*base, *dict.fromkeys(t for names in trends_by_column.values() for t in names)]
         for col, names in trends_by_column.items():
-            r = self._forest_runs(f"{search_id}:{col}", [[(list(base) + [t], trees, depth) for t in names]])
+            r = self._forest_runs(f"{search_id}:{col}", columns, ((list(base) + [t], trees, depth) for t in names))
             out = r if out is None else out.unionByName(r)
         return out if out is not None else self.spark.createDataFrame([], RESULT_SCHEMA)
 
     # -- M7
     def grid_search_trends(self, base: Sequence[str], trends: Sequence[str], trees=300, depth=12,
                            search_id: str = "trends") -> DataFrame:
-        batches = ([(list(base) + list(c), trees, depth) for c in combinations(trends, n)] for n in range(1, len(trends) + 1))
-        return self._forest_runs(search_id, batches)
+        """The base with every non-empty subset of the trends."""
+        runs = ((list(base) + list(c), trees, depth) for n in range(1, len(trends) + 1) for c in combinations(trends, n))
+        return self._forest_runs(search_id, [*base, *trends], runs)
 
     # -- M8
-    def grid_search_hyper(self, columns: Sequence[str], trees_list: Sequence[int], depth_list: Sequence[int],
+    def grid_search_hyper(self, columns: Sequence[str], trees_list: Sequence[int] = HYPER_TREES, depth_list: Sequence[int] = HYPER_DEPTHS,
                           search_id: str = "hyper") -> DataFrame:
         """Every pair of a number of trees and a depth.  A forest of each depth
-        is fitted once, with the most trees; smaller forests are its first
+        is grown once, with the most trees; smaller forests are its first
         trees."""
-        fitted: dict[int, Future] = {}
-        lock = threading.Lock()
-
-        def forest(depth, cols):
-            with lock:
-                own = fitted.get(depth)
-                if own is None:
-                    own = fitted[depth] = Future()
-                    mine = True
-                else:
-                    mine = False
-            if mine:
-                try:
-                    train = self.data.filter(~F.col(self.flag))
-                    own.set_result(rf.fit_forest(train, cols, self.label, max(trees_list), depth, self.seed))
-                except BaseException as exc:
-                    own.set_exception(exc)
-                    raise
-            return own.result()
-
-        def one(sid, cols, trees, depth):
-            use = self.usable(cols)
-            return self._forest_row(sid, cols, trees, depth, model=rf.first_trees(forest(depth, use), trees))
-        batches = [[(list(columns), t, d) for t in sorted(trees_list, reverse=True)] for d in depth_list]
-        return self.run_batches(search_id, batches, one,
-                                key=lambda cols, trees, depth: run_key(cols, trees=trees, depth=depth, hours=None))
+        known, out, use, planned = self.store.keys(search_id), [], self.usable(columns), set()
+        table = self._table(use)
+        for d in depth_list:
+            todo = [t for t in trees_list if run_key(columns, trees=t, depth=d, hours=None) not in known]
+            if todo:
+                found = forests.fit_forests(table, [self._run(use, max(todo), d)])
+                rows = self._rows(search_id, table, found, [list(columns)], [todo])
+                self.store.append(self._to_df(rows))
+                out += rows
+            planned.update(run_key(columns, trees=t, depth=d, hours=None) for t in trees_list)
+        return self._result(search_id, out, planned)
 
     # -- M10
     def rfe(self, columns: Sequence[str], n_keep: int = 11, step: float = 0.05, trees: int = 300,
-            depth: int = 12) -> DataFrame:
+            depth: int = 12, search_id: str = "rfe") -> DataFrame:
         """Recursive elimination: each round drops ``max(1, int(step·p0))``
         least important columns (p0 = starting count) until ``n_keep``
         remain; importances from a forest on the train part.  Returns the
-        ranking ``(column, ranking)`` (1 = kept)."""
-        keep = list(columns)
-        drop_per_round = max(1, int(step * len(columns)))
-        train = self.data.filter(~F.col(self.flag))
+        ranking ``(column, ranking)`` (1 = kept).  Columns without any value
+        take no part.  Rounds that the store holds are not grown again."""
+        keep = self.usable(columns)
+        drop_per_round = max(1, int(step * len(keep)))
+        table, known = self._table(keep), self.store.known(search_id)
         ranking: dict[str, int] = {}
         rnd = 0
         while len(keep) > n_keep:
-            model = rf.fit_forest(train, keep, self.label, trees, depth, self.seed)
-            order = sorted(rf.importances(model, keep), key=lambda d: (d["importance"], d["column"]))
+            key = run_key(keep, trees=trees, depth=depth, hours=None)
+            if key in known:
+                order = [{"importance": d["importance"], "column": d["column"]} for d in known[key]["feature_importances"]]
+            else:
+                rows = self._rows(search_id, table, forests.fit_forests(table, [self._run(keep, trees, depth)]), [keep])
+                self.store.append(self._to_df(rows))
+                order = [{"importance": i, "column": c} for i, c in rows[0]["feature_importances"]]
+            order.sort(key=lambda d: (d["importance"], d["column"]))
             k = min(drop_per_round, len(keep) - n_keep)
             for d in order[:k]:
                 ranking[d["column"]] = rnd
@@ -298,42 +303,57 @@ class ModelSearch:
 
     # -- M11
     def sfs(self, columns: Sequence[str], n_select: int = 11, folds: int = 5, trees: int = 300,
-            depth: int = 12) -> DataFrame:
+            depth: int = 12, search_id: str = "sfs") -> DataFrame:
         """Greedy forward selection by the mean R² over ``folds`` folds of
-        the train part (fold = split hash mod folds); candidates of a round
-        are fitted concurrently.  Returns ``(round, column, mean_r2)``."""
-        train = self.data.filter(~F.col(self.flag)).withColumn(
-            "__fold", F.pmod(row_hash(self.seed + 1, self.id_cols), F.lit(folds)))
-        chosen: list[str] = []
-        log = []
-
-        def score(cand: str) -> tuple[str, float]:
-            cols = chosen + [cand]
-            r2s = []
-            for f in range(folds):
-                tr, te = train.filter(F.col("__fold") != f), train.filter(F.col("__fold") == f)
-                model = rf.fit_forest(tr, cols, self.label, trees, depth, self.seed)
-                m = stats.evaluate(rf.predict(model, te, cols), len(cols), label=self.label).first()
-                r2s.append(m["r2_score"] if m["r2_score"] is not None else float("nan"))
-            return cand, sum(r2s) / len(r2s)
-        with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
-            for rnd in range(min(n_select, len(columns))):
-                scored = list(pool.map(score, [c for c in columns if c not in chosen]))
-                best = max(scored, key=lambda t: (t[1] if not math.isnan(t[1]) else -1e300, t[0]))
-                chosen.append(best[0])
-                log.append((rnd + 1, best[0], float(best[1])))
+        the train part (by a hash of the row); all candidates and folds of a
+        round are grown together.  Returns ``(round, column, mean_r2)``.
+        Columns without any value take no part; candidates that the store
+        holds are not grown again."""
+        columns, chosen, log = self.usable(columns), [], []
+        table, known = self._table(columns), self.store.known(search_id)
+        fold = [tuple(x for x in range(MOST_FOLDS) if x % folds == f) for f in range(folds)]
+        rest = [tuple(x for x in range(MOST_FOLDS) if x % folds != f) for f in range(folds)]
+        for rnd in range(min(n_select, len(columns))):
+            score, todo = {}, []
+            for c in columns:
+                if c not in chosen:
+                    key = run_key([*chosen, c], trees=trees, depth=depth, folds=folds)
+                    if key in known:
+                        score[c] = known[key]["r2_score"]
+                    else:
+                        todo.append((c, key))
+            for part in _pieces(todo, max(1, 64 // folds)):
+                runs = [forests.Run((*chosen, c), trees, depth, ((self.flag, (0,)), ("__fold", rest[f])), ((self.flag, (0,)), ("__fold", fold[f])))
+                        for c, _ in part for f in range(folds)]
+                found = forests.fit_forests(table, runs)
+                r2 = {r["run"]: r["r2_score"] for r in stats.evaluate(forests.predictions(table, found), "size", keys=["run", "size"]).collect()}
+                rows = []
+                for k, (c, key) in enumerate(part):
+                    own = [r2.get(k * folds + f) for f in range(folds)]
+                    score[c] = None if None in own else sum(own) / folds
+                    rows.append({f.name: None for f in RESULT_SCHEMA.fields} | {
+                        "search_id": search_id, "run_key": key, "size": rnd + 1, "r2_score": score[c], "input_columns": [*chosen, c],
+                        "n_estimators": trees, "max_depth": depth, "random_state": self.seed})
+                self.store.append(self._to_df(rows))
+            best = max(score, key=lambda c: (score[c] if score[c] is not None else -1e300, c))
+            chosen.append(best)
+            log.append((rnd + 1, best, float("nan") if score[best] is None else float(score[best])))
         return self.spark.createDataFrame(log, "round int, column string, mean_r2 double")
 
     # -- M12 / M13 / M16
     def selected_model(self, columns: Sequence[str], trees: int = 300, depth: int = 12,
                        search_id: str = "selected") -> DataFrame:
-        return self._to_df([self._forest_row(search_id, list(columns), trees, depth)])
+        use = self.usable(columns)
+        table = self._table(use)
+        return self._to_df(self._rows(search_id, table, forests.fit_forests(table, [self._run(use, trees, depth)]), [list(columns)]))
 
     def best_model_series(self, columns: Sequence[str], ts: str = "ts", trees: int = 300, depth: int = 12,
                           nights: bool = False, model=None):
         """Fit (or use a loaded model, S10) and return ``(result_row,
         actual_vs_predicted, model)``; ``nights`` drops night rows from both
-        parts after the shared split."""
+        parts after the shared split.  The model is Spark ML's, so that it can
+        be saved and loaded."""
+        columns = self.usable(columns)
         data = self.data
         if nights:
             data = timeops.exclude_nights(data, ts=ts)
@@ -384,27 +404,34 @@ def _pieces(items, size: int):
 
 
 def time_grouping_tests(spark: SparkSession, gridded: DataFrame, label: str, columns: Sequence[str],
-                        spans_hours: Sequence[float], id_cols=("ts",), keys: Sequence[str] = (),
-                        trees: int = 300, depth: int = 12, parallelism: int = 4, store: ResultStore | None = None,
-                        search_id: str = "time_grouping") -> DataFrame:
+                        spans_hours: Sequence[float] = GROUPING_HOURS, id_cols=("ts",), keys: Sequence[str] = (),
+                        trees: int = 300, depth: int = 12, store: ResultStore | None = None,
+                        search_id: str = "time_grouping", piece: int = 16) -> DataFrame:
     """M9: for every span, A2 grouping → split → forest → metrics with
     error term 2.1; result rows carry the span in ``data_periodicity_hrs``.
-    Spans that the store holds are not run again."""
+
+    All spans are grouped in one job and split by one (each span by itself);
+    the forests of ``piece`` spans are grown together.  Spans that the store
+    holds are not run again."""
     from .prepare import with_split
     store = store or ResultStore(spark, None)
-    before = store.stored(search_id)
-    old = {r["run_key"]: r.asDict() for r in before.collect()} if before is not None else {}
-
-    def one(h):
-        k = run_key(list(columns), trees=trees, depth=depth, hours=float(h))
-        if k in old:
-            return old[k]
-        g = timeops.time_group(gridded, f"{h} hours", keys=keys)
-        with ModelSearch(with_split(g, list(id_cols), keys=keys), label, checkpoint=False) as srch:
-            row = srch._forest_row(search_id, list(columns), trees, depth, error_term=2.1, hours=float(h))
-            store.append(srch._to_df([row]))
-        return row
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(one, spans_hours))
+    key = {h: run_key(list(columns), trees=trees, depth=depth, hours=float(h)) for h in spans_hours}
+    known = store.known(search_id)
+    rows = [{n: known[k][n] for n in RESULT_SCHEMA.fieldNames()} for k in key.values() if k in known]
+    todo = [h for h in spans_hours if key[h] not in known]
+    if todo:
+        grouped = cut_lineage(timeops.time_groups(cut_lineage(gridded), [f"{h} hours" for h in todo], keys=keys, out="__span"))
+        split = cut_lineage(with_split(grouped, list(id_cols), keys=[*keys, "__span"]))
+        with ModelSearch(split, label, id_cols=id_cols, checkpoint=False) as srch:
+            use = srch.usable(columns)
+            table = forests.BinnedTable(split, use, label, [srch.flag, "__span"], [*keys, *id_cols], srch.seed, bins_by="__span")
+            train = {r["__span"]: r["n"] for r in split.filter(~F.col(srch.flag)).groupBy("__span").agg(F.count(F.lit(1)).alias("n")).collect()}
+            for part in _pieces(enumerate(todo), piece):
+                runs = [forests.Run(tuple(use), trees, depth, ((srch.flag, (0,)), ("__span", (i,))), ((srch.flag, (1,)), ("__span", (i,)))) for i, _ in part]
+                made = srch._rows(search_id, table, forests.fit_forests(table, runs), [list(columns)] * len(part), error_term=2.1, train_len=0)
+                for (i, h), row in zip(part, made):
+                    row |= {"run_key": key[h], "data_periodicity_hrs": [float(h)], "train_length": train.get(i, 0)}
+                store.append(srch._to_df(made))
+                rows += made
     tuples = [tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows]
     return spark.createDataFrame(tuples, RESULT_SCHEMA)

@@ -90,20 +90,39 @@ def test_prepare_order_and_scale(spark):
 
 
 def test_forests_of_first_trees(spark):
-    from sensorgrid.models import forest as rf
     t = Q.model_table(spark, SF_SMALL).fillna(0.0)
     cols = ["click", "view"]
-    model = rf.fit_forest(t, cols, Q.TARGET, trees=6, depth=3)
-    one, all_ = rf.first_trees(model, 1), rf.first_trees(model, 6)
-    assert all_ is model and len(one.trees) == 1
-    tree = model.trees[0]
-    rows = rf.predict(one, t, cols).select("click", "view", "prediction").limit(20).collect()
-    from pyspark.ml.linalg import Vectors
-    for r in rows:
-        assert abs(tree.predict(Vectors.dense([r.click, r.view])) - r.prediction) < 1e-12
     with ModelSearch(t, Q.TARGET, checkpoint=False) as s:
-        res = s.grid_search_hyper(cols, [2, 4], [2, 3])
-        assert sorted((r.n_estimators, r.max_depth) for r in res.collect()) == [(2, 2), (2, 3), (4, 2), (4, 3)]
+        res = s.grid_search_hyper(cols, [2, 4], [2, 3]).collect()
+        assert sorted((r.n_estimators, r.max_depth) for r in res) == [(2, 2), (2, 3), (4, 2), (4, 3)]
+        alone = s.selected_model(cols, trees=2, depth=3).first()
+        pair = next(r for r in res if (r.n_estimators, r.max_depth) == (2, 3))
+        assert (alone.r2_score, alone.feature_importances) == (pair.r2_score, pair.feature_importances)
+
+
+def test_constant_columns_in_selection_and_best_model(spark):
+    t = Q.model_table(spark, SF_SMALL).withColumn("flat", F.lit(None).cast("double"))
+    cols = ["click", "flat", "view", "hour"]
+    with ModelSearch(t, Q.TARGET, checkpoint=False) as s:
+        assert {r.column for r in s.rfe(cols, n_keep=1, trees=5, depth=2).collect()} == {"click", "view", "hour"}
+        assert {r.column for r in s.sfs(cols, n_select=4, folds=2, trees=5, depth=2).collect()} == {"click", "view", "hour"}
+        res, series, _ = s.best_model_series(cols, trees=5, depth=2)
+        assert series.count() == res.first().test_length > 0
+
+
+def test_selections_resume(spark, monkeypatch):
+    from sensorgrid.models import forests
+    store = ResultStore(spark, tempfile.mkdtemp(prefix="results-", dir="/tmp") + "/store")
+    with ModelSearch(Q.model_table(spark, SF_SMALL).fillna(0.0), Q.TARGET, checkpoint=False, store=store) as s:
+        cols = ["click", "view", "hour"]
+        run = lambda: (sorted(map(tuple, s.rfe(cols, n_keep=1, trees=5, depth=2).collect())), s.sfs(cols, n_select=2, folds=2, trees=5, depth=2).collect())
+        first = run()
+
+        def grown(*_):
+            raise AssertionError("a stored forest is grown again")
+
+        monkeypatch.setattr(forests, "fit_forests", grown)
+        assert run() == first
 
 
 def test_stored_models_and_neighbour_sweep(spark):
