@@ -7,9 +7,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import catalog
 from . import chunks as ch
@@ -68,36 +70,60 @@ def corr_pearson(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 
 
 # ------------------------------------------------------------------ A13 Spearman
-def _buckets(rows: int) -> int:
-    """Ordered buckets of values, so that one holds a bounded number."""
-    return int(min(4096, max(64, math.ceil(rows / 500_000))))
+FAN = 32                        # ordered parts that a group of values is cut into
+GROUP_ROWS = 200_000            # distinct values or value pairs of one group at most
+SMALL_RANKS = 10_000            # rank maps of columns with so few values are broadcast
 
 
-def average_ranks(long: DataFrame, grp: Sequence[str], buckets: int) -> DataFrame:
-    """Average rank (1-based, ties share the mean rank) of every distinct
-    value of each group: ``(grp…, value, __rank)`` from ``(grp…, value)``.
+def _cuts(value: str, fan: int) -> Column:
+    return F.array_distinct(F.percentile_approx(value, [i / fan for i in range(1, fan)], 10_000))
+
 
-    Works on the value-frequency table, so repeated values cost nothing.  The
-    prefix count is split in two levels: approximate quantile cuts put
-    distinct values into ordered buckets; bucket totals (at most ``buckets``
-    rows a group) give each bucket's offset, and a window inside each bucket
-    adds the local prefix."""
+def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
+    """Average rank (1-based, ties share the mean rank) of every distinct
+    value of each group: ``(grp…, value, __rank)`` from
+    ``(grp…, value)``.
+
+    Works on the value-frequency table, so repeated values cost nothing.  A
+    group of more than ``group_rows`` values is cut at approximate quantiles
+    into ordered parts, each with the number of values before it, and a part
+    that is still too large is cut again: no window ever sees more, however
+    many values there are."""
+    from ..session import cut_lineage
     long = long.select(*grp, "value").filter(F.col("value").isNotNull())
-    freq = long.groupBy(*grp, "value").agg(F.count(F.lit(1)).alias("__cnt"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = freq.groupBy(*grp).agg(F.percentile_approx("value", fractions, max(10_000, 20 * buckets)).alias("__cuts"))
-    f = freq.join(cuts, list(grp))
-    f = f.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
-    tot = f.groupBy(*grp, "__b").agg(F.sum("__cnt").alias("__bt"))
-    tot = tot.withColumn("__boff", F.coalesce(F.sum("__bt").over(
-        Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    f = f.join(tot.select(*grp, "__b", "__boff"), [*grp, "__b"])
-    w = Window.partitionBy(*grp, "__b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.col("__boff") + F.coalesce(F.sum("__cnt").over(w), F.lit(0)) + (F.col("__cnt") + 1) / 2.0
-    return f.select(*grp, "value", rank.cast("double").alias("__rank"))
-
-
-def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    work = long.groupBy(*grp, "value").agg(F.count(F.lit(1)).alias("__cnt"))
+    work = cut_lineage(work.withColumns({"__node": F.lit(""), "__off": F.lit(0).cast("bigint")}))
+    done = []
+    while True:
+        node = [*grp, "__node"]
+        size = work.groupBy(*node).agg(F.count(F.lit(1)).alias("__n"))
+        large = size.filter(F.col("__n") > group_rows).select(*node)
+        if large.isEmpty():
+            done.append(work)
+            break
+        done.append(work.join(large, node, "left_anti"))
+        big = work.join(large, node, "left_semi")
+        cuts = cut_lineage(big.groupBy(*node).agg(_cuts("value", fan).alias("__cuts")))
+        big = big.join(cuts, node).withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
+        tot = big.groupBy(*node, "__b").agg(F.sum("__cnt").alias("__bt"))
+        before = F.sum("__bt").over(Window.partitionBy(*node).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+        big = big.join(tot.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__bt"), [*node, "__b"])
+        work = cut_lineage(big.select(*grp, "value", "__cnt", F.concat_ws(".", "__node", F.col("__b").cast("string")).alias("__node"),
+                                      (F.col("__off") + F.col("__before")).alias("__off")))
+    leaves = done[0]
+    for d in done[1:]:
+        leaves = leaves.unionByName(d)
+    w = Window.partitionBy(*grp, "__node").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("__off") + F.coalesce(F.sum("__cnt").over(w), F.lit(0)) + (F.col("__cnt") + 1) / 2.0
+    return leaves.select(*grp, "value", rank.cast("double").alias("__rank"))
+
+
+def _with_rank(rows: DataFrame, ranks: DataFrame, on: Sequence[str], few: bool) -> DataFrame:
+    """Ranks joined to rows; the map of a column of few values is broadcast."""
+    return rows.join(F.broadcast(ranks) if few else ranks, list(on), "left")
+
+
+def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks (per series when ``keys`` are given).
     Ranks are taken on the pair's complete rows; columns without NULLs are
     ranked once, together, and shared by all their pairs; the pairs with a
@@ -105,7 +131,6 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int | None = N
     pair."""
     from ..session import cut_lineage
     row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    buckets = buckets or _buckets(row["n"])
     full = [c for i, c in enumerate(columns) if row[f"c{i}"] == row["n"]]
     df = ch.with_key(df, keys)
     kc = ch.key_cols(keys)
@@ -117,11 +142,12 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int | None = N
         long = base.select(*kc, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in full])).alias("__p"))
         # rank maps hold distinct values only; checkpointed because every
         # column's join reads them
-        ranks = cut_lineage(average_ranks(long.select(*kc, "__p.column", "__p.value"), [*kc, "column"], buckets))
+        ranks = cut_lineage(average_ranks(long.select(*kc, "__p.column", "__p.value"), [*kc, "column"], group_rows))
+        number = {r["column"]: r["n"] for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
         shared = base
-        for c in full:
+        for c in sorted(full, key=lambda c: number.get(c, 0)):
             own = ranks.filter(F.col("column") == c).select(*kc, F.col("value").alias(c), F.col("__rank").alias(f"__r_{c}"))
-            shared = shared.join(own, [*kc, c], "left")
+            shared = _with_rank(shared, own, [*kc, c], number.get(c, 0) <= SMALL_RANKS)
         todo = [(i, a, b) for i, (a, b) in enumerate(_pairs(columns)) if a in full and b in full]
         wide = shared.groupBy(*kc).agg(*[x for i, a, b in todo for x in (
             F.corr(f"__r_{a}", f"__r_{b}").alias(f"c{i}"), F.count(F.lit(1)).alias(f"n{i}"))])
@@ -137,7 +163,7 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], buckets: int | None = N
         sides = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("va").alias("value")),
                                   F.struct(F.lit("b").alias("side"), F.col("vb").alias("value"))))
         long = rows.select(*kc, "pair", sides.alias("__s")).select(*kc, "pair", "__s.*")
-        ranks = cut_lineage(average_ranks(long, [*kc, "pair", "side"], buckets))
+        ranks = cut_lineage(average_ranks(long, [*kc, "pair", "side"], group_rows))
         for side in ("a", "b"):
             own = ranks.filter(F.col("side") == side).select(*kc, "pair", F.col("value").alias("v" + side), F.col("__rank").alias("r" + side))
             rows = rows.join(own, [*kc, "pair", "v" + side])
@@ -217,12 +243,12 @@ def _block_expr(col, cuts_col):
     return below * 2 + on_cut
 
 
-def _cross_block_sum(pdf: pd.DataFrame) -> float:
-    """Pairs in different blocks on both axes, from one series' block ×
-    block weight table (at most (2·blocks+1)² cells)."""
-    k = int(max(pdf["ba"].max(), pdf["bb"].max())) + 1
+def _cross_block_sum(ba: np.ndarray, bb: np.ndarray, w: np.ndarray) -> float:
+    """Pairs in different blocks on both axes, from one node's block × block
+    weight table (at most (2·fan+1)² cells)."""
+    k = int(max(ba.max(), bb.max())) + 1
     m = np.zeros((k, k))
-    np.add.at(m, (pdf["ba"].to_numpy(int), pdf["bb"].to_numpy(int)), pdf["w"].to_numpy(float))
+    np.add.at(m, (ba, bb), w)
     # suf[i, j] = Σ m[i:, j:]; pairs (x in cell (i,j), y in a cell with both
     # blocks larger) are concordant, (i' > i, j' < j) discordant
     suf = m[::-1, ::-1].cumsum(0).cumsum(1)[::-1, ::-1]
@@ -235,90 +261,100 @@ def _cross_block_sum(pdf: pd.DataFrame) -> float:
     return float((m * (concord - left)).sum())
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, blocks: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """Kendall's tau-b of one column pair (per series when ``keys`` are
-    given) without an n² join.
-
-    Rows collapse to ``(keys, a, b, weight)``.  Values are cut into ordered
-    blocks on both axes (approximate quantiles per series; repeated values
-    get blocks of their own).  Pairs in different blocks on both axes are
-    counted from the bounded block×block weight table of each series;
-    pairs sharing an a-block, or sharing a b-block across a-blocks, are
-    counted exactly per block (grouped pandas, vectorised merge counting).
-    Blocks holding a single value are skipped: their pairs tie.  The number
-    of blocks grows with the rows, so that a block holds a bounded number."""
+def _signed_sums(combos: DataFrame, grp: Sequence[str], group_rows: int, fan: int) -> DataFrame:
+    """``grp…, s``: the signed pair sum of each group of ``(grp…, p, q, w)``.
+
+    A node of more than ``group_rows`` rows is cut into ordered blocks on both
+    axes.  Pairs in different blocks on both axes come from the node's small
+    table of block weights; pairs within one p-block, and pairs within one
+    q-block whose p-blocks differ, are nodes of the next level.  Nodes that
+    are small enough are counted whole; a node with one value on an axis has
+    only ties.  All groups go through the same few jobs, and there are as many
+    levels as the largest group needs."""
     from ..session import cut_lineage
-    blocks = blocks or kendall_blocks(df.count())
-    grp = list(keys) if keys else ["__all"]
-    sub = df.select(*keys, F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
-        .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    if not keys:
-        sub = sub.withColumn("__all", F.lit(0))
-    combos = sub.groupBy(*grp, "a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    fr = [i / blocks for i in range(1, blocks)]
-    # cut arrays (≤ 2·blocks numbers per series) checkpointed: a recomputed
-    # partition after an executor loss then sees exactly the same blocks
-    cuts = cut_lineage(sub.groupBy(*grp).agg(
-        F.array_distinct(F.percentile_approx("a", fr, max(10_000, 20 * blocks))).alias("ca"),
-        F.array_distinct(F.percentile_approx("b", fr, max(10_000, 20 * blocks))).alias("cb")))
-    c = ch.join_on_keys(combos, cuts, grp, how="inner").select(*grp, "a", "b", "w", _block_expr(F.col("a"), F.col("ca")).alias("ba"),
-                                      _block_expr(F.col("b"), F.col("cb")).alias("bb"))
-    c = cut_lineage(c)
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields if f.name in grp)
-
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [signed_pair_sum(pdf["p"].to_numpy(), pdf["q"].to_numpy(),
-                                                   pdf["w"].to_numpy())]})
-
-    def cross(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf[grp].iloc[:1].copy()
-        out["s"] = _cross_block_sum(pdf)
-        return out
-    s_x = (c.groupBy(*grp, "ba", "bb").agg(F.sum("w").alias("w"))
-           .groupBy(*grp).applyInPandas(cross, f"{key_schema}, s double"))
-    # same a-block: exact by a, then b
-    span_a = c.groupBy(*grp, "ba").agg((F.min("a") < F.max("a")).alias("multi")).filter("multi").drop("multi")
-    s_a = (ch.join_on_keys(c, span_a, grp, ["ba"], "inner").select(*grp, "ba", F.col("a").alias("p"), F.col("b").alias("q"), "w")
-           .groupBy(*grp, "ba").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
-                                              f"{key_schema}, s double"))
-    # same b-block, different a-blocks: the a-order is known from the block
-    span_b = c.groupBy(*grp, "bb").agg((F.min("b") < F.max("b")).alias("multi")).filter("multi").drop("multi")
-    s_b = (ch.join_on_keys(c, span_b, grp, ["bb"], "inner").select(*grp, "bb", F.col("ba").cast("double").alias("p"),
-                                               F.col("b").alias("q"), "w")
-           .groupBy(*grp, "bb").applyInPandas(lambda pdf: pdf[grp].iloc[:1].assign(s=within(pdf)["s"].iloc[0]),
-                                              f"{key_schema}, s double"))
-    signed = (s_x.unionByName(s_a).unionByName(s_b).groupBy(*grp).agg(F.sum("s").alias("S")))
-    ties_a = c.groupBy(*grp, "a").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
-        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
-    ties_b = c.groupBy(*grp, "b").agg(F.sum("w").alias("t")).groupBy(*grp).agg(
-        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))
-    tot = c.groupBy(*grp).agg(F.sum("w").alias("n"))
-    r = ch.join_on_keys(ch.join_on_keys(ch.join_on_keys(tot, ties_a, grp), ties_b, grp), signed, grp)
-    n0 = F.col("n") * (F.col("n") - 1) / 2
+    node = [*grp, "__kind", "__node"]
+    work = combos.withColumns({"__kind": F.lit(0), "__node": F.lit("")}).select(*node, "p", "q", "w")
+    keys = [f for f in work.schema.fields if f.name in grp]
+    out_schema = T.StructType([*keys, T.StructField("s", T.DoubleType())])
+
+    out_arrow = to_arrow_schema(out_schema)
+
+    def one(table: pa.Table, s: float) -> pa.Table:
+        return pa.Table.from_arrays([*(table[f.name].slice(0, 1) for f in keys), pa.array([s])], schema=out_arrow)
+
+    def cross(table: pa.Table) -> pa.Table:
+        return one(table, _cross_block_sum(*(table[c].to_numpy() for c in ("ba", "bb", "w"))))
+
+    def within(table: pa.Table) -> pa.Table:
+        return one(table, signed_pair_sum(*(table[c].to_numpy() for c in ("p", "q", "w"))))
+
+    sums, leaves = [], []
+    while True:
+        size = work.groupBy(*node).agg(F.count(F.lit(1)).alias("__n"), ((F.min("p") < F.max("p")) & (F.min("q") < F.max("q"))).alias("__mixed"))
+        size = cut_lineage(size.filter("__mixed"))
+        large = size.filter(F.col("__n") > group_rows).select(*node)
+        leaves.append(work.join(size.filter(F.col("__n") <= group_rows).select(*node), node, "left_semi"))
+        if large.isEmpty():
+            break
+        big = work.join(large, node, "left_semi")
+        cuts = cut_lineage(big.groupBy(*node).agg(F.when(F.col("__kind") == 0, _cuts("p", fan)).alias("__cp"), _cuts("q", fan).alias("__cq")))
+        # a node of the second kind has p-blocks for p already
+        bp = F.when(F.col("__kind") == 0, _block_expr(F.col("p"), F.col("__cp"))).otherwise(F.col("p").cast("int"))
+        big = cut_lineage(big.join(cuts, node).withColumns({"ba": bp, "bb": _block_expr(F.col("q"), F.col("__cq"))}).drop("__cp", "__cq"))
+        sums.append(big.groupBy(*node, "ba", "bb").agg(F.sum("w").alias("w")).groupBy(*node).applyInArrow(cross, out_schema))
+        same_p = big.filter("__kind = 0").withColumn("__node", F.concat("__node", F.lit("."), F.col("ba").cast("string")))
+        same_q = big.withColumns({"__node": F.concat("__node", F.lit("|"), F.col("bb").cast("string")), "__kind": F.lit(1), "p": F.col("ba").cast("double")})
+        work = same_p.select(*node, "p", "q", "w").unionByName(same_q.select(*node, "p", "q", "w"))
+    whole = leaves[0]
+    for x in leaves[1:]:
+        whole = whole.unionByName(x)
+    out = whole.groupBy(*node).applyInArrow(within, out_schema)
+    for x in sums:
+        out = out.unionByName(x)
+    return out.groupBy(*grp).agg(F.sum("s").alias("s"))
+
+
+def _tau_of_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str], group_rows: int, fan: int) -> DataFrame:
+    """``(key, col_a, col_b, corr, n)`` of every pair, all in one go."""
+    from ..session import cut_lineage
+    df = ch.with_key(df, keys)
+    kc = ch.key_cols(keys)
+    grp = [*kc, "__pair"]
+    value = lambda c: F.col(c).cast("double")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), value(a).alias("p"), value(b).alias("q")) for i, (a, b) in enumerate(pairs)]))
+    rows = df.select(*kc, cells.alias("__c")).filter("__c.p is not null and __c.q is not null")
+    combos = cut_lineage(rows.groupBy(*kc, F.col("__c.i").alias("__pair"), F.col("__c.p").alias("p"), F.col("__c.q").alias("q"))
+                         .agg(F.count(F.lit(1)).cast("double").alias("w")))
+    tied = F.sum(F.col("t") * (F.col("t") - 1) / 2)
+    ties = [combos.groupBy(*grp, x).agg(F.sum("w").alias("t")).groupBy(*grp).agg(tied.alias(n), F.sum("t").alias(f"n{n}")) for x, n in (("p", "n1"), ("q", "n2"))]
+    r = ties[0].join(ties[1].drop("nn2"), grp).join(_signed_sums(combos, grp, group_rows, fan), grp, "left")
+    n0 = F.col("nn1") * (F.col("nn1") - 1) / 2
     denom = (n0 - F.col("n1")) * (n0 - F.col("n2"))
-    tau = F.when(denom > 0, F.coalesce(F.col("S"), F.lit(0.0)) / F.sqrt(denom))
-    return r.select(*keys, F.lit("kendall").alias("method"), F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                    tau.alias("corr"), F.col("n").cast("bigint").alias("n"))
+    tau = F.when(denom > 0, F.coalesce(F.col("s"), F.lit(0.0)) / F.sqrt(denom))
+    # a pair without any complete row has no correlation and n = 0
+    every = (df.select(*kc).distinct() if kc else df.sparkSession.range(1).select()).select(
+        *kc, F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("__pair"))
+    names = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b")) for a, b in pairs])
+    return (every.join(r, grp, "left").withColumn("__names", F.element_at(names, F.col("__pair") + 1))
+            .select(*([f"{ch.KEY}.*"] if keys else []), F.lit("kendall").alias("method"), "__names.*", tau.alias("corr"), F.coalesce("nn1", F.lit(0)).cast("bigint").alias("n")))
 
 
-def kendall_blocks(rows: int) -> int:
-    """Blocks for a number of rows: about 100,000 of them in each, and no
-    more blocks than their table of weights has room for."""
-    return int(min(2000, max(32, math.ceil(rows / 100_000))))
+def kendall_tau_b(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
+    """Kendall's tau-b of one column pair (per series when ``keys`` are
+    given) without an n² join: see ``_signed_sums``."""
+    return _tau_of_pairs(df, [(a, b)], keys, group_rows, fan)
 
 
-def corr_kendall(df: DataFrame, columns: Sequence[str], blocks: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """A14 for every column pair (diagonal: 1, or NULL for a constant)."""
-    from concurrent.futures import ThreadPoolExecutor
-    blocks = blocks or kendall_blocks(df.count())
+def corr_kendall(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
+    """A14 for every column pair (diagonal: 1, or NULL for a constant); all
+    pairs go through the same jobs."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    # each pair checkpoints its collapsed table first: do those jobs concurrently
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(pairs)))) as pool:
-        done = list(pool.map(lambda ab: kendall_tau_b(df, ab[0], ab[1], blocks, keys), pairs))
     out = None
-    for r in done:
-        r2 = r.select(*keys, "method", F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr", "n")
-        out = r.unionByName(r2) if out is None else out.unionByName(r).unionByName(r2)
+    if pairs:
+        r = _tau_of_pairs(df, pairs, keys, group_rows, fan)
+        names = [c for c in r.columns if c not in set(keys) | {"col_a", "col_b"}]
+        both = F.explode(F.array(F.struct("col_a", "col_b"), F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"))))
+        out = r.select(*keys, *names, both.alias("__s")).select(*keys, "method", "__s.*", "corr", "n")
     diag = df.groupBy(*keys).agg(*[x for c in columns for x in (
         F.count(c).alias(f"n_{c}"), (F.min(c) < F.max(c)).alias(f"v_{c}"))])
     cells = F.explode(F.array(*[F.struct(F.lit("kendall").alias("method"), F.lit(c).alias("col_a"),

@@ -62,10 +62,22 @@ def test_neighbours_take_text_ids(spark):
     assert {r["id"]: round(r["prediction"], 9) for r in pred.collect()} == whole
 
 
-def test_blocks_grow_with_the_rows():
-    assert stats.kendall_blocks(1000) == 32 and stats.kendall_blocks(50_000_000) == 500
-    assert 50_000_000 / stats.kendall_blocks(50_000_000) <= 100_000
-    assert stats._buckets(1_000_000_000) * 500_000 >= 1_000_000_000
+def test_groups_stay_bounded_when_rows_grow(spark, monkeypatch):
+    """No group counted whole and no rank window holds more than the bound."""
+    from pyspark.sql import GroupedData
+    seen = []
+    real = GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, f, schema: (seen.append((f.__name__, self._df)), real(self, f, schema))[1])
+    for n in (300, 3000):
+        d = spark.range(n).select((F.col("id") * 7919 % 1009 % n).alias("x"), (F.col("id") * 104729 % 2003).alias("y"), F.lit(1).alias("z"))
+        seen.clear()
+        got = {(r.col_a, r.col_b): r["corr"] for r in stats.corr_kendall(d, ["x", "y", "z"], group_rows=50, fan=4).collect()}
+        again = {(r.col_a, r.col_b): r["corr"] for r in stats.corr_kendall(d, ["x", "y", "z"]).collect()}
+        assert abs(got["x", "y"] - again["x", "y"]) < 1e-12 and got["x", "z"] is None
+        name, whole = next(x for x in seen if x[0] == "within")
+        assert whole.groupBy("__pair", "__kind", "__node").count().agg(F.max("count")).first()[0] <= 50
+        a, b = (sorted(map(tuple, stats.average_ranks(d.select(F.lit(0).alias("g"), F.col("x").alias("value")), ["g"], **kw).collect())) for kw in ({}, {"group_rows": 20, "fan": 3}))
+        assert a == b
 
 
 def test_partial_ends_and_names(spark):

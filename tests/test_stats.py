@@ -28,7 +28,7 @@ def test_kendall_vs_bruteforce(spark):
     b = [x + random.randint(-10, 10) if random.random() < 0.8 else random.randint(0, 40) for x in a]
     a = [7 if random.random() < 0.3 else x for x in a]          # a hot value (30 % of rows)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
-    got = stats.kendall_tau_b(df, "a", "b", blocks=4).first()
+    got = stats.kendall_tau_b(df, "a", "b", group_rows=7, fan=3).first()
     assert got.n == 400
     assert abs(got["corr"] - _tau_b_bruteforce(a, b)) < 1e-12
 
@@ -190,7 +190,7 @@ def test_kendall_per_series(spark):
             x = random.randint(0, 12)
             rows.append((k, float(x), float(x + random.randint(-4, 4) if k != "c" else random.randint(0, 9))))
     df = spark.createDataFrame(rows, "k string, x double, y double")
-    got = {r.k: r["corr"] for r in stats.kendall_tau_b(df, "x", "y", blocks=3, keys=["k"]).collect()}
+    got = {r.k: r["corr"] for r in stats.kendall_tau_b(df, "x", "y", keys=["k"], group_rows=5, fan=3).collect()}
     for k in ("a", "b", "c"):
         xs = [r[1] for r in rows if r[0] == k]
         ys = [r[2] for r in rows if r[0] == k]
