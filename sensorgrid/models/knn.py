@@ -1,15 +1,15 @@
 """Exact k-nearest-neighbour regression without an all-pairs join.
 
-Train rows are grouped around ``clusters`` centres (the rows with the
-smallest hash, a deterministic sample).  For a test row, the distance to
-any member of cluster j is at least ``|q - c_j| - r_j`` and the k-th
-neighbour is at most the smallest bound ``|q - c_j| + r_j`` that covers k
-members.  Only clusters whose lower bound does not exceed that upper bound
-are joined (an equi-join on the cluster id), so the result is exact while
-far clusters are never paired.  Per (cluster, sub-block) the candidate
-test rows and the member train rows are cogrouped; numpy computes the
-distance block and keeps each test row's k nearest, and a window over
-those short lists (at most k × candidate blocks rows per test row) gives
+Train rows are grouped around centres (the rows with the smallest hash, a
+deterministic sample whose size grows with the rows).  Round one sends a
+test row to its own cluster alone and finds the distance of its k-th
+neighbour there, a bound for its true k-th neighbour.  A member of cluster
+j is at least ``|q - c_j| - r_j`` away, so round two sends the row only to
+the other clusters that this bound reaches (an equi-join on the cluster).
+Rows of a large cluster are cut into blocks, and its test rows into parts
+according to their own number, so no group is unbounded and no train row is
+copied to a part without test rows.  Per block numpy computes the distances
+and keeps each test row's k nearest; a window over those short lists gives
 the final k.
 """
 
@@ -25,16 +25,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.split import row_hash
+from ..session import cut_lineage
 
 
-def _sqdist(a: F.Column, b: F.Column) -> F.Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+def _per_cluster(values: Sequence[int]) -> F.Column:
+    """A cluster's own number, from a list of them."""
+    return F.element_at(F.array(*[F.lit(int(v)) for v in values]) if len(values) else F.array(F.lit(0)), F.col("cluster") + 1)
 
 
 def _as_doubles(c: str) -> F.Column:
     return F.transform(F.col(c), lambda x: x.cast("double"))
 
 
+CLUSTER_ROWS = 4_000            # train rows of a cluster, about, while clusters are few enough
+MOST_CLUSTERS = 4_096           # centres that come to the driver at most
+
+
+def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Distances of all rows of ``q`` to all rows of ``x``, some at a time."""
+    out = np.empty((len(q), len(x)))
+    step = max(1, 4_000_000 // max(1, x.size))          # bound the differences to ~32 MB
+    for lo in range(0, len(q), step):
+        out[lo:lo + step] = np.sqrt(((q[lo:lo + step, None, :] - x[None, :, :]) ** 2).sum(-1))
+    return out
+
+
+def _matrix(values) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=float) for v in values])
+
+
 def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16,), features: str = "features",
                 label: str = "label", id_col: str = "id", clusters: int | None = None, seed: int = 7,
                 block_rows: int = 20_000) -> DataFrame:
@@ -42,56 +61,55 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
     from one neighbour search: ``(id, k, prediction)``.  Weights are
     ``1/d``; when neighbours at distance 0 exist only they count."""
     kmax = max(k_values)
-    if clusters is None:                                 # a bounded list that grows with the train rows
-        clusters = int(min(512, max(32, math.sqrt(train.count()) / 8)))
-    tr = train.select(F.col(id_col).alias("rid"), _as_doubles(features).alias("f"),
-                      F.col(label).cast("double").alias("y"))
-    te = test.select(F.col(id_col).alias("tid"), _as_doubles(features).alias("f"))
-    # centres: the `clusters` train rows with the smallest hash (TakeOrdered)
-    centres = (tr.withColumn("__h", row_hash(seed, ["rid"])).orderBy("__h", "rid").limit(clusters)
-               .select("f").toPandas())
-    cmat = np.array([np.asarray(v, dtype=float) for v in centres["f"]]) if len(centres) else np.zeros((0, 0))
-    cent = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in cmat])
-    dist_all = F.transform(cent, lambda c: F.sqrt(_sqdist(c, F.col("f"))))
-    tr = tr.withColumn("__dc", dist_all)
-    tr = tr.withColumn("cluster", F.array_position("__dc", F.array_min("__dc")).cast("int") - 1) \
-           .withColumn("__dm", F.array_min("__dc")).drop("__dc")
-    info = tr.groupBy("cluster").agg(F.max("__dm").alias("r"), F.count(F.lit(1)).alias("cnt")).toPandas()
-    radius = np.zeros(len(cmat))
-    counts = np.zeros(len(cmat))
+    tr = train.select(F.col(id_col).alias("rid"), _as_doubles(features).alias("f"), F.col(label).cast("double").alias("y"))
+    te = test.select(F.col(id_col).alias("tid"), _as_doubles(features).alias("tf"))
+    tid_type = te.schema["tid"].dataType
+    if clusters is None:
+        clusters = int(min(MOST_CLUSTERS, max(1, math.ceil(train.count() / CLUSTER_ROWS))))
+    centres = (tr.withColumn("__h", row_hash(seed, ["rid"])).orderBy("__h", "rid").limit(clusters).select("f").toPandas())
+    cmat = _matrix(centres["f"]) if len(centres) else np.zeros((0, 0))
+
+    def assign(it):
+        for pdf in it:
+            if len(pdf):
+                d = _distances(_matrix(pdf["f"]), cmat)
+                yield pd.DataFrame({"rid": pdf["rid"], "f": pdf["f"], "y": pdf["y"], "cluster": d.argmin(1).astype("int32"), "dm": d.min(1)})
+
+    if len(cmat) > 1:
+        tr = cut_lineage(tr.mapInPandas(assign, T.StructType(tr.schema.fields + [T.StructField("cluster", T.IntegerType()), T.StructField("dm", T.DoubleType())])))
+    else:
+        tr = tr.withColumns({"cluster": F.lit(0), "dm": F.lit(0.0)})
+    info = tr.groupBy("cluster").agg(F.max("dm").alias("r"), F.count(F.lit(1)).alias("cnt")).toPandas()     # one row a centre
+    radius, counts = np.zeros(len(cmat)), np.zeros(len(cmat))
     radius[info["cluster"].to_numpy(int)] = info["r"].to_numpy()
     counts[info["cluster"].to_numpy(int)] = info["cnt"].to_numpy()
+    blocks = np.maximum(1, np.ceil(counts / block_rows)).astype(int)
 
-    def candidates(it):
+    def nearest(it):
+        for pdf in it:
+            if len(pdf) and len(cmat):
+                d = _distances(_matrix(pdf["tf"]), cmat)
+                d[:, counts == 0] = np.inf
+                yield pd.DataFrame({"tid": pdf["tid"], "tf": pdf["tf"], "cluster": d.argmin(1).astype("int32")})
+
+    def reached(it):
         for pdf in it:
-            out_t, out_c = [], []
             if len(pdf):
-                q = np.stack([np.asarray(v, dtype=float) for v in pdf["f"]])
-                d = np.sqrt(((q[:, None, :] - cmat[None, :, :]) ** 2).sum(-1))   # rows × clusters
-                upper = d + radius[None, :]
-                lower = np.maximum(d - radius[None, :], 0.0)
+                d = _distances(_matrix(pdf["tf"]), cmat)
+                upper, lower = d + radius, np.maximum(d - radius, 0.0)
+                # the k-th neighbour is also within the least bound that covers k members
+                upper[:, counts == 0] = np.inf
                 order = np.argsort(upper, axis=1)
-                cum = np.cumsum(counts[order], axis=1)
-                pos = np.minimum((cum < kmax).sum(axis=1), len(cmat) - 1)
-                bound = upper[np.arange(len(q)), order[np.arange(len(q)), pos]]
-                rows, cols = np.nonzero((lower <= bound[:, None]) & (counts > 0)[None, :])
-                out_t = pdf["tid"].to_numpy()[rows]
-                out_c = cols
-            yield pd.DataFrame({"tid": pd.Series(out_t, dtype=pdf["tid"].dtype), "cluster": pd.Series(out_c, dtype="int32")})
-    tid_type = te.schema["tid"].dataType
-    cand_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("cluster", T.IntegerType())])
-    cand = te.select("tid", "f").mapInPandas(candidates, cand_schema)
-    # big clusters are cut into sub-blocks of at most `block_rows` train rows
-    # (test candidates are copied to each sub-block) and test rows into parts
-    # of about as many (train rows are copied to each), so no group is unbounded
-    parts = max(1, math.ceil(te.count() / block_rows))
-    nsub = {int(j): max(1, int(math.ceil(c / block_rows))) for j, c in enumerate(counts)}
-    nsub_arr = F.array(*[F.lit(nsub.get(j, 1)) for j in range(len(cmat))]) if len(cmat) else F.array(F.lit(1))
-    tr_b = tr.withColumn("sub", F.pmod(F.xxhash64("rid"), F.element_at(nsub_arr, F.col("cluster") + 1)).cast("int"))
-    cand_b = cand.withColumn("sub", F.explode(F.sequence(F.lit(0), F.element_at(nsub_arr, F.col("cluster") + 1) - 1)))
-    cand_b = cand_b.join(te, "tid").select(
-        "cluster", "sub", F.pmod(F.xxhash64("tid"), F.lit(parts)).cast("int").alias("part"), "tid", F.col("f").alias("tf"))
-    tr_b = tr_b.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+                covered = np.cumsum(counts[order], axis=1)
+                row = np.arange(len(d))
+                cover = upper[row, order[row, np.minimum((covered < kmax).sum(axis=1), len(cmat) - 1)]]
+                bound = np.fmin(pdf["bound"].to_numpy(float), cover)
+                near = (lower <= bound[:, None] * (1 + 1e-12)) & (counts > 0)
+                near[row, pdf["cluster"].to_numpy(int)] = False           # round one has seen it
+                r, c = np.nonzero(near)
+                yield pd.DataFrame({"tid": pdf["tid"].to_numpy()[r], "tf": pdf["tf"].to_numpy()[r], "cluster": c.astype("int32")})
+
+    pair = T.StructType([te.schema["tid"], te.schema["tf"], T.StructField("cluster", T.IntegerType())])
     out_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("rid", tr.schema["rid"].dataType),
                                T.StructField("y", T.DoubleType()), T.StructField("d", T.DoubleType())])
 
@@ -99,11 +117,11 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
         if tests.empty or trains.empty:
             return pd.DataFrame({"tid": tests["tid"].iloc[:0], "rid": trains["rid"].iloc[:0],
                                  "y": pd.Series([], dtype="float64"), "d": pd.Series([], dtype="float64")})
-        x = np.stack([np.asarray(v, dtype=float) for v in trains["f"]])
+        x = _matrix(trains["f"])
         rid = trains["rid"].to_numpy()
         y = trains["y"].to_numpy(dtype=float)
         tids = tests["tid"].to_numpy()
-        q_all = np.stack([np.asarray(v, dtype=float) for v in tests["tf"]])
+        q_all = _matrix(tests["tf"])
         kk = min(kmax, len(x))
         step = max(1, 4_000_000 // max(1, x.size))      # bound the distance block to ~32 MB
         out = []
@@ -119,9 +137,30 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
             r, c = r[keep], c[keep]
             out.append(pd.DataFrame({"tid": tids[lo + r], "rid": rid[c], "y": y[c], "d": d[r, c]}))
         return pd.concat(out, ignore_index=True)
-    near = (cand_b.groupBy("cluster", "sub", "part")
-            .cogroup(tr_b.select("cluster", "sub", "part", "rid", "f", "y").groupBy("cluster", "sub", "part"))
-            .applyInPandas(local_topk, out_schema))
+    def search(asked: DataFrame) -> DataFrame:
+        """Neighbour lists of ``tid, tf, cluster`` rows, block by block."""
+        number = {r["cluster"]: r["n"] for r in asked.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = _per_cluster([math.ceil(number.get(j, 0) / block_rows) for j in range(len(cmat))])
+        subs = _per_cluster(blocks.tolist())
+        left = asked.withColumn("part", F.pmod(F.xxhash64("tid"), F.greatest(parts, F.lit(1))).cast("int")).withColumn(
+            "sub", F.explode(F.sequence(F.lit(0), subs - 1)))
+        # no part, no copy: a cluster that no row asks for is left out
+        right = tr.filter(parts > 0).withColumn("sub", F.pmod(F.xxhash64("rid"), subs).cast("int")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        return (left.groupBy("cluster", "sub", "part")
+                .cogroup(right.select(*[F.col(c).alias(f"t_{c}") for c in ("cluster", "sub", "part")], "rid", "f", "y").groupBy("t_cluster", "t_sub", "t_part"))
+                .applyInPandas(local_topk, out_schema))
+
+    own = te.mapInPandas(nearest, pair) if len(cmat) > 1 else te.withColumn("cluster", F.lit(0))
+    if len(cmat) > 1:
+        own = cut_lineage(own)
+        near = cut_lineage(search(own))
+        kth = near.withColumn("__nth", F.row_number().over(Window.partitionBy("tid").orderBy("d", "rid"))).filter(F.col("__nth") == kmax)
+        bound = own.join(kth.select("tid", F.col("d").alias("bound")), "tid", "left")
+        others = cut_lineage(bound.mapInPandas(reached, pair))
+        near = near.unionByName(search(others))
+    else:
+        near = search(own)
     top = near.withColumn("rank", F.row_number().over(
         Window.partitionBy("tid").orderBy("d", "rid"))).filter(F.col("rank") <= kmax)
     ks = F.explode(F.array(*[F.lit(int(k)) for k in k_values])).alias("k")

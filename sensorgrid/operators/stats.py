@@ -71,15 +71,16 @@ def corr_pearson(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 
 # ------------------------------------------------------------------ A13 Spearman
 FAN = 32                        # ordered parts that a group of values is cut into
-GROUP_ROWS = 200_000            # distinct values or value pairs of one group at most
+RANK_ROWS = 1_000_000           # distinct values that one window ranks at most
+GROUP_ROWS = 200_000            # value pairs that one group counts at most
 SMALL_RANKS = 10_000            # rank maps of columns with so few values are broadcast
 
 
 def _cuts(value: str, fan: int) -> Column:
-    return F.array_distinct(F.percentile_approx(value, [i / fan for i in range(1, fan)], 10_000))
+    return F.array_distinct(F.percentile_approx(value, [i / fan for i in range(1, fan)], 1_000))
 
 
-def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
+def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = RANK_ROWS, fan: int = FAN) -> DataFrame:
     """Average rank (1-based, ties share the mean rank) of every distinct
     value of each group: ``(grp…, value, __rank)`` from
     ``(grp…, value)``.
@@ -123,7 +124,7 @@ def _with_rank(rows: DataFrame, ranks: DataFrame, on: Sequence[str], few: bool)
     return rows.join(F.broadcast(ranks) if few else ranks, list(on), "left")
 
 
-def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS, keys: Sequence[str] = ()) -> DataFrame:
+def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = RANK_ROWS, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks (per series when ``keys`` are given).
     Ranks are taken on the pair's complete rows; columns without NULLs are
     ranked once, together, and shared by all their pairs; the pairs with a
@@ -273,7 +274,9 @@ def _signed_sums(combos: DataFrame, grp: Sequence[str], group_rows: int, fan: in
     levels as the largest group needs."""
     from ..session import cut_lineage
     node = [*grp, "__kind", "__node"]
-    work = combos.withColumns({"__kind": F.lit(0), "__node": F.lit("")}).select(*node, "p", "q", "w")
+    # numbers of nodes: a node's blocks have 2·fan+1 numbers, three times (see below)
+    width, few = 3 * (2 * fan + 1), 2 * fan + 1
+    work = combos.withColumns({"__kind": F.lit(0), "__node": F.lit(0).cast("bigint")}).select(*node, "p", "q", "w")
     keys = [f for f in work.schema.fields if f.name in grp]
     out_schema = T.StructType([*keys, T.StructField("s", T.DoubleType())])
 
@@ -302,8 +305,8 @@ def _signed_sums(combos: DataFrame, grp: Sequence[str], group_rows: int, fan: in
         bp = F.when(F.col("__kind") == 0, _block_expr(F.col("p"), F.col("__cp"))).otherwise(F.col("p").cast("int"))
         big = cut_lineage(big.join(cuts, node).withColumns({"ba": bp, "bb": _block_expr(F.col("q"), F.col("__cq"))}).drop("__cp", "__cq"))
         sums.append(big.groupBy(*node, "ba", "bb").agg(F.sum("w").alias("w")).groupBy(*node).applyInArrow(cross, out_schema))
-        same_p = big.filter("__kind = 0").withColumn("__node", F.concat("__node", F.lit("."), F.col("ba").cast("string")))
-        same_q = big.withColumns({"__node": F.concat("__node", F.lit("|"), F.col("bb").cast("string")), "__kind": F.lit(1), "p": F.col("ba").cast("double")})
+        same_p = big.filter("__kind = 0").withColumn("__node", F.col("__node") * width + F.col("ba"))
+        same_q = big.withColumns({"__node": F.col("__node") * width + (F.col("__kind") + 1) * few + F.col("bb"), "__kind": F.lit(1), "p": F.col("ba").cast("double")})
         work = same_p.select(*node, "p", "q", "w").unionByName(same_q.select(*node, "p", "q", "w"))
     whole = leaves[0]
     for x in leaves[1:]:

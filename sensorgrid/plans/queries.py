@@ -693,10 +693,12 @@ def q_subsets(spark, sf):
 
 # ---------------------------------------------------------------- M3 M4 M14 W10 T2 T5 A19
 def embedding_split(spark, sf) -> DataFrame:
+    """Split once: train and test part are read many times."""
     from ..operators.split import train_test_split
+    from ..session import cut_lineage
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"),
                                               F.col("label").cast("double").alias("label"))
-    return train_test_split(e, ["id"], 0.2, 1234)
+    return cut_lineage(train_test_split(e, ["id"], 0.2, 1234))
 
 
 def embedding_width(spark, sf) -> int:

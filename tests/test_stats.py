@@ -153,6 +153,29 @@ def test_knn_exact_vs_bruteforce(spark):
             assert abs(got[(1000 + i, k)] - want) < 1e-9
 
 
+def test_knn_copies_grow_with_the_rows(spark, monkeypatch):
+    """Blocks and parts made when both sides double: linear, and none for a
+    cluster that no test row reaches."""
+    from sensorgrid.models import knn
+    monkeypatch.setattr(knn, "CLUSTER_ROWS", 25)
+    seen, real = [], knn._per_cluster
+    monkeypatch.setattr(knn, "_per_cluster", lambda v: (seen.append(list(v)), real(v))[1])
+    copies = []
+    for n in (800, 1600):
+        g = np.random.default_rng(n)
+        rows = [(i, list(map(float, x)), float(i)) for i, x in enumerate(g.uniform(0, 1, (n, 2)))]
+        df = spark.createDataFrame(rows, "id long, features array<double>, label double")
+        test = df.filter("id % 5 = 0 and features[0] < 0.5")
+        seen.clear()
+        got = {r.id: r.prediction for r in knn_predict(df.filter("id % 5 <> 0"), test, [4], block_rows=10).collect()}
+        whole = {r.id: r.prediction for r in knn_predict(df.filter("id % 5 <> 0"), test, [4], clusters=1).collect()}
+        assert got.keys() == whole.keys() and all(abs(got[i] - whole[i]) < 1e-9 for i in got)
+        first, second = seen[0], seen[2]                # parts of both rounds
+        assert first.count(0) > len(first) / 4 and second.count(0) > 0
+        copies.append(sum(first) + sum(second))
+    assert copies[1] < 3 * copies[0]
+
+
 def test_pearson_per_series(spark):
     rng = np.random.default_rng(5)
     rows = [(k, float(x), float(2 * x + rng.normal())) for k in ("a", "b") for x in rng.normal(size=50)]
