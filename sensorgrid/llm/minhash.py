@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import GOLDEN, U64, Words, column, counted, hash_strings, keep, mix, sized, unit
+from .text import GOLDEN, U64, Words, column, counted, give_back, hash_strings, keep, mix, sized, unit
 
 SHINGLE = 5                      # words
 SIMILAR = 0.8
 BANDS, ROWS = 40, 5              # a pair at 0.8 shares no band with probability 1e-7
 SIZE = BANDS * ROWS
 DOUBT = 0.66                     # estimates of a pair at 0.8 lie below with probability 1e-6, at 0.82 with 2e-8
-BYTES = 5_000_000                # text handled at a time
+BYTES = 1_500_000                # text handled at a time
 BLOCK = 512                      # texts of a bucket compared in one task, squared
 
 
@@ -164,6 +164,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
                     pa.ListArray.from_arrays(pa.array(offs), pa.array(keys.ravel())),
                     pa.array([r.tobytes() for r in sketch], type=pa.binary())], names=["key", "id", "t", "bands", "sketch"])
                 row += m
+        give_back()                                   # the worker may wait for its next task for long
 
     return docs.select(F.col(id_col).alias("id"), text).mapInArrow(
         run, f"key bigint, id {kind}, t binary, bands array<bigint>, sketch binary")
@@ -183,6 +184,7 @@ def _bags(docs: DataFrame, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 1 << 15), pa.array([flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], type=pa.binary())],
                     names=["v", "bag"])
+        give_back()
 
     return docs.select("v", text).mapInArrow(run, "v bigint, bag binary")
 
@@ -273,11 +275,13 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
     bags = keep(_bags(docs.withColumn("t", F.unhex(F.md5(F.col(text).cast("binary")))).join(t_of.select("t", "v"), "t")
                       .groupBy("v").agg(F.first(text).alias(text)), text))
     label = near.select("v", F.col("v").alias("c"))
-    links = tested = None
+    tested = None
 
     def add(pairs: DataFrame) -> bool:
-        """Verify pairs not tested before; whether any is a link."""
-        nonlocal links, tested, label
+        """Verify pairs not tested before; whether any is a link.  Links
+        become links of their classes, so that classes that are already one
+        are not joined again."""
+        nonlocal tested, label
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = keep(pairs)
@@ -285,8 +289,10 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
         new = keep(_verified(pairs, bags, similar))
         if not new.limit(1).count():
             return False
-        links = new if links is None else links.unionByName(new)
-        label = keep(near.join(components(links), "v", "left").select("v", F.coalesce("root", "v").alias("c")))
+        of = lambda x: label.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
+        between = new.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        roots = components(between).select(F.col("v").alias("c"), "root")
+        label = keep(label.join(roots, "c", "left").select("v", F.coalesce("root", "c").alias("c")))
         return True
 
     def split(turn: int) -> DataFrame:
