@@ -33,7 +33,9 @@ STOP_WORDS = frozenset((
     "mi muy no nos o para pero por que se si sin sobre son su sus también un una y ya").split())
 
 # Elements whose content is never text of the page.
-RAW = frozenset("script style noscript template svg math iframe object canvas head title select textarea".split())
+RAW = frozenset("script style noscript template svg iframe canvas head title select textarea".split())
+# Of these, a missing end tag hides the rest of the page; of the others it is passed over.
+HIDES_REST = frozenset("script style".split())
 # Elements that are page furniture wherever they stand.
 FURNITURE = frozenset("nav footer aside form menu dialog button fieldset".split())
 # Words in class or id that mark furniture.
@@ -47,7 +49,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 # Inline elements do not end a block.
 INLINE = frozenset((
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr picture source input").split())
+    "small span strike strong sub sup time tt u var wbr picture source input "
+    "math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Start tags that end an open paragraph.
 CLOSES_P = frozenset((
@@ -59,12 +62,18 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "th": {"td", "th"}, "option": {"option"}}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                 r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+                 r"<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-SPACE = re.compile(r"[\s\u00a0\u200b]+")
+SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[^\W\d_]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 HEADS = frozenset(("header", "masthead"))             # of a page; inside an article they hold its title
+# Elements that hold running text themselves: a name that only contains a mark ("notice-of-death") says nothing of them.
+TEXTS = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption td th dd dt address".split())
+JOINING = frozenset("of for to the and in on with about".split())
+PARAGRAPHS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
+KEEPS_P = ("div", "td", "th", "li", "button", "article", "section")
+LISTS = ("ul", "ol", "dl", "table", "div", "article", "section")
 
 LONG_WORDS, SHORT_WORDS = 30, 12      # of a surely running text; below the second a block is undecided
 STOP_HIGH, STOP_LOW = 0.30, 0.15
@@ -88,6 +97,8 @@ def _is_furniture(name: str, attrs: str, in_article: bool) -> bool:
                     words = re.split(r"[^a-z]+", CAMEL.sub(r"\1 \2", one).lower())
                     if words[0] in ("no", "has", "with", "without"):     # says what the page has, not what this is
                         continue
+                    if not JOINING.isdisjoint(words) or (name in TEXTS and not MARKS.issuperset(words)):
+                        continue
                     if not MARKS.isdisjoint(words) and not (in_article and HEADS.issuperset(MARKS.intersection(words))):
                         return True
     return False
@@ -101,6 +112,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool, bool, int]] = []    # name; furniture, article, link outside it; number
+    places: dict[str, list[int]] = {}                      # of open elements by name, so that no search walks the stack
+    walls: list[int] = []                                  # places of open elements that are not inline
+    boxes: list[int] = []                                  # numbers of open boxes
     furniture = article = link = False
     raw, at, n = "", 0, len(page)
 
@@ -108,8 +122,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                box = next((x[4] for x in reversed(stack) if x[0] in BOXES), 0)
-                out.append((text, len(SPACE.sub("", html.unescape("".join(linked)))), furniture, article, box))
+                out.append((text, len(SPACE.sub("", html.unescape("".join(linked)))), furniture, article, boxes[-1] if boxes else 0))
             parts.clear()
             linked.clear()
 
@@ -122,14 +135,24 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
     def pop(to: int) -> None:
         nonlocal furniture, article, link
         _, furniture, article, link, _ = stack[to]
-        del stack[to:]
+        while len(stack) > to:
+            name = stack.pop()[0]
+            places[name].pop()
+            if name not in INLINE:
+                walls.pop()
+            if name in BOXES:
+                boxes.pop()
+
+    def last(names) -> int:
+        """Place of the innermost open element of these names, -1 for none."""
+        return max((places[x][-1] for x in names if places.get(x)), default=-1)
 
     while at < n:
         m = TAG.search(page, at)
         if raw:                                       # only its own end tag ends it
             end = re.compile(rf"</{raw}(?=[\s>/])[^>]*(?:>|\Z)", re.I).search(page, at)
             raw_name, raw = raw, ""
-            at = end.end() if end else (n if raw_name != "head" else at)
+            at = end.end() if end else (n if raw_name in HIDES_REST else at)
             continue
         if m is None:
             put(page[at:])
@@ -146,10 +169,10 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
             if name == "br":
                 put(" ")
                 continue
-            where = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            where = last((name,))
             if name not in INLINE:
                 flush()
-            if where is not None and not (name in INLINE and any(x[0] not in INLINE for x in stack[where:])):
+            if where >= 0 and not (name in INLINE and walls and walls[-1] > where):
                 pop(where)
             continue
         if name in RAW:
@@ -161,19 +184,21 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int]]:
         if name not in INLINE:
             flush()
             if name in CLOSES_P:
-                where = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6")), None)
-                if where is not None and not any(x[0] in ("div", "td", "th", "li", "button", "article", "section") for x in stack[where:]):
+                where = last(PARAGRAPHS)
+                if where > last(KEEPS_P):
                     pop(where)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section"):
-                    break
-                if stack[i][0] in SIBLINGS.get(name, ()):
-                    pop(i)
-                    break
+            where = last(SIBLINGS.get(name, ()))
+            if where > last(LISTS):
+                pop(where)
         elif name == "br":
             put(" ")
         if name in VOID or attrs.rstrip().endswith("/"):
             continue
+        places.setdefault(name, []).append(len(stack))
+        if name not in INLINE:
+            walls.append(len(stack))
+        if name in BOXES:
+            boxes.append(at)
         stack.append((name, furniture, article, link, at))
         furniture = furniture or _is_furniture(name, attrs, article)
         article = article or name in ("article", "main")
@@ -203,8 +228,12 @@ def second_pass(found: list, labels: list[int]) -> list[bool]:
     own box, else of the article or the rest of the page, whichever they stand
     in.  A tie, or none decided, follows the place: kept in an article, else
     dropped, unless the page has neither an article nor any block decided
-    good."""
-    has_article = any(b[3] and not b[2] for b in found)
+    good.  Articles part the page only if they hold most of the running text
+    (a teaser in an ``article`` element beside the story does not)."""
+    good = [sum(len(b[0]) for b, v in zip(found, labels) if v == GOOD and b[3] == p) for p in (False, True)]
+    has_article = any(b[3] and not b[2] for b in found) and good[True] >= good[False]
+    if not has_article:
+        found = [(*b[:3], False, b[4]) for b in found]
     any_good = GOOD in labels
     marks = [(i, v) for i, v in enumerate(labels) if v != OPEN]
     by_place = {p: _nearest(len(labels), [(i, v) for i, v in marks if found[i][3] == p and not (p and found[i][2])]) for p in (True, False)}

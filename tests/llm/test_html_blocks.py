@@ -17,6 +17,15 @@ CASES = [
     (f"<article><p>{LONG}</p><p>cut off at &am", f"{LONG}\ncut off at &am"),
     (f"<div><p>{LONG}</p><p>Short one.</p></div><div><a href=x>Home</a></div>", f"{LONG}\nShort one."),
     (f"<article class='has-sidebar'><header><h1>Head</h1></header><p>{LONG}</p></article>", f"Head\n{LONG}"),
+    (f"<div><p>{LONG}</p><p>{LONG} More.</p></div><article><a href=x>A teaser that leads elsewhere</a></article>", f"{LONG}\n{LONG} More."),
+    (f"<article><p class=x'>{LONG}</p><p>it's here</p></article>", f"{LONG}\nit's here"),
+    (f"<article><p>if a <b and it's so> {LONG}</p><p>next</p></article>", f"if a {LONG}\nnext"),
+    (f'<article><p title="a > b" class=\'c\'>{LONG}</p></article>', LONG),
+    (f"<article><p>{LONG}</p><select><option>one<p>{LONG}</p></article>", f"{LONG}\none\n{LONG}"),
+    (f"<article><p>{LONG}</p><textarea>in it <p>{LONG}</p></article>", f"{LONG}\nin it\n{LONG}"),
+    (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> so</p><object>{LONG}</object></article>", f"{LONG} x=1 so\n{LONG}"),
+    (f"<article><p>{LONG} zero\u200bwidth\u00a0gap</p></article>", f"{LONG} zero\u200bwidth gap"),
+    (f'<article><p class="notice-of-death">{LONG}</p><div class="history-of-advertising"><p>{LONG}</p></div><p class="cookie-notice">{LONG}</p></article>', f"{LONG}\n{LONG}"),
     (f"<article><p hidden>{LONG}</p><p>{LONG}</p><p>  </p></article>", LONG),
 ]
 
@@ -26,6 +35,36 @@ def test_pages(page, want):
     assert hb.main_text(page) == want
 
 
+def test_first_pass_against_its_rule():
+    """Length, stop words and links, counted word by word."""
+    import random
+    rnd = random.Random(6)
+    for _ in range(400):
+        n = rnd.choice([0, 3, 11, 12, 13, 29, 30, 31, 60])
+        words = [rnd.choice(["the", "of", "die", "que"]) if rnd.random() < rnd.choice([0.05, 0.2, 0.4]) else rnd.choice(["stone", "Haus", "42", "x-y"]) for _ in range(n)]
+        text = " ".join(words)
+        linked = rnd.choice([0, len(text) // 3, len(text)])
+        single = [w for x in words for w in "".join(c if c.isalpha() else " " for c in x.lower()).split()]
+        share = sum(w in hb.STOP_WORDS for w in single) / max(1, len(single))
+        if linked > 0.5 * max(1, sum(map(len, words))):
+            want = hb.BAD
+        elif len(single) >= 12 and (share >= 0.3 or (len(single) >= 30 and share >= 0.15)):
+            want = hb.GOOD
+        else:
+            want = hb.OPEN
+        assert hb.first_pass((text, linked, False, False, 0)) == want
+        assert hb.first_pass((text, linked, True, False, 0)) == hb.BAD
+
+
+def test_deep_and_broken_pages():
+    import time
+    for page in ("<div>" * 100_000 + LONG, "<b>" * 50_000 + LONG + "</b>" * 50_000, "<ul><li>" * 30_000 + LONG + "</ul>" * 10, "<p><span>" * 40_000 + LONG,
+                 "</div>" * 50_000 + f"<p>{LONG}", "<table><tr><td>" * 20_000 + LONG):
+        start = time.process_time()
+        assert hb.main_text(page) == LONG
+        assert time.process_time() - start < 8            # linear; the square of it takes minutes
+
+
 def test_undecided_blocks_follow_the_nearest():
     b = lambda x, art=False, box=0: (x, 0, False, art, box)
     found = [b("a"), b("b"), b("c"), b("d"), b("e")]
