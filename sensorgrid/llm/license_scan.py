@@ -51,10 +51,18 @@ SPELLINGS = [
     ("wilful", "willful"),
 ]
 
-# A line that states a copyright, and one that reserves rights (lower case).
-COPYRIGHT_LINE = (r"(^|\n)[ \t#*/;-]*(copyright[ \t]+(\(c\)|©|[0-9])|\(c\)[ \t]+(copyright|[0-9])"
-                  r"|©|copyright:|portions copyright)[^\n]*")
-RESERVED_LINE = r"(^|\n)[ \t#*/;-]*all rights reserved[.]?[ \t]*"
+# A line that states a copyright (lower case): a copyright word or sign at its
+# start, behind any comment leader, then a sign, a year somewhere, or nothing
+# but a name of a few words.  Words that go on a licence's own sentences where
+# a line happens to break are no names.
+LEAD = r"[^a-z0-9(©\n]*(?:(?:rem|dnl|portions)[ \t]+)?"
+YEAR = r"[^\n]*\b(?:19|20)[0-9][0-9]\b[^\n]*"
+NO_NAME = ("act and as by for has holder holders if in interest interests is law laws licence license may must no not notice notices of on or owner "
+           "owners protection statement statements that the this to under which you your").split()
+NAME = r"[ \t]+(?!(?:" + "|".join(NO_NAME) + r")\b)[^\s]+(?:[ \t]+[^\s]+){0,4}[ \t]*"
+COPYRIGHT_LINE = (rf"(?md)^{LEAD}(?:copyright[ \t]*[,:]?[ \t]*(?:\(c\)|©|&copy;)[^\n]*|copyright\b{YEAR}|copyright:[^\n]*|copyright(?:[ \t]+by)?{NAME}"
+                  rf"|\(c\)[ \t]*copyright[^\n]*|\(c\){YEAR}|\(c\){NAME}|(?:©|&copy;)[^\n]*)$")
+RESERVED_LINE = r"(?md)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
 
 
 def with_digest(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -67,9 +75,9 @@ def with_digest(df: DataFrame, text: str, out: str) -> DataFrame:
     costly ones only on texts that hold what they look for."""
     a, b, c = "__lower", "__stated", "__spelt"
     t = F.col(a)
-    stated = F.regexp_replace(F.regexp_replace(t, r"\r", "\n"), COPYRIGHT_LINE, "\n")
-    stated = F.regexp_replace(stated, RESERVED_LINE, "\n")
-    claims = t.contains("copyright") | t.contains("(c)") | t.contains("©") | t.contains("all rights reserved")
+    stated = F.regexp_replace(F.regexp_replace(t, r"\r", "\n"), COPYRIGHT_LINE, "")
+    stated = F.regexp_replace(stated, RESERVED_LINE, "")
+    claims = t.contains("copyright") | t.contains("(c)") | t.contains("©") | t.contains("&copy;") | t.contains("all rights reserved")
     df = df.withColumn(a, F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn(b, F.when(claims, stated).otherwise(t))
     t = F.col(b)
     # one rule after the other, as data: thirty nested calls make too large a method
@@ -85,10 +93,21 @@ def with_digest(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def canonical_sql(text: str) -> str:
-    """The same normalisation for DuckDB."""
-    t = rf"regexp_replace(lower(coalesce({text}, '')), '\r', chr(10), 'g')"
-    t = f"regexp_replace({t}, '{COPYRIGHT_LINE}', chr(10), 'g')"
-    t = f"regexp_replace({t}, '{RESERVED_LINE}', chr(10), 'g')"
+    """The same canonical form in DuckDB, found another way: line by line, by
+    the line's words."""
+    words = r"regexp_extract_all(x, '\(c\)|©|&copy;|[a-z0-9]+')"
+    plain = rf"list_filter({words}, lambda w: w NOT IN ('rem', 'dnl', 'portions') OR w <> {words}[1])"
+    no_name = ", ".join(f"'{w}'" for w in NO_NAME)
+    year = r"regexp_matches(x, '\b(19|20)[0-9][0-9]\b')"
+    few = r"len(string_split_regex(trim(regexp_replace(x, '^.*?(copyright([ \t]+by)?|\(c\))', ''), ' ' || chr(9)), '[ \t]+')) <= 5"
+    first = f"coalesce(w[CASE WHEN w[1] = 'copyright' AND w[2] = 'by' THEN 3 ELSE 2 END], '')"
+    named = rf"({first} NOT IN ({no_name}) AND regexp_matches(x, '(copyright([ \t]+by)?|\(c\))[ \t]+[^ \t]') AND {few})"
+    states = (f"list_any_value(list_transform([{plain}], lambda w: coalesce(w[1] IN ('©', '&copy;') "
+              f"OR (w[1] = 'copyright' AND (w[2] IN ('(c)', '©', '&copy;') OR contains(x, 'copyright:') OR {year} OR {named})) "
+              f"OR (w[1] = '(c)' AND (w[2] = 'copyright' OR {year} OR {named})), false)))")
+    reserved = r"regexp_full_match(x, '[^a-z0-9]*all rights reserved[^a-z0-9]*')"
+    t = rf"string_split(regexp_replace(lower(coalesce({text}, '')), '\r', chr(10), 'g'), chr(10))"
+    t = f"array_to_string(list_filter({t}, lambda x: NOT {states} AND NOT {reserved}), chr(10))"
     t = rf"regexp_replace({t}, '[ \t\n\r]+', ' ', 'g')"
     for a, b in SPELLINGS:
         t = rf"regexp_replace({t}, '\b{a}\b', '{b}', 'g')"

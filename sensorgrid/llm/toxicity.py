@@ -272,7 +272,7 @@ def score_texts(net: Net, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-best.astype(np.float64)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str = "toxic") -> tuple[pa.Array, np.ndarray]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str = "toxic", text: str = "text") -> tuple[pa.Array, np.ndarray]:
     """Texts and labels of about ``most`` training rows at most (documented
     bound), chosen by a hash of the id; rows with crc32(id) mod 5 = 0 are
     never used.  Repeated ids count once, with their greatest label."""
@@ -282,12 +282,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, label: str =
     n = own.count()
     if n > most:
         own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * most / n))
-    rows = (docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(own), "doc_id")
+    rows = (docs.select("doc_id", F.col(text).alias("__text")).join(F.broadcast(own), "doc_id")
             .groupBy("doc_id").agg(F.min(F.coalesce("__text", F.lit(""))).alias("t"), F.max("__y").alias("y"))).toArrow()
     rows = rows.take(pc.sort_indices(rows["doc_id"]))
     return rows["t"].combine_chunks(), rows["y"].to_numpy().astype(F32)
 
 
+def can_learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> bool:
+    """Whether any row may be learnt from: labelled, not held out, and there."""
+    own = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
+    return not own.select("doc_id").join(docs.select("doc_id"), "doc_id", "left_semi").isEmpty()
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 3_000, epochs: int = 6,
              text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with ``out double`` in 0..1 (higher: likelier toxic).
@@ -296,7 +302,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 3_000, epochs: in
     text is scored.  NULL and empty texts have one empty window and get the
     net's score of it; without labelled rows every score is 0.5; repeated
     rows stay; other columns pass through."""
-    net = train(*labelled_sample(docs, labels, sample), epochs=epochs)
+    net = train(*labelled_sample(docs, labels, sample, text=text), epochs=epochs)
     give_back()
     shipped = docs.sparkSession.sparkContext.broadcast(net)        # of fixed size
 

@@ -57,20 +57,33 @@ def test_planted_documents(spark, tmp_path):
         path = str(tmp_path / name.replace(" ", "_"))
         stage(spark, docs, root).write.parquet(path)
         docs = spark.read.parquet(path)
-        seen.append({r.doc_id: r.text for r in docs.collect()})
+        rows = docs.collect()
+        seen.append({r.doc_id: r.text for r in rows})
+        if name == "near copies":
+            assert sum(r.doc_id == 306 for r in rows) == 1
     first, second, third, fourth = seen
     assert not any(i % 4 == 0 for i in first if i < 200) and all(i in first for i in range(200) if i % 4)
     assert 300 not in second and 301 not in second                       # copies of lines that came before
     assert passage not in second[303] and second[303]                    # a passage that an earlier document holds goes
-    assert sum(i == 306 for i in [r for r in third]) == 1
     clean_ids = [i for i in range(200) if i % 4 and i % 7]
     assert all(i in third for i in clean_ids) and all(i in fourth for i in clean_ids)
 
 
+def test_without_labels_nothing_is_rejected_and_empty_tables_stay_empty(spark, tmp_path):
+    rows = [(i, f"first words of text {i}\nand a line " + " ".join(str(i * k) for k in range(9)), "en", "s", 30) for i in range(20)] + [(90, None, None, None, None)]
+    root = write(spark, tmp_path / "a", rows, spark.createDataFrame([], "doc_id bigint, quality int, toxic int").collect())
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    kept = cp.drop_toxic(spark, docs, root)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows)
+    assert cp.run(spark, root).count() > 0
+    none = write(spark, tmp_path / "b", [], [(1, 1, 0), (2, 0, 1)])
+    assert cp.run(spark, none).count() == 0
+
+
 def test_queries_are_registered_with_their_oracles():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
 
 
@@ -78,7 +91,7 @@ def test_queries_are_registered_with_their_oracles():
 def test_queries_match_duckdb(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     res = con.execute(queries.ORACLE[name])
