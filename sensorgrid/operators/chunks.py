@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timefn
+from ..session import cut_lineage
 
 CHUNK = "__chunk"
 KEY = "__key"
@@ -91,6 +92,7 @@ def positions(df: DataFrame, keys, order_cols, chunk, order=None) -> DataFrame:
     d = with_chunk(with_key(df, keys), order, chunk)
     keys = key_cols(keys)
     d = d.withColumn("__lpos", F.row_number().over(local_window(keys, order_cols)) - 1)
+    d = cut_lineage(d)                                # sizes and rows from one reading of the input
     sizes = d.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.withColumn(
         "__off", F.coalesce(F.sum("__n").over(before(chunk_window(keys))), F.lit(0)).cast("bigint")

@@ -5,6 +5,10 @@ Whatever a row needs from outside its chunk is either carried through a
 window over one summary row per chunk, or (for look-backs of a bounded
 reach) by copying the few border rows into the neighbouring chunk
 ("halo") and dropping the copies afterwards.
+
+Where a summary of all chunks goes back to the rows, the rows with their
+local windows are written to the checkpoint folder once, so that the input
+is read and dealt out once; the summaries alone are joined to them.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..functions import timefn
 from ..functions.mathfn import round_half_even
+from ..session import cut_lineage
 from . import chunks as ch
 
 
@@ -62,6 +67,7 @@ def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts"
         pt = F.when(F.col(c).isNotNull(), F.struct(F.col("__lpos").alias("p"), F.col(c).cast("double").alias("v")))
         d = d.withColumn(f"__pv{i}", F.last(pt, ignorenulls=True).over(ch.upto(wl)))
         d = d.withColumn(f"__nx{i}", F.first(pt, ignorenulls=True).over(ch.from_here(wl)))
+    d = cut_lineage(d)                                # summaries and rows from one reading of the input
     summ_aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         pt = F.when(F.col(c).isNotNull(), F.struct(F.col("__lpos").alias("p"), F.col(c).cast("double").alias("v")))
@@ -195,6 +201,7 @@ def running_day_sum(df: DataFrame, column: str, keys: Sequence[str] = (), ts: st
     d = d.withColumn("__lseg", F.sum(reset).over(ch.upto(wl)))
     d = d.withColumn("__lsum", F.sum(x).over(
         Window.partitionBy(*keys, ch.CHUNK, "__lseg").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)))
+    d = cut_lineage(d)                                # summaries and rows from one reading of the input
     # one summary row per chunk: whether it restarts, and the sum after its
     # last restart (of the whole chunk if there is none); a chunk starts with
     # what the chunks since the last restart have gathered
