@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import catalog
 from ..operators import ordered, scalar, timeops
+from ..sources.files import cached_features
 
 
 def measure_columns(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts") -> list[str]:
@@ -67,6 +68,10 @@ def with_split(prepared: DataFrame, id_cols: Sequence[str], test_size: float = 0
 
 
 def trend_table(prepared: DataFrame, columns: Sequence[str], hours=catalog.TREND_SWEEP_HOURS,
-                keys: Sequence[str] = (), ts: str = "ts") -> DataFrame:
-    """Trends after scaling (their 2-place rounding acts on 0..1 values)."""
+                keys: Sequence[str] = (), ts: str = "ts", cache: str | None = None) -> DataFrame:
+    """Trends after scaling (their 2-place rounding acts on 0..1 values).
+    With ``cache`` (a path on shared storage) the table is kept there and only
+    days that changed, and those that look back on them, are made again."""
+    if cache:
+        return cached_features(prepared, cache, lambda d: ordered.trend_sweep(d, columns, hours=hours, keys=keys, ts=ts), f"{max(hours)} hours", ts)
     return ordered.trend_sweep(prepared, columns, hours=hours, keys=keys, ts=ts)

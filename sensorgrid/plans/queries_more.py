@@ -3,6 +3,9 @@ partial time ranges, name rules and the smaller operators."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import timefn
@@ -202,10 +205,9 @@ def q_sum_per_file(spark, sf):
     """Rows summed per count file, files off the grid dropped."""
     name = F.concat(F.lit("192_168_4_"), (F.col("user_id") % 6).cast("string"), F.lit("-"),
                     F.date_format(timefn.floor_to_step("ts", "1 minute"), "yyyy-MM-dd_HH-mm-ss"), F.lit("_counts.csv"))
-    e = feeds.events(spark, sf).select(name.alias("file_name"), "value")
-    sums = e.groupBy("file_name").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
-    d = timeops.drop_off_grid(timeops.parse_file_key(sums))
-    return d.select("monitor_id", "ts", r6("total").alias("total"), "n")
+    e = feeds.events(spark, sf).select(name.alias("file_path"), "value", F.lit(1).alias("one"))
+    d = files.sum_per_file(e, {"total": "value", "n": "one"})
+    return d.select("monitor_id", "ts", r6("total").alias("total"), F.col("n").cast("bigint").alias("n"))
 
 
 @register("drop_columns", "SELECT event_id, ts, value FROM events")
@@ -301,3 +303,91 @@ def q_pls_one(spark, sf):
     """M2 with one component, whose closed form SQL can state."""
     out = q.q_pls(spark, sf).filter("pls_components = 1")
     return out.select(r6("r2_score").alias("r2_score"), r6("aicc").alias("aicc"), r6("ci95_span").alias("ci95_span"), "test_length")
+
+
+# ------------------------------------------------- sources and sinks on tables written first
+def _scratch(spark) -> str:
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+_FEED_COLUMNS = ["Record Number", "Time", "Temperature (F)", "Wind Direction (String)"]
+
+
+def _feed_csv(df):
+    """Rows under the raw names, as text with blanks around values and
+    ``nan`` for missing ones."""
+    text = lambda c: F.concat(F.lit(" "), c.cast("string"), F.lit(" "))
+    return df.select(text(F.col("event_id")).alias("Record Number"), text(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("Time"),
+                     F.when(F.col("event_id") % 7 == 0, "nan").otherwise(text(F.col("value"))).alias("Temperature (F)"),
+                     text(F.col("event_type")).alias("Wind Direction (String)"))
+
+
+@register("read_series_csv", """
+SELECT event_id AS record_number, ts, CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value, 6) END AS temperature_f,
+       event_type AS wind_dir_txt FROM events""")
+def q_read_series(spark, sf):
+    """The feed written as CSV with blanks around its values, read again."""
+    path = _scratch(spark)
+    _feed_csv(feeds.events(spark, sf)).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    df = files.read_series_csv(spark, path, files.series_schema(_FEED_COLUMNS), files.RAW_TIME_FORMAT)
+    return df.withColumn("temperature_f", r6("temperature_f"))
+
+
+@register("read_many_listed", """
+SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(ts) AS first, max(ts) AS last,
+       round(sum(CASE WHEN event_id % 7 <> 0 THEN value END), 6) AS total FROM events GROUP BY event_type""")
+def q_read_many(spark, sf):
+    """A folder for each series, named by a list file; all as one table."""
+    path = _scratch(spark)
+    e = feeds.events(spark, sf)
+    _feed_csv(e).withColumn("part", F.col("Wind Direction (String)")).write.option("header", True).partitionBy("part").csv(f"{path}/feeds")
+    made = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{path}/feeds").select(F.col("path").alias("value"))
+    made.unionByName(spark.range(2).select(F.when(F.col("id") == 0, "# series").otherwise("").alias("value"))).write.text(f"{path}/list")
+    df = files.read_many(spark, f"{path}/list", files.series_schema(_FEED_COLUMNS), time_format=files.RAW_TIME_FORMAT)
+    by = df.groupBy("wind_dir_txt", "series_id").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b"), F.sum("temperature_f").alias("s"))
+    return by.groupBy(F.col("wind_dir_txt").alias("event_type")).agg(
+        F.sum("n").alias("n"), F.min("a").alias("first"), F.max("b").alias("last"), F.round(F.sum("s"), 6).alias("total"))
+
+
+@register("write_series", """
+SELECT event_type, ts, event_id, round(value, 6) AS value, TRUE AS in_order FROM events""")
+def q_write_series(spark, sf):
+    """Written by series, sorted by time; read again with whether each
+    row is not before the one ahead of it in its file."""
+    path = _scratch(spark)
+    files.write_series(feeds.events(spark, sf).select("event_id", "event_type", "ts", "value"), path, keys=["event_type"])
+    d = spark.read.parquet(path).withColumn("__file", F.col("_metadata.file_path")).withColumn("__at", F.monotonically_increasing_id())
+    ahead = F.lag("ts").over(Window.partitionBy("__file").orderBy("__at"))           # one file of one writer task
+    return d.select("event_type", "ts", "event_id", r6("value").alias("value"), F.coalesce(ahead <= F.col("ts"), F.lit(True)).alias("in_order"))
+
+
+@register("list_columns", """
+SELECT CAST(column_index AS INTEGER) AS position, column_name AS name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS type
+FROM (SELECT row_number() OVER () - 1 AS column_index, column_name, column_type AS data_type FROM (DESCRIBE SELECT * FROM events))""")
+def q_list_columns(spark, sf):
+    """S11."""
+    return files.list_columns(feeds.events(spark, sf))
+
+
+@register("ranked_results_files", q._TWO_SQL + """,
+w AS (SELECT *, aicc - min(aicc) OVER (PARTITION BY search) AS delta FROM allr)
+SELECT search, CAST(k - 1 AS BIGINT) AS row_index, CAST(k AS VARCHAR) AS knn_neighbors, round(aicc, 5) AS aicc, round(delta, 5) AS delta,
+       round(exp(-delta / 2) / sum(exp(-delta / 2)) OVER (PARTITION BY search), 5) AS weight,
+       CASE search WHEN 'all' THEN (SELECT max(len(embedding)) FROM embeddings) ELSE (SELECT max(len(embedding)) - 1 FROM embeddings) END::INTEGER AS n_columns
+FROM w""")
+def q_results_files(spark, sf):
+    """Two searches written as results files (list columns as list
+    text), read again and ranked for each file, with each row's place in it."""
+    from ..operators import stats
+    path = _scratch(spark)
+    both = q._two_searches(spark, sf)
+    names = F.concat(F.lit("['"), F.array_join("input_columns", "', '"), F.lit("']"))
+    for search in ("without", "all"):
+        one = both.filter(F.col("search") == search).select("search", "knn_neighbors", "aicc", "r2_score", names.alias("input_columns"))
+        one.coalesce(1).sortWithinPartitions("knn_neighbors").write.mode("append").option("header", True).csv(path)    # 20 rows
+    w = stats.akaike_weights(files.read_results(spark, path), partition=["source_file"])
+    return w.select("search", "row_index", "knn_neighbors", F.round("aicc", 5).alias("aicc"), F.round("delta", 5).alias("delta"),
+                    F.round("weight", 5).alias("weight"), F.size("input_columns").alias("n_columns"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import threading
+import uuid
 import warnings
 from collections.abc import Iterable, Sequence
 from itertools import combinations, islice
@@ -73,7 +74,10 @@ def _missing(exc: AnalysisException) -> bool:
 
 class ResultStore:
     """Results appended as Parquet partitioned by search id; a resumed
-    search makes the planned runs that are not stored and returns all."""
+    search makes the planned runs that are not stored and returns all.
+
+    Every append bears the name of its attempt, and a run that several
+    drivers made at the same time counts once: its first attempt by name."""
 
     def __init__(self, spark: SparkSession, path: str | None):
         self.spark, self.path = spark, path
@@ -85,12 +89,14 @@ class ResultStore:
         if not self.path:
             return None
         try:
-            rows = self.spark.read.schema(RESULT_SCHEMA).parquet(self.path)
+            rows = self.spark.read.schema(T.StructType([*RESULT_SCHEMA.fields, T.StructField("attempt", T.StringType())])).parquet(self.path)
         except AnalysisException as exc:
             if _missing(exc):
                 return None
             raise
-        return rows.filter(F.col("search_id") == search_id)
+        own = rows.filter(F.col("search_id") == search_id)
+        one = own.groupBy("run_key").agg(F.min_by(F.struct(*RESULT_SCHEMA.fieldNames()), F.coalesce("attempt", F.lit(""))).alias("r"))
+        return one.select("r.*")
 
     def keys(self, search_id: str) -> set[str]:
         """Keys of the stored runs of a search."""
@@ -106,7 +112,7 @@ class ResultStore:
     def append(self, rows: DataFrame) -> None:
         if self.path:
             with self._one:
-                rows.write.mode("append").partitionBy("search_id").parquet(self.path)
+                rows.withColumn("attempt", F.lit(uuid.uuid4().hex)).write.mode("append").partitionBy("search_id").parquet(self.path)
 
 
 class ModelSearch:

@@ -7,7 +7,8 @@ column names to catalog aliases and applies the ingest null rule
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import catalog
+from ..functions import timefn
 from ..operators import timeops
+from ..session import cut_lineage
 from .tables import clean_doubles
 
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -110,28 +113,54 @@ COUNT_SCHEMA = T.StructType([
 ])
 
 
+MOTIONS = {"motion_up": "UPWARD", "motion_down": "DOWNWARD", "motion_lateral": "LATERAL", "motion_total": "TOTAL"}
+
+
+def sum_per_file(rows: DataFrame, sums: Mapping[str, str], file_col: str = "file_path", files: DataFrame | None = None,
+                 step_minutes: int = 15, observation=None) -> DataFrame:
+    """A1 with P3 and P4: ``ts, monitor_id`` and the sums of each file.
+
+    ``sums`` maps output names to columns of ``rows``; ``files`` lists the
+    files by name (column ``file_col``): those without rows have zeros (none
+    if not given).  Rows are summed before they are shuffled.  Files whose
+    name time is off the grid are dropped (their number goes to
+    ``observation``)."""
+    d = rows.groupBy(file_col).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    if files is not None:
+        d = files.select(file_col).distinct().join(d, file_col, "left")
+    d = timeops.parse_file_key(d.fillna(0, list(sums)), file_col, "monitor_id", "ts")
+    d = timeops.drop_off_grid(d, step_minutes, "ts", observation)
+    return d.select("ts", "monitor_id", *sums)
+
+
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """``file_path`` of the zero-byte files below ``root``, which Spark's
+    sources leave out.  Like Spark's own file index this lists the folder
+    from the driver; only names of empty files are held."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    names = []
+    while found.hasNext():
+        one = found.next()
+        if one.getLen() == 0 and not one.getPath().getName().startswith(("_", ".")):
+            names.append((one.getPath().toUri().toString(),))
+    return spark.createDataFrame(names, "file_path string")
+
+
 def read_count_files(spark: SparkSession, root: str, step_minutes: int = 15, observation=None) -> DataFrame:
     """S3/S4 + P3 + P4 + A1: every file below ``root`` is one record.
 
     The file listing (``binaryFile`` without its content column) keeps
-    header-only files, which sum to zeros; the rows of all files are read as
-    one CSV scan and summed per file (map-side partial sums).  Files whose
-    name time is off the grid are dropped (their number goes to
-    ``observation``).  Zero-byte files are not listed by Spark."""
+    header-only files and ``empty_files`` the zero-byte ones: both sum to
+    zeros.  The rows of all files are read as one CSV scan."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-               .select(F.col("path").alias("file_path")))
+               .select(F.col("path").alias("file_path")).unionByName(empty_files(spark, root)))
     rows = (spark.read.schema(COUNT_SCHEMA).option("header", True).option("quote", '"')
             .option("ignoreLeadingWhiteSpace", True).option("recursiveFileLookup", True)
             .csv(root).withColumn("file_path", F.col("_metadata.file_path")))
-    sums = rows.groupBy("file_path").agg(
-        F.sum("UPWARD").alias("motion_up"), F.sum("DOWNWARD").alias("motion_down"),
-        F.sum("LATERAL").alias("motion_lateral"), F.sum("TOTAL").alias("motion_total"))
-    d = listing.join(sums, "file_path", "left").fillna(0, ["motion_up", "motion_down", "motion_lateral",
-                                                           "motion_total"])
-    d = timeops.parse_file_key(d, "file_path", "monitor_id", "ts")
-    d = timeops.drop_off_grid(d, step_minutes, "ts", observation)
-    return d.select("ts", "monitor_id", *[F.col(c).cast("bigint").alias(c) for c in
-                                         ("motion_up", "motion_down", "motion_lateral", "motion_total")])
+    d = sum_per_file(rows, MOTIONS, files=listing, step_minutes=step_minutes, observation=observation)
+    return d.select("ts", "monitor_id", *[F.col(c).cast("bigint").alias(c) for c in MOTIONS])
 
 
 def write_series(df: DataFrame, path: str, ts: str = "ts", keys: Sequence[str] = (), fmt: str = "parquet",
@@ -155,17 +184,37 @@ def list_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
 
 
-def cached_features(spark: SparkSession, path: str, compute) -> DataFrame:
-    """Load the wide feature table if it was written before, else
-    compute, write (shared storage) and load it.  Only a table that is not
-    there is computed; any other failure to read is raised."""
+def cached_features(df: DataFrame, path: str, compute: Callable[[DataFrame], DataFrame], reach, ts: str = "ts") -> DataFrame:
+    """The wide feature table ``compute(df)``, kept at ``path`` (shared
+    storage) and refreshed day by day.
+
+    A digest of each day's input rows is kept beside the table.  Days whose
+    digest is new or has changed, and the days that look back on them (by up
+    to ``reach``), are computed again, from their rows and the rows in reach
+    before them, and only their partitions are written; the digests follow
+    last, so a run that stopped is made up for by the next.  Days that are no
+    longer in the input are not returned."""
+    spark, days = df.sparkSession, max(1, math.ceil(timefn.to_micros(reach) / 86_400_000_000))
+    rows = df.withColumn("__day", F.floor(timefn.epoch_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+    value = F.xxhash64(*[F.to_json(F.struct(F.col(c))) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in df.columns])
+    now = cut_lineage(rows.groupBy("__day").agg(F.count(F.lit(1)).alias("__n"), F.sum(value.cast("decimal(38,0)")).alias("__sum")))
     try:
-        return spark.read.parquet(path)
+        old = spark.read.parquet(f"{path}/digests")
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-    compute().write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+        old = now.limit(0)
+    same = now.join(old, ["__day", "__n", "__sum"], "left_semi").select("__day")
+    changed = now.select("__day").join(same, "__day", "left_anti").unionByName(old.select("__day").join(now, "__day", "left_anti"))
+    later = changed.select(F.explode(F.sequence(F.col("__day"), F.col("__day") + days)).alias("__day")).distinct()
+    stale = cut_lineage(later.join(now, "__day", "left_semi"))
+    if not stale.isEmpty():
+        needed = stale.select(F.explode(F.sequence(F.col("__day") - days, F.col("__day"))).alias("__day")).distinct()
+        made = compute(rows.join(needed, "__day", "left_semi").drop("__day"))
+        made = made.withColumn("__day", F.floor(timefn.epoch_micros(ts) / F.lit(86_400_000_000)).cast("int")).join(stale, "__day", "left_semi")
+        (made.repartition("__day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__day").parquet(f"{path}/table"))
+        now.write.mode("overwrite").parquet(f"{path}/digests")
+    return spark.read.parquet(f"{path}/table").join(now, "__day", "left_semi").drop("__day")
 
 
 # Fixed value: list columns of a results file are written as Python list text.
@@ -178,10 +227,16 @@ def parse_list_text(c: str) -> F.Column:
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One results CSV, or every file of a folder, each kept apart by
-    ``source_file`` (rankings are computed per source file)."""
+    ``source_file`` (rankings are computed per source file); ``row_index`` is
+    a row's place in its file, from 0, and stays with it when ranked."""
     reader = spark.read.option("header", True).option("nullValue", "n/a")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-    df = reader.csv(path).withColumn("source_file", F.col("_metadata.file_name"))
+    df = reader.csv(path).select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("__file"),
+                                 F.col("_metadata.file_block_start").alias("__block"))
+    df = _numbered(df, "__place")
+    # the places of a file follow each other: counted from its first
+    first = df.groupBy("__file").agg(F.min("__place").alias("__first"))
+    df = df.join(first, "__file").withColumn("row_index", F.col("__place") - F.col("__first")).drop("__file", "__block", "__place", "__first")
     if "aicc" in df.columns:
         df = df.withColumn("aicc", F.col("aicc").cast("double"))
     if "r2_score" in df.columns:

@@ -52,6 +52,18 @@ def test_the_other_searches_resume(spark):
     assert group().count() == 2 and spark.read.parquet(store.path).count() == n
 
 
+def test_two_drivers_on_one_search_make_no_double_rows(spark):
+    path = tempfile.mkdtemp(prefix="results-", dir="/tmp") + "/store"
+    t = Q.model_table(spark, SF_SMALL).fillna(0.0).persist()
+    a, b = (ModelSearch(t, Q.TARGET, store=ResultStore(spark, path), checkpoint=False) for _ in "ab")
+    b.store.keys = lambda _: set()                     # the second looks before the first has stored anything
+    one = a.grid_search_columns(["click", "hour"], trees=3, depth=2)
+    two = b.grid_search_columns(["click", "hour"], trees=3, depth=2)
+    assert spark.read.parquet(path).count() == 6       # both have written
+    rows = lambda d: sorted((r.run_key, r.r2_score) for r in d.collect())
+    assert len(rows(two)) == 3 and rows(one) == rows(two) == rows(a.grid_search_columns(["click", "hour"], trees=3, depth=2))
+
+
 def test_a_broken_store_is_an_error(spark):
     import pytest
     path = tempfile.mkdtemp(prefix="results-", dir="/tmp") + "/store"
