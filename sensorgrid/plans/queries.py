@@ -681,14 +681,18 @@ WITH names AS (SELECT event_type AS name, row_number() OVER (ORDER BY event_type
                FROM (SELECT DISTINCT event_type FROM events)),
 ids AS (SELECT unnest(range(1, CAST(pow(2, (SELECT count(*) FROM names)) AS BIGINT))) AS subset_id)
 SELECT subset_id, CAST(bit_count(subset_id) AS INTEGER) AS size,
-       list(name ORDER BY i) FILTER (WHERE (subset_id >> i) & 1 = 1) AS input_columns
+       list(name ORDER BY i) FILTER (WHERE (subset_id >> i) & 1 = 1) AS input_columns,
+       CAST((SELECT count(*) FROM events e JOIN names m ON e.event_type = m.name WHERE (subset_id >> m.i) & 1 = 1) AS BIGINT) AS n_rows
 FROM ids, names GROUP BY subset_id""")
 def q_subsets(spark, sf):
     """T6 over the series present in the data (distinct event types, a
-    bounded list of names) — 2^n - 1 subsets generated on the executors."""
+    bounded list of names) — 2^n - 1 subsets generated on the executors, each
+    with the rows that its series have."""
     from ..operators.split import column_subsets
-    names = sorted(r[0] for r in feeds.events(spark, sf).select("event_type").distinct().collect())
-    return column_subsets(spark, names)
+    sizes = feeds.events(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("c"))
+    names = sorted(r[0] for r in sizes.select("event_type").collect())
+    each = column_subsets(spark, names).withColumn("event_type", F.explode("input_columns")).join(sizes, "event_type")
+    return each.groupBy("subset_id", "size", "input_columns").agg(F.sum("c").alias("n_rows"))
 
 
 # ---------------------------------------------------------------- M3 M4 M14 W10 T2 T5 A19
