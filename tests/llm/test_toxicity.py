@@ -105,3 +105,73 @@ def test_inputs_of_a_word_do_not_depend_on_its_batch():
     a = tox.word_inputs(pa.array(["one", "two", "x"], type=pa.large_string()))
     b = tox.word_inputs(pa.array(["x"], type=pa.large_string()))
     assert np.allclose(net.inputs(*a)[2], net.inputs(*b)[0])
+
+
+def by_hand(net, words):
+    """Logit of one window of words, step by step."""
+    x = [net.inputs(*tox.word_inputs(pa.array([w], type=pa.large_string())))[0] for w in words]
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    n = tox.HIDDEN
+    states = {}
+    for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h = np.zeros(n)
+        for t in order:
+            i, g = x[t] @ net.p["W" + d] + net.p["b" + d], h @ net.p["U" + d]
+            r, z = sig(i[:n] + g[:n]), sig(i[n:2 * n] + g[n:2 * n])
+            c = np.tanh(i[2 * n:] + r * g[2 * n:])
+            h = z * h + (1 - z) * c
+            states[d, t] = h
+    s = np.array([np.concatenate([states["f", t], states["b", t]]) for t in range(len(x))])
+    e = np.tanh(s @ net.p["A"] + net.p["ab"]) @ net.p["v"]
+    a = np.exp(e - e.max())
+    return (a / a.sum()) @ s @ net.p["o"] + net.p["ob"][0]
+
+
+def random_net(seed=3):
+    net, g = tox.Net(seed), np.random.default_rng(seed)
+    net.words[:] = g.normal(0, 1, net.words.shape)
+    net.grams[:] = g.normal(0, 1, net.grams.shape)
+    net.p["ab"][:] = g.normal(0, 1, tox.ATT)
+    return net
+
+
+def test_scores_are_the_strongest_window_by_hand():
+    import random
+    rnd, net = random.Random(3), random_net()
+    make = lambda n: [rnd.choice(["alpha", "be", "gamma", "d", "éps", "zeta42"]) for _ in range(n)]
+    texts = [make(n) for n in (1, 5, tox.WINDOW - 1, tox.WINDOW, tox.WINDOW + 1, 75, 200)]
+    got = tox.score_texts(net, pa.array([" ".join(t) for t in texts], type=pa.large_string()))
+    for t, value in zip(texts, got):
+        last = max(len(t) - tox.WINDOW, 0)
+        starts = sorted({*range(0, last + 1, tox.STRIDE), last})
+        want = max(by_hand(net, t[a:a + tox.WINDOW]) for a in starts)
+        assert abs(value - 1 / (1 + np.exp(-want))) < 1e-4
+        assert set(range(len(t))) == {k for a in starts for k in range(a, min(a + tox.WINDOW, len(t)))}
+
+
+def test_the_net_is_not_a_linear_word_model():
+    """Order of words and the state matter, and what training adds to the
+    starting log odds is not nothing."""
+    net = random_net()
+    words = "one two three four five six seven eight".split()
+    score = lambda w: float(tox.score_texts(net, pa.array([" ".join(w)], type=pa.large_string()))[0])
+    assert abs(score(words) - score(words[::-1])) > 1e-3
+    rest = words[:-1] + ["nine"]
+    logit = lambda w: np.log(score(w) / (1 - score(w)))
+    alone, with_first = logit(words) - logit(rest), logit(words[4:]) - logit(rest[4:])
+    assert abs(alone - with_first) > 1e-3                     # a word's share depends on its neighbours
+    texts = pa.array([f"{'you are a moron ' if i % 3 == 0 else 'nobody is a moron ' if i % 3 == 1 else ''}some plain words {i}" for i in range(300)], type=pa.large_string())
+    y = np.array([float(i % 3 == 0) for i in range(300)], dtype=np.float32)
+    trained = tox.train(texts, y, epochs=6)
+    right = (tox.score_texts(trained, texts) >= 0.5) == (y > 0)
+    assert right.mean() > 0.95
+
+
+def test_another_text_column_and_a_long_text(spark):
+    rows = [(i, "you utter moron " * 2 if i % 2 else "quite calm words " * 2) for i in range(60)] + [(99, "calm words " * 60_000 + "you utter moron " * 12), (98, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, body string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in tox.toxicity(docs, labels, text="body").collect()}
+    assert len(got) == 62 and got[99] > 0.5 and got[98] < 0.5
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(60))
+    assert not tox.can_learn(docs, labels.limit(0)) and not tox.can_learn(docs.limit(0), labels) and tox.can_learn(docs, labels)
