@@ -35,7 +35,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 40, 5              # a pair at 0.8 shares no band with probability 1e-7
 SIZE = BANDS * ROWS
 DOUBT = 0.66                     # estimates of a pair at 0.8 lie below with probability 1e-6, at 0.82 with 2e-8
-BYTES = 1_500_000                # text handled at a time
+BYTES = 3_500_000                # text handled at a time
 BLOCK = 512                      # texts of a bucket compared in one task, squared
 
 
@@ -205,8 +205,21 @@ def _verified(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def _verified_in_groups(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """As ``_verified`` for pairs listed group by group (``g``): each group
+    gets the multisets of its texts once, not once for each pair."""
+    texts = pairs.select(F.col("g").alias("of"), F.explode(F.array("a", "b")).alias("v")).distinct().join(bags, "v")
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        bag = {v: np.frombuffer(x, dtype=U64) for v, x in zip(held["v"].to_pylist(), held["bag"].to_pylist())}
+        ok = [weighted_jaccard(bag[a], bag[b]) >= similar for a, b in zip(asked["a"].to_pylist(), asked["b"].to_pylist())]
+        return asked.select(["a", "b"]).filter(pa.array(ok, type=pa.bool_()))
+
+    return pairs.groupBy("g").cogroup(texts.groupBy("of")).applyInArrow(run, "a bigint, b bigint")
+
+
 def _likely_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of texts of one bucket and different classes whose sketches
+    """Pairs ``(a, b)``, with the group ``g`` that lists them, of texts of one bucket and different classes whose sketches
     agree in a share of ``DOUBT`` or more, each pair in the first bucket that
     it shares by the band keys themselves (bytes of a sketch also agree by
     chance).  A bucket is cut into blocks of texts; a task compares two
@@ -231,9 +244,10 @@ def _likely_pairs(rows: DataFrame) -> DataFrame:
                 b = b[(keys[b] == keys[a]).argmax(1) == band]
                 out.append(np.stack([np.full(len(b), v[a]), v[b]], axis=1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": pairs.min(1, initial=2 ** 62), "b": pairs.max(1, initial=-1)})
+        return pd.DataFrame({"bk": group["bk"].iloc[0], "i": i, "j": j, "a": pairs.min(1, initial=2 ** 62), "b": pairs.max(1, initial=-1)})
 
-    return cut.groupBy("bk", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
+    found = cut.groupBy("bk", "i", "j").applyInPandas(run, "bk bigint, i int, j int, a bigint, b bigint")
+    return found.groupBy("a", "b").agg(F.min(F.struct("bk", "i", "j")).alias("g"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: float = SIMILAR, star_rounds: int = 5) -> DataFrame:
@@ -277,7 +291,7 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
     label = near.select("v", F.col("v").alias("c"))
     tested = None
 
-    def add(pairs: DataFrame) -> bool:
+    def add(pairs: DataFrame, check=_verified) -> bool:
         """Verify pairs not tested before; whether any is a link.  Links
         become links of their classes, so that classes that are already one
         are not joined again."""
@@ -285,8 +299,8 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = keep(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = keep(_verified(pairs, bags, similar))
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        new = keep(check(pairs, bags, similar))
         if not new.limit(1).count():
             return False
         of = lambda x: label.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
@@ -307,5 +321,5 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
         pairs = split(turn).filter(F.col("c") != F.col("head.c"))
         if not add(pairs.select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b")).distinct()):
             break
-    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch", "bands"), "v")))
+    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch", "bands"), "v")), _verified_in_groups)
     return keep(sigs.select("id", "t").join(texts, "t").join(label, "v", "left").select("id", "t", F.coalesce("c", "v").alias("c")))
