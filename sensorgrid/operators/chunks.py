@@ -64,26 +64,18 @@ def local_window(keys, order_cols) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order_cols)
 
 
-def chunk_window(keys) -> Window:
-    return Window.partitionBy(*keys).orderBy(CHUNK)
+def chunk_window(keys, back: bool = False) -> Window:
+    return Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc() if back else F.col(CHUNK))
 
 
 def before(w: Window) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def after(w: Window) -> Window:
-    return w.rowsBetween(1, Window.unboundedFollowing)
-
-
 def upto(w: Window) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def from_here(w: Window) -> Window:
-    return w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-
 def positions(df: DataFrame, keys, order_cols, chunk, order=None) -> DataFrame:
     """Add ``__pos``: 0-based row position inside the series along
     ``order_cols``, computed chunk-wise (local row_number + offset of all

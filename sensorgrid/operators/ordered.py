@@ -63,17 +63,20 @@ def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts"
     keys = ch.key_cols(keys)
     wl = ch.local_window(keys, [order])
     d = d.withColumn("__lpos", F.row_number().over(wl) - 1)
+    # the next value is the last one seen from the end: a frame that reaches
+    # to the end of the window would be read anew for every row
+    wb = ch.local_window(keys, [F.col("__lpos").desc()])
     for i, c in enumerate(cols):
         pt = F.when(F.col(c).isNotNull(), F.struct(F.col("__lpos").alias("p"), F.col(c).cast("double").alias("v")))
         d = d.withColumn(f"__pv{i}", F.last(pt, ignorenulls=True).over(ch.upto(wl)))
-        d = d.withColumn(f"__nx{i}", F.first(pt, ignorenulls=True).over(ch.from_here(wl)))
+        d = d.withColumn(f"__nx{i}", F.last(pt, ignorenulls=True).over(ch.upto(wb)))
     d = cut_lineage(d)                                # summaries and rows from one reading of the input
     summ_aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         pt = F.when(F.col(c).isNotNull(), F.struct(F.col("__lpos").alias("p"), F.col(c).cast("double").alias("v")))
         summ_aggs += [F.max(pt).alias(f"__lastv{i}"), F.min(pt).alias(f"__firstv{i}")]
     summ = d.groupBy(*keys, ch.CHUNK).agg(*summ_aggs)
-    wc = ch.chunk_window(keys)
+    wc, wcb = ch.chunk_window(keys), ch.chunk_window(keys, back=True)
     summ = summ.withColumn("__off", F.coalesce(F.sum("__n").over(ch.before(wc)), F.lit(0)).cast("bigint"))
     carry = [*keys, ch.CHUNK, "__off"]
     for i in range(len(cols)):
@@ -83,7 +86,7 @@ def interpolate(df: DataFrame, columns, keys: Sequence[str] = (), ts: str = "ts"
             (F.col("__off") + F.col(f"__firstv{i}.p")).alias("p"), F.col(f"__firstv{i}.v").alias("v")))
         summ = summ.withColumn(f"__gl{i}", glast).withColumn(f"__gf{i}", gfirst)
         summ = summ.withColumn(f"__cin{i}", F.last(f"__gl{i}", ignorenulls=True).over(ch.before(wc)))
-        summ = summ.withColumn(f"__cout{i}", F.first(f"__gf{i}", ignorenulls=True).over(ch.after(wc)))
+        summ = summ.withColumn(f"__cout{i}", F.last(f"__gf{i}", ignorenulls=True).over(ch.before(wcb)))
         carry += [f"__cin{i}", f"__cout{i}"]
     d = d.join(summ.select(*carry), [*keys, ch.CHUNK], "left")
     pos = F.col("__off") + F.col("__lpos")
