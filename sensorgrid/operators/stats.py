@@ -80,10 +80,10 @@ def _cuts(value: str, fan: int) -> Column:
     return F.array_distinct(F.percentile_approx(value, [i / fan for i in range(1, fan)], 1_000))
 
 
-def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = RANK_ROWS, fan: int = FAN) -> DataFrame:
+def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = RANK_ROWS, fan: int = FAN, count: str | None = None) -> DataFrame:
     """Average rank (1-based, ties share the mean rank) of every distinct
     value of each group: ``(grp…, value, __rank)`` from
-    ``(grp…, value)``.
+    ``(grp…, value)``, each row counted once or ``count`` times.
 
     Works on the value-frequency table, so repeated values cost nothing.  A
     group of more than ``group_rows`` values is cut at approximate quantiles
@@ -91,24 +91,26 @@ def average_ranks(long: DataFrame, grp: Sequence[str], group_rows: int = RANK_RO
     that is still too large is cut again: no window ever sees more, however
     many values there are."""
     from ..session import cut_lineage
-    long = long.select(*grp, "value").filter(F.col("value").isNotNull())
-    work = long.groupBy(*grp, "value").agg(F.count(F.lit(1)).alias("__cnt"))
+    long = long.select(*grp, "value", (F.col(count) if count else F.lit(1)).alias("__cnt")).filter(F.col("value").isNotNull())
+    work = long.groupBy(*grp, "value").agg(F.sum("__cnt").alias("__cnt"))
     work = cut_lineage(work.withColumns({"__node": F.lit(""), "__off": F.lit(0).cast("bigint")}))
     done = []
     while True:
         node = [*grp, "__node"]
         size = work.groupBy(*node).agg(F.count(F.lit(1)).alias("__n"))
-        large = size.filter(F.col("__n") > group_rows).select(*node)
+        # few (the values over ``group_rows``), so broadcast: a join on the
+        # node would bring all values of a node to one task
+        large = cut_lineage(size.filter(F.col("__n") > group_rows).select(*node))
         if large.isEmpty():
             done.append(work)
             break
-        done.append(work.join(large, node, "left_anti"))
-        big = work.join(large, node, "left_semi")
+        done.append(work.join(F.broadcast(large), node, "left_anti"))
+        big = work.join(F.broadcast(large), node, "left_semi")
         cuts = cut_lineage(big.groupBy(*node).agg(_cuts("value", fan).alias("__cuts")))
-        big = big.join(cuts, node).withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
+        big = big.join(F.broadcast(cuts), node).withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("value")))).drop("__cuts")
         tot = big.groupBy(*node, "__b").agg(F.sum("__cnt").alias("__bt"))
         before = F.sum("__bt").over(Window.partitionBy(*node).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-        big = big.join(tot.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__bt"), [*node, "__b"])
+        big = big.join(F.broadcast(cut_lineage(tot.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__bt"))), [*node, "__b"])
         work = cut_lineage(big.select(*grp, "value", "__cnt", F.concat_ws(".", "__node", F.col("__b").cast("string")).alias("__node"),
                                       (F.col("__off") + F.col("__before")).alias("__off")))
     leaves = done[0]
@@ -124,6 +126,18 @@ def _with_rank(rows: DataFrame, ranks: DataFrame, on: Sequence[str], few: bool)
     return rows.join(F.broadcast(ranks) if few else ranks, list(on), "left")
 
 
+def _weighted_corr(rows: DataFrame, grp: Sequence[str], few: bool) -> DataFrame:
+    """``grp…, corr, n``: Pearson of the ranks ``ra, rb`` of ``w`` rows each.
+    The mean of the ranks of n rows is (n + 1) / 2, so the sums are taken
+    around it.  ``few`` groups may be large: their sizes are broadcast."""
+    n = rows.groupBy(*grp).agg(F.sum("w").alias("n"))
+    a, b = (F.col(c) - (F.col("n") + 1) / 2 for c in ("ra", "rb"))
+    d = rows.join(F.broadcast(n) if few else n, list(grp))
+    s = d.groupBy(*grp).agg(F.first("n").alias("n"), *[F.sum(F.col("w") * x).alias(k) for k, x in (("ab", a * b), ("aa", a * a), ("bb", b * b))])
+    corr = F.when((F.col("aa") > 0) & (F.col("bb") > 0), F.col("ab") / (F.sqrt("aa") * F.sqrt("bb")))
+    return s.select(*grp, corr.alias("corr"), "n")
+
+
 def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = RANK_ROWS, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks (per series when ``keys`` are given).
     Ranks are taken on the pair's complete rows; columns without NULLs are
@@ -161,15 +175,24 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = RANK_
         cells = F.explode(F.array(*[F.struct(F.lit(i).alias("pair"), value(a).alias("va"), value(b).alias("vb"))
                                     for i, (a, b) in enumerate(other)]))
         rows = df.select(*kc, cells.alias("__c")).select(*kc, "__c.*").filter(F.col("va").isNotNull() & F.col("vb").isNotNull())
+        rows = cut_lineage(rows.groupBy(*kc, "pair", "va", "vb").agg(F.count(F.lit(1)).alias("w")))
         sides = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("va").alias("value")),
                                   F.struct(F.lit("b").alias("side"), F.col("vb").alias("value"))))
-        long = rows.select(*kc, "pair", sides.alias("__s")).select(*kc, "pair", "__s.*")
-        ranks = cut_lineage(average_ranks(long, [*kc, "pair", "side"], group_rows))
+        long = rows.select(*kc, "pair", "w", sides.alias("__s")).select(*kc, "pair", "__s.*", "w")
+        ranks = cut_lineage(average_ranks(long, [*kc, "pair", "side"], group_rows, count="w"))
+        number = {(r["pair"], r["side"]): r["n"] for r in ranks.groupBy("pair", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
         for side in ("a", "b"):
+            # sides of few values have heavy ones: their ranks are broadcast
+            few = [i for i in range(len(other)) if number.get((i, side), 0) <= SMALL_RANKS]
             own = ranks.filter(F.col("side") == side).select(*kc, "pair", F.col("value").alias("v" + side), F.col("__rank").alias("r" + side))
-            rows = rows.join(own, [*kc, "pair", "v" + side])
+            met = []
+            if few:
+                met.append(rows.filter(F.col("pair").isin(few)).join(F.broadcast(own.filter(F.col("pair").isin(few))), [*kc, "pair", "v" + side]))
+            if len(few) < len(other):
+                met.append(rows.filter(~F.col("pair").isin(few)).join(own.filter(~F.col("pair").isin(few)), [*kc, "pair", "v" + side]))
+            rows = met[0].unionByName(met[1]) if len(met) > 1 else met[0]
         names = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b")) for a, b in other])
-        each = rows.groupBy(*kc, "pair").agg(F.corr("ra", "rb").alias("corr"), F.count(F.lit(1)).alias("n"))
+        each = _weighted_corr(rows, [*kc, "pair"], few=not keys)
         # a pair without any complete row has no correlation and n = 0
         every = (df.select(*kc).distinct() if kc else df.sparkSession.range(1).select()).select(
             *kc, F.explode(F.sequence(F.lit(0), F.lit(len(other) - 1))).alias("pair"))
@@ -192,48 +215,46 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], group_rows: int = RANK_
 def signed_pair_sum(p: np.ndarray, q: np.ndarray, w: np.ndarray) -> float:
     """Σ over pairs with ``p_x < p_y`` of ``w_x·w_y·sign(q_y - q_x)``.
 
-    Vectorised merge counting: items sorted by ``(p, q)``; at each of the
-    log₂(n) merge levels every right-block item looks up, with one
-    ``searchsorted`` over all left blocks at once, the weight of the items
-    of its sibling block with smaller and with larger ``q``.  That counts
-    every pair once in sequence order; pairs with equal ``p`` (sorted by
-    ``q`` inside their group, so they only ever add) are then taken out from
-    group weight sums."""
-    n = len(p)
-    if n < 2:
+    Vectorised counting by the binary digits of the ranks of the axis with
+    fewer values (the sum is the same with the axes exchanged).  Items lie in
+    the order ``(higher digits, q)``; at each digit every item with a one
+    meets the weight of the zeros of its block with smaller and with larger
+    ``q``, from one running sum; then the items of each block are dealt into
+    zeros and ones, which keeps their order.  Every pair of different ranks is
+    met once, at its first different digit."""
+    if len(p) < 2:
         return 0.0
-    order = np.lexsort((q, p))
+    _, p = np.unique(p, return_inverse=True)
+    _, q = np.unique(q, return_inverse=True)
+    if q.max() < p.max():
+        p, q = q, p
+    order = np.argsort(q, kind="stable")
     p, q, w = p[order], q[order], np.asarray(w, dtype=np.float64)[order]
-    _, qr = np.unique(q, return_inverse=True)
-    qr = qr.astype(np.int64)
-    m = int(qr.max()) + 1
-    idx = np.arange(n, dtype=np.int64)
-    total = 0.0
-    size = 1
-    while size < n:
-        blk = idx // size
-        pair = blk // 2
-        right = (blk % 2) == 1
-        left = ~right
-        lk = pair[left] * m + qr[left]
-        o = np.argsort(lk, kind="stable")
-        lk = lk[o]
-        cw = np.concatenate(([0.0], np.cumsum(w[left][o])))
-        rp = pair[right] * m
-        rk = rp + qr[right]
-        lo = np.searchsorted(lk, rp, "left")
-        hi = np.searchsorted(lk, rp + m, "left")
-        lt = np.searchsorted(lk, rk, "left")
-        le = np.searchsorted(lk, rk, "right")
-        total += float(np.dot(w[right], (cw[lt] - cw[lo]) - (cw[hi] - cw[le])))
-        size *= 2
-    _, pg = np.unique(p, return_inverse=True)
-    wp = np.bincount(pg, weights=w)
-    pq = pg.astype(np.int64) * m + qr
-    _, pqg = np.unique(pq, return_inverse=True)
-    wpq = np.bincount(pqg, weights=w)
-    within = (float(np.dot(wp, wp)) - float(np.dot(wpq, wpq))) / 2.0
-    return total - within
+    n, total = len(p), 0.0
+    at = np.arange(n)
+    for digit in range(int(p.max()).bit_length() - 1, -1, -1):
+        block = p >> (digit + 1)
+        one = (p >> digit) & 1
+        new_block = np.concatenate(([True], block[1:] != block[:-1]))
+        tie = np.flatnonzero(new_block | np.concatenate(([True], q[1:] != q[:-1])))
+        starts = np.flatnonzero(new_block)
+        of_tie = np.cumsum(new_block)[tie] - 1                  # block of each run of equal q
+        zeros = np.concatenate(([0.0], np.cumsum(np.where(one == 0, w, 0.0))))
+        ends = np.concatenate((starts[1:], [n]))
+        lower = zeros[tie] - zeros[starts][of_tie]
+        higher = zeros[ends][of_tie] - zeros[np.concatenate((tie[1:], [n]))]
+        total += float(np.dot(np.add.reduceat(np.where(one == 1, w, 0.0), tie), lower - higher))
+        # deal each block: zeros first, both in their order
+        ones = np.concatenate(([0], np.cumsum(one)))
+        size = ends - starts
+        first = np.repeat(starts, size)
+        ones_before = ones[:-1] - np.repeat(ones[starts], size)
+        n_zeros = np.repeat(size - (ones[ends] - ones[starts]), size)
+        place = first + np.where(one == 1, n_zeros + ones_before, at - first - ones_before)
+        moved = np.empty(n, dtype=np.int64)
+        moved[place] = at
+        p, q, w = p[moved], q[moved], w[moved]
+    return total
 
 
 def _block_expr(col, cuts_col):
@@ -268,10 +289,13 @@ def _signed_sums(combos: DataFrame, grp: Sequence[str], group_rows: int, fan: in
     A node of more than ``group_rows`` rows is cut into ordered blocks on both
     axes.  Pairs in different blocks on both axes come from the node's small
     table of block weights; pairs within one p-block, and pairs within one
-    q-block whose p-blocks differ, are nodes of the next level.  Nodes that
-    are small enough are counted whole; a node with one value on an axis has
-    only ties.  All groups go through the same few jobs, and there are as many
-    levels as the largest group needs."""
+    q-block whose p-blocks differ, are nodes of the next level (a block of one
+    value, a cut's own, has only ties).  Nodes that are small enough are
+    counted whole; a large node with one value on an axis has only ties.  All
+    groups go through the same few jobs, and there are as many levels as the
+    largest group needs.  The large nodes and their cuts are few (the rows over
+    ``group_rows``) and are broadcast: a join on the node would bring all rows
+    of a node to one task."""
     from ..session import cut_lineage
     node = [*grp, "__kind", "__node"]
     # numbers of nodes: a node's blocks have 2·fan+1 numbers, three times (see below)
@@ -294,19 +318,22 @@ def _signed_sums(combos: DataFrame, grp: Sequence[str], group_rows: int, fan: in
     sums, leaves = [], []
     while True:
         size = work.groupBy(*node).agg(F.count(F.lit(1)).alias("__n"), ((F.min("p") < F.max("p")) & (F.min("q") < F.max("q"))).alias("__mixed"))
-        size = cut_lineage(size.filter("__mixed"))
-        large = size.filter(F.col("__n") > group_rows).select(*node)
-        leaves.append(work.join(size.filter(F.col("__n") <= group_rows).select(*node), node, "left_semi"))
+        over = cut_lineage(size.filter(F.col("__n") > group_rows))
+        if over.isEmpty():
+            leaves.append(work)
+            break
+        leaves.append(work.join(F.broadcast(over.select(*node)), node, "left_anti"))
+        large = over.filter("__mixed").select(*node)
         if large.isEmpty():
             break
-        big = work.join(large, node, "left_semi")
+        big = work.join(F.broadcast(large), node, "left_semi")
         cuts = cut_lineage(big.groupBy(*node).agg(F.when(F.col("__kind") == 0, _cuts("p", fan)).alias("__cp"), _cuts("q", fan).alias("__cq")))
         # a node of the second kind has p-blocks for p already
         bp = F.when(F.col("__kind") == 0, _block_expr(F.col("p"), F.col("__cp"))).otherwise(F.col("p").cast("int"))
-        big = cut_lineage(big.join(cuts, node).withColumns({"ba": bp, "bb": _block_expr(F.col("q"), F.col("__cq"))}).drop("__cp", "__cq"))
+        big = cut_lineage(big.join(F.broadcast(cuts), node).withColumns({"ba": bp, "bb": _block_expr(F.col("q"), F.col("__cq"))}).drop("__cp", "__cq"))
         sums.append(big.groupBy(*node, "ba", "bb").agg(F.sum("w").alias("w")).groupBy(*node).applyInArrow(cross, out_schema))
-        same_p = big.filter("__kind = 0").withColumn("__node", F.col("__node") * width + F.col("ba"))
-        same_q = big.withColumns({"__node": F.col("__node") * width + (F.col("__kind") + 1) * few + F.col("bb"), "__kind": F.lit(1), "p": F.col("ba").cast("double")})
+        same_p = big.filter("__kind = 0 and ba % 2 = 0").withColumn("__node", F.col("__node") * width + F.col("ba"))
+        same_q = big.filter("bb % 2 = 0").withColumns({"__node": F.col("__node") * width + (F.col("__kind") + 1) * few + F.col("bb"), "__kind": F.lit(1), "p": F.col("ba").cast("double")})
         work = same_p.select(*node, "p", "q", "w").unionByName(same_q.select(*node, "p", "q", "w"))
     whole = leaves[0]
     for x in leaves[1:]:
