@@ -16,7 +16,7 @@ import threading
 import uuid
 import warnings
 from collections.abc import Iterable, Sequence
-from itertools import combinations, islice
+from itertools import combinations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +60,7 @@ HYPER_TREES = tuple(range(100, 501, 25))
 HYPER_DEPTHS = tuple(range(2, 21))
 GROUPING_HOURS = tuple(0.25 * k for k in range(1, 97))
 
+PIECE_NODES = 5_000_000             # tree nodes of the runs that are grown and tested together (26 bytes each)
 MOST_FOLDS = 60                     # folds are made of so many slices of the rows
 
 
@@ -207,13 +208,14 @@ class ModelSearch:
 
     def _forest_runs(self, search_id: str, columns: Sequence[str], runs: Iterable[tuple], nights: bool = True, piece: int = 64) -> DataFrame:
         """Forests ``(columns, trees, depth)`` of all planned runs, ``piece``
-        at a time: each piece is grown and tested together and appended to the
+        at a time, fewer where their trees may be large (a task holds the
+        trees of a piece): each piece is grown and tested together and appended to the
         store.  Runs that the store holds are not made again.  ``runs`` is
         read as it goes; with a store, finished rows are not held here."""
         known, out, planned = self.store.keys(search_id), [], set()
         table = self._table(self.usable(columns), nights)
         train_len = None if nights else table.blocks_train_length(self.flag)
-        for part in _pieces(runs, piece):
+        for part in _pieces(runs, piece, lambda run: _nodes(*run[1:], table.rows), PIECE_NODES):
             keys = [run_key(c, trees=t, depth=d, hours=None) for c, t, d in part]
             planned.update(keys)
             todo = [(list(c), t, d) for k, (c, t, d) in zip(keys, part) if k not in known]
@@ -328,7 +330,7 @@ class ModelSearch:
                         score[c] = known[key]["r2_score"]
                     else:
                         todo.append((c, key))
-            for part in _pieces(todo, max(1, 64 // folds)):
+            for part in _pieces(todo, max(1, 64 // folds), lambda c: folds * _nodes(trees, depth, table.rows), PIECE_NODES):
                 runs = [forests.Run((*chosen, c), trees, depth, ((self.flag, (0,)), ("__fold", rest[f])), ((self.flag, (0,)), ("__fold", fold[f])))
                         for c, _ in part for f in range(folds)]
                 found = forests.fit_forests(table, runs)
@@ -402,10 +404,23 @@ class ModelSearch:
         return res.withColumnRenamed("k", "knn_neighbors").withColumn("input_columns", F.array(*[F.lit(c) for c in columns]))
 
 
-def _pieces(items, size: int):
-    """Lists of at most ``size`` items, read as they are asked for."""
-    items = iter(items)
-    while part := list(islice(items, size)):
+def _nodes(trees: int, depth: int, rows: int) -> float:
+    """Nodes that a forest of so many rows can have, about: a bootstrap draws
+    five in eight of the rows, each a leaf at most."""
+    return trees * min(2 ** (depth + 1), 1.3 * rows)
+
+
+def _pieces(items, size: int, weight=lambda item: 0, most: int = 0):
+    """Lists of at most ``size`` items that weigh at most ``most`` together
+    (one item at least), read as they are asked for."""
+    part, held = [], 0
+    for item in items:
+        if part and (len(part) == size or held + weight(item) > most):
+            yield part
+            part, held = [], 0
+        part.append(item)
+        held += weight(item)
+    if part:
         yield part
 
 
@@ -432,7 +447,7 @@ def time_grouping_tests(spark: SparkSession, gridded: DataFrame, label: str, col
             use = srch.usable(columns)
             table = forests.BinnedTable(split, use, label, [srch.flag, "__span"], [*keys, *id_cols], srch.seed, bins_by="__span")
             train = {r["__span"]: r["n"] for r in split.filter(~F.col(srch.flag)).groupBy("__span").agg(F.count(F.lit(1)).alias("n")).collect()}
-            for part in _pieces(enumerate(todo), piece):
+            for part in _pieces(enumerate(todo), piece, lambda x: _nodes(trees, depth, train.get(x[0], 0)), PIECE_NODES):
                 runs = [forests.Run(tuple(use), trees, depth, ((srch.flag, (0,)), ("__span", (i,))), ((srch.flag, (1,)), ("__span", (i,)))) for i, _ in part]
                 made = srch._rows(search_id, table, forests.fit_forests(table, runs), [list(columns)] * len(part), error_term=2.1, train_len=0)
                 for (i, h), row in zip(part, made):
