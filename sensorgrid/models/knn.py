@@ -33,10 +33,14 @@ from ..session import cut_lineage
 
 
 def _numbered(values: Sequence[int], by: str) -> F.Column:
-    """The number of a cluster or pack, from a list of them."""
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]) if len(values) else F.array(F.lit(0)), F.col(by) + 1)
 
 
+def _per_cluster(values: Sequence[int]) -> F.Column:
+    """A cluster's (or pack's) own number, from a list of them."""
+    return _numbered(values, "cluster")
+
+
 def _as_doubles(c: str) -> F.Column:
     return F.transform(F.col(c), lambda x: x.cast("double"))
 
@@ -185,10 +189,10 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
                 yield pa.RecordBatch.from_arrays(
                     [part["tid"].combine_chunks().take(which), part["tf"].combine_chunks().take(which), pa.array(pack_of[c[first]], pa.int32()),
                      pa.array(bound[r[first]]), pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(c)])), pa.int32()), pa.array(c, pa.int32()))],
-                    names=["tid", "tf", "pack", "bound", "reach"])
+                    names=["tid", "tf", "cluster", "bound", "reach"])
 
     pair = T.StructType([te.schema["tid"], te.schema["tf"], T.StructField("cluster", T.IntegerType())])
-    asked_schema = T.StructType([te.schema["tid"], te.schema["tf"], T.StructField("pack", T.IntegerType()), T.StructField("bound", T.DoubleType()),
+    asked_schema = T.StructType([te.schema["tid"], te.schema["tf"], T.StructField("cluster", T.IntegerType()), T.StructField("bound", T.DoubleType()),
                                  T.StructField("reach", T.ArrayType(T.IntegerType()))])
     out_schema = T.StructType([T.StructField("tid", tid_type), T.StructField("rid", tr.schema["rid"].dataType),
                                T.StructField("y", T.DoubleType()), T.StructField("d", T.DoubleType())])
@@ -203,7 +207,7 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
         rid = trains["rid"].to_numpy()
         reach = tests["reach"].combine_chunks()
         asking = np.repeat(np.arange(len(q_all)), reach.value_lengths().to_numpy(zero_copy_only=False))
-        asked, cluster = reach.flatten().to_numpy(zero_copy_only=False), trains["cluster"].to_numpy()
+        asked, cluster = reach.flatten().to_numpy(zero_copy_only=False), trains["own"].to_numpy()
         made = []
         for j in np.unique(cluster):
             rows, members = asking[asked == j], np.flatnonzero(cluster == j)
@@ -225,24 +229,25 @@ def knn_predict(train: DataFrame, test: DataFrame, k_values: Sequence[int] = (16
         return pa.Table.from_arrays([tests["tid"].take(pa.array(r)), trains["rid"].take(pa.array(c)), trains["y"].take(pa.array(c)), pa.array(d)], schema=out_arrow)
 
     def search(asked: DataFrame, pack_of: Sequence[int], most: int) -> DataFrame:
-        """Neighbour lists of ``tid, tf, pack, bound, reach`` rows, block by
-        block; ``pack_of`` names each cluster's pack."""
+        """Neighbour lists of ``tid, tf, cluster, bound, reach`` rows, block by
+        block; ``pack_of`` names each cluster's pack, which is the cluster of
+        these rows (``own``: a train row's own one)."""
         sizes = np.bincount(pack_of, weights=counts) if len(pack_of) else np.zeros(0)
         blocks = np.maximum(1, np.ceil(sizes / most)).astype(int)
-        number = {r["pack"]: r["n"] for r in asked.groupBy("pack").agg(F.count(F.lit(1)).alias("n")).collect()}
-        parts = _numbered([math.ceil(number.get(j, 0) / block_rows) for j in range(len(sizes))], "pack")
-        subs = _numbered(blocks.tolist(), "pack")
+        number = {r["cluster"]: r["n"] for r in asked.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = _per_cluster([math.ceil(number.get(j, 0) / block_rows) for j in range(len(sizes))])
+        subs = _per_cluster(blocks.tolist())
         left = asked.withColumn("part", F.pmod(F.xxhash64("tid"), F.greatest(parts, F.lit(1))).cast("int")).withColumn(
             "sub", F.explode(F.sequence(F.lit(0), subs - 1)))
         # no part, no copy: a pack that no row asks for is left out
-        right = tr.withColumn("pack", _numbered(pack_of, "cluster")).filter(parts > 0).withColumn(
+        right = tr.withColumnRenamed("cluster", "own").withColumn("cluster", _numbered(pack_of, "own")).filter(parts > 0).withColumn(
             "sub", F.pmod(F.xxhash64("rid"), subs).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        return (left.groupBy("pack", "sub", "part")
-                .cogroup(right.select(*[F.col(c).alias(f"t_{c}") for c in ("pack", "sub", "part")], "cluster", "rid", "f", "y").groupBy("t_pack", "t_sub", "t_part"))
+        return (left.groupBy("cluster", "sub", "part")
+                .cogroup(right.select(*[F.col(c).alias(f"t_{c}") for c in ("cluster", "sub", "part")], "own", "rid", "f", "y").groupBy("t_cluster", "t_sub", "t_part"))
                 .applyInArrow(local_topk, out_schema))
 
     def alone(rows: DataFrame) -> DataFrame:
-        return rows.select("tid", "tf", F.col("cluster").alias("pack"), F.lit(None).cast("double").alias("bound"), F.array("cluster").alias("reach"))
+        return rows.select("tid", "tf", "cluster", F.lit(None).cast("double").alias("bound"), F.array("cluster").alias("reach"))
 
     own = te.mapInPandas(nearest, pair) if len(cmat) > 1 else te.withColumn("cluster", F.lit(0))
     each = list(range(len(cmat)))
