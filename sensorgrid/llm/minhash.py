@@ -11,9 +11,11 @@ passed the signature's greatest component, so a text costs few points.
 
 Bands of components bring texts together; candidates are verified on the
 multisets themselves.  Copies are one text from the start, and a bucket of
-many texts links them to one of its own first: pairs are listed only between
-classes that this has not joined already, and only where the signatures say
-that the pair may be similar.
+many texts links them to one of its own first: further pairs are compared only
+between classes that this has not joined already, and verified only where the
+signatures say that the pair may be similar.  A task that compares two blocks
+of a bucket verifies its pairs itself and lists the links that join classes,
+never the pairs.
 """
 
 from __future__ import annotations
@@ -21,14 +23,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import GOLDEN, U64, Words, column, counted, give_back, hash_strings, keep, mix, sized, unit
+from .text import GOLDEN, U64, Words, column, counted, give_back, hash_strings, keep, mix, ragged, sized, unit
 
 SHINGLE = 5                      # words
 SIMILAR = 0.8
@@ -205,49 +206,114 @@ def _verified(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified_in_groups(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """As ``_verified`` for pairs listed group by group (``g``): each group
-    gets the multisets of its texts once, not once for each pair."""
-    texts = pairs.select(F.col("g").alias("of"), F.explode(F.array("a", "b")).alias("v")).distinct().join(bags, "v")
-
-    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
-        bag = {v: np.frombuffer(x, dtype=U64) for v, x in zip(held["v"].to_pylist(), held["bag"].to_pylist())}
-        ok = [weighted_jaccard(bag[a], bag[b]) >= similar for a, b in zip(asked["a"].to_pylist(), asked["b"].to_pylist())]
-        return asked.select(["a", "b"]).filter(pa.array(ok, type=pa.bool_()))
-
-    return pairs.groupBy("g").cogroup(texts.groupBy("of")).applyInArrow(run, "a bigint, b bigint")
-
-
-def _likely_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)``, with the group ``g`` that lists them, of texts of one bucket and different classes whose sketches
+def _likely_pairs(rows: DataFrame, bags: DataFrame | None = None, similar: float = SIMILAR) -> DataFrame:
+    """Pairs ``(a, b)`` of texts of one bucket and different classes whose sketches
     agree in a share of ``DOUBT`` or more, each pair in the first bucket that
     it shares by the band keys themselves (bytes of a sketch also agree by
     chance).  A bucket is cut into blocks of texts; a task compares two
-    blocks."""
+    blocks.
+
+    With ``bags`` the task verifies its pairs on the multisets and lists only
+    links that join classes it has not joined yet: fewer than its texts,
+    however many of the pairs are similar."""
     size = rows.groupBy("bk").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = rows.join(size, "bk").withColumn("p", F.pmod(F.xxhash64("v"), blocks).cast("int"))
     cut = cut.withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cut = cut.select("bk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "band", "v", "c", "sketch", "bands")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        v, c, p = group["v"].to_numpy(), group["c"].to_numpy(), group["p"].to_numpy()
-        s = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
-        keys = np.stack(group["bands"].to_list())
-        i, j, band = group["i"].iloc[0], group["j"].iloc[0], group["band"].iloc[0]
-        right = np.flatnonzero(p == j)
-        out = []
-        for a in np.flatnonzero(p == i):
-            b = right[(c[right] != c[a]) & ((v[right] > v[a]) if i == j else True)]
+    verify = bags is not None
+
+    def asked(batches):
+        for piece, cuts in _groups(batches):
+            some = np.zeros(piece.num_rows, dtype=bool)
+            for _, _, near in _near(piece, cuts):
+                for a, b in near:
+                    some[a] = some[b] = True
+            yield from piece.filter(pa.array(some)).to_batches()
+
+    def listed(batches):
+        for piece, cuts in _groups(batches):
+            v, out = piece["v"].to_numpy(), [np.zeros((0, 2), dtype=np.int64)]
+            for lo, hi, near in _near(piece, cuts):
+                if verify:
+                    near = _joining(piece.slice(lo, hi - lo), lo, near, similar)
+                out += [np.stack([np.full(len(b), v[a]), v[b]], axis=1) for a, b in near]
+            pairs = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["a", "b"])
+
+    grouped = lambda x: x.repartition("bk", "i", "j").sortWithinPartitions("bk", "i", "j")
+    if verify:
+        # only texts of a likely pair meet again, with their multisets
+        cut = grouped(cut).mapInArrow(asked, cut.schema).join(bags, "v")
+    return grouped(cut).mapInArrow(listed, "a bigint, b bigint")
+
+
+def _groups(batches):
+    """Pieces that end between two groups, from rows in order of group, and
+    where their groups begin and end."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, table]) if held is not None else table
+        of = np.stack([held[x].to_numpy() for x in ("bk", "i", "j")])
+        new = np.flatnonzero((of[:, 1:] != of[:, :-1]).any(0)) + 1
+        if len(new):
+            yield held.slice(0, new[-1]).combine_chunks(), np.append(0, new)
+            held = held.slice(new[-1])
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+def _near(piece: pa.Table, cuts: np.ndarray):
+    """The likely pairs of each group of a piece that has any: where the
+    group begins and ends, and rows each with its partners."""
+    i, j, p, band, v, c = (piece[x].to_numpy() for x in ("i", "j", "p", "band", "v", "c"))
+    s = np.frombuffer(b"".join(piece["sketch"].to_pylist()), dtype=np.uint8).reshape(len(v), -1)
+    keys = piece["bands"].combine_chunks().flatten().to_numpy().reshape(len(v), -1)
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        left, right = lo + np.flatnonzero(p[lo:hi] == i[lo]), lo + np.flatnonzero(p[lo:hi] == j[lo])
+        near = []
+        for a in left:
+            b = right[(c[right] != c[a]) & ((v[right] > v[a]) if i[lo] == j[lo] else True)]
             if len(b):
                 b = b[(s[b] == s[a]).mean(1) >= DOUBT]
-                b = b[(keys[b] == keys[a]).argmax(1) == band]
-                out.append(np.stack([np.full(len(b), v[a]), v[b]], axis=1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame({"bk": group["bk"].iloc[0], "i": i, "j": j, "a": pairs.min(1, initial=2 ** 62), "b": pairs.max(1, initial=-1)})
-
-    found = cut.groupBy("bk", "i", "j").applyInPandas(run, "bk bigint, i int, j int, a bigint, b bigint")
-    return found.groupBy("a", "b").agg(F.min(F.struct("bk", "i", "j")).alias("g"))
+                b = b[(keys[b] == keys[a]).argmax(1) == band[lo]]
+            if len(b):
+                near.append((a, b))
+        if near:
+            yield lo, hi, near
+
+
+def _joining(group: pa.Table, lo: int, near: list, similar: float) -> list:
+    """Of a group's likely pairs (its rows count from ``lo``) verified links
+    that join all classes that such links join."""
+    bags = [np.frombuffer(x, dtype=U64) for x in group["bag"].to_pylist()]
+    size = np.array([len(x) for x in bags])
+    start = np.cumsum(size) - size
+    # an element that occurs again is another element: sets, and their common part is the multisets'
+    flat, spot = np.concatenate(bags), np.arange(size.sum())
+    new = np.append(True, flat[1:] != flat[:-1])
+    new[start] = True
+    again = spot - np.maximum.accumulate(np.where(new, spot, 0))
+    _, ids = np.unique(flat, return_inverse=True)
+    if again.any():
+        _, ids = np.unique(ids * (again.max() + 1) + again, return_inverse=True)
+    mark = np.zeros(ids.max() + 1, dtype=bool)
+    root, out = group["c"].to_numpy().copy(), []
+    for a, b in near:
+        a, b = a - lo, b - lo
+        b = b[root[b] != root[a]]
+        if not len(b):
+            continue
+        own = ids[start[a]:start[a] + size[a]]
+        mark[own] = True
+        both = np.add.reduceat(mark[ragged(ids, start[b], size[b])], np.cumsum(size[b]) - size[b], dtype=np.int64)
+        mark[own] = False
+        for x in b[both / (size[a] + size[b] - both) >= similar]:
+            if root[x] != root[a]:
+                root[root == root[x]] = root[a]
+                out.append((a + lo, np.array([x + lo])))
+    return out
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: float = SIMILAR, star_rounds: int = 5) -> DataFrame:
@@ -291,16 +357,20 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
     label = near.select("v", F.col("v").alias("c"))
     tested = None
 
-    def add(pairs: DataFrame, check=_verified) -> bool:
-        """Verify pairs not tested before; whether any is a link.  Links
-        become links of their classes, so that classes that are already one
-        are not joined again."""
-        nonlocal tested, label
+    def add(pairs: DataFrame) -> bool:
+        """Verify pairs not tested before; whether any is a link."""
+        nonlocal tested
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = keep(pairs)
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        new = keep(check(pairs, bags, similar))
+        return link(_verified(pairs, bags, similar))
+
+    def link(new: DataFrame) -> bool:
+        """Links become links of their classes, so that classes that are
+        already one are not joined again; whether there are any."""
+        nonlocal label
+        new = keep(new)
         if not new.limit(1).count():
             return False
         of = lambda x: label.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
@@ -321,5 +391,5 @@ def _classed(docs: DataFrame, id_col: str, text: str, similar: float, star_round
         pairs = split(turn).filter(F.col("c") != F.col("head.c"))
         if not add(pairs.select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b")).distinct()):
             break
-    add(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch", "bands"), "v")), _verified_in_groups)
+    link(_likely_pairs(split(star_rounds).select("bk", "band", "v", "c").join(t_of.select("v", "sketch", "bands"), "v"), bags, similar))
     return keep(sigs.select("id", "t").join(texts, "t").join(label, "v", "left").select("id", "t", F.coalesce("c", "v").alias("c")))

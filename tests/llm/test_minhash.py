@@ -140,3 +140,48 @@ def test_doubtful_pairs_are_listed(spark):
     b[:int(0.33 * minhash.SIZE)] = 1
     keys = np.zeros((2, minhash.BANDS), dtype=np.int64)
     assert likely(spark, [a, b], keys, 0) == [(0, 1)]
+
+
+def test_near_copies_are_not_listed_in_pairs(spark, monkeypatch):
+    """Of a crowd of texts that are similar to many others no more links are
+    listed than join them, and none of the classes is lost."""
+    rnd = random.Random(4)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for n in range(60):
+        words = list(base)
+        for k in range(rnd.choice([1, 1, 2])):
+            words[rnd.randrange(100)] = f"n{n}x{k}"
+        rows.append((n, " ".join(words)))
+    made, write = [], minhash.keep
+
+    def counting(df):
+        out = write(df)
+        if out.columns == ["a", "b"]:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "keep", counting)
+    monkeypatch.setattr(minhash, "BLOCK", 25)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string"), star_rounds=0).collect()}
+    want = brute(rows)
+    assert got == dict(enumerate(want)) and len(set(want)) < 40
+    # forests of many small tasks: fewer links than pairs by far, whatever the pairs
+    bags = [bag(t) for _, t in rows]
+    pairs = sum(jaccard(bags[i], bags[j]) >= 0.8 for i in range(60) for j in range(i))
+    assert sum(made) < pairs / 2, (made, pairs)
+
+
+def test_multisets_are_verified_with_their_multiplicities():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        bags = [np.sort(rng.integers(0, 12, rng.integers(1, 40))).astype(np.uint64) for _ in range(9)]
+        group = pa.table({"c": np.arange(9), "bag": pa.array([x.tobytes() for x in bags], type=pa.binary())})
+        near = [(a + 5, np.arange(a + 1, 9) + 5) for a in range(8)]
+        got = minhash._joining(group, 5, near, 0.5)
+        root = {k: k for k in range(5, 14)}
+        for a, b in got:
+            assert minhash.weighted_jaccard(bags[a - 5], bags[b[0] - 5]) >= 0.5 and root[a] != root[b[0]]
+            root = {k: root[a] if r == root[b[0]] else r for k, r in root.items()}
+        for a, b in near:
+            assert all(root[a] == root[x] for x in b if minhash.weighted_jaccard(bags[a - 5], bags[x - 5]) >= 0.5)
